@@ -1,2 +1,2 @@
-from . import text  # noqa: F401
+from . import tables, text  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
