@@ -183,14 +183,16 @@ def scrub(
     return mask_sign_off(mask_greeting(t, stop), stop)
 
 
-def scrub_mail(
-    scrubbed: Column, firsts: Column | None = None, stop: Iterable[str] = ()
-) -> Column:
+def mask_mail_names(c: Column, firsts: Column | None = None, stop: Iterable[str] = ()) -> Column:
+    """Names in payment-processor mails, wherever they appear in the text, and pairs
+    that begin with a first name known from any export."""
+    t = mask_each(mask_templates(c, stop), template_names(c, stop))
+    return t if firsts is None else mask_each(t, firsts, tail=r"[ \t]+" + CAP_TOKEN, flags="")
+
+
+def scrub_mail(scrubbed: Column, firsts: Column | None = None, stop: Iterable[str] = ()) -> Column:
     """Further masks for mail-like text that ``scrub`` has already been through.
 
     The input is used several times: pass a column that is already computed.
     """
-    t = mask_each(mask_templates(scrubbed, stop), template_names(scrubbed, stop))
-    if firsts is not None:
-        t = mask_each(t, firsts, tail=r"[ \t]+" + CAP_TOKEN, flags="")
-    return mask_signature(mask_same_line_sign_off(t, stop), stop)
+    return mask_signature(mask_same_line_sign_off(mask_mail_names(scrubbed, firsts, stop), stop), stop)

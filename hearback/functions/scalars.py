@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -97,55 +99,72 @@ def to_float(c: Column | str) -> Column:
     return F.when(v.rlike(r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"), v.try_cast("double"))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+# The date shapes of the exports, brought to one order of fields.
+_DATE = "[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
+_HM, _HMS = "[0-9]{1,2}:[0-9]{1,2}", "[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}"
+_ZONED = rf"{_DATE}T{_HMS}(?:\.[0-9]{{1,6}})?(?:[Zz]|[+-][0-9]{{2}}:?[0-9]{{2}})"
+_PLAIN = rf"{_DATE}(?: +{_HM}(?::[0-9]{{1,2}})?)?"
+_SLASHED = rf"[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}(?: +{_HM}(?::[0-9]{{1,2}})?)?"
+_DASHED = "[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}"
+_NAMED = rf"[A-Za-z]+ +[0-9]{{1,2}}, +[0-9]{{4}}(?: +{_HM} +[AaPp][Mm])?"
+
+
 def parse_dt(c: Column | str) -> Column:
     """Timestamp (UTC, no zone) of a cell in any of the date shapes the exports use.
 
-    The shape is decided once by regex and the fields are put together from their
-    digits, so a value that fits no shape costs no failed parse and no session
-    time zone takes part.
+    The shape is decided by regex and the fields are put together from their digits,
+    so a value that fits no shape costs no failed parse and no session time zone
+    takes part.
     """
-    v = strip(c)
-    digits = F.regexp_extract_all(v, F.lit("([0-9]+)"), F.lit(1))
-
-    def at(i: int) -> Column:
-        return F.get(digits, F.lit(i)).try_cast("int")
-
-    def stamp(y, mo, d, h=F.lit(0), mi=F.lit(0), s=F.lit(0)) -> Column:
-        made = F.try_make_timestamp_ntz(y, mo, d, h, mi, s.cast("decimal(16,6)"))
-        return F.when(s < 60, made)
-
-    date = "[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
-    us_date = "[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
-    hm, hms = "[0-9]{1,2}:[0-9]{1,2}", "[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}"
-    month_day = "[A-Za-z]+ +[0-9]{1,2}, +[0-9]{4}"
-
-    seconds = F.regexp_extract(v, r":([0-9]{1,2}(?:\.[0-9]{1,6})?)(?:[Zz]|[+-][0-9:]+)$", 1).try_cast("decimal(16,6)")
-    zone = F.regexp_extract(v, r"([+-])([0-9]{2}):?([0-9]{2})$", 0)
-    offset = F.when(
-        zone != "",
-        F.concat(F.substring(zone, 1, 1), F.lit("1")).try_cast("int")
-        * (F.substring(zone, 2, 2).try_cast("int") * 60 + F.right(zone, F.lit(2)).try_cast("int")),
-    ).otherwise(F.lit(0))
-    zoned = stamp(at(0), at(1), at(2), at(3), at(4), seconds) - F.make_dt_interval(mins=offset)
+    return let(strip(c), lambda v: let(_year_first(v), _stamp))
 
-    month_name = F.lower(F.regexp_extract(v, "^([A-Za-z]+)", 1))
-    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), month_name).cast("int")
-    clock12 = F.when(at(2).between(1, 12), at(2) % 12 + F.when(F.upper(v).endswith("PM"), 12).otherwise(0))
 
+def _year_first(v: Column) -> Column:
+    """Year, month, day, then the time as written; null when no shape fits."""
+    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.lower(F.regexp_extract(v, "^([A-Za-z]+)", 1)))
+    named = F.concat(
+        F.regexp_extract(v, ", +([0-9]{4})", 1),
+        F.lit("-"),
+        month.cast("string"),
+        F.regexp_replace(v, "^[A-Za-z]+ +([0-9]{1,2}), +[0-9]{4}", "-$1"),
+    )
     return (
-        F.when(v.rlike(rf"^{date}T{hms}(?:\.[0-9]{{1,6}})?(?:[Zz]|[+-][0-9]{{2}}:?[0-9]{{2}})$"), zoned)
-        .when(v.rlike(rf"^{date} +{hms}$"), stamp(at(0), at(1), at(2), at(3), at(4), at(5)))
-        .when(v.rlike(rf"^{date} +{hm}$"), stamp(at(0), at(1), at(2), at(3), at(4)))
-        .when(v.rlike(rf"^{date}$"), stamp(at(0), at(1), at(2)))
-        .when(v.rlike(rf"^{us_date} +{hms}$"), stamp(at(2), at(0), at(1), at(3), at(4), at(5)))
-        .when(v.rlike(rf"^{us_date} +{hm}$"), stamp(at(2), at(0), at(1), at(3), at(4)))
-        .when(v.rlike(rf"^{us_date}$"), stamp(at(2), at(0), at(1)))
-        .when(v.rlike("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$"), stamp(at(2), at(0), at(1)))
-        .when(v.rlike(rf"^{month_day} +{hm} +[AaPp][Mm]$"), stamp(at(1), month, at(0), clock12, at(3)))
-        .when(v.rlike(rf"^{month_day}$"), stamp(at(1), month, at(0)))
+        F.when(v.rlike(f"^(?:{_ZONED}|{_PLAIN})$"), v)
+        .when(v.rlike(f"^{_SLASHED}$"), F.regexp_replace(v, "^([0-9]+)/([0-9]+)/([0-9]+)", "$3-$1-$2"))
+        .when(v.rlike(f"^{_DASHED}$"), F.regexp_replace(v, "^([0-9]+)-([0-9]+)-([0-9]+)$", "$3-$1-$2"))
+        .when(v.rlike(f"^{_NAMED}$"), named)
     )
 
 
+def _stamp(v: Column) -> Column:
+    second = F.regexp_extract(v, r":[0-9]+:([0-9]+(?:\.[0-9]+)?)", 1).try_cast("decimal(16,6)")
+    zone = F.regexp_extract(v, r"([+-][0-9]{2}:?[0-9]{2})$", 1)
+    shift = F.when(
+        F.contains(v, F.lit("T")) & (zone != ""),
+        F.concat(F.left(zone, F.lit(1)), F.lit("1")).try_cast("int")
+        * (F.substring(zone, 2, 2).try_cast("int") * 60 + F.right(zone, F.lit(2)).try_cast("int")),
+    ).otherwise(F.lit(0))
+
+    def build(p: Column) -> Column:
+        def at(i: int) -> Column:
+            return F.coalesce(F.get(p, F.lit(i)).try_cast("int"), F.lit(0))
+
+        half = F.lower(F.right(v, F.lit(2)))
+        hour = F.when(~half.isin("am", "pm"), at(3)).when(
+            at(3).between(1, 12), at(3) % 12 + F.when(half == "pm", 12).otherwise(0)
+        )
+        seconds = F.coalesce(second, F.lit(0).cast("decimal(16,6)"))
+        made = F.try_make_timestamp_ntz(at(0), at(1), at(2), hour, at(4), seconds)
+        return F.when(seconds < 60, made) - F.make_dt_interval(mins=shift)
+
+    return let(F.split(v, "[^0-9]+"), build)
+
+
 def sorted_json(m: Column | str) -> Column:
     """JSON object of a string map, keys in order."""
     return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(col(m)))))

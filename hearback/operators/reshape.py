@@ -57,7 +57,7 @@ def residual(names: Column, cells: Column, drop: list[str]) -> Column:
     entries = F.transform(names, lambda k, i: F.struct(k.alias("key"), F.get(cells, i).alias("value")))
     last = F.filter(
         entries,
-        lambda e: (text_or_empty(e["value"]) != "") & ~e["key"].isin(drop),
+        lambda e: e["key"].isNotNull() & (text_or_empty(e["value"]) != "") & ~e["key"].isin(drop),
     )
     return F.map_from_entries(last)
 

@@ -1,7 +1,62 @@
+"""The monthly run: exports in, published tables out."""
+
 from __future__ import annotations
-from pyspark.sql import DataFrame
+
+from dataclasses import dataclass, field
+from datetime import datetime, timezone
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from .evidence import union_all
+
+from ..functions.scalars import is_digits
+from ..operators import audit, identity, names, quality, records
+from ..operators.classify import Taxonomy
+from ..schemas import TABLES
+from ..session import Workspace
+from ..settings import Settings
+from ..sources import exports, listing, published
+from . import cancel_flow, interviews, panel, refunds, reports, surveys, tickets
+from .evidence import build_evidence
+from .family import Output, Run, mirror, rejects
+
+# Export families; a family module has build(run) and, when its records name
+# people, people(run). A new family is one more entry.
+FAMILIES = {
+    "chargebee": cancel_flow,
+    "freshdesk": tickets,
+    "interviews": interviews,
+    "lyssna": panel,
+    "mbg": refunds,
+    "sprig": surveys,
+}
+
+# Table holding the loaded records of each source.
+RECORD_TABLES = {
+    "chargebee": "cancellations",
+    "freshdesk": "tickets",
+    "interviews": "interviews",
+    "lyssna": "lyssna_participants",
+    "mbg": "refunds",
+    "sprig": "sprig_responses",
+    "documents": "documents",
+}
+SEQUENCE = ["period", "source", "source_file", "row_number"]
+
+
+@dataclass
+class Result:
+    """Outcome of a run. ``tables`` and ``manifest`` are lazy tables over the work folder."""
+
+    ok: bool
+    published: bool
+    tables: dict[str, DataFrame] = field(default_factory=dict)
+    manifest: dict[str, DataFrame] = field(default_factory=dict)
+    registry: DataFrame | None = None
+
+
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
 
 def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
@@ -9,3 +64,208 @@ def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
     return union_all(
         [df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table_name"), "rows") for name, df in tables.items()]
     )
+
+
+def read_exports(spark: SparkSession, root: str, settings: Settings, work: Workspace) -> tuple[Run, DataFrame]:
+    """Scan all export files once into the work folder, with their headers and names."""
+    files = work.stage(listing.with_origin(listing.list_files(spark, root), settings), "files")
+    csv = files.filter(F.col("source").isin(list(FAMILIES)))
+    raw = work.stage(exports.scan_csv(csv, root), "raw", partition_by=("source",))
+    headers = work.stage(exports.headers_of(raw), "headers")
+    run = Run(settings, work, raw, headers, n_files=files.count())
+    present = {r["source"] for r in headers.select("source").distinct().collect()}
+    found = [FAMILIES[s].people(run) for s in sorted(present) if hasattr(FAMILIES[s], "people")]
+    if found:
+        run.registry = work.stage(names.name_registry(union_all(found)), "names")
+    return run, files
+
+
+def build_families(run: Run, files: DataFrame, root: str) -> dict[str, Output]:
+    present = {r["source"] for r in run.headers.select("source").distinct().collect()}
+    outputs = {s: FAMILIES[s].build(run) for s in sorted(present)}
+    documents = files.filter("source = 'documents'")
+    outputs["documents"] = reports.build(run, exports.scan_text(documents, root))
+    return outputs
+
+
+def observed_ids(tables: dict[str, DataFrame]) -> DataFrame:
+    """Key and id pairs as cancel flow and surveys state them."""
+    seen = ["user_key", "user_id", "period", "source_file", "row_number"]
+    return union_all(
+        [
+            tables["cancellations"].select(*seen, F.lit("chargebee").alias("source")),
+            tables["sprig_responses"].select(*seen, F.lit("sprig").alias("source")),
+        ]
+    ).filter(is_digits("user_id"))
+
+
+def roll_up_users(evidence: DataFrame, primary: DataFrame) -> DataFrame:
+    ordered = evidence.withColumn("_sub", F.coalesce(F.col("sub_id").try_cast("int"), F.lit(0)))
+    people = identity.roll_up(
+        ordered,
+        "user_key",
+        "source",
+        "occurred_at",
+        [*SEQUENCE, "_sub"],
+        first={"audience": "audience"},
+        last={"plan": "plan"},
+    )
+    return people.join(primary, "user_key", "left").withColumnRenamed("primary_id", "user_id")
+
+
+def ingest(
+    spark: SparkSession,
+    root: str,
+    out: str,
+    settings: Settings,
+    taxonomy: Taxonomy,
+    work_dir: str | None = None,
+    dry_run: bool = False,
+) -> Result:
+    """Rebuild everything from all month folders under ``root``.
+
+    Nothing is written to ``out`` when any file fails to reconcile, or on a dry run.
+    """
+    work = Workspace(spark, work_dir)
+    run, files = read_exports(spark, root, settings, work)
+    outputs = build_families(run, files, root)
+
+    tables = {name: published.empty(spark, schema) for name, schema in TABLES.items()}
+    for output in outputs.values():
+        tables.update(output.tables)
+
+    pairs = work.stage(identity.identity_map(observed_ids(tables), SEQUENCE, hot_rows=run.hot_rows), "identity_map")
+    primary = identity.primary_of(pairs)
+    tables["identity_map"] = pairs
+    for name, key in (("tickets", "ticket_id"), ("refunds", "request_id"), ("interviews", "interview_id")):
+        tables[name] = identity.backfill_user_id(
+            tables[name].withColumn("user_id", F.lit(None).cast("string")),
+            primary,
+            spread_by=[key],
+            overwrite=True,
+            hot_rows=run.hot_rows,
+        )
+
+    items = [o.items for o in outputs.values() if o.items is not None]
+    if items:
+        tagged = build_evidence(union_all(items), taxonomy)
+        filled = identity.backfill_user_id(tagged, primary, spread_by=["evidence_id"], hot_rows=run.hot_rows)
+        tables["evidence"] = work.stage(published.conform(filled, TABLES["evidence"]), "evidence")
+    tables["users"] = roll_up_users(tables["evidence"], primary)
+
+    studies = [published.conform(o.studies, TABLES["studies"]) for o in outputs.values() if o.studies is not None]
+    tables["studies"] = union_all(studies) if studies else tables["studies"]
+    tables["rejects"] = work.stage(union_all([rejects(o.shaped, s) for s, o in outputs.items()]), "rejects")
+    reconciliation = work.stage(reconcile_files(run, files, tables), "reconciliation")
+    tables["reconciliation"] = reconciliation
+    ok = records.all_ok(reconciliation)
+
+    manifest = report(spark, out, run, files, tables, outputs, taxonomy, ok)
+    result = Result(ok, False, tables, manifest, run.registry)
+    if ok and not dry_run:
+        publish(result, outputs, out)
+        result.published = True
+    return result
+
+
+def reconcile_files(run: Run, files: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """Read, loaded and rejected rows per file from three tables: the raw scan, the
+    published records and the rejects."""
+    by = ["source", "period", "source_file"]
+    handled = files.filter("source IS NOT NULL")
+    read = run.raw.filter("row_number > 0").select(*by)
+    read = read.unionByName(handled.filter("source = 'documents'").select(*by))
+    loaded = union_all(
+        [tables[t].select(F.lit(s).alias("source"), "period", "source_file") for s, t in RECORD_TABLES.items()]
+    )
+    counted = records.reconcile(handled, read, loaded, tables["rejects"].select(*by), by)
+    return published.conform(counted.withColumnRenamed("source_file", "file"), TABLES["reconciliation"])
+
+
+def report(
+    spark: SparkSession,
+    out: str,
+    run: Run,
+    files: DataFrame,
+    tables: dict[str, DataFrame],
+    outputs: dict[str, Output],
+    taxonomy: Taxonomy,
+    ok: bool,
+) -> dict[str, DataFrame]:
+    """Run report; every part is an aggregate that grows with files or sources only."""
+    work = run.work
+    reconciliation = tables["reconciliation"]
+    volumes = work.stage(records.volumes(reconciliation), "volumes")
+    snapshot = work.stage(quality.column_sets(run.headers), "schema_snapshot")
+    evidence = tables["evidence"]
+
+    drift = quality.schema_drift(
+        snapshot, published.read_manifest(spark, out, "schema_snapshot"), ["source"], ignore=quality.expected_drift()
+    )
+    listed = F.array_join(F.slice(F.array_sort(F.collect_set("column")), 1, 10), "', '")
+    verb = F.when(F.col("change") == "new", "has new").otherwise("lost")
+    drift_alerts = drift.groupBy("source", "change").agg(listed.alias("columns")).select(
+        F.format_string("schema: %s %s columns ['%s']", F.col("source"), verb, F.col("columns")).alias("alert")
+    )
+    swings = quality.volume_swings(
+        volumes,
+        published.read_manifest(spark, out, "by_source_month"),
+        ["source", "period"],
+        "rows_read",
+        run.settings.volume_alert_ratio,
+    )
+    volume_alerts = swings.select(
+        F.format_string(
+            "volume: %s %s rows %d -> %d", F.col("source"), F.col("period"), F.col("rows_before"), F.col("rows_now")
+        ).alias("alert")
+    )
+    unhandled = files.filter("source IS NULL").select(
+        F.concat(F.lit("unhandled file (not ingested): "), F.col("source_file")).alias("alert")
+    )
+    alerts = union_all(
+        [unhandled, drift_alerts, volume_alerts, *[a for o in outputs.values() for a in o.alerts or []]]
+    )
+    head = files.filter("source IS NOT NULL").agg(
+        F.lit(datetime.now(timezone.utc).isoformat(timespec="seconds")).alias("run_at"),
+        F.lit(taxonomy.version).cast("string").alias("taxonomy_version"),
+        F.lit(taxonomy.content_hash).cast("string").alias("taxonomy_hash"),
+        F.array_sort(F.collect_set("period")).alias("months"),
+        F.lit(ok).alias("reconciliation_ok"),
+        F.count("*").alias("files"),
+    )
+    users = evidence.filter("population = 'user'")
+    return {
+        "run": head,
+        "by_source_month": volumes,
+        "rejects_by_reason": records.reject_counts(tables["rejects"]),
+        "tables": table_sizes({n: t for n, t in tables.items() if n != "reconciliation"}),
+        "link_rates": quality.link_rates(evidence),
+        "areas": users.groupBy("area").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "area"),
+        "theme_methods": evidence.groupBy("theme_method").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "theme_method"),
+        "alerts": work.stage(alerts, "alerts"),
+        "schema_snapshot": snapshot,
+    }
+
+
+def publish(result: Result, outputs: dict[str, Output], out: str) -> None:
+    for name, df in result.tables.items():
+        published.publish_table(df, out, name)
+    copies = [mirror(o.shaped, s) for s, o in outputs.items() if s != "documents"]
+    if "documents" in outputs:
+        copies.append(reports.mirror(outputs["documents"].shaped))
+    published.publish_mirror(union_all(copies), out)
+    published.write_manifest(result.manifest, out)
+
+
+def leak_check(
+    spark: SparkSession, root: str, out: str, settings: Settings, work_dir: str | None = None
+) -> DataFrame:
+    """Leaks left in the published tables and the mirror, by place and kind.
+
+    Names come from a fresh scan of the exports, as in the run itself.
+    """
+    run, _ = read_exports(spark, root, settings, Workspace(spark, work_dir))
+    registry = run.registry if run.registry is not None else published.empty(spark, "kind string, value string")
+    tables = {f"data/{name}": published.read_table(spark, out, name) for name in TABLES}
+    copy = published.read_mirror(spark, out).select(F.transform("cells", lambda c: c["value"]).alias("cells"))
+    return audit.check_leaks({**tables, "mirror": copy}, registry, settings.allowed_domains)
