@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .scalars import EMAIL, WHITESPACE, col, strip
+from .scalars import EMAIL, WHITESPACE, col, let, strip
 
 MASK = "[name]"
 
@@ -18,6 +18,9 @@ PHONE = (
     r"[\s\p{Z}.\-]\p{Nd}{3}[\s\p{Z}.\-]\p{Nd}{4}(?!\p{Nd})"
 )
 LONG_NUMBER = r"(?<![\p{Nd}:])\p{Nd}(?:[ \-]?\p{Nd}){11,18}(?![\p{Nd}:])"
+# What every phone and every long number contains; cheap to look for first.
+PHONE_HINT = r"\p{Nd}{3}[\s\p{Z}.\-]\p{Nd}{4}"
+LONG_NUMBER_HINT = r"\p{Nd}(?:[ \-]?\p{Nd}){11}"
 START, END = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 CAP_TOKEN = r"[A-Z][a-zA-Z'\-]+"
 CAP_PAIR = START + "(" + CAP_TOKEN + r")[ \t]+(" + CAP_TOKEN + ")" + END
@@ -81,15 +84,22 @@ def mask_emails(c: Column | str) -> Column:
     return F.when(F.contains(c, F.lit("@")), F.regexp_replace(c, EMAIL, "[email]")).otherwise(c)
 
 
-def mask_numbers(c: Column | str) -> Column:
-    """Phones, then other runs of 12 to 19 digits."""
+def mask_phones(c: Column | str) -> Column:
     c = col(c)
-    masked = F.regexp_replace(F.regexp_replace(c, PHONE, "[phone]"), LONG_NUMBER, "[number]")
-    return F.when(c.rlike(r"\p{Nd}{3}|\p{Nd}[ \-]\p{Nd}"), masked).otherwise(c)
+    return F.when(c.rlike(PHONE_HINT), F.regexp_replace(c, PHONE, "[phone]")).otherwise(c)
+
+
+def mask_long_numbers(c: Column | str) -> Column:
+    c = col(c)
+    return F.when(c.rlike(LONG_NUMBER_HINT), F.regexp_replace(c, LONG_NUMBER, "[number]")).otherwise(c)
 
 
 def mask_contacts(c: Column | str) -> Column:
-    return mask_numbers(mask_emails(c))
+    """Emails, then phones, then other runs of 12 to 19 digits. A text without any
+    digits or @ is only looked at."""
+    c = col(c)
+    masked = let(mask_emails(c), lambda e: let(mask_phones(e), mask_long_numbers))
+    return F.when(c.rlike(r"@|\p{Nd}{3}|\p{Nd}[ \-]\p{Nd}"), masked).otherwise(c)
 
 
 def name_list(*names: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.masks import LONG_NUMBER, PHONE
+from ..functions.masks import LONG_NUMBER, LONG_NUMBER_HINT, PHONE, PHONE_HINT
 from ..functions.scalars import EMAIL
 from .names import capital_pairs, pair_key
 
@@ -48,8 +48,10 @@ def leak_counts(cells: DataFrame, allowed_domains: list[str] | None = None) -> D
     per_text = cells.select(
         "where",
         F.size(personal_emails(F.col("text"), allowed_domains or [])).alias("email"),
-        F.regexp_count("text", F.lit(PHONE)).alias("phone"),
-        F.regexp_count("text", F.lit(LONG_NUMBER)).alias("long_number"),
+        F.when(F.col("text").rlike(PHONE_HINT), F.regexp_count("text", F.lit(PHONE))).otherwise(0).alias("phone"),
+        F.when(F.col("text").rlike(LONG_NUMBER_HINT), F.regexp_count("text", F.lit(LONG_NUMBER)))
+        .otherwise(0)
+        .alias("long_number"),
     )
     kinds = ["email", "phone", "long_number"]
     sums = per_text.groupBy("where").agg(*[F.sum(k).alias(k) for k in kinds])

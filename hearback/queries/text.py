@@ -11,7 +11,7 @@ from ..operators.classify import classify
 from ..operators.reshape import header_parts
 from ..plans import recipes
 from ..plans.evidence import build_evidence, feedback, union_all
-from ..session import load
+from ..session import load, widen
 from . import taxonomies as tx
 from .registry import query
 
@@ -21,7 +21,7 @@ SALT = "test-salt-0123456789"
 def feedback_items(spark: SparkSession, sf: str) -> DataFrame:
     """Documents, what users say in conversations, and events as feedback."""
     docs = feedback(
-        load(spark, sf, "documents"),
+        widen(load(spark, sf, "documents").select("doc_id", "text", "source", "lang"), "doc_id"),
         source=F.lit("documents"),
         record_id=F.col("doc_id"),
         text=F.col("text"),
@@ -153,7 +153,7 @@ FROM scanned
 """,
 )
 def taxonomy_text_rule(spark: SparkSession, sf: str) -> DataFrame:
-    docs = load(spark, sf, "documents").select("doc_id", "text")
+    docs = widen(load(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     tagged = classify(docs, tx.WORDS, text=F.col("text"), theme=F.lit(""), context=F.lit(""))
     return tagged.select("doc_id", "area", F.array_join("areas", ",").alias("areas"), "theme_method")
 
@@ -189,7 +189,7 @@ FROM scanned
 """,
 )
 def taxonomy_precedence(spark: SparkSession, sf: str) -> DataFrame:
-    docs = load(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    docs = widen(load(spark, sf, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
     asked = docs.withColumns(
         {
             "label": F.when(F.col("lang").isin("fr", "de"), F.concat(F.lit("theme "), F.col("lang"))).otherwise(""),
@@ -238,8 +238,8 @@ SELECT doc_id, md5(t) AS masked_md5, length(t) AS chars, contains(t, '[email]')
 """,
 )
 def pii_mask(spark: SparkSession, sf: str) -> DataFrame:
-    docs = load(spark, sf, "documents").select("doc_id", masks.mask_contacts("text").alias("t"))
-    return docs.select(
+    docs = widen(load(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    return docs.select("doc_id", masks.mask_contacts("text").alias("t")).select(
         "doc_id",
         F.md5("t").alias("masked_md5"),
         F.char_length("t").cast("long").alias("chars"),
@@ -268,7 +268,8 @@ SELECT "where", kind, CAST(sum(n) AS BIGINT) AS n FROM hits GROUP BY ALL HAVING
 """,
 )
 def pii_leak_counts(spark: SparkSession, sf: str) -> DataFrame:
-    cells = union_all([audit.string_cells(load(spark, sf, t), t) for t in ("documents", "pages", "conversations")])
+    tables = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"]}
+    cells = union_all([audit.string_cells(widen(load(spark, sf, t), *key), t) for t, key in tables.items()])
     return audit.leak_counts(cells, ["mail1.example.com"])
 
 
@@ -291,7 +292,8 @@ people AS (
 def page_names(spark: SparkSession, sf: str) -> DataFrame:
     ascii_html = F.regexp_replace("html", r"[^A-Za-z0-9_' \t\-]", ".")
     pairs = F.regexp_extract_all(ascii_html, F.lit(PAGE_PAIRS), F.lit(1))
-    people = load(spark, sf, "pages").select(F.explode(pairs).alias("p")).distinct()
+    pages = widen(load(spark, sf, "pages").select("page_id", "html"), "page_id")
+    people = pages.select(F.explode(pairs).alias("p")).distinct()
     return names.name_registry(people.select(names.name_tokens(F.col("p")).alias("tokens")))
 
 
@@ -324,7 +326,7 @@ SELECT doc_id, count(*) AS n_names, string_agg(value, ',' ORDER BY value) AS nam
 """,
 )
 def known_names_found(spark: SparkSession, sf: str) -> DataFrame:
-    docs = load(spark, sf, "documents").select("doc_id", "text")
+    docs = widen(load(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     hits = names.known_names(docs, ["doc_id"], names.capital_pairs(F.col("text")), page_names(spark, sf))
     keys = F.array_sort(F.array_distinct(F.transform("known_pairs", names.pair_key)))
     return hits.filter(F.size("known_pairs") > 0).select(
@@ -345,7 +347,7 @@ FROM documents LEFT JOIN per_doc USING (doc_id)
 """,
 )
 def mask_known_names(spark: SparkSession, sf: str) -> DataFrame:
-    docs = load(spark, sf, "documents").select("doc_id", "text")
+    docs = widen(load(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     hits = names.known_names(docs, ["doc_id"], names.capital_pairs(F.col("text")), page_names(spark, sf))
     joined = docs.join(hits.filter(F.size("known_pairs") > 0).select("doc_id", "known_pairs"), "doc_id", "left")
     masked = masks.mask_each(F.col("text"), F.col("known_pairs"), flags="")
@@ -362,7 +364,8 @@ SELECT value, count(*) AS docs FROM found WHERE length(value) >= 7 GROUP BY valu
 """,
 )
 def name_leaks(spark: SparkSession, sf: str) -> DataFrame:
-    cells = load(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("where"), "text")
+    docs = widen(load(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    cells = docs.select(F.col("doc_id").cast("string").alias("where"), "text")
     pairs = cells.select("where", F.explode(names.capital_pairs(F.col("text"))).alias("pair"))
     counted = pairs.select("where", names.pair_key(F.col("pair")).alias("value")).distinct()
     known = page_names(spark, sf).filter((F.col("kind") == "full") & (F.char_length("value") >= 7))
@@ -493,7 +496,8 @@ def initiative_tag(spark: SparkSession, sf: str) -> DataFrame:
         (r"(?<![a-z0-9_])und(?![a-z0-9_])|(?<![a-z0-9_])der(?![a-z0-9_])", "German"),
         (r"(?<![a-z0-9_])que(?![a-z0-9_])", "Romance"),
     ]
-    tagged = load(spark, sf, "documents").select(scalars.initiative_of("text", rules=rules).alias("i"))
+    docs = widen(load(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    tagged = docs.select(scalars.initiative_of("text", rules=rules).alias("i"))
     return tagged.groupBy(F.coalesce("i", F.lit("none")).alias("initiative")).agg(F.count("*").alias("n"))
 
 

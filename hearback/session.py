@@ -54,3 +54,13 @@ class Workspace:
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def widen(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan of very few row groups over all cores.
+
+    Texts are costly to search, and a table of one row group is read by one task. A
+    table with as many splits as cores or more stays as it is: no shuffle there.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
