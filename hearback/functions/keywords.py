@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import product
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -43,15 +44,19 @@ def keyword_words(areas: list[tuple[str, list[str]]]) -> set[str]:
 
 
 def keep_keyword_words(low: Column, areas: list[tuple[str, list[str]]]) -> Column:
-    """Lower-cased text with every word that no keyword contains cut down to one mark.
+    """Lower-cased text with every run of words that no keyword contains cut down to
+    one mark, so that the scan per area runs over a fraction of the text.
 
-    The mark is no letter, no digit and in no keyword, so hits and word boundaries
-    stay exactly as they were, and the scan per area runs over a fraction of the text.
+    The mark is itself a word that no keyword contains, and punctuation around a run
+    stays, so hits and word boundaries stay exactly as they were.
     """
-    known = _branch(keyword_words(areas))
-    plain = all(k[:1].isalnum() and k[:1].isascii() for _, words in areas for k in words)
-    gap = "[^a-z0-9]*+" if plain else ""  # punctuation may open a keyword: then keep it
-    return F.regexp_replace(low, f"(?<![a-z0-9])(?!{known}(?![a-z0-9]))[a-z0-9]++{gap}", "\x01")
+    words = keyword_words(areas)
+    if not all(re.search("[a-z0-9]", k.lower()) for _, keywords in areas for k in keywords):
+        return low  # a keyword of punctuation only may hide between two words
+    letters = "0123456789abcdefghijklmnopqrstuvwxyz"
+    mark = next(m for n in (1, 2, 3) for m in map("".join, product(letters, repeat=n)) if m not in words)
+    other = f"(?<![a-z0-9])(?!{_branch(words)}(?![a-z0-9]))[a-z0-9]++"
+    return F.regexp_replace(low, f"{other}(?:[^a-z0-9]++{other})*+", mark)
 
 
 def keyword_hits(text: Column, areas: list[tuple[str, list[str]]]) -> Column:

@@ -8,10 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.masks import LONG_NUMBER, LONG_NUMBER_HINT, PHONE, PHONE_HINT
+from ..functions.masks import LONG_NUMBER_HINT, PHONE, PHONE_HINT
 from ..functions.scalars import EMAIL
 from .names import capital_pairs, pair_key
 
+# Digit runs that are no part of a word: keys and hashes of the tables are not counted.
+FREE_NUMBER = r"(?<![\p{L}\p{N}_:])\p{Nd}(?:[ \-]?\p{Nd}){11,18}(?![\p{L}\p{N}_:])"
+
 
 def string_cells(df: DataFrame, table: str) -> DataFrame:
     """(where, text) of every string, string array and string map of a table."""
@@ -49,7 +52,7 @@ def leak_counts(cells: DataFrame, allowed_domains: list[str] | None = None) -> D
         "where",
         F.size(personal_emails(F.col("text"), allowed_domains or [])).alias("email"),
         F.when(F.col("text").rlike(PHONE_HINT), F.regexp_count("text", F.lit(PHONE))).otherwise(0).alias("phone"),
-        F.when(F.col("text").rlike(LONG_NUMBER_HINT), F.regexp_count("text", F.lit(LONG_NUMBER)))
+        F.when(F.col("text").rlike(LONG_NUMBER_HINT), F.regexp_count("text", F.lit(FREE_NUMBER)))
         .otherwise(0)
         .alias("long_number"),
     )

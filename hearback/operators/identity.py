@@ -10,19 +10,23 @@ from .skew import HOT_ROWS, spread_join
 
 
 def identity_map(
-    observed: DataFrame, seq: list[str], key: str = "user_key", uid: str = "user_id", hot_rows: int = HOT_ROWS
+    observed: DataFrame, seq: Column | str, key: str = "user_key", uid: str = "user_id", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """One row per (key, id) with observations, the primary id and ambiguity.
 
-    Primary is the id seen most often; a tie goes to the id seen first (``seq``).
+    Primary is the id seen most often; a tie goes to the id seen first. ``seq`` is a
+    number that gives the processing order: its minimum is kept in a hash aggregate,
+    where a minimum of structs or texts would sort all rows first. A key with very
+    many ids is spread over salts when the ids get their key's figures back.
     """
     usable = observed.filter(F.col(key).isNotNull() & is_digits(F.col(uid).cast("string")))
     pairs = usable.groupBy(key, uid).agg(
-        F.count("*").alias("observations"), F.min(F.struct(*seq)).alias("_first")
+        F.count("*").alias("observations"), F.min(seq).alias("_first")
     )
     per_key = primary_ids(pairs, key, uid)
+    hot = per_key.filter(F.col("n_ids") >= hot_rows).select(key)
     return (
-        spread_join(pairs, per_key, [key], "inner", spread_by=[uid], hot_rows=hot_rows)
+        spread_join(pairs, per_key, [key], "inner", spread_by=[uid], hot=hot)
         .withColumn("is_primary", F.col(uid) == F.col("primary_id"))
         .withColumn("ambiguous", F.col("n_ids") > 1)
         .select(key, uid, "observations", "is_primary", "ambiguous")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,31 +47,47 @@ def pair_key(pair: Column) -> Column:
     return F.lower(F.regexp_replace(pair, r"[ \t]+", " "))
 
 
+BROADCAST_NAMES = 500_000
+
+
 def known_names(
-    texts: DataFrame, keys: list[str], pairs: Column, registry: DataFrame, hot_rows: int = HOT_ROWS
+    texts: DataFrame,
+    keys: list[str],
+    pairs: Column,
+    registry: DataFrame,
+    registry_rows: int | None = None,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Per row of ``texts`` (identified by ``keys``) the capitalised pairs and first
     names it shares with the registry: ``known_pairs``, ``known_firsts``.
 
-    Rows without a hit do not appear. A pair many rows have in common is spread
-    over salts, and every array is bounded by its own row's text.
+    Rows without a hit do not appear, and every array is bounded by its own row's
+    text. A registry counted to be small is broadcast and the texts are scanned
+    once, without a shuffle. A larger one is joined by shuffle, with pairs that many
+    rows have in common spread over salts; ``stage`` then keeps the pairs as a table
+    so that the texts are still scanned only once.
     """
     found = texts.select(*keys, F.explode(F.array_distinct(pairs)).alias("_pair"))
+    first = F.regexp_extract("_pair", "^(" + CAP_TOKEN + ")", 1)
     lookups = F.array(
         F.struct(F.lit("full").alias("kind"), pair_key(F.col("_pair")).alias("value"), F.col("_pair").alias("raw")),
-        F.struct(
-            F.lit("first").alias("kind"),
-            F.regexp_extract("_pair", "^(" + CAP_TOKEN + ")", 1).alias("value"),
-            F.regexp_extract("_pair", "^(" + CAP_TOKEN + ")", 1).alias("raw"),
-        ),
+        F.struct(F.lit("first").alias("kind"), first.alias("value"), first.alias("raw")),
     )
     wanted = (
         found.select(*keys, F.explode(lookups).alias("c"))
         .select(*keys, "c.*")
         .filter(~((F.col("kind") == "first") & F.col("value").isin(NOT_FIRST_NAMES)))
     )
-    known = registry.join(wanted.select("kind", "value").distinct(), ["kind", "value"], "left_semi")
-    hits = spread_join(wanted, known, ["kind", "value"], "left_semi", spread_by=keys, hot_rows=hot_rows)
+    on = ["kind", "value"]
+    if registry_rows is not None and registry_rows <= BROADCAST_NAMES:
+        hits = wanted.join(F.broadcast(registry), on, "left_semi")
+    else:
+        wanted = stage(wanted) if stage else wanted
+        counts = wanted.groupBy(*on).agg(F.count("*").alias("_n"))
+        known = counts.filter("_n > 0").join(registry, on, "left_semi").select(*on)
+        hot = counts.filter(F.col("_n") >= hot_rows).select(*on)
+        hits = spread_join(wanted, known, on, "left_semi", spread_by=keys, hot=hot)
     return hits.groupBy(*keys).agg(
         F.array_sort(F.collect_set(F.when(F.col("kind") == "full", F.col("raw")))).alias("known_pairs"),
         F.array_sort(F.collect_set(F.when(F.col("kind") == "first", F.col("raw")))).alias("known_firsts"),

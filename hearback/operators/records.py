@@ -7,23 +7,23 @@ from pyspark.sql import functions as F
 
 
 def mark_repeats(
-    df: DataFrame, keys: list[str], order: list[str], counts: Column | None = None, out: str = "is_repeat"
+    df: DataFrame, keys: list[str], seq: str, counts: Column | None = None, out: str = "is_repeat"
 ) -> DataFrame:
     """Flag every row but the first of its key.
 
-    ``order`` must identify a row. The first row per key comes from an aggregate
-    with map-side combine and goes back by its address, which is unique, so copies
-    of one key never meet in one task. Rows for which ``counts`` is false (blank
-    ones) neither register nor are flagged.
+    ``seq`` is a number that orders and identifies the rows. The first one per key
+    comes from a hash aggregate with map-side combine and goes back to its row by
+    that number, which is unique, so copies of one key never meet in one task. Rows
+    for which ``counts`` is false (blank ones) neither register nor are flagged.
     """
     registers = F.coalesce(counts, F.lit(False)) if counts is not None else F.lit(True)
     firsts = (
         df.filter(registers)
         .groupBy(*keys)
-        .agg(F.min(F.struct(*order)).alias("_first"))
-        .select("_first.*", F.lit(True).alias("_is_first"))
+        .agg(F.min(seq).alias(seq))
+        .select(seq, F.lit(True).alias("_is_first"))
     )
-    return df.join(firsts, order, "left").withColumn(
+    return df.join(firsts, seq, "left").withColumn(
         out, registers & F.col("_is_first").isNull()
     ).drop("_is_first")
 

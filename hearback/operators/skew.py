@@ -26,15 +26,18 @@ def spread_join(
     spread_by: list[str],
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi join (inner, left or left_semi) that spreads hot and null keys of ``left``.
 
     Rows of a hot key get one of ``salts`` values from a hash of ``spread_by``
     (columns that tell the rows apart, so a retried task gives the same salt) and
     only the hot rows of ``right`` are copied once per salt. Other keys join as
-    they are.
+    they are. ``hot`` names the hot keys where the caller has counted them already;
+    it must be as bounded as ``hot_keys`` is.
     """
-    hot = F.broadcast(hot_keys(left, on, hot_rows).withColumn("_hot", F.lit(True)))
+    hot = hot_keys(left, on, hot_rows) if hot is None else hot
+    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     unset = F.lit(False)
     for key in on:
         unset = unset | F.col(key).isNull()
@@ -51,8 +54,3 @@ def spread_join(
         .drop("_hot")
     )
     return salted.drop("_hot").join(copies, [*on, "_salt"], how).drop("_salt")
-
-
-def broadcast_below(df: DataFrame, rows: int | None, limit: int = 200_000) -> DataFrame:
-    """Broadcast hint only when the caller knows the row count and it is small."""
-    return F.broadcast(df) if rows is not None and rows <= limit else df

@@ -18,7 +18,7 @@ from ..functions.scalars import (
 from ..operators.names import name_tokens
 from ..operators.reshape import residual
 from .evidence import feedback
-from .family import Columns, Output, Run, bind, loaded, shape, surrogate_id, unparsed_dates, unshadowed
+from .family import SEQ, Columns, Output, Run, bind, loaded, shape, surrogate_id, unshadowed
 
 SOURCE = "chargebee"
 
@@ -134,6 +134,7 @@ def build(run: Run) -> Output:
         sorted_json(residual(F.col("named"), F.col("masked"), drop)).alias("raw"),
         "source_file",
         "row_number",
+        SEQ,
     )
     items = feedback(
         records,
@@ -158,6 +159,7 @@ def build(run: Run) -> Output:
         plan=F.col("plan_id"),
         source_file=F.col("source_file"),
         row_number=F.col("row_number"),
+        seq=F.col(SEQ),
     )
     undated = loaded(shaped).filter(cancelled.isNull()).groupBy("source_file").agg(F.count("*").alias("n"))
     alert = undated.select(

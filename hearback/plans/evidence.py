@@ -19,7 +19,7 @@ INPUT_TYPES = {
     "score": "double", "score_type": "string", "source_theme": "string", "map_name": "string",
     "map_key": "string", "segment": "string", "audience": "string", "channel": "string",
     "plan": "string", "initiative": "string", "source_file": "string", "row_number": "long",
-    "is_choice": "boolean",
+    "is_choice": "boolean", "seq": "long",
 }
 
 

@@ -17,7 +17,8 @@ from ..operators.skew import HOT_ROWS, spread_join
 from ..session import Workspace
 from ..settings import Settings
 
-ADDRESS = ["period", "source_file", "row_number"]
+# A record's place in processing order, as one number: file, then row.
+SEQ = "seq"
 BROADCAST_FILES = 5_000
 
 
@@ -33,8 +34,11 @@ class Run:
     registry: DataFrame | None = None
     hot_rows: int = HOT_ROWS
 
+    registry_rows: int | None = None
+
     def rows(self, source: str) -> DataFrame:
-        return self.raw.filter((F.col("source") == source) & (F.col("row_number") > 0)).drop("source")
+        rows = self.raw.filter((F.col("source") == source) & (F.col("row_number") > 0))
+        return rows.withColumn(SEQ, F.shiftleft("file_no", 40) + F.col("row_number")).drop("source", "file_no")
 
     def heads(self, source: str) -> DataFrame:
         return self.headers.filter(F.col("source") == source).drop("source")
@@ -95,12 +99,12 @@ def bind(run: Run, source: str, layout: DataFrame) -> DataFrame:
         bound = rows.join(F.broadcast(layout), "source_file")
     else:
         bound = spread_join(
-            rows, layout, ["source_file"], "inner", spread_by=["row_number"], hot_rows=run.hot_rows
+            rows, layout, ["source_file"], "inner", spread_by=[SEQ], hot_rows=run.hot_rows
         )
     return bound.withColumn("cells", pad(F.col("cells"), F.size("header")))
 
 
-def mask_cells(df: DataFrame, run: Run, mail: bool) -> DataFrame:
+def mask_cells(df: DataFrame, run: Run, source: str, mail: bool) -> DataFrame:
     """Add ``masked``: every cell after the mask its column calls for (``actions``).
 
     Expects ``own_names``, ``user_key`` and, for mail senders, ``sender`` on the row.
@@ -113,8 +117,16 @@ def mask_cells(df: DataFrame, run: Run, mail: bool) -> DataFrame:
     if run.registry is not None:
         texts = F.filter(F.col("cells"), lambda c, i: F.get(action, i).isin(free))
         pairs = F.flatten(F.transform(texts, capital_pairs))
-        known = known_names(df.withColumn("_pairs", pairs), ADDRESS, F.col("_pairs"), run.registry, run.hot_rows)
-        df = df.join(known, ADDRESS, "left")
+        known = known_names(
+            df.select(SEQ, pairs.alias("_pairs")),
+            [SEQ],
+            F.col("_pairs"),
+            run.registry,
+            run.registry_rows,
+            stage=lambda found: run.work.stage(found, f"pairs/{source}"),
+            hot_rows=run.hot_rows,
+        )
+        df = df.join(known, SEQ, "left")
     else:
         none = F.array().cast("array<string>")
         df = df.withColumns({"known_pairs": none, "known_firsts": none})
@@ -177,10 +189,10 @@ def shape(
         {"own_names": masks.name_list(own_names), "record_id": record_id, "is_blank": is_blank("cells")}
     )
     if keep_first:
-        df = mark_repeats(df, ["record_id"], ADDRESS, counts=~F.col("is_blank"))
+        df = mark_repeats(df, ["record_id"], SEQ, counts=~F.col("is_blank"))
     else:
         df = df.withColumn("is_repeat", F.lit(False))
-    df = mask_cells(df, run, mail)
+    df = mask_cells(df, run, source, mail)
     reason = reject_reason(("empty_row", F.col("is_blank")), ("duplicate", F.col("is_repeat")), *(rules or []))
     return run.work.stage(df.withColumn("reason", reason), f"shaped/{source}")
 

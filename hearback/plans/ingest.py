@@ -9,7 +9,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import is_digits
 from ..operators import audit, identity, names, quality, records
 from ..operators.classify import Taxonomy
 from ..schemas import TABLES
@@ -18,7 +17,7 @@ from ..settings import Settings
 from ..sources import exports, listing, published
 from . import cancel_flow, interviews, panel, refunds, reports, surveys, tickets
 from .evidence import build_evidence
-from .family import Output, Run, mirror, rejects
+from .family import SEQ, Output, Run, mirror, rejects
 
 # Export families; a family module has build(run) and, when its records name
 # people, people(run). A new family is one more entry.
@@ -41,7 +40,6 @@ RECORD_TABLES = {
     "sprig": "sprig_responses",
     "documents": "documents",
 }
-SEQUENCE = ["period", "source", "source_file", "row_number"]
 
 
 @dataclass
@@ -77,6 +75,7 @@ def read_exports(spark: SparkSession, root: str, settings: Settings, work: Works
     found = [FAMILIES[s].people(run) for s in sorted(present) if hasattr(FAMILIES[s], "people")]
     if found:
         run.registry = work.stage(names.name_registry(union_all(found)), "names")
+        run.registry_rows = run.registry.count()
     return run, files
 
 
@@ -88,15 +87,10 @@ def build_families(run: Run, files: DataFrame, root: str) -> dict[str, Output]:
     return outputs
 
 
-def observed_ids(tables: dict[str, DataFrame]) -> DataFrame:
+def observed_ids(tables: dict[str, DataFrame]) -> DataFrame | None:
     """Key and id pairs as cancel flow and surveys state them."""
-    seen = ["user_key", "user_id", "period", "source_file", "row_number"]
-    return union_all(
-        [
-            tables["cancellations"].select(*seen, F.lit("chargebee").alias("source")),
-            tables["sprig_responses"].select(*seen, F.lit("sprig").alias("source")),
-        ]
-    ).filter(is_digits("user_id"))
+    seen = [tables[t].select("user_key", "user_id", SEQ) for t in ("cancellations", "sprig_responses") if SEQ in tables[t].columns]
+    return union_all(seen) if seen else None
 
 
 def roll_up_users(evidence: DataFrame, primary: DataFrame) -> DataFrame:
@@ -106,7 +100,7 @@ def roll_up_users(evidence: DataFrame, primary: DataFrame) -> DataFrame:
         "user_key",
         "source",
         "occurred_at",
-        [*SEQUENCE, "_sub"],
+        [SEQ, "_sub"],
         first={"audience": "audience"},
         last={"plan": "plan"},
     )
@@ -134,7 +128,9 @@ def ingest(
     for output in outputs.values():
         tables.update(output.tables)
 
-    pairs = work.stage(identity.identity_map(observed_ids(tables), SEQUENCE, hot_rows=run.hot_rows), "identity_map")
+    pairs, observed = tables["identity_map"], observed_ids(tables)
+    if observed is not None:
+        pairs = work.stage(identity.identity_map(observed, SEQ, hot_rows=run.hot_rows), "identity_map")
     primary = identity.primary_of(pairs)
     tables["identity_map"] = pairs
     for name, key in (("tickets", "ticket_id"), ("refunds", "request_id"), ("interviews", "interview_id")):
@@ -148,10 +144,11 @@ def ingest(
 
     items = [o.items for o in outputs.values() if o.items is not None]
     if items:
-        tagged = build_evidence(union_all(items), taxonomy)
-        filled = identity.backfill_user_id(tagged, primary, spread_by=["evidence_id"], hot_rows=run.hot_rows)
-        tables["evidence"] = work.stage(published.conform(filled, TABLES["evidence"]), "evidence")
-    tables["users"] = roll_up_users(tables["evidence"], primary)
+        known = identity.backfill_user_id(
+            union_all(items), primary, spread_by=[SEQ, "sub_id"], hot_rows=run.hot_rows
+        )
+        tables["evidence"] = work.stage(build_evidence(known, taxonomy, carry=(SEQ,)), "evidence")
+        tables["users"] = roll_up_users(tables["evidence"], primary)
 
     studies = [published.conform(o.studies, TABLES["studies"]) for o in outputs.values() if o.studies is not None]
     tables["studies"] = union_all(studies) if studies else tables["studies"]

@@ -9,7 +9,7 @@ from ..functions.scalars import initiative_of, none_if_empty, parse_dt, short_ha
 from ..operators.names import name_tokens
 from ..operators.reshape import residual
 from .evidence import feedback
-from .family import Columns, Output, Run, bind, file_name, loaded, shape, unshadowed
+from .family import SEQ, Columns, Output, Run, bind, file_name, loaded, shape, unshadowed
 
 SOURCE = "interviews"
 
@@ -74,6 +74,7 @@ def build(run: Run) -> Output:
         sorted_json(residual(F.col("named"), F.col("masked"), LONG_TEXTS)).alias("raw"),
         "source_file",
         "row_number",
+        SEQ,
     )
     items = feedback(
         records.filter("snapshot IS NOT NULL"),
@@ -90,6 +91,7 @@ def build(run: Run) -> Output:
         initiative=initiative_of(F.left("snapshot", F.lit(300)), rules=run.settings.initiatives),
         source_file=F.col("source_file"),
         row_number=F.col("row_number"),
+        seq=F.col(SEQ),
     )
     counted = loaded(shaped).groupBy("source_file").agg(F.count("*").alias("n"))
     heads = run.heads(SOURCE).select("source_file", "period")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import initiative_of, none_if_empty, parse_dt, short_hash, sorted_json, to_float
 from ..operators.reshape import cell_at, header_parts, residual
 from .evidence import feedback
-from .family import Columns, Output, Run, file_stem, loaded, shape, surrogate_id
+from .family import SEQ, Columns, Output, Run, file_stem, loaded, shape, surrogate_id
 
 SOURCE = "lyssna"
 
@@ -101,6 +101,7 @@ def build(run: Run) -> Output:
         sorted_json(residual(F.col("named"), F.col("cells"), [])).alias("demographics"),
         "source_file",
         "row_number",
+        SEQ,
         "record_id",
         "study_name",
         "masked",
@@ -123,6 +124,7 @@ def build(run: Run) -> Output:
         channel=F.col("device_type"),
         source_file=F.col("source_file"),
         row_number=F.col("row_number"),
+        seq=F.col(SEQ),
     )
     counted = loaded(shaped).groupBy("source_file").agg(F.count("*").alias("n"))
     catalog = layout(run.heads(SOURCE).filter(F.size("header") > 0)).select("source_file", "study_id", "study_name")

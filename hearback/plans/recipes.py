@@ -55,9 +55,9 @@ def nps(df: DataFrame, by: list[str], category: str = "nps_category") -> DataFra
     )
 
 
-def nps_distribution(answers: DataFrame, responses: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Answers per NPS category, segment and channel. Answers are counted per
-    response before the join."""
+def nps_distribution(answers: DataFrame, responses: DataFrame) -> DataFrame:
+    """Answers per NPS category, segment and channel. Answers are counted per response
+    and category before the join, so a response has three rows at most there."""
     counted = (
         answers.filter(F.col("nps_category").isNotNull())
         .groupBy("response_id", "nps_category")
@@ -65,7 +65,7 @@ def nps_distribution(answers: DataFrame, responses: DataFrame, hot_rows: int = H
     )
     keyed = responses.select("response_id", "segment", "channel")
     return (
-        spread_join(counted, keyed, ["response_id"], "inner", spread_by=["nps_category"], hot_rows=hot_rows)
+        counted.join(keyed, "response_id")
         .groupBy("nps_category", "segment", "channel")
         .agg(F.sum("_n").alias("n"))
         .orderBy("segment", F.desc("n"), "nps_category", "channel")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import none_if_empty, parse_dt, short_hash, strip, text_or_empty, to_float
 from ..operators.reshape import match_headers
 from .evidence import feedback
-from .family import Columns, Output, Run, loaded, shape, unparsed_dates
+from .family import SEQ, Columns, Output, Run, loaded, shape, unparsed_dates
 
 SOURCE = "mbg"
 
@@ -104,6 +104,7 @@ def build(run: Run) -> Output:
         *[none_if_empty(COLS.masked(f)).alias(f) for f in TEXTS],
         "source_file",
         "row_number",
+        SEQ,
     )
     said = F.concat_ws(" | ", *[F.concat(F.lit(f"{label}: "), F.col(f)) for f, label in LABELS.items()])
     items = feedback(
@@ -121,6 +122,7 @@ def build(run: Run) -> Output:
         score_type=F.lit("refund_amount_usd"),
         source_file=F.col("source_file"),
         row_number=F.col("row_number"),
+        seq=F.col(SEQ),
     )
     return Output(
         shaped,

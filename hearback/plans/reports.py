@@ -18,8 +18,16 @@ def build(run: Run, texts: DataFrame) -> Output:
     parts = F.split("source_file", "/")
     rows = texts.withColumn("row_number", F.lit(1).cast("long"))
     if run.registry is not None:
-        keys = ["period", "source_file", "row_number"]
-        known = known_names(rows, keys, capital_pairs(F.col("text")), run.registry, run.hot_rows)
+        keys = ["source_file"]
+        known = known_names(
+            rows,
+            keys,
+            capital_pairs(F.col("text")),
+            run.registry,
+            run.registry_rows,
+            stage=lambda found: run.work.stage(found, f"pairs/{SOURCE}"),
+            hot_rows=run.hot_rows,
+        )
         rows = rows.join(known.drop("known_firsts"), keys, "left")
     else:
         rows = rows.withColumn("known_pairs", F.array().cast("array<string>"))

@@ -20,7 +20,7 @@ from ..functions.scalars import (
 from ..operators.names import name_tokens
 from ..operators.reshape import cell_at, chosen_labels, chosen_values, collapse, pad, question_layout, residual
 from .evidence import feedback
-from .family import Columns, Output, Run, bind, file_name, file_stem, loaded, shape, surrogate_id, unparsed_dates
+from .family import SEQ, Columns, Output, Run, bind, file_name, file_stem, loaded, shape, surrogate_id, unparsed_dates
 
 SOURCE = "sprig"
 
@@ -137,6 +137,7 @@ def responses(shaped: DataFrame, run: Run, *carry: str) -> DataFrame:
         sorted_json(residual(F.col("attribute_labels"), F.col("masked"), PERSONAL)).alias("attributes"),
         "source_file",
         "row_number",
+        SEQ,
         *carry,
     )
 
@@ -243,6 +244,7 @@ def answer_items(answered: DataFrame) -> DataFrame:
         initiative=F.col("initiative"),
         source_file=F.col("source_file"),
         row_number=F.col("row_number"),
+        seq=F.col(SEQ),
         is_choice=F.col("is_choice"),
     )
 
@@ -271,7 +273,7 @@ def build(run: Run) -> Output:
         records.groupBy("survey_id", "survey_name", "survey_family", "initiative", "period", "source_file")
         .agg(F.count("*").alias("n"))
         .select(
-            F.concat(F.lit("sprig_"), text_or_empty("survey_id"), F.lit("_"), F.col("period")).alias("study_id"),
+            F.concat(F.lit("sprig_"), F.coalesce("survey_id", F.lit("None")), F.lit("_"), F.col("period")).alias("study_id"),
             F.concat(F.lit("sprig_"), slug("survey_family")).alias("kind"),
             F.col("survey_name").alias("name"),
             "initiative",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import email_domain, local_part_tokens, none_if_empty, parse_dt, strip
 from .evidence import feedback
-from .family import Columns, Output, Run, loaded, shape, surrogate_id, unparsed_dates
+from .family import SEQ, Columns, Output, Run, loaded, shape, surrogate_id, unparsed_dates
 
 SOURCE = "freshdesk"
 
@@ -105,6 +105,7 @@ def build(run: Run) -> Output:
         F.char_length(body).alias("body_chars"),
         "source_file",
         "row_number",
+        SEQ,
     )
     items = feedback(
         records,
@@ -120,6 +121,7 @@ def build(run: Run) -> Output:
         map_key=F.col("sender_type"),
         source_file=F.col("source_file"),
         row_number=F.col("row_number"),
+        seq=F.col(SEQ),
     )
     return Output(
         shaped,

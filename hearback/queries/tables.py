@@ -25,7 +25,7 @@ SELECT doc_id, row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) > 1 AS
 )
 def dedup_keep_first(spark: SparkSession, sf: str) -> DataFrame:
     docs = load(spark, sf, "documents").select("doc_id", F.md5("text").alias("content"))
-    return records.mark_repeats(docs, ["content"], ["doc_id"]).select("doc_id", "is_repeat")
+    return records.mark_repeats(docs, ["content"], "doc_id").select("doc_id", "is_repeat")
 
 
 REASONS_SQL = """
@@ -41,7 +41,7 @@ def reasoned(spark: SparkSession, sf: str) -> DataFrame:
     docs = load(spark, sf, "documents").select(
         "doc_id", "source", "n_chars", F.md5("text").alias("content"), (scalars.strip("text") == "").alias("blank")
     )
-    marked = records.mark_repeats(docs, ["source", "content"], ["doc_id"], counts=~F.col("blank"))
+    marked = records.mark_repeats(docs, ["source", "content"], "doc_id", counts=~F.col("blank"))
     reason = records.reject_reason(
         ("empty_row", F.col("blank")), ("duplicate", F.col("is_repeat")), ("too_short", F.col("n_chars") < 300)
     )
@@ -110,8 +110,9 @@ FROM pairs
 """,
 )
 def identity_map(spark: SparkSession, sf: str) -> DataFrame:
-    seen = load(spark, sf, "lineitem").select("l_suppkey", "l_partkey", "l_orderkey", "l_linenumber")
-    return identity.identity_map(seen, ["l_orderkey", "l_linenumber"], key="l_suppkey", uid="l_partkey")
+    order = F.col("l_orderkey") * 1000 + F.col("l_linenumber")
+    seen = load(spark, sf, "lineitem").select("l_suppkey", "l_partkey", order.alias("seq"))
+    return identity.identity_map(seen, "seq", key="l_suppkey", uid="l_partkey")
 
 
 @query(
@@ -133,7 +134,7 @@ def identity_backfill(spark: SparkSession, sf: str) -> DataFrame:
     events = load(spark, sf, "events").select(
         "event_id", "event_type", scalars.json_field("props", "k").alias("user_key"), "user_id"
     )
-    seen = identity.identity_map(events.filter("event_type = 'purchase'"), ["event_id"])
+    seen = identity.identity_map(events.filter("event_type = 'purchase'"), "event_id")
     anonymous = events.withColumn("user_id", F.when(~F.col("event_type").isin("view", "click"), F.col("user_id")))
     filled = identity.backfill_user_id(anonymous, identity.primary_of(seen), spread_by=["event_id"])
     return filled.select("event_id", F.col("user_key").alias("k"), "user_id")

@@ -210,6 +210,7 @@ def taxonomy_precedence(spark: SparkSession, sf: str) -> DataFrame:
 
 EMAIL_SQL = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
 PHONE_SQL = r"((?:\+?1[\s.\-]?)?(?:\([0-9]{3}\)|[0-9]{3})[\s.\-][0-9]{3}[\s.\-][0-9]{4})"
+PART_OF_WORD = r"\p{L}\p{N}_:"
 LONG_SQL = r"([0-9](?:[ \-]?[0-9]){11,18})"
 
 
@@ -262,7 +263,7 @@ WITH cells AS (
          len(list_filter(regexp_extract_all(t, '{EMAIL_SQL}'), lambda e: NOT regexp_matches(lower(e), '@mail1\\.example\\.com$'))) AS n
   FROM cells
   UNION ALL SELECT "where", 'phone', {count_sql("t", PHONE_SQL, "0-9")} FROM cells
-  UNION ALL SELECT "where", 'long_number', {count_sql("t", LONG_SQL, "0-9:")} FROM cells
+  UNION ALL SELECT "where", 'long_number', {count_sql("t", LONG_SQL, PART_OF_WORD)} FROM cells
 )
 SELECT "where", kind, CAST(sum(n) AS BIGINT) AS n FROM hits GROUP BY ALL HAVING sum(n) > 0
 """,
@@ -308,12 +309,15 @@ upper(left(split_part(value, ' ', 1), 1)) || '(?i:' || substr(split_part(value,
 upper(left(split_part(value, ' ', 2), 1)) || '(?i:' || substr(split_part(value, ' ', 2), 2) || ')'
 """
 FOUND_SQL = f"""
-found AS (
-  SELECT doc_id, value, {PAIR_SQL} AS rx
-  FROM (SELECT doc_id, text, lower(text) AS low FROM documents) d,
-       (SELECT value FROM registry WHERE kind = 'full') n
-  WHERE contains(low, split_part(value, ' ', 1)) AND contains(low, split_part(value, ' ', 2))
-    AND regexp_matches(text, '(^|[^\\p{{L}}\\p{{N}}_])' || {PAIR_SQL} || '([^\\p{{L}}\\p{{N}}_]|$)')
+words AS (
+  SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z][a-z''\\-]+')) AS w FROM documents
+), candidates AS (
+  SELECT a.doc_id, n.value FROM (SELECT value FROM registry WHERE kind = 'full') n
+  JOIN words a ON a.w = split_part(n.value, ' ', 1)
+  JOIN words b ON b.w = split_part(n.value, ' ', 2) AND b.doc_id = a.doc_id
+), found AS (
+  SELECT doc_id, value, {PAIR_SQL} AS rx FROM candidates JOIN documents USING (doc_id)
+  WHERE regexp_matches(text, '(^|[^\\p{{L}}\\p{{N}}_])' || {PAIR_SQL} || '([^\\p{{L}}\\p{{N}}_]|$)')
 )
 """
 
@@ -327,7 +331,8 @@ SELECT doc_id, count(*) AS n_names, string_agg(value, ',' ORDER BY value) AS nam
 )
 def known_names_found(spark: SparkSession, sf: str) -> DataFrame:
     docs = widen(load(spark, sf, "documents").select("doc_id", "text"), "doc_id")
-    hits = names.known_names(docs, ["doc_id"], names.capital_pairs(F.col("text")), page_names(spark, sf))
+    registry = page_names(spark, sf)
+    hits = names.known_names(docs, ["doc_id"], names.capital_pairs(F.col("text")), registry, registry.count())
     keys = F.array_sort(F.array_distinct(F.transform("known_pairs", names.pair_key)))
     return hits.filter(F.size("known_pairs") > 0).select(
         "doc_id", F.size(keys).cast("long").alias("n_names"), F.array_join(keys, ",").alias("names")
@@ -348,7 +353,8 @@ FROM documents LEFT JOIN per_doc USING (doc_id)
 )
 def mask_known_names(spark: SparkSession, sf: str) -> DataFrame:
     docs = widen(load(spark, sf, "documents").select("doc_id", "text"), "doc_id")
-    hits = names.known_names(docs, ["doc_id"], names.capital_pairs(F.col("text")), page_names(spark, sf))
+    registry = page_names(spark, sf)
+    hits = names.known_names(docs, ["doc_id"], names.capital_pairs(F.col("text")), registry, registry.count())
     joined = docs.join(hits.filter(F.size("known_pairs") > 0).select("doc_id", "known_pairs"), "doc_id", "left")
     masked = masks.mask_each(F.col("text"), F.col("known_pairs"), flags="")
     return joined.select(

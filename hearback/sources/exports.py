@@ -28,7 +28,7 @@ for _module in (listing, sys.modules[__name__]):
 # Header rows per family; all others have one.
 HEADER_ROWS = {"sprig": 2}
 
-RAW_SCHEMA = "period string, source string, source_file string, row_number long, cells array<string>"
+RAW_SCHEMA = "period string, source string, source_file string, file_no long, row_number long, cells array<string>"
 TEXT_SCHEMA = "period string, source_file string, text string, readable boolean"
 PLAIN_TEXT = (".md", ".txt")
 BATCH_CHARS = 4_000_000
@@ -50,12 +50,13 @@ def _records(root: str, source: str, source_file: str) -> Iterator[tuple[int, li
 
 
 def scan_csv(files: DataFrame, root: str) -> DataFrame:
-    """All records of the export files in ``files`` (period, source, source_file)."""
+    """All records of the export files in ``files`` (period, source, source_file, file_no)."""
     schema = pa.schema(
         [
             ("period", pa.string()),
             ("source", pa.string()),
             ("source_file", pa.string()),
+            ("file_no", pa.int64()),
             ("row_number", pa.int64()),
             ("cells", pa.list_(pa.string())),
         ]
@@ -71,6 +72,7 @@ def scan_csv(files: DataFrame, root: str) -> DataFrame:
                     constant = [[file[c]] * n for c in ("period", "source", "source_file")]
                     return pa.RecordBatch.from_arrays(
                         [pa.array(c, pa.string()) for c in constant]
+                        + [pa.array([file["file_no"]] * n, pa.int64())]
                         + [pa.array(numbers, pa.int64()), pa.array(cells, pa.list_(pa.string()))],
                         schema=schema,
                     )
@@ -114,7 +116,7 @@ def scan_text(files: DataFrame, root: str) -> DataFrame:
 
 def _spread(files: DataFrame) -> DataFrame:
     """A few files per task, big ones among small ones."""
-    wanted = files.select("period", "source", "source_file")
+    wanted = files.select("period", "source", "source_file", "file_no")
     tasks = max(1, wanted.count() // FILES_PER_TASK)
     return wanted.repartition(tasks, "source_file")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..settings import Settings
 
@@ -35,7 +36,7 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def with_origin(files: DataFrame, settings: Settings) -> DataFrame:
-    """Add period, source and the parts of the path.
+    """Add period, source, the parts of the path and the place in processing order.
 
     Source is an export family, "documents" for reports, or null for a file nobody
     handles. Files outside month folders and hidden files are left out.
@@ -57,7 +58,7 @@ def with_origin(files: DataFrame, settings: Settings) -> DataFrame:
             "folder": F.when(F.size(parts) > 2, F.get(parts, F.size(parts) - 2)),
         }
     )
-    return (
+    handled = (
         located.filter((F.size(parts) > 1) & F.col("period").rlike(settings.month_pattern))
         .filter(~F.exists(parts, lambda p: p.startswith(".")))
         .withColumn(
@@ -67,3 +68,6 @@ def with_origin(files: DataFrame, settings: Settings) -> DataFrame:
             ),
         )
     )
+    # one partition, but of file names only
+    order = W.orderBy("period", F.col("source").asc_nulls_last(), F.split("source_file", "/"))
+    return handled.withColumn("file_no", F.row_number().over(order).cast("long"))
