@@ -255,9 +255,9 @@ ANSWER_COLUMNS = [
 ]
 
 
-def build(run: Run) -> Output:
+def shaped_records(run: Run) -> DataFrame:
     staff = F.lower(strip(attribute("isStaff", "cells"))) == "true"
-    shaped = shape(
+    return shape(
         run,
         SOURCE,
         layout(run.heads(SOURCE)),
@@ -266,6 +266,10 @@ def build(run: Run) -> Output:
         record_id=F.coalesce(none_if_empty(COLS.raw("responseGroupUid")), surrogate_id("sp_")),
         rules=[("staff_response", staff)] if run.settings.exclude_staff else [],
     )
+
+
+def build(run: Run) -> Output:
+    shaped = shaped_records(run)
     responded = responses(shaped, run, "masked", "questions")
     answered = run.work.stage(answers(responded), "survey_answers")
     records = responded.drop("masked", "questions")

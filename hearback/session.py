@@ -52,6 +52,16 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
 
+class Inline(Workspace):
+    """Keeps every step in the one lazy plan; for small inputs and single queries."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def stage(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        return df
+
+
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -32,7 +32,7 @@ RAW_SCHEMA = "period string, source string, source_file string, file_no long, ro
 TEXT_SCHEMA = "period string, source_file string, text string, readable boolean"
 PLAIN_TEXT = (".md", ".txt")
 BATCH_CHARS = 4_000_000
-FILES_PER_TASK = 4
+TASK_BYTES = 128 * 1024 * 1024
 
 
 def _open_text(root: str, source_file: str) -> io.TextIOWrapper:
@@ -115,10 +115,12 @@ def scan_text(files: DataFrame, root: str) -> DataFrame:
 
 
 def _spread(files: DataFrame) -> DataFrame:
-    """A few files per task, big ones among small ones."""
+    """One task per so many bytes of files, but at least one per core or file."""
     wanted = files.select("period", "source", "source_file", "file_no")
-    tasks = max(1, wanted.count() // FILES_PER_TASK)
-    return wanted.repartition(tasks, "source_file")
+    total = files.agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).first()
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    tasks = min(max(cores, (total["bytes"] or 0) // TASK_BYTES), max(1, total["n"]))
+    return wanted.repartitionByRange(tasks, "file_no")
 
 
 def headers_of(raw: DataFrame) -> DataFrame:
