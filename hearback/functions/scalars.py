@@ -90,7 +90,7 @@ def email_domain(addr: Column | str) -> Column:
 def local_part_tokens(addr: Column | str) -> Column:
     """Name-like pieces (three letters or more) of the part before the @."""
     local = F.substring_index(col(addr), "@", 1)
-    return F.filter(F.split(local, r"[._\-+0-9]+"), lambda t: F.char_length(t) >= 3)
+    return F.regexp_extract_all(local, F.lit(r"[^._\-+0-9]{3,}"), F.lit(0))
 
 
 def to_float(c: Column | str) -> Column:
@@ -162,12 +162,12 @@ def _stamp(v: Column) -> Column:
         made = F.try_make_timestamp_ntz(at(0), at(1), at(2), hour, at(4), seconds)
         return F.when(seconds < 60, made) - F.make_dt_interval(mins=shift)
 
-    return let(F.split(v, "[^0-9]+"), build)
+    return let(F.regexp_extract_all(v, F.lit("[0-9]+"), F.lit(0)), build)
 
 
-def sorted_json(m: Column | str) -> Column:
-    """JSON object of a string map, keys in order."""
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(col(m)))))
+def sorted_json(entries: Column | str) -> Column:
+    """JSON object of (key, value) entries without repeated keys, keys in order."""
+    return F.to_json(F.map_from_entries(F.array_sort(col(entries))))
 
 
 def json_field(c: Column | str, key: str) -> Column:

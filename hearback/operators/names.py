@@ -17,7 +17,7 @@ PAIRS = START + r"(?=(" + CAP_TOKEN + r"[ \t]+" + CAP_TOKEN + ")" + END + ")"
 
 def name_tokens(*parts: Column) -> Column:
     joined = strip(F.concat_ws(" ", *[text_or_empty(p) for p in parts]))
-    return F.filter(F.split(joined, SPACE_CLASS + "+"), lambda t: t != "")
+    return F.regexp_extract_all(joined, F.lit("[^" + SPACE_CLASS[1:] + "+"), F.lit(0))
 
 
 def name_registry(people: DataFrame, tokens: str = "tokens") -> DataFrame:

@@ -52,14 +52,25 @@ def wide_to_long(df: DataFrame, keep: list[str], measures: dict[str, Column], na
     return df.select(*keep, F.explode(filled).alias("_m")).select(*keep, f"_m.{name}", f"_m.{value}")
 
 
-def residual(names: Column, cells: Column, drop: list[str]) -> Column:
-    """Map of the columns nobody curated, empty cells left out; last repeat wins."""
+def residual(names: Column, cells: Column, drop: list[str], repeats: Column | None = None) -> Column:
+    """(key, value) entries of the columns nobody curated, empty cells left out.
+
+    ``repeats`` says that a name may occur twice in this file; the last filled cell
+    wins then. It is known per file, so other files pay nothing for it.
+    """
     entries = F.transform(names, lambda k, i: F.struct(k.alias("key"), F.get(cells, i).alias("value")))
-    last = F.filter(
+    filled = F.filter(
         entries,
         lambda e: e["key"].isNotNull() & (text_or_empty(e["value"]) != "") & ~e["key"].isin(drop),
     )
-    return F.map_from_entries(last)
+    if repeats is None:
+        return filled
+
+    def is_last(e: Column, i: Column) -> Column:
+        later = F.slice(filled, i + 2, F.greatest(F.size(filled) - i - 1, F.lit(0)))
+        return ~F.exists(later, lambda other: other["key"] == e["key"])
+
+    return F.when(repeats, F.filter(filled, is_last)).otherwise(filled)
 
 
 def question_layout(headers: DataFrame) -> DataFrame:

@@ -60,6 +60,7 @@ def layout(heads: DataFrame) -> DataFrame:
         "header", lambda c, i: F.when(c.startswith("Attribute_"), F.get(F.col("labels"), i))
     )
     last = F.size("header")
+    labelled = F.array_compact("attribute_labels")
     placed = usable.withColumn("attribute_labels", attribute)
 
     def attribute_position(name: str) -> Column:
@@ -74,6 +75,7 @@ def layout(heads: DataFrame) -> DataFrame:
         actions().alias("actions"),
         COLS.positions(F.col("header")).alias("pos"),
         "attribute_labels",
+        (F.size(F.array_distinct(labelled)) < F.size(labelled)).alias("labels_repeat"),
         F.array(*[attribute_position(a) for a in ATTRIBUTES]).alias("attribute_pos"),
     )
     return bound.join(question_layout(usable), "source_file", "left")
@@ -134,7 +136,7 @@ def responses(shaped: DataFrame, run: Run, *carry: str) -> DataFrame:
         none_if_empty(attribute("deviceType")).alias("device_type"),
         none_if_empty(COLS.masked("href")).alias("href"),
         none_if_empty(COLS.masked("triggeringEvent")).alias("triggering_event"),
-        sorted_json(residual(F.col("attribute_labels"), F.col("masked"), PERSONAL)).alias("attributes"),
+        sorted_json(residual(F.col("attribute_labels"), F.col("masked"), PERSONAL, F.col("labels_repeat"))).alias("attributes"),
         "source_file",
         "row_number",
         SEQ,

@@ -23,28 +23,40 @@ SETTINGS = Settings(SALT, internal_domains=["ours.test"])
 
 
 def as_export(
-    spark: SparkSession, rows: DataFrame, source: str, number: Column, cells: dict[str, Column], labels: list[str] | None = None
+    spark: SparkSession,
+    rows: DataFrame,
+    source: str,
+    file: Column,
+    number: Column,
+    cells: dict[str, Column],
+    labels: list[str] | None = None,
 ) -> Run:
-    """A run whose raw records are ``cells`` of ``rows``, all of one file."""
-    address = {
-        "period": F.lit("2026-07"),
-        "source": F.lit(source),
-        "source_file": F.lit("2026-07/Export/export.csv"),
-    }
+    """A run whose raw records are ``cells`` of ``rows``; rows with the same ``file``
+    (a few values whose first letters or numbers differ) make up one export file.
+
+    The test tables are single row groups, so the records are spread over the cores;
+    a real run reads them from the many files of its work folder.
+    """
+    name = file.cast("string")
     raw = rows.select(
-        *[v.alias(k) for k, v in address.items()],
-        F.lit(1).cast("long").alias("file_no"),
+        F.lit("2026-07").alias("period"),
+        F.lit(source).alias("source"),
+        F.concat(F.lit("2026-07/Export/"), name, F.lit(".csv")).alias("source_file"),
+        F.coalesce(name.try_cast("long"), F.ascii(name)).cast("long").alias("file_no"),
         (number + 1).cast("long").alias("row_number"),
         F.array(*[F.coalesce(c.cast("string"), F.lit("")) for c in cells.values()]).alias("cells"),
     )
+    raw = widen(raw, "row_number")
     names = list(cells)
-    heads = spark.range(1).select(
-        *[v.alias(k) for k, v in address.items()],
-        F.array(*[F.lit(n) for n in names]).alias("header"),
-        F.array(*[F.lit(n) for n in labels or names]).alias("labels"),
-        F.lit(2 if labels else 1).cast("long").alias("header_rows"),
+    heads = raw.select("period", "source", "source_file").distinct()
+    heads = heads.withColumns(
+        {
+            "header": F.array(*[F.lit(n) for n in names]),
+            "labels": F.array(*[F.lit(n) for n in labels or names]),
+            "header_rows": F.lit(2 if labels else 1).cast("long"),
+        }
     )
-    return Run(SETTINGS, Inline(spark), raw, heads, n_files=1)
+    return Run(SETTINGS, Inline(spark), raw, heads, n_files=30)
 
 
 def text(*parts: Column | str) -> Column:
@@ -81,7 +93,7 @@ def cancel_run(spark: SparkSession, sf: str) -> Run:
         "Billing ID": text("B", customer),
         "Coupon Codes": F.when(key % 2 == 0, "SAVE10"),
     }
-    return as_export(spark, orders, "chargebee", key, cells)
+    return as_export(spark, orders, "chargebee", status, key, cells)
 
 
 @query(
@@ -151,7 +163,7 @@ def survey_run(spark: SparkSession, sf: str) -> Run:
         ("Attribute_3", "isStaff", F.when(customer % 50 == 7, "True")),
     ]
     return as_export(
-        spark, orders, "sprig", key, {name: cell for name, _, cell in columns}, [label for _, label, _ in columns]
+        spark, orders, "sprig", F.col("o_orderstatus"), key, {name: cell for name, _, cell in columns}, [label for _, label, _ in columns]
     )
 
 
@@ -262,7 +274,7 @@ def ticket_run(spark: SparkSession, sf: str) -> Run:
         "Segmentation": text("Cancel plan ", key, " - Max Moe"),
         "Feedback": body,
     }
-    return as_export(spark, customer, "freshdesk", key, cells)
+    return as_export(spark, customer, "freshdesk", F.col("c_mktsegment"), key, cells)
 
 
 @query(
@@ -305,7 +317,7 @@ WITH asked AS (
   SELECT *, 'c' || o_custkey || '@mail.com' AS email, strftime(o_orderdate, '%m/%d/%Y') || ' 10:00:00' AS asked_at,
          'Reason ' || o_orderpriority AS why FROM orders
 ), numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderdate, o_orderpriority ORDER BY o_orderkey) AS rn FROM asked
+  SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderdate, o_orderpriority ORDER BY o_orderstatus, o_orderkey) AS rn FROM asked
 )
 SELECT 'mbg_' || left(sha256({KEY_SQL % "email"} || chr(31) || asked_at || chr(31) || why), 12) AS request_id,
        o_orderdate + INTERVAL 10 HOUR AS requested_at, {KEY_SQL % "email"} AS user_key, o_totalprice AS amount_usd,
@@ -327,7 +339,7 @@ def refund_records(spark: SparkSession, sf: str) -> DataFrame:
         "Why do you want to cancel?": text("Reason ", F.col("o_orderpriority")),
         "Title and author": text("Book ", F.col("o_orderkey")),
     }
-    built = refunds.build(as_export(spark, orders, "mbg", F.col("o_orderkey"), cells))
+    built = refunds.build(as_export(spark, orders, "mbg", F.col("o_orderstatus"), F.col("o_orderkey"), cells))
     said = built.items.select(F.col("record_id").alias("request_id"), "text", "seq")
     records = built.tables["refunds"]
     return records.join(said, ["request_id", "seq"]).select(
@@ -352,7 +364,7 @@ def panel_run(spark: SparkSession, sf: str) -> Run:
         PANEL_TIME: F.col("p_retailprice").cast("int"),
         "Note": F.when(F.col("p_size") % 3 == 1, "https://x.test/ see this page").when(F.col("p_size") % 3 == 2, "short one"),
     }
-    return as_export(spark, part, "lyssna", F.col("p_partkey"), cells)
+    return as_export(spark, part, "lyssna", F.col("p_type"), F.col("p_partkey"), cells)
 
 
 @query(
@@ -406,7 +418,7 @@ def interview_records(spark: SparkSession, sf: str) -> DataFrame:
         "Snapshot (for Zapier)": text("Gina likes nation ", F.col("s_nationkey"), ". Ask Gina Hall."),
         "Transcript link": F.lit("https://rec.test/1"),
     }
-    records = interviews.build(as_export(spark, supplier, "interviews", F.col("s_suppkey"), cells)).tables["interviews"]
+    records = interviews.build(as_export(spark, supplier, "interviews", F.col("s_nationkey"), F.col("s_suppkey"), cells)).tables["interviews"]
     return records.select(
         "row_number", "user_key", "interview_date", "snapshot",
         scalars.json_field("raw", "Transcript link").alias("link"),
