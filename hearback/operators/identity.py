@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,12 @@ from .skew import HOT_ROWS, spread_join
 
 
 def identity_map(
-    observed: DataFrame, seq: Column | str, key: str = "user_key", uid: str = "user_id", hot_rows: int = HOT_ROWS
+    observed: DataFrame,
+    seq: Column | str,
+    key: str = "user_key",
+    uid: str = "user_id",
+    hot_rows: int = HOT_ROWS,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """One row per (key, id) with observations, the primary id and ambiguity.
 
@@ -18,11 +25,13 @@ def identity_map(
     number that gives the processing order: its minimum is kept in a hash aggregate,
     where a minimum of structs or texts would sort all rows first. A key with very
     many ids is spread over salts when the ids get their key's figures back.
+    ``stage`` keeps the counted pairs as a table, so that they are counted only once.
     """
     usable = observed.filter(F.col(key).isNotNull() & is_digits(F.col(uid).cast("string")))
     pairs = usable.groupBy(key, uid).agg(
         F.count("*").alias("observations"), F.min(seq).alias("_first")
     )
+    pairs = stage(pairs) if stage else pairs
     per_key = primary_ids(pairs, key, uid)
     hot = per_key.filter(F.col("n_ids") >= hot_rows).select(key)
     return (

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def mark_repeats(
-    df: DataFrame, keys: list[str], seq: str, counts: Column | None = None, out: str = "is_repeat"
+    df: DataFrame,
+    keys: list[str],
+    seq: str,
+    counts: Column | None = None,
+    out: str = "is_repeat",
+    settle: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Flag every row but the first of its key.
 
@@ -15,6 +22,9 @@ def mark_repeats(
     comes from a hash aggregate with map-side combine and goes back to its row by
     that number, which is unique, so copies of one key never meet in one task. Rows
     for which ``counts`` is false (blank ones) neither register nor are flagged.
+
+    With ``settle`` the numbers of the repeats alone are worked out first and handed
+    to it; where it finds them few and broadcasts them, the rows are not shuffled.
     """
     registers = F.coalesce(counts, F.lit(False)) if counts is not None else F.lit(True)
     firsts = (
@@ -23,6 +33,10 @@ def mark_repeats(
         .agg(F.min(seq).alias(seq))
         .select(seq, F.lit(True).alias("_is_first"))
     )
+    if settle is not None:
+        repeats = df.filter(registers).select(seq).join(firsts, seq, "left_anti")
+        flags = settle(repeats.withColumn(out, F.lit(True)))
+        return df.join(flags, seq, "left").withColumn(out, F.coalesce(out, F.lit(False)))
     return df.join(firsts, seq, "left").withColumn(
         out, registers & F.col("_is_first").isNull()
     ).drop("_is_first")

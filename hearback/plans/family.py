@@ -14,12 +14,11 @@ from ..operators.names import capital_pairs, known_names
 from ..operators.records import mark_repeats, reject_reason
 from ..operators.reshape import cell_at, pad, position_of
 from ..operators.skew import HOT_ROWS, spread_join
-from ..session import Workspace
+from ..session import Inline, Workspace
 from ..settings import Settings
 
 # A record's place in processing order, as one number: file, then row.
 SEQ = "seq"
-BROADCAST_FILES = 5_000
 
 
 @dataclass
@@ -30,11 +29,15 @@ class Run:
     work: Workspace
     raw: DataFrame
     headers: DataFrame
-    n_files: int
     registry: DataFrame | None = None
     hot_rows: int = HOT_ROWS
 
     registry_rows: int | None = None
+    layouts_small: bool = True
+
+    @property
+    def inline(self) -> bool:
+        return isinstance(self.work, Inline)
 
     def rows(self, source: str) -> DataFrame:
         rows = self.raw.filter((F.col("source") == source) & (F.col("row_number") > 0))
@@ -92,50 +95,60 @@ def surrogate_id(prefix: str) -> Column:
     return F.concat(F.lit(prefix), short_hash("source_file", "row_number"))
 
 
+def with_layout(run: Run, rows: DataFrame, layout: DataFrame) -> DataFrame:
+    """Rows with the layout of their file. Layouts are broadcast where they were
+    measured to be small; a file that holds many rows is spread over salts otherwise.
+
+    A layout is wider than many a record, so it is joined where it is used and does
+    not travel through shuffles or into the work folder.
+    """
+    if run.layouts_small:
+        return rows.join(F.broadcast(layout), "source_file")
+    return spread_join(rows, layout, ["source_file"], "inner", spread_by=[SEQ], hot_rows=run.hot_rows)
+
+
 def bind(run: Run, source: str, layout: DataFrame) -> DataFrame:
     """Rows of a family with the layout of their file, short records filled up."""
-    rows = run.rows(source)
-    if run.n_files <= BROADCAST_FILES:
-        bound = rows.join(F.broadcast(layout), "source_file")
-    else:
-        bound = spread_join(
-            rows, layout, ["source_file"], "inner", spread_by=[SEQ], hot_rows=run.hot_rows
-        )
+    bound = with_layout(run, run.rows(source), layout)
     return bound.withColumn("cells", pad(F.col("cells"), F.size("header")))
 
 
-def mask_cells(df: DataFrame, run: Run, source: str, mail: bool) -> DataFrame:
+FREE_TEXT = ["text", "mail", "subject"]
+
+
+def add_known_names(df: DataFrame, bound: DataFrame, run: Run, source: str) -> DataFrame:
+    """Add the known names found in the text cells of each row."""
+    if run.registry is None:
+        none = F.array().cast("array<string>")
+        return df.withColumns({"known_pairs": none, "known_firsts": none})
+    texts = F.filter(F.col("cells"), lambda c, i: F.get(F.col("actions"), i).isin(FREE_TEXT))
+    known = known_names(
+        bound.select(SEQ, F.flatten(F.transform(texts, capital_pairs)).alias("_pairs")),
+        [SEQ],
+        F.col("_pairs"),
+        run.registry,
+        run.registry_rows,
+        stage=lambda found: run.work.stage(found, f"pairs/{source}"),
+        hot_rows=run.hot_rows,
+    )
+    return df.join(run.work.settle(known, f"known/{source}"), SEQ, "left")
+
+
+def mask_cells(df: DataFrame, run: Run, mail: bool) -> DataFrame:
     """Add ``masked``: every cell after the mask its column calls for (``actions``).
 
-    Expects ``own_names``, ``user_key`` and, for mail senders, ``sender`` on the row.
-    Known names are looked up for the text cells of the row. Each step is one
-    projection, so that no step's expression is repeated inside the next.
+    Expects ``own_names``, ``known_pairs``, ``known_firsts``, ``user_key`` and, for
+    mail senders, ``sender`` on the row. Each step is one projection, so that no
+    step's expression is repeated inside the next.
     """
     stop = run.settings.stop_words
     action = F.col("actions")
-    free = ["text", "mail", "subject"]
-    if run.registry is not None:
-        texts = F.filter(F.col("cells"), lambda c, i: F.get(action, i).isin(free))
-        pairs = F.flatten(F.transform(texts, capital_pairs))
-        known = known_names(
-            df.select(SEQ, pairs.alias("_pairs")),
-            [SEQ],
-            F.col("_pairs"),
-            run.registry,
-            run.registry_rows,
-            stage=lambda found: run.work.stage(found, f"pairs/{source}"),
-            hot_rows=run.hot_rows,
-        )
-        df = df.join(known, SEQ, "left")
-    else:
-        none = F.array().cast("array<string>")
-        df = df.withColumns({"known_pairs": none, "known_firsts": none})
 
     def first_step(c: Column, i: Column) -> Column:
         a = F.get(action, i)
         return (
             F.when(c == "", c)
-            .when(a.isin(free), masks.scrub(c, F.col("own_names"), F.col("known_pairs"), stop))
+            .when(a.isin(FREE_TEXT), masks.scrub(c, F.col("own_names"), F.col("known_pairs"), stop))
             .when(a == "email", F.coalesce(F.col("user_key"), F.lit("[email]")))
             .when(a == "name", F.lit(masks.MASK))
             .when(a == "id", F.coalesce(hash_id(c, run.settings.salt), F.lit("")))
@@ -181,20 +194,34 @@ def shape(
 
     All published tables of the family, its rejects and the mirror read this table.
     """
-    df = bind(run, source, layout)
-    df = df.withColumn("user_key", user_key(email, run.settings.salt))
+    layout = run.work.stage(layout, f"layout/{source}")
+    bound = bind(run, source, layout)
+    bound = bound.withColumn("user_key", user_key(email, run.settings.salt))
     if extra:
-        df = df.withColumns(extra)
-    df = df.withColumns(
+        bound = bound.withColumns(extra)
+    bound = bound.withColumns(
         {"own_names": masks.name_list(own_names), "record_id": record_id, "is_blank": is_blank("cells")}
     )
+    for name, test in rules or []:
+        bound = bound.withColumn(f"_{name}", test)
+    df = bound.drop(*[c for c in layout.columns if c not in ("source_file", *(extra or {}))])
     if keep_first:
-        df = mark_repeats(df, ["record_id"], SEQ, counts=~F.col("is_blank"))
+        df = mark_repeats(
+            df,
+            ["record_id"],
+            SEQ,
+            counts=~F.col("is_blank"),
+            settle=None if run.inline else lambda found: run.work.settle(found, f"repeats/{source}"),
+        )
     else:
         df = df.withColumn("is_repeat", F.lit(False))
-    df = mask_cells(df, run, source, mail)
-    reason = reject_reason(("empty_row", F.col("is_blank")), ("duplicate", F.col("is_repeat")), *(rules or []))
-    return run.work.stage(df.withColumn("reason", reason), f"shaped/{source}")
+    df = add_known_names(df, bound, run, source)
+    df = mask_cells(with_layout(run, df, layout), run, mail)
+    tests = [(name, F.col(f"_{name}")) for name, _ in rules or []]
+    reason = reject_reason(("empty_row", F.col("is_blank")), ("duplicate", F.col("is_repeat")), *tests)
+    dropped = [c for c in layout.columns if c != "source_file"] + [f"_{name}" for name, _ in rules or []]
+    judged = df.withColumn("reason", reason).drop(*dropped, "is_blank", "is_repeat")
+    return with_layout(run, run.work.stage(judged, f"shaped/{source}"), layout)
 
 
 def loaded(shaped: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import audit, identity, names, quality, records
 from ..operators.classify import Taxonomy
 from ..schemas import TABLES
-from ..session import Workspace
+from ..session import BROADCAST_BYTES, Workspace
 from ..settings import Settings
 from ..sources import exports, listing, published
 from . import cancel_flow, interviews, panel, refunds, reports, surveys, tickets
@@ -42,6 +42,9 @@ RECORD_TABLES = {
 }
 
 
+LAYOUT_BYTES_PER_COLUMN = 400
+
+
 @dataclass
 class Result:
     """Outcome of a run. ``tables`` and ``manifest`` are lazy tables over the work folder."""
@@ -70,7 +73,10 @@ def read_exports(spark: SparkSession, root: str, settings: Settings, work: Works
     csv = files.filter(F.col("source").isin(list(FAMILIES)))
     raw = work.stage(exports.scan_csv(csv, root), "raw", partition_by=("source",))
     headers = work.stage(exports.headers_of(raw), "headers")
-    run = Run(settings, work, raw, headers, n_files=files.count())
+    run = Run(settings, work, raw, headers)
+    # a layout is a few arrays as long as the header
+    cells = headers.agg(F.sum(F.size("header"))).first()[0] or 0
+    run.layouts_small = cells * LAYOUT_BYTES_PER_COLUMN <= BROADCAST_BYTES
     present = {r["source"] for r in headers.select("source").distinct().collect()}
     found = [FAMILIES[s].people(run) for s in sorted(present) if hasattr(FAMILIES[s], "people")]
     if found:
@@ -130,7 +136,12 @@ def ingest(
 
     pairs, observed = tables["identity_map"], observed_ids(tables)
     if observed is not None:
-        pairs = work.stage(identity.identity_map(observed, SEQ, hot_rows=run.hot_rows), "identity_map")
+        pairs = work.stage(
+            identity.identity_map(
+                observed, SEQ, hot_rows=run.hot_rows, stage=lambda counted: work.stage(counted, "id_pairs")
+            ),
+            "identity_map",
+        )
     primary = identity.primary_of(pairs)
     tables["identity_map"] = pairs
     for name, key in (("tickets", "ticket_id"), ("refunds", "request_id"), ("interviews", "interview_id")):

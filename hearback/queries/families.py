@@ -56,7 +56,7 @@ def as_export(
             "header_rows": F.lit(2 if labels else 1).cast("long"),
         }
     )
-    return Run(SETTINGS, Inline(spark), raw, heads, n_files=30)
+    return Run(SETTINGS, Inline(spark), raw, heads)
 
 
 def text(*parts: Column | str) -> Column:
@@ -443,7 +443,7 @@ def report_records(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(True).alias("readable"),
     )
     none = texts.select(F.lit("").alias("source")).limit(0)
-    built = reports.build(Run(SETTINGS, Inline(spark), none, none, n_files=0), texts)
+    built = reports.build(Run(SETTINGS, Inline(spark), none, none), texts)
     return built.tables["documents"].select(
         "doc_id", "title", "folder", "doc_type", "initiative", F.col("chars").cast("long").alias("chars"),
         F.md5("text").alias("text_md5"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Time is handled as UTC without zone; AQE sizes shuffles and splits skewed ones.
 SETTINGS = {
@@ -25,6 +26,9 @@ def build_session(app: str, master: str | None = None, **more: str) -> SparkSess
     return builder.getOrCreate()
 
 
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
 class Workspace:
     """Folder for intermediate tables of one run.
 
@@ -52,6 +56,14 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
 
+    def settle(self, df: DataFrame, name: str) -> DataFrame:
+        """A side table written and measured: broadcast when it is small, joined by
+        shuffle when it is not."""
+        table = self.stage(df, name)
+        size = table.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+        return F.broadcast(table) if size <= BROADCAST_BYTES else table
+
+
 class Inline(Workspace):
     """Keeps every step in the one lazy plan; for small inputs and single queries."""
 
@@ -61,6 +73,9 @@ class Inline(Workspace):
     def stage(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         return df
 
+    def settle(self, df: DataFrame, name: str) -> DataFrame:
+        return df
+
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
