@@ -19,7 +19,7 @@ HEADLINE = [
     "identity_backfill", "user_rollup", "journey_before", "source_overlap", "cohort_match_rate", "nps_distribution",
     "top_box", "top_reasons", "area_people", "text_search_latest", "quotes_per_group", "wide_to_long", "schema_drift",
     "volume_alerts", "parse_dates", "provenance_lookup",
-    "cancel_records", "survey_answers", "ticket_records", "refund_records", "panel_answers", "report_records",
+    "survey_answers", "ticket_records", "report_records",
 ]
 
 

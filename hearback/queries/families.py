@@ -38,7 +38,7 @@ def as_export(
     a real run reads them from the many files of its work folder.
     """
     name = file.cast("string")
-    raw = rows.select(
+    raw = widen(rows, number).select(
         F.lit("2026-07").alias("period"),
         F.lit(source).alias("source"),
         F.concat(F.lit("2026-07/Export/"), name, F.lit(".csv")).alias("source_file"),
@@ -46,7 +46,6 @@ def as_export(
         (number + 1).cast("long").alias("row_number"),
         F.array(*[F.coalesce(c.cast("string"), F.lit("")) for c in cells.values()]).alias("cells"),
     )
-    raw = widen(raw, "row_number")
     names = list(cells)
     heads = raw.select("period", "source", "source_file").distinct()
     heads = heads.withColumns(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Time is handled as UTC without zone; AQE sizes shuffles and splits skewed ones.
@@ -81,7 +81,7 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def widen(df: DataFrame, *keys: str) -> DataFrame:
+def widen(df: DataFrame, *keys: Column | str) -> DataFrame:
     """Spread a scan of very few row groups over all cores.
 
     Texts are costly to search, and a table of one row group is read by one task. A

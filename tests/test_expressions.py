@@ -178,6 +178,14 @@ def test_keyword_hits_match_a_plain_scan(spark):
     assert values(spark, texts, lambda c: keywords.keyword_hits(c, dotted)) == want
 
 
+def test_long_texts_are_scanned_whole(spark):
+    text = "word, " * 400_000 + "refund charge " + "a1 b2\n" * 300_000 + "Charge"
+    assert values(spark, [text], lambda c: keywords.keyword_hits(c, AREAS)) == [[2, 0, 0, 0]]
+    mail = "x " * 500_000 + "a@b.com 555-123-4567 " + "1 a " * 200_000 + "4111 1111 1111 1111\nThanks,\nMax Moe"
+    masked = values(spark, [mail], lambda c: masks.scrub(c))[0]
+    assert masked.count("[email] [phone] ") == 1 and masked.endswith("[number]\nThanks,\n[name]")
+
+
 def test_best_area_and_areas(spark):
     hits = [[0, 0, 0, 0], [1, 0, 1, 0], [0, 1, 2, 2]]
     assert values(spark, hits, lambda c: keywords.best_area(c, AREAS), "array<int>") == [None, "billing", "quality"]
