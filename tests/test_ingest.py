@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import shutil
+from types import SimpleNamespace
 
 import pytest
 from fixtures import CANCEL_1, CANCEL_HEADER, PMF_CASES, SALT, write_csv, write_exports, write_taxonomy
 
 from hearback.operators import records
-from hearback.plans import recipes
+from hearback.plans import recipes, tickets
 from hearback.plans.ingest import ingest, leak_check
+from hearback.session import Workspace
 from hearback.settings import Settings, load_taxonomy
 from hearback.sources import published
 
@@ -233,3 +235,46 @@ def test_gate_publishes_nothing(spark, place, settings, taxonomy, monkeypatch):
     result = ingest(spark, root, str(place / "out3"), settings, taxonomy, str(place / "work"))
     assert not result.ok and not result.published
     assert not (place / "out3").exists()
+
+
+def test_reports_only(spark, place, settings, taxonomy):
+    (place / "raw4" / "2026-07").mkdir(parents=True)
+    (place / "raw4" / "2026-07" / "notes.txt").write_text("call 555-123-4567", encoding="utf-8")
+    out = str(place / "out4")
+    result = ingest(spark, str(place / "raw4"), out, settings, taxonomy, str(place / "work"))
+    assert result.published
+    assert rows(published.read_table(spark, out, "documents"), "text", "folder") == [("call [phone]", None)]
+    assert published.read_table(spark, out, "evidence").count() == 0
+    assert published.read_table(spark, out, "users").count() == 0
+
+
+def test_run_state_may_be_missing_or_broken(spark, place):
+    assert published.read_manifest(spark, str(place / "nowhere"), "schema_snapshot").count() == 0
+    broken = place / "broken" / "manifest" / "by_source_month"
+    broken.mkdir(parents=True)
+    (broken / "part-0.json").write_text("{ not json\n", encoding="utf-8")
+    assert published.read_manifest(spark, str(place / "broken"), "by_source_month").count() == 0
+
+
+def test_missing_ticket_columns_are_reported(spark):
+    heads = spark.createDataFrame([("m/f/t.csv", ["Date", "User", "Feedback"])], "source_file string, header array<string>")
+    alerts = [r["alert"] for r in tickets.missing_columns(heads).collect()]
+    assert alerts == ["freshdesk: t.csv missing columns Ticket ID, Segmentation"]
+
+
+def test_work_folder_comes_from_the_session():
+    def session(**conf):  # the setting cannot be changed on a running session
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: conf.get(key.replace(".", "_"), default)))
+
+    assert Workspace(session(spark_checkpoint_dir="/shared"), "/elsewhere").root.startswith("/shared/")
+    assert Workspace(session(), "/elsewhere").root.startswith("/elsewhere/")
+    with pytest.raises(ValueError):
+        Workspace(session())
+
+
+def test_repeats_through_the_shuffle_path(spark):
+    """Side tables beyond the broadcast limit give the same flags."""
+    df = spark.createDataFrame([(i, f"k{i % 7}") for i in range(50)], "seq long, id string")
+    plain = records.mark_repeats(df, ["id"], "seq")
+    settled = records.mark_repeats(df, ["id"], "seq", settle=lambda found: found)
+    assert rows(plain, "seq", "is_repeat") == rows(settled, "seq", "is_repeat")
