@@ -31,8 +31,9 @@ def identity_map(
     pairs = usable.groupBy(key, uid).agg(
         F.count("*").alias("observations"), F.min(seq).alias("_first")
     )
-    pairs = stage(pairs) if stage else pairs
-    per_key = primary_ids(pairs, key, uid)
+    # every use below asks for all columns, so that Spark counts the pairs once and reuses the exchange
+    pairs = stage(pairs) if stage else pairs.filter("_first IS NOT NULL")
+    per_key = primary_ids(pairs, key, uid).filter("primary_id IS NOT NULL")
     hot = per_key.filter(F.col("n_ids") >= hot_rows).select(key)
     return (
         spread_join(pairs, per_key, [key], "inner", spread_by=[uid], hot=hot)
