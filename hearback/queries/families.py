@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars
+from ..functions.masks import SIGN_OFFS
 from ..plans import cancel_flow, interviews, panel, refunds, reports, surveys, tickets
 from ..plans.family import Run, rejects
 from ..session import Inline, load, widen
@@ -425,13 +426,26 @@ def interview_records(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Names after a greeting and after a sign-off on the line before.
+GREETED_SQL = r"\b(Hi|Hello|Hey|Dear|Hiya)(,?[ \t]+)[A-Z][a-z]+(?:[ \t]+[A-Z][a-z]+)?\b"
+SIGNED_SQL = (
+    rf"\b({SIGN_OFFS})([,!.]?[ \t]*\r?\n+[ \t]*[-—]?[ \t]*)"
+    r"[A-Z][a-z]+[a-zA-Z''\-]*(?:[ \t]+[A-Z][a-zA-Z''\-]+)?"
+)
+
+
+def scrubbed_sql(c: str) -> str:
+    greeted = f"regexp_replace({masked_sql(c)}, '{GREETED_SQL}', '\\1\\2[name]', 'g')"
+    return f"regexp_replace({greeted}, '{SIGNED_SQL}', '\\1\\2[name]', 'g')"
+
+
 @query(
     "report_records",
     f"""
 SELECT 'doc_' || left(sha256('2026-07' || chr(31) || '2026-07/' || lang || '/nps-report_' || doc_id || '.md'), 12) AS doc_id,
        'nps-report ' || doc_id AS title, lang AS folder, 'md' AS doc_type, 'NPS' AS initiative,
        length(masked) AS chars, md5(masked) AS text_md5
-FROM (SELECT *, {masked_sql("text")} AS masked FROM documents)
+FROM (SELECT *, {scrubbed_sql("text")} AS masked FROM documents)
 """,
 )
 def report_records(spark: SparkSession, sf: str) -> DataFrame:
