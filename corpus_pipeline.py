@@ -4,17 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearback.llm import mixing
+from hearback.llm import mixing, simhash
 from hearback.llm.common import workspace
 from hearback.llm.queries import MIX
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group whose SimHash fingerprints are linked at 4 bits."""
+    return simhash.keep_first(docs, width=4, bits=4, seed=42)
+
+
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's budget takes them, columns as they came."""
     return mixing.mix_sources(docs, MIX).select(*docs.columns)
 
 
 STAGES = [
+    ("SimHash near-dedup", near_dedup_stage),
     ("mixing sources to target weights", mix_stage),
 ]
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing
+from . import mixing, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -96,3 +96,10 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     """Every document as often as its source's budget takes it."""
     docs = load(spark, folder, "documents")
     return mixing.mix_sources(docs, MIX).select("doc_id", "domain", "lang", "source", "epoch", "n_tokens", "taken")
+
+
+@query("op7_simhash_near_duplicates")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's SimHash of four-word shingles and its component at 4 bits."""
+    found = simhash.near_duplicates(load(spark, folder, "documents"), width=4, bits=4, seed=42)
+    return found.select("doc_id", "fingerprint", "component_id")
