@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearback.llm import mixing, simhash
+from hearback.llm import mixing, secrets, simhash
 from hearback.llm.common import workspace
 from hearback.llm.queries import MIX
 
@@ -14,6 +14,11 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.keep_first(docs, width=4, bits=4, seed=42)
 
 
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, its strong and linked secrets masked."""
+    return secrets.mask_secrets(docs)
+
+
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's budget takes them, columns as they came."""
     return mixing.mix_sources(docs, MIX).select(*docs.columns)
@@ -21,6 +26,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("SimHash near-dedup", near_dedup_stage),
+    ("secret scans", secrets_stage),
     ("mixing sources to target weights", mix_stage),
 ]
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, simhash
+from . import mixing, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,3 +103,9 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's SimHash of four-word shingles and its component at 4 bits."""
     found = simhash.near_duplicates(load(spark, folder, "documents"), width=4, bits=4, seed=42)
     return found.select("doc_id", "fingerprint", "component_id")
+
+
+@query("op10_secret_scan")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Strong and linked secrets of every document."""
+    return secrets.report(secrets.find_secrets(load(spark, folder, "documents")))
