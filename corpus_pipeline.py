@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearback.llm import mixing, secrets, simhash
+from hearback.llm import mixing, secrets, simhash, toxicity
 from hearback.llm.common import workspace
 from hearback.llm.queries import MIX
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose restored text scores below 0.5."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    return toxicity.add_score(docs, model, "__score").filter("__score < 0.5").select(*docs.columns)
+
+
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group whose SimHash fingerprints are linked at 4 bits."""
     return simhash.keep_first(docs, width=4, bits=4, seed=42)
@@ -25,6 +32,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", toxicity_stage),
     ("SimHash near-dedup", near_dedup_stage),
     ("secret scans", secrets_stage),
     ("mixing sources to target weights", mix_stage),
