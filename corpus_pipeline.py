@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
-from hearback.llm import mixing, secrets, simhash, toxicity
+from hearback.llm import mixing, pieces, secrets, simhash, toxicity
 from hearback.llm.common import workspace
-from hearback.llm.queries import MIX
+from hearback.llm.queries import MIX, vocabulary
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,11 +33,18 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs, MIX).select(*docs.columns)
 
 
+def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every text instead of the text."""
+    model = Path(vocabulary("piece_bpe_32k.model")).read_bytes()
+    return pieces.encode(docs, model, "bpe").select("doc_id", "lang", "source", "n_tokens", "ids")
+
+
 STAGES = [
     ("toxicity", toxicity_stage),
     ("SimHash near-dedup", near_dedup_stage),
     ("secret scans", secrets_stage),
     ("mixing sources to target weights", mix_stage),
+    ("SentencePiece encoding", encode_stage),
 ]
 
 ORACLE_SQL = None

@@ -87,6 +87,14 @@ def code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, starts
 
 
+def free_mark(texts: pa.Array) -> str:
+    """A character that none of the texts holds."""
+    for code in (0xFFFF, 0xFFFE, *range(0x10FFFF, 0x10FF00, -1)):
+        if not pc.any(pc.match_substring(texts, chr(code))).as_py():
+            return chr(code)
+    raise ValueError("every mark occurs in the texts")
+
+
 def gather_runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions start, start + 1, ... of every run, one run after the other."""
     total = int(lengths.sum())
@@ -106,10 +114,10 @@ def sum_runs(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 class Distinct:
     """Codes for each distinct string, found once and kept up to a number of strings.
 
-    ``encode(list of new strings)`` returns a list of integer arrays.
+    ``encode(list of new strings)`` returns each one's codes as the bytes of 32-bit integers.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], keep: int = 300_000):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], keep: int = 300_000):
         self.encode, self.keep, self.known = encode, keep, {}
 
     def __call__(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -120,11 +128,8 @@ class Distinct:
             known = self.known = {s: known[s] for s in strings if s in known}
         known.update(zip(new, self.encode(new)))
         found = [known[s] for s in strings]
-        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        flat = np.fromiter((x for f in found for x in f), dtype=np.int32, count=int(lengths.sum()))
-        if len(known) > self.keep:
-            self.known = {}
-        return flat, lengths
+        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        return np.frombuffer(b"".join(found), dtype="<i4"), lengths
 
 
 def unit_ids(units: pa.Array, starts: np.ndarray, codes: Distinct) -> tuple[np.ndarray, np.ndarray]:

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, secrets, simhash, toxicity
+from . import mixing, pieces, secrets, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +29,13 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 # Recipe of the mix: the domain of a source, and whole-number weights per level.
 DOMAINS = {
     "web": ["src0", "src1", "src2", "src3", "src4"],
@@ -122,3 +130,11 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query("op2_sentencepiece")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's piece ids, and whether they decode to the text."""
+    model = Path(vocabulary("piece_bpe_32k.model")).read_bytes()
+    docs = load(spark, folder, "documents").select("doc_id", "text")
+    return pieces.encode(docs, model, "bpe", check=True).select("doc_id", "n_tokens", "ids", "round_trip")
