@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pieces, secrets, simhash, toxicity
+from . import fingerprints, mixing, pieces, secrets, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -138,3 +138,9 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     model = Path(vocabulary("piece_bpe_32k.model")).read_bytes()
     docs = load(spark, folder, "documents").select("doc_id", "text")
     return pieces.encode(docs, model, "bpe", check=True).select("doc_id", "n_tokens", "ids", "round_trip")
+
+
+@query("op5_order_minhash")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's fingerprint, its edited text's, and their likeness."""
+    return fingerprints.with_successors(load(spark, folder, "documents"))
