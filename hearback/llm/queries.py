@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, mixing, pieces, secrets, simhash, toxicity
+from . import chat, fingerprints, mixing, pieces, secrets, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -144,3 +144,23 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's fingerprint, its edited text's, and their likeness."""
     return fingerprints.with_successors(load(spark, folder, "documents"))
+
+
+OP4_SQL = f"""
+WITH rows AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+convs AS (
+  SELECT conv_id, list(coalesce('+' || role, '-') || chr(1) || coalesce('+' || text, '-') ORDER BY turn, role, text) AS turns,
+    string_agg('{chat.OPEN}' || coalesce(role, 'unknown') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS text
+  FROM rows GROUP BY conv_id),
+inner_prefixes AS (
+  SELECT DISTINCT md5(turns[1:n]::VARCHAR) AS prefix FROM (SELECT turns, unnest(range(1, len(turns))) AS n FROM convs)),
+alone AS (SELECT min(conv_id) AS conv_id FROM convs GROUP BY turns)
+SELECT conv_id, 0 AS part, len(turns)::BIGINT AS n_turns, text
+FROM convs JOIN alone USING (conv_id) WHERE md5(turns::VARCHAR) NOT IN (SELECT prefix FROM inner_prefixes)
+"""
+
+
+@query("op4_chat_formatting", OP4_SQL)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """The conversations that are no snapshot of a longer one, rendered."""
+    return chat.render(load(spark, folder, "conversations"))
