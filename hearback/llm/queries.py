@@ -8,7 +8,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, mixing, pieces, secrets, simhash, toxicity
+from . import chat, fingerprints, mixing, pieces, secrets, simhash, toxicity, wavelet
+from .common import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -164,3 +165,11 @@ FROM convs JOIN alone USING (conv_id) WHERE md5(turns::VARCHAR) NOT IN (SELECT p
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     """The conversations that are no snapshot of a longer one, rendered."""
     return chat.render(load(spark, folder, "conversations"))
+
+
+@query("op6_wavelet_token_files")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's place and digest in the token files written for the whole table."""
+    tokenizer = Path(vocabulary("byte_bpe_50k.json")).read_text()
+    files = wavelet.store(load(spark, folder, "documents"), workspace(spark), tokenizer, planes=16)
+    return wavelet.read_documents(files)
