@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, mixing, pieces, secrets, simhash, toxicity, wavelet
+from . import chat, fingerprints, mixing, pieces, secrets, simhash, topk, toxicity, wavelet
 from .common import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,3 +173,22 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = Path(vocabulary("byte_bpe_50k.json")).read_text()
     files = wavelet.store(load(spark, folder, "documents"), workspace(spark), tokenizer, planes=16)
     return wavelet.read_documents(files)
+
+
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op8_exact_top_k", OP8_SQL)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 vectors of highest integer product with every twentieth vector."""
+    return topk.top_k(load(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
