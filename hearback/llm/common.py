@@ -64,12 +64,12 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int = 12 << 20
         yield batch.slice(start)
 
 
-def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema, column: str = "text") -> DataFrame:
+def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema, column: str = "text", limit: int = 12 << 20) -> DataFrame:
     """Apply ``make()(slice)`` to bounded slices; ``make`` runs once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for piece in sliced(batches, column):
+        for piece in sliced(batches, column, limit):
             made = work(piece)
             if made is not None and made.num_rows:
                 yield made

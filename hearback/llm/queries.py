@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, mixing, pieces, secrets, simhash, topk, toxicity, wavelet
+from . import chat, fingerprints, language, mixing, pieces, secrets, simhash, topk, toxicity, wavelet
 from .common import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -192,3 +192,13 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 vectors of highest integer product with every twentieth vector."""
     return topk.top_k(load(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+@query("op3_language_id")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from the documents that are not held out."""
+    docs = load(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+    filters = language.learn(docs.filter(~held_out).select("text", "lang"))
+    found = language.predict(docs.select("doc_id", "text"), filters)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
