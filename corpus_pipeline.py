@@ -5,6 +5,7 @@ from __future__ import annotations
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hearback.llm import mixing, pieces, secrets, simhash, toxicity
 from hearback.llm.common import workspace
@@ -30,7 +31,9 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's budget takes them, columns as they came."""
-    return mixing.mix_sources(docs, MIX).select(*docs.columns)
+    held = {c: f"__kept_{c}" for c in mixing.ADDED if c in docs.columns}
+    mixed = mixing.mix_sources(docs.withColumnsRenamed(held), MIX)
+    return mixed.select(*(F.col(held.get(c, c)).alias(c) for c in docs.columns))
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -61,6 +61,9 @@ def ngrams(texts: pa.Array, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray
     keep = is_letter.copy()
     keep[1:] |= is_letter[:-1] & (owner[1:] == owner[:-1])
     codes, owner = codes[keep], owner[keep]
+    last = np.r_[owner[1:] != owner[:-1], True] if len(owner) else np.zeros(0, dtype=bool)
+    inner = ~(last & (codes == 0))  # a gap at a text's end is its end
+    codes, owner = codes[inner], owner[inner]
     sizes = np.bincount(owner, minlength=len(texts)) if len(owner) else np.zeros(len(texts), dtype=np.int64)
     sizes = np.where(sizes > 0, sizes + 2, 0)
     begins = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
