@@ -38,8 +38,10 @@ from .common import ship, sliced, text_array
 
 CELLS = 1 << 20
 FIT_ROWS = 20_000
-CANDIDATES = 20_000
+CANDIDATES = 100_000
 KEEP = 300_000
+HELD = 300_000  # counts a task holds before it passes them on
+SLICE = 4 << 20
 PREFIXES = (3, 4, 5, 6, 7)
 TIMES = (1, 2, 3)
 
@@ -231,13 +233,13 @@ def features(word: str) -> list[str]:
 class Reader:
     """Restored words of texts; each distinct token is restored once and kept for a while."""
 
-    def __init__(self, model: CharModel, value):
-        self.model, self.value, self.known = model, value, {}
+    def __init__(self, model: CharModel, value, keep: int = KEEP):
+        self.model, self.value, self.keep, self.known = model, value, keep, {}
 
     def _of(self, token: str):
         found = self.known.get(token)
         if found is None:
-            if len(self.known) > KEEP:
+            if len(self.known) > self.keep:
                 self.known.clear()
             words = restore(token, self.model) if " " not in token else viterbi(lattice(token), self.model)
             found = self.known[token] = self.value(words)
@@ -293,50 +295,66 @@ def learn(docs: DataFrame, labels: DataFrame, characters: CharModel, rows: int =
     sample = F.broadcast(draw(1, rows // 2).union(draw(0, rows // 2)))  # at most ``rows`` rows
     drawn = docs.select("doc_id", "text").join(sample, "doc_id").select("text", "toxic").distinct()
     sent = spark.sparkContext.broadcast(characters)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(sent.value, lambda words: [f for w in words for f in features(w)])
-        found: dict[int, Counter] = {0: Counter(), 1: Counter()}
-        for batch in sliced(batches, "text"):
-            toxic = batch.column("toxic").to_pylist()
-            for own, label in zip(_text_features(reader, text_array(batch.column("text"))), toxic):
-                found[label].update(own)
-                found[label]["", 0] += 1
-        names = list(found[0].keys() | found[1].keys())
-        columns = [pa.array([n[0] for n in names], pa.string()), pa.array([n[1] for n in names], pa.int32())]
-        columns += [pa.array([found[k][n] for n in names], pa.int64()) for k in (0, 1)]
-        yield pa.RecordBatch.from_arrays(columns, ["feature", "times", "clean", "toxic"])
-
     ship(spark)
-    drawn = drawn.repartition(spark.sparkContext.defaultParallelism)
-    counts = drawn.mapInArrow(count, "feature string, times int, clean bigint, toxic bigint").groupBy("feature", "times").agg(
-        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
-    )
-    total = counts.filter("feature = ''").first()
-    if total is None or not total["clean"] or not total["toxic"]:
-        return Model(characters, {}, 0.0)
-    odds = sizes[1] / total["toxic"] / (sizes[0] / total["clean"])  # undo the even draw of classes
-    # the lower end of the Wilson interval (one deviation) of the share of toxic rows
-    n, share = F.col("toxic") + F.col("clean"), F.col("toxic") / (F.col("toxic") + F.col("clean"))
-    low = (share + 0.5 / n - F.sqrt(share * (1 - share) / n + 0.25 / (n * n))) / (1 + 1 / n)
-    chance = F.lit(odds) * low / (F.lit(odds) * low + 1 - low)
+
+    def counts(part: DataFrame, wanted=None) -> DataFrame:
+        """(feature, times, n): texts that hold each feature; all features, or those of a broadcast set."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            keep = wanted.value if wanted else None
+            reader = Reader(sent.value, lambda words: [f for w in words for f in features(w) if keep is None or f in keep], KEEP // 6)
+            found: Counter = Counter()
+
+            def flush() -> pa.RecordBatch:
+                names = list(found)
+                columns = [
+                    pa.array([n for n, _ in names], pa.string()), pa.array([k for _, k in names], pa.int32()),
+                    pa.array(list(found.values()), pa.int64()),
+                ]
+                found.clear()
+                return pa.RecordBatch.from_arrays(columns, ["feature", "times", "n"])
+
+            for batch in sliced(batches, "text", SLICE):
+                for own in _text_features(reader, text_array(batch.column("text"))):
+                    found.update(own)
+                    found["", 0] += 1
+                    if len(found) > HELD:
+                        yield flush()
+            yield flush()
+
+        spread = part.repartition(spark.sparkContext.defaultParallelism)
+        made = spread.mapInArrow(run, "feature string, times int, n bigint")
+        return made.groupBy("feature", "times").agg(F.sum("n").alias("n"))
+
+    # features of enough toxic texts first; clean texts are searched for these only
     least = 5
-    ranked = counts.filter((F.col("toxic") >= least) & (chance >= 0.5) & (F.col("feature") != ""))
-    ranked = ranked.select("feature", "times", "toxic", chance.alias("chance")).orderBy(F.desc("toxic"), "feature", "times")
-    candidates = {(r["feature"], r["times"]): r["chance"] for r in ranked.limit(CANDIDATES).collect()}
+    toxic = counts(drawn.filter("toxic = 1").select("text")).filter((F.col("n") >= least) | (F.col("times") == 0))
+    toxic = toxic.orderBy(F.col("times") > 0, F.desc("n"), "feature", "times").limit(CANDIDATES).collect()
+    toxic = {(r["feature"], r["times"]): r["n"] for r in toxic}
+    wanted = spark.sparkContext.broadcast({name for name, _ in toxic})
+    clean = counts(drawn.filter("toxic = 0").select("text"), wanted).collect()  # at most 3 rows for each candidate
+    clean = {(r["feature"], r["times"]): r["n"] for r in clean}
+    n_toxic, n_clean = toxic.pop(("", 0), 0), clean.pop(("", 0), 0)
+    if not n_toxic or not n_clean:
+        return Model(characters, {}, 0.0)
+    odds = sizes[1] / n_toxic / (sizes[0] / n_clean)  # undo the even draw of classes
+    chances = {f: _chance(n, clean.get(f, 0), odds) for f, n in toxic.items()}
+    candidates = {f: c for f, c in chances.items() if c >= 0.5}
     wanted = spark.sparkContext.broadcast({name for name, _ in candidates})
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = wanted.value
         reader = Reader(sent.value, lambda words: [f for w in words for f in features(w) if f in keep])
-        for batch in sliced(batches, "text"):
-            for own in _text_features(reader, text_array(batch.column("text"))):
-                names = sorted(own)
-                columns = [pa.array([[n for n, _ in names]], pa.list_(pa.string())), pa.array([[k for _, k in names]], pa.list_(pa.int32()))]
-                yield pa.RecordBatch.from_arrays(columns, ["features", "times"])
+        for batch in sliced(batches, "text", SLICE):
+            found = [sorted(own) for own in _text_features(reader, text_array(batch.column("text")))]
+            columns = [
+                pa.array([[n for n, _ in names] for names in found], pa.list_(pa.string())),
+                pa.array([[k for _, k in names] for names in found], pa.list_(pa.int32())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["features", "times"])
 
     rows_of = defaultdict(set)
-    held = drawn.filter("toxic = 1").mapInArrow(hold, "features array<string>, times array<int>").collect()  # at most rows / 2
+    held = drawn.filter("toxic = 1").select("text").mapInArrow(hold, "features array<string>, times array<int>").collect()  # at most rows / 2
     for i, row in enumerate(held):
         for name in zip(row["features"], row["times"]):
             if name in candidates:
@@ -351,8 +369,16 @@ def learn(docs: DataFrame, labels: DataFrame, characters: CharModel, rows: int =
         chosen[best] = candidates[best]
         heap = {f: left for f, r in heap.items() if len(left := r - covered) >= least}
     explained = set().union(*(rows_of[f] for f in chosen)) if chosen else set()
-    missed = (total["toxic"] - len(explained) + 0.5) * odds
-    return Model(characters, chosen, missed / (missed + total["clean"] + 1.0))
+    missed = (n_toxic - len(explained) + 0.5) * odds
+    return Model(characters, chosen, missed / (missed + n_clean + 1.0))
+
+
+def _chance(toxic: int, clean: int, odds: float) -> float:
+    """Chance that a text with a feature is toxic, from the lower end of the Wilson interval (one deviation)."""
+    n = toxic + clean
+    share = toxic / n
+    low = (share + 0.5 / n - math.sqrt(share * (1 - share) / n + 0.25 / (n * n))) / (1 + 1 / n)
+    return odds * low / (odds * low + 1 - low)
 
 
 def add_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
