@@ -113,6 +113,10 @@ def longest_first(names: Column) -> Column:
     return F.transform(F.array_sort(ranked), lambda s: s["n"])
 
 
+# Letters outside ASCII that match an ASCII letter when case is ignored.
+FOLDS = "[\u0131\u0130\u0307\u017F\u212A]"
+
+
 def mask_each(text: Column, names: Column, tail: str = "", flags: str = "(?iu)") -> Column:
     """Replace every whole-word occurrence of every name of the array."""
 
@@ -120,7 +124,16 @@ def mask_each(text: Column, names: Column, tail: str = "", flags: str = "(?iu)")
         literal = F.replace(n, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
         return F.regexp_replace(t, F.concat(F.lit(flags + START + "\\Q"), literal, F.lit("\\E" + tail + END)), F.lit(MASK))
 
-    return F.when(F.coalesce(F.size(names), F.lit(0)) > 0, F.aggregate(names, text, replace_one)).otherwise(text)
+    def replace_found(low: Column) -> Column:
+        # a pattern is only built for names the text holds; other letters fold to i, k and s as well
+        if "i" in flags:
+            maybe = lambda n: F.contains(low, F.lower(n)) | ~n.rlike(r"^\p{ASCII}+\z") | low.rlike(FOLDS)
+        else:
+            maybe = lambda n: F.contains(low, n)
+        return F.aggregate(F.filter(names, maybe), text, replace_one)
+
+    low = F.lower(text) if "i" in flags else text
+    return F.when(F.coalesce(F.size(names), F.lit(0)) > 0, let(low, replace_found)).otherwise(text)
 
 
 def mask_greeting(c: Column, stop: Iterable[str] = ()) -> Column:

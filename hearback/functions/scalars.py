@@ -80,7 +80,7 @@ def audience_code(c: Column | str) -> Column:
 
 
 def is_digits(c: Column | str) -> Column:
-    return F.coalesce(col(c).rlike(r"^[0-9]+$"), F.lit(False))
+    return F.coalesce(col(c).rlike(r"^[0-9]+\z"), F.lit(False))
 
 
 def email_domain(addr: Column | str) -> Column:
@@ -197,7 +197,7 @@ def initiative_of(*texts: Column | str, rules: list[tuple[str, str]] = INITIATIV
 
 
 def answer_type(is_choice: Column, score_type: Column, text: Column) -> Column:
-    only_digits = text_or_empty(text).rlike(r"^[ 0-9.]*$")
+    only_digits = text_or_empty(text).rlike(r"^[ 0-9.]*\z")
     return (
         F.when(is_choice, "choice").when(score_type.isNotNull() & only_digits, "score").otherwise("text")
     )

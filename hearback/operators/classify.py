@@ -75,8 +75,7 @@ def classify(
     is_mapped = F.col("_mapped").isNotNull()
     both = F.zip_with("_text_hits", "_theme_hits", lambda a, b: a + b)
     found = hit_areas(both, areas)
-    return scanned.withColumns(
-        {
+    results = {
             "area": F.when(is_mapped, F.col("_mapped.area"))
             .when(by_theme, best_area(F.col("_theme_hits"), areas))
             .when(by_text, best_area(F.col("_text_hits"), areas))
@@ -91,5 +90,10 @@ def classify(
             .when(by_text, "text_rule")
             .when(by_context, "question_rule")
             .otherwise("none"),
-        }
-    ).drop("_text_hits", "_theme_hits", "_context_hits", "_mapped", "_label", "_has_text")
+    }
+    # through a generator, below which no filter on the results is pushed: one scan of each text
+    once = F.inline(F.array(F.struct(*[value.alias(f"_{name}") for name, value in results.items()])))
+    spare = ["_text_hits", "_theme_hits", "_context_hits", "_label", "_has_text"]
+    kept = [c for c in scanned.columns if c not in (*spare, "_mapped", *results)]
+    made = scanned.select(*kept, once)
+    return made.withColumnsRenamed({f"_{name}": name for name in results})

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import is_digits
-from .skew import HOT_ROWS, spread_join
+from .skew import HOT_ROWS, hottest, spread_join
 
 
 def identity_map(
@@ -34,7 +34,7 @@ def identity_map(
     # every use below asks for all columns, so that Spark counts the pairs once and reuses the exchange
     pairs = stage(pairs) if stage else pairs.filter("_first IS NOT NULL")
     per_key = primary_ids(pairs, key, uid).filter("primary_id IS NOT NULL")
-    hot = per_key.filter(F.col("n_ids") >= hot_rows).select(key)
+    hot = hottest(per_key.select(key, F.col("n_ids").alias("_n")), [key], hot_rows)
     return (
         spread_join(pairs, per_key, [key], "inner", spread_by=[uid], hot=hot)
         .withColumn("is_primary", F.col(uid) == F.col("primary_id"))
@@ -68,15 +68,6 @@ def backfill_user_id(
     return joined.withColumn(uid, filled).drop("primary_id")
 
 
-def first_known(value: str, seq: Column) -> Column:
-    """Earliest non-null value in processing order."""
-    return F.min_by(value, F.when(F.col(value).isNotNull(), seq))
-
-
-def last_known(value: str, seq: Column) -> Column:
-    return F.max_by(value, F.when(F.col(value).isNotNull(), seq))
-
-
 def roll_up(
     items: DataFrame,
     key: str,
@@ -86,26 +77,33 @@ def roll_up(
     first: dict[str, str],
     last: dict[str, str],
 ) -> DataFrame:
-    """One row per person. Two levels: first per (person, source), so that a person
-    with very many items is combined map-side, then per person over a few sources."""
-    order = F.struct(*seq)
+    """One row per person. The items are first counted per (person, source, values of
+    ``first`` and ``last``) in a hash aggregate over numbers only (``seq`` becomes one number), so
+    that a person with very many items is combined map-side and nothing is sorted. The few
+    rows that are left per person give the values."""
+    order = F.lit(0).cast("decimal(38,0)")
+    for part in seq:
+        order = (order * F.lit(1 << 32).cast("decimal(10,0)") + F.col(part).cast("decimal(19,0)")).cast("decimal(38,0)")
+    values = sorted({*first.values(), *last.values()})
     partial = (
         items.filter(F.col(key).isNotNull())
-        .groupBy(key, source)
+        .withColumn("_order", order)
+        .groupBy(key, source, *values)
         .agg(
-            F.count("*").alias("_n"),
-            F.min(at).alias("_lo"),
-            F.max(at).alias("_hi"),
-            *[F.min(F.when(F.col(c).isNotNull(), F.struct(order.alias("s"), F.col(c).alias("v")))).alias(f"_f_{o}") for o, c in first.items()],
-            *[F.max(F.when(F.col(c).isNotNull(), F.struct(order.alias("s"), F.col(c).alias("v")))).alias(f"_l_{o}") for o, c in last.items()],
+            F.count("*").alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi"),
+            F.min("_order").alias("_first"), F.max("_order").alias("_last"),
         )
-    )
+    )
+
+    def known(value: str, place: str) -> Column:
+        return F.collect_list(F.when(F.col(value).isNotNull(), F.struct(F.col(place).alias("s"), F.col(value).alias("v"))))
+
     return partial.groupBy(key).agg(
         F.array_sort(F.collect_set(source)).alias("sources"),
-        F.count("*").cast("int").alias("n_sources"),
+        F.count_distinct(source).cast("int").alias("n_sources"),
         F.sum("_n").alias("evidence_items"),
         F.min("_lo").alias("first_seen"),
         F.max("_hi").alias("last_seen"),
-        *[F.min(f"_f_{o}")["v"].alias(o) for o in first],
-        *[F.max(f"_l_{o}")["v"].alias(o) for o in last],
+        *[F.array_min(known(c, "_first"))["v"].alias(o) for o, c in first.items()],
+        *[F.array_max(known(c, "_last"))["v"].alias(o) for o, c in last.items()],
     )

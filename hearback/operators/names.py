@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.masks import CAP_TOKEN, END, NOT_FIRST_NAMES, START
 from ..functions.scalars import SPACE_CLASS, strip, text_or_empty
-from .skew import HOT_ROWS, spread_join
+from .skew import HOT_ROWS, hottest, spread_join
 
 # A lookahead finds overlapping pairs: in "Hello Jane Doe" also "Jane Doe".
 PAIRS = START + r"(?=(" + CAP_TOKEN + r"[ \t]+" + CAP_TOKEN + ")" + END + ")"
@@ -86,7 +86,7 @@ def known_names(
         wanted = stage(wanted) if stage else wanted
         counts = wanted.groupBy(*on).agg(F.count("*").alias("_n"))
         known = counts.filter("_n > 0").join(registry, on, "left_semi").select(*on)
-        hot = counts.filter(F.col("_n") >= hot_rows).select(*on)
+        hot = hottest(counts, on, hot_rows)
         hits = spread_join(wanted, known, on, "left_semi", spread_by=keys, hot=hot)
     return hits.groupBy(*keys).agg(
         F.array_sort(F.collect_set(F.when(F.col("kind") == "full", F.col("raw")))).alias("known_pairs"),

@@ -67,8 +67,8 @@ def reconcile(files: DataFrame, read: DataFrame, loaded: DataFrame, rejected: Da
 
 
 def all_ok(reconciliation: DataFrame) -> bool:
-    """Gate: true when every file reconciles (one row comes to the driver)."""
-    return bool(reconciliation.agg(F.coalesce(F.bool_and("ok"), F.lit(True)).alias("ok")).first()["ok"])
+    """Gate: true when there are files and every one reconciles (one row comes to the driver)."""
+    return bool(reconciliation.agg(F.coalesce(F.bool_and("ok"), F.lit(False)).alias("ok")).first()["ok"])
 
 
 def volumes(reconciliation: DataFrame) -> DataFrame:

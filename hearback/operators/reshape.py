@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import SPACE_CLASS, strip, text_or_empty
+from ..functions.scalars import strip, text_or_empty
 
 # Panel header shape: section, quoted question, field.
 PANEL_HEADER = (
@@ -133,10 +133,6 @@ def chosen_values(cells: Column, options: Column) -> Column:
     )
 
 
-def collapse(c: Column) -> Column:
-    return strip(F.regexp_replace(c, SPACE_CLASS + "+", " "))
-
-
 def match_headers(columns: DataFrame, patterns: list[tuple[str, str]], key: str = "source_file") -> DataFrame:
     """Bind headers to fields by ordered patterns: per file ``fields`` (field → position)
     and ``unmapped`` headers.

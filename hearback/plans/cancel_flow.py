@@ -58,11 +58,12 @@ NUMBERS = {
     "winbacks": "winbacks",
 }
 DATES = {"first_purchase_at": "First Purchase Date", "last_active_at": "lastActiveDate"}
+TIMES = ["Cancel date", "startTime"]
 MASKED = {"reason_other": "reasonOther", "details": "details", "competitor": "competitor"}
 
 COLS = Columns(
     *NAME_COLUMNS, *EMAIL_COLUMNS, *TEXT_COLUMNS, *ID_COLUMNS, *PLAIN.values(), *NUMBERS.values(), *DATES.values(),
-    "Customer Audience", "Cancel date", "startTime",
+    "Customer Audience", *TIMES,
 )
 
 
@@ -73,7 +74,8 @@ def actions(header: Column) -> Column:
         .when(c.isin(EMAIL_COLUMNS), "email")
         .when(c.isin(HASHED_COLUMNS), "id")
         .when(c.isin(TEXT_COLUMNS), "text")
-        .otherwise(""),
+        .when(c.isin([*ID_COLUMNS, *NUMBERS.values(), *DATES.values(), *TIMES]), "")
+        .otherwise("contact"),
     )
 
 

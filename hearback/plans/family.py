@@ -17,8 +17,17 @@ from ..operators.skew import HOT_ROWS, spread_join
 from ..session import Inline, Workspace
 from ..settings import Settings
 
-# A record's place in processing order, as one number: file, then row.
+# A record's place in processing order, as one number: file (28 bits), then row (35 bits).
 SEQ = "seq"
+ROW_BITS, FILE_BITS = 35, 28
+
+
+def sequence(file_no: Column | str = "file_no", row_number: Column | str = "row_number") -> Column:
+    """The place as one number; a file or row beyond its bits fails the run."""
+    file_no, row_number = (F.col(c) if isinstance(c, str) else c for c in (file_no, row_number))
+    fits = (file_no >= 0) & (file_no < 1 << FILE_BITS) & (row_number >= 0) & (row_number < 1 << ROW_BITS)
+    error = F.raise_error(F.lit("more files or rows than a processing order holds")).cast("long")
+    return F.when(fits, F.shiftleft(file_no, ROW_BITS) + row_number).otherwise(error)
 
 
 @dataclass
@@ -41,7 +50,7 @@ class Run:
 
     def rows(self, source: str) -> DataFrame:
         rows = self.raw.filter((F.col("source") == source) & (F.col("row_number") > 0))
-        return rows.withColumn(SEQ, F.shiftleft("file_no", 40) + F.col("row_number")).drop("source", "file_no")
+        return rows.withColumn(SEQ, sequence()).drop("source", "file_no")
 
     def heads(self, source: str) -> DataFrame:
         return self.headers.filter(F.col("source") == source).drop("source")
@@ -145,7 +154,7 @@ def mask_cells(df: DataFrame, run: Run, mail: bool) -> DataFrame:
     action = F.col("actions")
 
     def first_step(c: Column, i: Column) -> Column:
-        a = F.get(action, i)
+        a = F.coalesce(F.get(action, i), F.lit("contact"))  # a cell beyond the header
         return (
             F.when(c == "", c)
             .when(a.isin(FREE_TEXT), masks.scrub(c, F.col("own_names"), F.col("known_pairs"), stop))
@@ -240,11 +249,12 @@ def rejects(shaped: DataFrame, source: str) -> DataFrame:
 
 
 def mirror(shaped: DataFrame, source: str) -> DataFrame:
-    """Masked copy of every record: ordered cells with column name and label row."""
+    """Masked copy of every record: ordered cells with column name and label row. Cells
+    beyond the header have no column name."""
     label = F.when(F.col("header_rows") > 1, F.col("labels"))
     cells = F.transform(
-        "header",
-        lambda n, i: F.struct(n.alias("column"), F.get(label, i).alias("label"), F.get(F.col("masked"), i).alias("value")),
+        "masked",
+        lambda v, i: F.struct(F.get("header", i).alias("column"), F.get(label, i).alias("label"), v.alias("value")),
     )
     return shaped.select("period", F.lit(source).alias("source"), "source_file", "row_number", cells.alias("cells"))
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +15,7 @@ from ..session import BROADCAST_BYTES, Workspace
 from ..settings import Settings
 from ..sources import exports, listing, published
 from . import cancel_flow, interviews, panel, refunds, reports, surveys, tickets
-from .evidence import build_evidence
+from .evidence import build_evidence, union_all
 from .family import SEQ, Output, Run, mirror, rejects
 
 # Export families; a family module has build(run) and, when its records name
@@ -56,10 +55,6 @@ class Result:
     registry: DataFrame | None = None
 
 
-def union_all(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
-
-
 def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows per table."""
     return union_all(
@@ -89,7 +84,8 @@ def build_families(run: Run, files: DataFrame, root: str) -> dict[str, Output]:
     present = {r["source"] for r in run.headers.select("source").distinct().collect()}
     outputs = {s: FAMILIES[s].build(run) for s in sorted(present)}
     documents = files.filter("source = 'documents'")
-    outputs["documents"] = reports.build(run, exports.scan_text(documents, root))
+    texts = run.work.stage(exports.scan_text(documents, root), "texts")  # read once
+    outputs["documents"] = reports.build(run, texts)
     return outputs
 
 
@@ -252,6 +248,9 @@ def report(
         "theme_methods": evidence.groupBy("theme_method").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "theme_method"),
         "alerts": work.stage(alerts, "alerts"),
         "schema_snapshot": snapshot,
+        "reconciliation_failures": reconciliation.filter("NOT ok").select(
+            "source", "period", "file", "rows_read", "rows_loaded", "rows_rejected"
+        ),
     }
 
 

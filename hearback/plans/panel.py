@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import initiative_of, none_if_empty, parse_dt, short_hash, sorted_json, to_float
 from ..operators.reshape import cell_at, header_parts, residual
 from .evidence import feedback
-from .family import SEQ, Columns, Output, Run, file_stem, loaded, shape, surrogate_id
+from .family import SEQ, Columns, Output, Run, file_stem, loaded, shape, surrogate_id, unshadowed
 
 SOURCE = "lyssna"
 
@@ -38,7 +38,7 @@ def layout(heads: DataFrame) -> DataFrame:
         "header_rows",
         F.transform("header", lambda c: F.when(c.isin(PARTICIPANT), "").otherwise("text")).alias("actions"),
         COLS.positions(F.col("header")).alias("pos"),
-        F.transform("header", lambda c: F.when(c.isin(PARTICIPANT), c)).alias("named"),
+        F.transform(unshadowed(F.col("header")), lambda c: F.when(c.isin(PARTICIPANT), c)).alias("named"),
         F.filter(described, lambda d: ~d["column"].isin(PARTICIPANT)).alias("questions"),
         study_name().alias("study_name"),
         F.concat(F.lit("lys_"), short_hash("period", study_name())).alias("study_id"),

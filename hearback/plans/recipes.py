@@ -183,7 +183,7 @@ def panel_answers(answers: DataFrame, studies: DataFrame, study_like: str, quest
     said = said.select("study_id", "response_id", "column_index", "answer")
     return spread_join(
         said, wanted, ["study_id"], "inner", spread_by=["response_id", "column_index"], hot_rows=hot_rows
-    ).select("answer")
+    ).select("study_id", "response_id", "column_index", "answer")
 
 
 def original_record(rows: DataFrame, mirror: DataFrame) -> DataFrame:

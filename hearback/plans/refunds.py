@@ -54,10 +54,11 @@ def layout(heads: DataFrame) -> DataFrame:
     matched = match_headers(heads.select("source_file", "header"), PATTERNS)
     fields = F.col("fields")
     free = [*TEXTS, "notes_sent_email"]
+    plain = [f for _, f in PATTERNS if f not in free]  # keys, dates, numbers and codes
 
     def action(i: Column) -> Column:
         field = F.get(F.map_keys(F.map_filter(fields, lambda k, v: v == i)), F.lit(0))
-        return F.when(field == "email", "email").when(field.isin(free), "text").otherwise("")
+        return F.when(field == "email", "email").when(field.isin(free), "text").when(field.isin(plain), "").otherwise("contact")
 
     return heads.join(matched, "source_file").select(
         "source_file",

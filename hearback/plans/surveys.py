@@ -13,12 +13,13 @@ from ..functions.scalars import (
     parse_dt,
     slug,
     sorted_json,
+    squash_spaces,
     strip,
     text_or_empty,
     to_float,
 )
 from ..operators.names import name_tokens
-from ..operators.reshape import cell_at, chosen_labels, chosen_values, collapse, pad, question_layout, residual
+from ..operators.reshape import cell_at, chosen_labels, chosen_values, pad, question_layout, residual
 from .evidence import feedback
 from .family import SEQ, Columns, Output, Run, bind, file_name, file_stem, loaded, shape, surrogate_id, unparsed_dates
 
@@ -59,13 +60,12 @@ def layout(heads: DataFrame) -> DataFrame:
     attribute = F.transform(
         "header", lambda c, i: F.when(c.startswith("Attribute_"), F.get(F.col("labels"), i))
     )
-    last = F.size("header")
     labelled = F.array_compact("attribute_labels")
     placed = usable.withColumn("attribute_labels", attribute)
 
-    def attribute_position(name: str) -> Column:
-        from_end = F.array_position(F.reverse("attribute_labels"), name).cast("int")
-        return F.when(from_end > 0, last - from_end)
+    def attribute_positions(name: str) -> Column:
+        places = F.transform("attribute_labels", lambda label, i: F.when(label == name, i))
+        return F.reverse(F.array_compact(places))
 
     bound = placed.select(
         "source_file",
@@ -76,13 +76,17 @@ def layout(heads: DataFrame) -> DataFrame:
         COLS.positions(F.col("header")).alias("pos"),
         "attribute_labels",
         (F.size(F.array_distinct(labelled)) < F.size(labelled)).alias("labels_repeat"),
-        F.array(*[attribute_position(a) for a in ATTRIBUTES]).alias("attribute_pos"),
+        F.array(*[attribute_positions(a) for a in ATTRIBUTES]).alias("attribute_pos"),
     )
     return bound.join(question_layout(usable), "source_file", "left")
 
 
 def attribute(name: str, cells: str = "masked") -> Column:
-    return cell_at(F.col(cells), F.get(F.col("attribute_pos"), F.lit(ATTRIBUTES.index(name))))
+    """The last filled cell of all columns with this label."""
+    places = F.get(F.col("attribute_pos"), F.lit(ATTRIBUTES.index(name)))
+    last = cell_at(F.col(cells), F.get(places, F.lit(0)))
+    filled = F.filter(F.transform(places, lambda p: cell_at(F.col(cells), p)), lambda v: v != "")
+    return F.when(F.size(places) < 2, last).otherwise(F.coalesce(F.get(filled, F.lit(0)), F.lit("")))
 
 
 def either(*cells: Column) -> Column:
@@ -156,7 +160,7 @@ def answers(responded: DataFrame) -> DataFrame:
     parts = asked.withColumns(
         {
             "question": none_if_empty(
-                collapse(F.coalesce(none_if_empty(cell_at(cells, q["text"])), q["label"], F.lit("")))
+                squash_spaces(F.coalesce(none_if_empty(cell_at(cells, q["text"])), q["label"], F.lit("")))
             ),
             "response": cell_at(cells, q["response"]),
             "response_other": cell_at(cells, q["other"]),

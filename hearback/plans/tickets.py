@@ -13,7 +13,7 @@ SOURCE = "freshdesk"
 
 # Column names of the export.
 REQUIRED = ["Date", "Ticket ID", "User", "Segmentation", "Feedback"]
-ACTIONS = {"User": "sender", "Segmentation": "subject", "Feedback": "mail"}
+ACTIONS = {"Date": "", "Ticket ID": "", "User": "sender", "Segmentation": "subject", "Feedback": "mail"}
 
 COLS = Columns(*REQUIRED)
 
@@ -42,7 +42,7 @@ def sender_type(
 
 
 def layout(heads: DataFrame) -> DataFrame:
-    action = F.lit("")
+    action = F.lit("contact")
     return heads.select(
         "source_file",
         "header",

@@ -601,7 +601,7 @@ def study_catalog(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "answers_of_studies",
     """
-SELECT s.source, count(*) AS n, min(left(a.text, 40)) AS first_answer
+SELECT s.source, count(*) AS n, min(a.text) AS first_answer, min(md5(a.text)) AS first_md5
 FROM conversations a JOIN documents s ON s.doc_id = a.conv_id
 WHERE s.lang = 'en' AND a.role = 'assistant' AND a.text ILIKE '%the%' GROUP BY 1
 """,
@@ -616,13 +616,13 @@ def answers_of_studies(spark: SparkSession, sf: str) -> DataFrame:
         F.col("turn").alias("column_index"),
         F.when(F.col("role") == "assistant", "Answer").otherwise(F.col("role")).alias("field"),
         F.col("text").alias("question"),
-        F.concat_ws("\t", F.col("conv_id").cast("string"), F.left("text", F.lit(40))).alias("answer"),
+        F.col("text").alias("answer"),
     )
-    said = recipes.panel_answers(answers, studies, "en src", "the").select(F.split("answer", "\t").alias("a"))
-    named = said.join(
-        load(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), "source"), F.col("a")[0] == F.col("id")
+    said = recipes.panel_answers(answers, studies, "en src", "the")
+    named = said.join(load(spark, sf, "documents").select(F.col("doc_id").alias("study_id"), "source"), "study_id")
+    return named.groupBy("source").agg(
+        F.count("*").alias("n"), F.min("answer").alias("first_answer"), F.min(F.md5("answer")).alias("first_md5")
     )
-    return named.groupBy("source").agg(F.count("*").alias("n"), F.min(F.col("a")[1]).alias("first_answer"))
 
 
 @query(

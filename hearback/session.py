@@ -60,6 +60,9 @@ class Workspace:
         """A side table written and measured: broadcast when it is small, joined by
         shuffle when it is not."""
         table = self.stage(df, name)
+        written = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        if written * 32 <= BROADCAST_BYTES:  # so few bytes in files need no measuring
+            return F.broadcast(table)
         size = table.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
         return F.broadcast(table) if size <= BROADCAST_BYTES else table
 

@@ -115,12 +115,15 @@ def scan_text(files: DataFrame, root: str) -> DataFrame:
 
 
 def _spread(files: DataFrame) -> DataFrame:
-    """One task per so many bytes of files, but at least one per core or file."""
-    wanted = files.select("period", "source", "source_file", "file_no")
-    total = files.agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).first()
+    """Files in their order, cut into tasks of about ``TASK_BYTES`` (less where that would leave
+    cores idle): a task ends where the running sum of sizes passes the next multiple."""
+    first = F.min("bytes_before")
+    total = files.agg(F.count("*").alias("n"), first.alias("first"), F.sum("size").alias("bytes")).first()
     cores = files.sparkSession.sparkContext.defaultParallelism
-    tasks = min(max(cores, (total["bytes"] or 0) // TASK_BYTES), max(1, total["n"]))
-    return wanted.repartitionByRange(tasks, "file_no")
+    share = max(1, min(TASK_BYTES, -(-(total["bytes"] or 0) // cores)))
+    tasks = max(1, -(-(total["bytes"] or 0) // share))
+    task = F.least(F.floor((F.col("bytes_before") - (total["first"] or 0)) / share), F.lit(tasks - 1)).cast("int")
+    return files.select("period", "source", "source_file", "file_no", task.alias("task")).repartitionById(tasks, "task")
 
 
 def headers_of(raw: DataFrame) -> DataFrame:

@@ -15,22 +15,35 @@ DOCUMENT_EXTENSIONS = [".docx", ".pdf", ".md", ".txt"]
 FILE_SCHEMA = "source_file string, size long"
 
 
+# Schemes of Spark's connectors and what Arrow calls them.
+SCHEMES = {
+    "s3a": "s3", "s3n": "s3", "s3": "s3", "gs": "gs", "gcs": "gs", "hdfs": "hdfs", "viewfs": "viewfs",
+    "abfs": "abfss", "abfss": "abfss", "file": "file",
+}
+
+
 def filesystem(root: str) -> tuple[pafs.FileSystem, str]:
-    """File system and base path of a folder: local path, or any URI Arrow knows."""
-    if "://" in root:
-        return pafs.FileSystem.from_uri(root)
-    return pafs.LocalFileSystem(), root
+    """File system and base path of a folder: a local path, or a URI as Spark writes it."""
+    scheme, colon, rest = root.partition(":")
+    if not colon or "/" in scheme:
+        return pafs.LocalFileSystem(), root
+    if scheme not in SCHEMES:
+        raise ValueError(f"no file system for the scheme of {root}")
+    if scheme == "file":
+        return pafs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return pafs.FileSystem.from_uri(f"{SCHEMES[scheme]}:{rest}")
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """Relative path and size of every file below ``root``.
 
     Only names are listed here, no content. Spark's own file sources would leave
-    out names that begin with an underscore and read brackets as patterns.
+    out names that begin with an underscore and read brackets as patterns. A folder that
+    does not exist raises: an empty run must not replace what was published.
     """
     files, base = filesystem(root)
     base = base.rstrip("/")
-    found = files.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True))
+    found = files.get_file_info(pafs.FileSelector(base, recursive=True))
     rows = [(f.path[len(base) :].lstrip("/"), f.size) for f in found if f.type == pafs.FileType.File]
     return spark.createDataFrame(rows, FILE_SCHEMA)
 
@@ -68,6 +81,26 @@ def with_origin(files: DataFrame, settings: Settings) -> DataFrame:
             ),
         )
     )
-    # one partition, but of file names only
-    order = W.orderBy("period", F.col("source").asc_nulls_last(), F.split("source_file", "/"))
-    return handled.withColumn("file_no", F.row_number().over(order).cast("long"))
+    # numbered within each period and source; the few groups' totals are added up and joined
+    group = ["period", "source"]
+    order = W.partitionBy(*group).orderBy(F.split("source_file", "/"))
+    size = F.col("size") if "size" in files.columns else F.lit(0).cast("long")
+    placed = handled.withColumns(
+        {"_no": F.row_number().over(order), "_bytes": F.sum(size).over(order.rowsBetween(W.unboundedPreceding, 0)) - size}
+    )
+    totals = handled.groupBy(*group).agg(F.count("*").alias("_n"), F.sum(size).alias("_sum"))
+    ahead = W.orderBy("period", F.col("source").asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
+    totals = totals.select(
+        F.col("period").alias("_period"),
+        F.col("source").alias("_source"),
+        F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_files_ahead"),
+        F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_bytes_ahead"),
+    )
+    same = (F.col("period") == F.col("_period")) & F.col("source").eqNullSafe(F.col("_source"))
+    numbered = placed.join(totals, same).withColumns(
+        {
+            "file_no": (F.col("_files_ahead") + F.col("_no")).cast("long"),
+            "bytes_before": F.col("_bytes_ahead") + F.col("_bytes"),
+        }
+    )
+    return numbered.drop("_no", "_bytes", "_period", "_source", "_files_ahead", "_bytes_ahead")

@@ -26,6 +26,7 @@ MANIFEST = {
     "theme_methods": "theme_method string, n long",
     "alerts": "alert string",
     "schema_snapshot": "source string, column string",
+    "reconciliation_failures": "source string, period string, file string, rows_read long, rows_loaded long, rows_rejected long",
 }
 
 
