@@ -81,6 +81,12 @@ def unmapped_columns(heads: DataFrame) -> DataFrame:
     )
 
 
+def feedback_texts(records: DataFrame) -> DataFrame:
+    """Records with ``text``: their labelled answers, null without any."""
+    said = F.concat_ws(" | ", *[F.concat(F.lit(f"{label}: "), F.col(f)) for f, label in LABELS.items()])
+    return records.withColumn("text", none_if_empty(said))
+
+
 def build(run: Run) -> Output:
     requested = COLS.raw("requested_at")
     shaped = shape(
@@ -107,9 +113,8 @@ def build(run: Run) -> Output:
         "row_number",
         SEQ,
     )
-    said = F.concat_ws(" | ", *[F.concat(F.lit(f"{label}: "), F.col(f)) for f, label in LABELS.items()])
     items = feedback(
-        records,
+        feedback_texts(records),
         source=F.lit(SOURCE),
         record_id=F.col("request_id"),
         period=F.col("period"),
@@ -117,7 +122,7 @@ def build(run: Run) -> Output:
         user_key=F.col("user_key"),
         instrument=F.lit("Money-Back Guarantee form"),
         question=F.lit("Why do you want to cancel?"),
-        text=none_if_empty(said),
+        text=F.col("text"),
         category=F.col("why_cancel"),
         score=F.col("amount_usd"),
         score_type=F.lit("refund_amount_usd"),

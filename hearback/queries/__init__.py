@@ -1,2 +1,2 @@
-from . import families, tables, text  # noqa: F401
+from . import families, operators, tables, text  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

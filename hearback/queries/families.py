@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars
-from ..functions.masks import SIGN_OFFS
 from ..plans import cancel_flow, interviews, panel, refunds, reports, surveys, tickets
 from ..plans.family import Run, rejects
 from ..session import Inline, load, widen
@@ -29,25 +28,27 @@ def as_export(
     source: str,
     file: Column,
     number: Column,
-    cells: dict[str, Column],
+    cells: dict[str, Column] | list[tuple[str, Column]],
     labels: list[str] | None = None,
+    surplus: list[Column] | None = None,
 ) -> Run:
-    """A run whose raw records are ``cells`` of ``rows``; rows with the same ``file``
-    (a few values whose first letters or numbers differ) make up one export file.
+    """A run whose raw records are ``cells`` of ``rows`` (pairs where a name repeats); rows
+    with the same ``file`` (a few values whose first letters or numbers differ) make up one
+    export file. ``surplus`` are cells beyond the header.
 
     The test tables are single row groups, so the records are spread over the cores;
     a real run reads them from the many files of its work folder.
     """
-    name = file.cast("string")
+    name, cells = file.cast("string"), list(cells.items()) if isinstance(cells, dict) else cells
     raw = widen(rows, number).select(
         F.lit("2026-07").alias("period"),
         F.lit(source).alias("source"),
         F.concat(F.lit("2026-07/Export/"), name, F.lit(".csv")).alias("source_file"),
         F.coalesce(name.try_cast("long"), F.ascii(name)).cast("long").alias("file_no"),
         (number + 1).cast("long").alias("row_number"),
-        F.array(*[F.coalesce(c.cast("string"), F.lit("")) for c in cells.values()]).alias("cells"),
+        F.array(*[F.coalesce(c.cast("string"), F.lit("")) for c in [*(c for _, c in cells), *(surplus or [])]]).alias("cells"),
     )
-    names = list(cells)
+    names = [n for n, _ in cells]
     heads = raw.select("period", "source", "source_file").distinct()
     heads = heads.withColumns(
         {
@@ -158,12 +159,16 @@ def survey_run(spark: SparkSession, sf: str) -> Run:
         ("Q3_Response_Other", "", F.when(key % 6 == 0, "mail zoe@mail.com")),
         ("Q3_Choice_1", "Phone", F.when(key % 2 == 0, "1").otherwise("0")),
         ("Q3_Choice_2", "Tablet", F.when(key % 3 == 0, "my pad").otherwise("false")),
+        # labels repeat: the last filled cell counts
+        ("Attribute_0", "email", F.lit("old@mail.com")),
         ("Attribute_1", "email", text("c", customer, "@mail.com")),
         ("Attribute_2", "firstName", F.lit("Zoe")),
         ("Attribute_3", "isStaff", F.when(customer % 50 == 7, "True")),
+        ("Attribute_4", "email", F.lit("")),
+        ("Attribute_5", "isStaff", F.lit("")),
     ]
     return as_export(
-        spark, orders, "sprig", F.col("o_orderstatus"), key, {name: cell for name, _, cell in columns}, [label for _, label, _ in columns]
+        spark, orders, "sprig", F.col("o_orderstatus"), key, [(name, cell) for name, _, cell in columns], [label for _, label, _ in columns]
     )
 
 
@@ -340,9 +345,7 @@ def refund_records(spark: SparkSession, sf: str) -> DataFrame:
         "Title and author": text("Book ", F.col("o_orderkey")),
     }
     built = refunds.build(as_export(spark, orders, "mbg", F.col("o_orderstatus"), F.col("o_orderkey"), cells))
-    said = built.items.select(F.col("record_id").alias("request_id"), "text", "seq")
-    records = built.tables["refunds"]
-    return records.join(said, ["request_id", "seq"]).select(
+    return refunds.feedback_texts(built.tables["refunds"]).select(
         "request_id", "requested_at", "user_key", "amount_usd", "notes_sent_email", "text"
     )
 
@@ -428,8 +431,13 @@ def interview_records(spark: SparkSession, sf: str) -> DataFrame:
 
 # Names after a greeting and after a sign-off on the line before.
 GREETED_SQL = r"\b(Hi|Hello|Hey|Dear|Hiya)(,?[ \t]+)[A-Z][a-z]+(?:[ \t]+[A-Z][a-z]+)?\b"
+# Written out here so that an error in the code's own list shows.
+SIGN_OFFS_SQL = (
+    "Thanks|Thank you|Thank You|Best|Regards|Best regards|Kind regards|Warm regards|Sincerely|Cheers"
+    "|Warmly|Respectfully|Thanks again|Many thanks"
+)
 SIGNED_SQL = (
-    rf"\b({SIGN_OFFS})([,!.]?[ \t]*\r?\n+[ \t]*[-—]?[ \t]*)"
+    rf"\b({SIGN_OFFS_SQL})([,!.]?[ \t]*\r?\n+[ \t]*[-—]?[ \t]*)"
     r"[A-Z][a-z]+[a-zA-Z''\-]*(?:[ \t]+[A-Z][a-zA-Z''\-]+)?"
 )
 

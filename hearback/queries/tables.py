@@ -60,18 +60,20 @@ def reject_reasons(spark: SparkSession, sf: str) -> DataFrame:
     "reconcile",
     f"""
 WITH {REASONS_SQL}
-SELECT source, count(*) AS rows_read, count(*) FILTER (WHERE reason IS NULL) AS rows_loaded,
-       count(*) FILTER (WHERE reason IS NOT NULL) AS rows_rejected, true AS ok
+SELECT source, count(*) AS rows_read, count(*) FILTER (WHERE reason IS NULL AND NOT (source = 'src3' AND doc_id % 2 = 1)) AS rows_loaded,
+       count(*) FILTER (WHERE reason IS NOT NULL) AS rows_rejected,
+       count(*) FILTER (WHERE reason IS NULL AND source = 'src3' AND doc_id % 2 = 1) = 0 AS ok
 FROM reasoned GROUP BY source
 """,
 )
 def reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    """One source loses loaded rows on the way, which the counts must show."""
     docs = load(spark, sf, "documents")
     split = reasoned(spark, sf)
     return records.reconcile(
         docs.select("source").distinct(),
         docs,
-        split.filter("excluded_reason IS NULL"),
+        split.filter("excluded_reason IS NULL AND NOT (source = 'src3' AND doc_id % 2 = 1)"),
         split.filter("excluded_reason IS NOT NULL"),
         ["source"],
     )

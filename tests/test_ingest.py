@@ -7,9 +7,11 @@ from types import SimpleNamespace
 
 import pytest
 from fixtures import CANCEL_1, CANCEL_HEADER, PMF_CASES, SALT, write_csv, write_exports, write_taxonomy
+from pyspark.sql import functions as F
 
 from hearback.operators import records
-from hearback.plans import recipes, tickets
+from hearback.plans import cancel_flow, recipes, tickets
+from hearback.plans.family import sequence
 from hearback.plans.ingest import ingest, leak_check
 from hearback.session import Workspace
 from hearback.settings import Settings, load_taxonomy
@@ -237,6 +239,59 @@ def test_gate_publishes_nothing(spark, place, settings, taxonomy, monkeypatch):
     assert not (place / "out3").exists()
 
 
+def test_a_missing_or_empty_folder_leaves_what_was_published(spark, place, settings, taxonomy):
+    out, work = str(place / "out5"), str(place / "work")
+    assert ingest(spark, small(place, "raw5", [CANCEL_HEADER]), out, settings, taxonomy, work).published
+    with pytest.raises(FileNotFoundError):
+        ingest(spark, str(place / "nowhere"), out, settings, taxonomy, work)
+    (place / "hollow" / "2026-07").mkdir(parents=True)
+    (place / "hollow" / "2026-07" / "notes.xlsx").write_bytes(b"zip")
+    result = ingest(spark, str(place / "hollow"), out, settings, taxonomy, work)
+    assert not result.ok and not result.published
+    assert published.read_table(spark, out, "cancellations").count() == 3
+
+
+def test_a_file_that_does_not_reconcile_publishes_nothing(spark, place, settings, taxonomy, monkeypatch):
+    out, work = str(place / "out6"), str(place / "work")
+    root = small(place, "raw6", [CANCEL_HEADER])
+    assert ingest(spark, root, out, settings, taxonomy, work).published
+    keep = cancel_flow.loaded
+    monkeypatch.setattr(cancel_flow, "loaded", lambda shaped: keep(shaped).filter("record_id <> 's2'"))
+    result = ingest(spark, root, out, settings, taxonomy, work)
+    assert not result.ok and not result.published
+    failed = result.manifest["reconciliation_failures"].collect()
+    assert [(r["file"], r["rows_read"], r["rows_loaded"], r["rows_rejected"]) for r in failed] == [("2026-07/Chargebee/a.csv", 3, 2, 0)]
+    assert published.read_table(spark, out, "cancellations").count() == 3
+
+
+def test_file_systems_by_scheme(tmp_path):
+    from hearback.sources.listing import filesystem
+
+    assert filesystem(str(tmp_path))[1] == str(tmp_path)
+    assert filesystem(f"file://{tmp_path}")[1] == filesystem(f"file:{tmp_path}")[1] == str(tmp_path)
+    with pytest.raises(ValueError):
+        filesystem("dbfs:/mnt/raw")
+
+
+def test_places_beyond_their_bits_fail(spark):
+    df = spark.createDataFrame([(1 << 28, 1)], "file_no long, row_number long")
+    with pytest.raises(Exception, match="processing order"):
+        df.select(sequence().alias("s")).collect()
+    df = spark.createDataFrame([((1 << 28) - 1, (1 << 35) - 1), (3, 0)], "file_no long, row_number long")
+    assert [r["s"] for r in df.select(sequence().alias("s")).collect()] == [(1 << 63) - 1, 3 << 35]
+
+
+def test_tasks_follow_bytes(spark, monkeypatch):
+    from hearback.sources import exports
+
+    monkeypatch.setattr(exports, "TASK_BYTES", 100)
+    sizes = [90, 5, 5, 300, 10, 90]
+    rows_ = [("2026-07", "mbg", f"f{i}", i, s, sum(sizes[:i])) for i, s in enumerate(sizes)]
+    files = spark.createDataFrame(rows_, "period string, source string, source_file string, file_no long, size long, bytes_before long")
+    got = exports._spread(files).select("source_file", F.spark_partition_id().alias("p")).collect()
+    assert {r["source_file"]: r["p"] for r in got} == {"f0": 0, "f1": 0, "f2": 0, "f3": 1, "f4": 4, "f5": 4}
+
+
 def test_reports_only(spark, place, settings, taxonomy):
     (place / "raw4" / "2026-07").mkdir(parents=True)
     (place / "raw4" / "2026-07" / "notes.txt").write_text("call 555-123-4567", encoding="utf-8")

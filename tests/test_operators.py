@@ -30,6 +30,27 @@ def test_spread_join_equals_a_plain_join(spark):
         assert rows(got, *cols) == rows(left.join(right, "k", how), *cols)
 
 
+def test_salts_follow_the_count_and_null_keys_spread(spark):
+    data = [(i, "hot" if i < 900 else None if i < 1800 else "cold") for i in range(2000)]
+    left = spark.createDataFrame(data, "i int, k string")
+    right = spark.createDataFrame([("hot", 1), ("cold", 2), (None, 3)], "k string, v int")
+    hot = skew.hot_keys(left, ["k"], 100)
+    assert rows(hot, "k", "_n") == [("cold", 200), ("hot", 900)]
+    for how in ("inner", "left", "left_semi"):
+        got = skew.spread_join(left, right, ["k"], how, spread_by=["i"], hot_rows=100)
+        cols = ["i", "k"] if how == "left_semi" else ["i", "k", "v"]
+        assert rows(got, *cols) == rows(left.join(right, "k", how), *cols)
+
+
+def test_only_the_hottest_keys_are_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_KEYS", 2)
+    left = spark.createDataFrame([(f"k{i}",) for i in range(5) for _ in range(i + 1)], "k string")
+    assert rows(skew.hot_keys(left, ["k"], 1), "k", "_n") == [("k3", 4), ("k4", 5)]
+    right = spark.createDataFrame([(f"k{i}", i) for i in range(5)], "k string, v int")
+    got = skew.spread_join(left, right, ["k"], "inner", spread_by=["k"], hot_rows=1)
+    assert rows(got, "k", "v") == rows(left.join(right, "k"), "k", "v")
+
+
 def test_hot_keys_are_bounded(spark):
     left = spark.createDataFrame(skewed(), "i int, k string")
     assert rows(skew.hot_keys(left, ["k"], 50), "k") == [("hot",)]
@@ -157,3 +178,19 @@ def test_said_before_equals_the_pairwise_join(spark):
     o = outcomes.withColumnRenamed("at", "o_at")
     want = items.join(o, "k").filter("at < o_at").groupBy("g").agg(F.count_distinct("k").alias("people"))
     assert rows(got, "g", "people") == rows(want, "g", "people")
+
+
+def test_names_are_masked_as_without_the_guard(spark):
+    """The guard skips names a text does not hold; letters that fold to ASCII are no exception."""
+    from hearback.functions import masks
+
+    texts = ["ANN met Kurt", "Kurt", "an ınn and an İnn", "boſs Boss", "Straße STRASSE", "nobody", "", "éVA Éva", "a.b* x"]
+    found = ["Ann", "Kurt", "inn", "boss", "straße", "éva", "a.b*", "İnn"]
+    df = spark.createDataFrame([(t, found) for t in texts], "t string, names array<string>")
+    got = [r[0] for r in df.select(masks.mask_each(F.col("t"), F.col("names"))).collect()]
+    plain = F.col("t")
+    for name in found:
+        plain = F.regexp_replace(plain, "(?iu)" + masks.START + "\\Q" + name + "\\E" + masks.END, masks.MASK)
+    assert got == [r[0] for r in df.select(plain).collect()]
+    strict = df.select(masks.mask_each(F.col("t"), F.col("names"), flags="")).collect()
+    assert strict[0][0] == "ANN met [name]"
