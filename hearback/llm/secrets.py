@@ -50,14 +50,15 @@ _BREAK = r"\n[ \t\r]*\n"
 PARTS = rf"{_URL}|(?:{_ID}|{_POINT}|{_SECRET}){_SETS}{_VALUE}|{_BLOB}"
 
 
-def _positions(df: DataFrame, out: str, pattern: str, hint: str, group: int, least: int) -> DataFrame:
+def _positions(df: DataFrame, out: str, pattern: str, hint: Column, group: int, least: int) -> DataFrame:
     """Add ``out``: array of (start, end, text) of the matches whose group has ``least`` code points.
+    Only texts for which ``hint`` is true are searched.
 
     Running sums are taken within blocks of matches and over blocks, so that a text of many
     matches costs little more than its length.
     """
     text = F.col("__text")
-    here = lambda c: F.when(text.rlike(hint), c)
+    here = lambda c: F.when(hint, c)
     p = F.lit(pattern)
     df = df.withColumn("__found", here(F.regexp_extract_all(text, p, F.lit(0)))).withColumn(
         "__gaps", here(F.split(text, pattern, -1))
@@ -120,9 +121,9 @@ def scan(docs: DataFrame, work: Workspace) -> DataFrame:
     their role, and blank lines of texts that have weak parts."""
     df = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("__text"))
     for kind, pattern, group, least in BASE:
-        df = _positions(df, kind, pattern, HINTS[kind], group, least)
-    df = _positions(df, "parts", PARTS, PARTS, 0, 3)
-    df = _positions(df, "breaks", _BREAK, rf"(?s)^(?=.*?(?:{PARTS})).*?{_BREAK}", 0, 1)
+        df = _positions(df.withColumn("__hint", F.col("__text").rlike(HINTS[kind])), kind, pattern, F.col("__hint"), group, least)
+    df = _positions(df.withColumn("__hint", F.col("__text").rlike(PARTS)), "parts", PARTS, F.col("__hint"), 0, 3)
+    df = _positions(df, "breaks", _BREAK, F.size("parts") > 0, 0, 1)
     base = F.array_sort(F.concat(*(_bare(kind, kind) for kind, *_ in BASE)))
     dense = lambda m: m.rlike(r"[0-9]") & m.rlike(r"[A-Z]") & m.rlike(r"[a-z]")
     role = lambda m: (
