@@ -167,7 +167,7 @@ def ingest(
     manifest = report(spark, out, run, files, tables, outputs, taxonomy, ok)
     result = Result(ok, False, tables, manifest, run.registry)
     if ok and not dry_run:
-        publish(result, outputs, out)
+        publish(spark, result, outputs, out)
         result.published = True
     return result
 
@@ -254,14 +254,18 @@ def report(
     }
 
 
-def publish(result: Result, outputs: dict[str, Output], out: str) -> None:
+def publish(spark: SparkSession, result: Result, outputs: dict[str, Output], out: str) -> None:
+    """Write everything to the run's own folder, then make it the current one."""
+    run = published.new_run()
+    base = f"{out}/{run}"
     for name, df in result.tables.items():
-        published.publish_table(df, out, name)
+        published.publish_table(df, base, name)
     copies = [mirror(o.shaped, s) for s, o in outputs.items() if s != "documents"]
     if "documents" in outputs:
         copies.append(reports.mirror(outputs["documents"].shaped))
-    published.publish_mirror(union_all(copies), out)
-    published.write_manifest(result.manifest, out)
+    published.publish_mirror(union_all(copies), base)
+    published.write_manifest(result.manifest, base)
+    published.make_current(spark, out, run)
 
 
 def leak_check(

@@ -1,7 +1,15 @@
-"""Published tables, mirror and run state: writing and reading back."""
+"""Published tables, mirror and run state: writing and reading back.
+
+A run writes to a folder of its own, ``runs/<id>``, and is made the current one by a last
+small file in ``published``: readers see all of a run or all of the one before it. Folders of
+earlier runs stay until someone removes them.
+"""
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime, timezone
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +22,8 @@ MIRROR_SCHEMA = (
     "cells array<struct<column:string,label:string,value:string>>"
 )
 
+POINTER = "run string, published_at string"
+
 # Parts of the run report.
 MANIFEST = {
     "run": "run_at string, taxonomy_version string, taxonomy_hash string, months array<string>, "
@@ -39,25 +49,45 @@ def empty(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def publish_table(df: DataFrame, out: str, name: str) -> None:
-    """Overwrite a table in place, one folder per month where it has one."""
-    writer = conform(df, TABLES[name]).write.mode("overwrite")
+def new_run() -> str:
+    """Folder of a new run, below the output folder."""
+    return f"runs/{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+
+
+def make_current(spark: SparkSession, out: str, run: str) -> None:
+    at = datetime.now(timezone.utc).isoformat(timespec="microseconds")
+    spark.createDataFrame([(run, at)], POINTER).coalesce(1).write.mode("append").json(f"{out}/published")
+
+
+def current(spark: SparkSession, out: str) -> str:
+    """Folder of the current run; ``out`` itself where nothing was published."""
+    try:
+        last = spark.read.schema(POINTER).json(f"{out}/published").dropna().orderBy(F.desc("published_at")).first()
+    except AnalysisException:
+        last = None
+    return f"{out}/{last['run']}" if last else out
+
+
+def publish_table(df: DataFrame, base: str, name: str) -> None:
+    """Write a table of a run, one folder per month where it has one, in files of even size."""
+    df = conform(df, TABLES[name])
     if "period" in TABLES[name].names:
-        writer = writer.partitionBy("period")
-    writer.parquet(f"{out}/data/{name}")
+        df.hint("rebalance", "period").write.partitionBy("period").parquet(f"{base}/data/{name}")
+    else:
+        df.write.parquet(f"{base}/data/{name}")
 
 
-def publish_mirror(df: DataFrame, out: str) -> None:
-    df.write.mode("overwrite").partitionBy("period", "source").parquet(f"{out}/mirror")
+def publish_mirror(df: DataFrame, base: str) -> None:
+    df.hint("rebalance", "period", "source").write.partitionBy("period", "source").parquet(f"{base}/mirror")
 
 
 def read_table(spark: SparkSession, out: str, name: str) -> DataFrame:
     schema = TABLES[name]
-    return spark.read.schema(schema).parquet(f"{out}/data/{name}").select(*schema.names)
+    return spark.read.schema(schema).parquet(f"{current(spark, out)}/data/{name}").select(*schema.names)
 
 
 def read_mirror(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.schema(MIRROR_SCHEMA).parquet(f"{out}/mirror")
+    return spark.read.schema(MIRROR_SCHEMA).parquet(f"{current(spark, out)}/mirror")
 
 
 def register_views(spark: SparkSession, out: str) -> list[str]:
@@ -67,15 +97,16 @@ def register_views(spark: SparkSession, out: str) -> list[str]:
     return list(TABLES)
 
 
-def write_manifest(parts: dict[str, DataFrame], out: str) -> None:
+def write_manifest(parts: dict[str, DataFrame], base: str) -> None:
     for name, df in parts.items():
-        df.write.mode("overwrite").json(f"{out}/manifest/{name}")
+        df.write.json(f"{base}/manifest/{name}")
 
 
 def read_manifest(spark: SparkSession, out: str, name: str) -> DataFrame:
     """A part of the last run report; empty when there is none or it cannot be read."""
     try:
-        df = spark.read.schema(MANIFEST[name]).option("mode", "DROPMALFORMED").json(f"{out}/manifest/{name}")
+        path = f"{current(spark, out)}/manifest/{name}"
+        df = spark.read.schema(MANIFEST[name]).option("mode", "DROPMALFORMED").json(path)
         return df.dropna(how="all")
     except AnalysisException:
         return empty(spark, MANIFEST[name])

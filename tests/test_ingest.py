@@ -292,6 +292,17 @@ def test_tasks_follow_bytes(spark, monkeypatch):
     assert {r["source_file"]: r["p"] for r in got} == {"f0": 0, "f1": 0, "f2": 0, "f3": 1, "f4": 4, "f5": 4}
 
 
+def test_a_write_that_fails_leaves_the_last_run(spark, place, settings, taxonomy, monkeypatch):
+    out, work = str(place / "out7"), str(place / "work")
+    root = small(place, "raw7", [CANCEL_HEADER])
+    assert ingest(spark, root, out, settings, taxonomy, work).published
+    monkeypatch.setattr(published, "publish_mirror", lambda *a: 1 / 0)
+    write_csv(place / "raw7" / "2026-08" / "Chargebee" / "c.csv", [CANCEL_HEADER, ["x9"]])
+    with pytest.raises(ZeroDivisionError):
+        ingest(spark, root, out, settings, taxonomy, work)
+    assert published.read_table(spark, out, "cancellations").count() == 3
+
+
 def test_reports_only(spark, place, settings, taxonomy):
     (place / "raw4" / "2026-07").mkdir(parents=True)
     (place / "raw4" / "2026-07" / "notes.txt").write_text("call 555-123-4567", encoding="utf-8")
