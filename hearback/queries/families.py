@@ -19,7 +19,23 @@ from .registry import query
 from .text import masked_sql
 
 SALT = "test-salt-0123456789"
-SETTINGS = Settings(SALT, internal_domains=["ours.test"])
+# Configuration of the runs over the test tables.
+CONFIG = {
+    "sources": {
+        "chargebee": ["Chargebee Form", "Chargebee"],
+        "freshdesk": ["Freshdesk Tickets", "Freshdesk"],
+        "mbg": ["MBG Form", "MBG"],
+        "sprig": ["Surveys", "Sprig"],
+        "lyssna": ["Lyssna Tests", "Lyssna"],
+        "interviews": ["Interviews"],
+    },
+    "freshdesk": {
+        "exclude_internal_domains": ["ours.test"],
+        "exclude_automated_patterns": ["no-reply", "noreply", "mailer-daemon", "postmaster"],
+        "sender_types": {"payment_dispute": ["paypal.com", "stripe.com"], "marketplace": ["shop.example"]},
+    },
+}
+SETTINGS = Settings.from_config(CONFIG, SALT)
 
 
 def as_export(

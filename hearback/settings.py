@@ -1,5 +1,4 @@
-"""Job settings: folders, sender rules, taxonomy. All of it is input, nothing is built in
-but neutral defaults."""
+"""Job settings: folders, sender rules, taxonomy. All of it is input; what is not given is empty."""
 
 from __future__ import annotations
 
@@ -16,28 +15,6 @@ try:  # YAML is optional; JSON always works
 except ImportError:
     yaml = None
 
-# Export family per folder name.
-FOLDERS = {
-    "chargebee": ["Chargebee Form", "Chargebee"],
-    "freshdesk": ["Freshdesk Tickets", "Freshdesk"],
-    "mbg": ["MBG Form", "MBG"],
-    "sprig": ["Surveys", "Sprig"],
-    "lyssna": ["Lyssna Tests", "Lyssna"],
-    "interviews": ["Interviews"],
-}
-
-# Senders that are machines, and companies that write for customers.
-AUTOMATED_SENDERS = [
-    "no-reply", "noreply", "no_reply", "mailer-daemon", "postmaster", "@accounts.google.com", "@google.com",
-    "activecampaign.com", "airtableemail.com",
-]
-TYPED_DOMAINS = {
-    "payment_dispute": ["paypal.com", "braintreepayments.com", "stripe.com"],
-    "billing_advocate": ["rocketmoney.com", "truebill.com"],
-    "marketplace": ["teacherspayteachers.com"],
-}
-
-
 def read_config(path: str) -> dict:
     text = Path(path).read_text(encoding="utf-8")
     if path.lower().endswith(".json"):
@@ -49,12 +26,14 @@ def read_config(path: str) -> dict:
 
 @dataclass(frozen=True)
 class Settings:
+    """``folders``: folder names of each export family; files in other folders are not handled."""
+
     salt: str
-    folders: dict[str, list[str]] = field(default_factory=lambda: dict(FOLDERS))
+    folders: dict[str, list[str]] = field(default_factory=dict)
     month_pattern: str = r"^\d{4}-\d{2}$"
     internal_domains: list[str] = field(default_factory=list)
-    automated_patterns: list[str] = field(default_factory=lambda: list(AUTOMATED_SENDERS))
-    typed_domains: dict[str, list[str]] = field(default_factory=lambda: dict(TYPED_DOMAINS))
+    automated_patterns: list[str] = field(default_factory=list)
+    typed_domains: dict[str, list[str]] = field(default_factory=dict)
     exclude_staff: bool = True
     volume_alert_ratio: float = 0.5
     stop_words: list[str] = field(default_factory=list)  # further words that are no names

@@ -9,6 +9,22 @@ from pathlib import Path
 
 SALT = "a-test-salt-of-some-length"
 
+CONFIG = {
+    "sources": {
+        "chargebee": ["Chargebee Form", "Chargebee"],
+        "freshdesk": ["Freshdesk Tickets", "Freshdesk"],
+        "mbg": ["MBG Form", "MBG"],
+        "sprig": ["Surveys", "Sprig"],
+        "lyssna": ["Lyssna Tests", "Lyssna"],
+        "interviews": ["Interviews"],
+    },
+    "freshdesk": {
+        "exclude_internal_domains": ["ours.test"],
+        "exclude_automated_patterns": ["no-reply", "noreply", "mailer-daemon", "postmaster"],
+        "sender_types": {"payment_dispute": ["paypal.com", "stripe.com"], "marketplace": ["shop.example"]},
+    },
+}
+
 TAXONOMY = {
     "version": 3,
     "areas": [

@@ -6,7 +6,7 @@ import shutil
 from types import SimpleNamespace
 
 import pytest
-from fixtures import CANCEL_1, CANCEL_HEADER, PMF_CASES, SALT, write_csv, write_exports, write_taxonomy
+from fixtures import CANCEL_1, CANCEL_HEADER, CONFIG, PMF_CASES, SALT, write_csv, write_exports, write_taxonomy
 from pyspark.sql import functions as F
 
 from hearback.operators import records
@@ -25,7 +25,7 @@ def place(tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def settings():
-    return Settings(SALT, internal_domains=["ours.test"])
+    return Settings.from_config(CONFIG, SALT)
 
 
 @pytest.fixture(scope="module")

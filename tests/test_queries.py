@@ -8,6 +8,7 @@ import pytest
 from check_sql import compare, connect
 
 import __spark_entry__ as entry
+from hearback.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -19,7 +20,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, FOLDER)
     assert name in entry.oracle_sql(), "every query has a SQL twin"
