@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -64,10 +65,16 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int = 12 << 20
         yield batch.slice(start)
 
 
+def rare_collections() -> None:
+    """Collect garbage seldom: a worker's many remembered strings would be gone through each time."""
+    gc.set_threshold(200_000, 50, 100)
+
+
 def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema, column: str = "text", limit: int = 12 << 20) -> DataFrame:
     """Apply ``make()(slice)`` to bounded slices; ``make`` runs once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rare_collections()
         work = make()
         for piece in sliced(batches, column, limit):
             made = work(piece)
@@ -78,6 +85,11 @@ def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Re
     return df.mapInArrow(run, schema)
 
 
+def strings_of(texts: pa.Array) -> list[str]:
+    """Python strings, by way of an object array, which takes a fraction of ``to_pylist``."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 def code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All code points of the texts in one array, and where each text begins (one more at the end)."""
     values = texts.to_pylist()
@@ -112,24 +124,31 @@ def sum_runs(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 class Distinct:
-    """Codes for each distinct string, found once and kept up to a number of strings.
+    """Codes for each distinct string, found once and remembered for a while.
 
     ``encode(list of new strings)`` returns each one's codes as the bytes of 32-bit integers.
+    Two generations of at most ``keep`` / 2 strings (and one call's) are held: a full one
+    replaces the one before it, and strings that are asked for again move to the new one.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], keep: int = 300_000):
-        self.encode, self.keep, self.known = encode, keep, {}
-
-    def __call__(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of all strings one after the other, and the number of each string's codes."""
-        known = self.known
-        new = [s for s in strings if s not in known]
-        if len(known) + len(new) > self.keep:
-            known = self.known = {s: known[s] for s in strings if s in known}
-        known.update(zip(new, self.encode(new)))
-        found = [known[s] for s in strings]
-        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
-        return np.frombuffer(b"".join(found), dtype="<i4"), lengths
+        self.encode, self.keep, self.young, self.old = encode, keep, {}, {}
+
+    def __call__(self, strings: list[str]) -> list[bytes]:
+        """Codes of each of the strings, which must differ from one another."""
+        if len(self.young) > self.keep // 2:
+            self.old, self.young = self.young, {}
+        young = self.young
+        found = list(map(young.get, strings))
+        missing = [i for i, f in enumerate(found) if f is None]
+        if missing:
+            asked = [strings[i] for i in missing]
+            seen = list(map(self.old.get, asked))
+            new = [s for s, f in zip(asked, seen) if f is None]
+            made = iter(self.encode(new))
+            for i, s, f in zip(missing, asked, seen):
+                young[s] = found[i] = next(made) if f is None else f
+        return found
 
 
 def unit_ids(units: pa.Array, starts: np.ndarray, codes: Distinct) -> tuple[np.ndarray, np.ndarray]:
@@ -139,11 +158,12 @@ def unit_ids(units: pa.Array, starts: np.ndarray, codes: Distinct) -> tuple[np.n
     distinct part is encoded once; the rest is array work.
     """
     coded = units.dictionary_encode()
-    flat, lengths = codes(coded.dictionary.to_pylist())
-    first = np.cumsum(lengths) - lengths
-    which = coded.indices.to_numpy(zero_copy_only=False)
-    sizes = lengths[which]
-    ids = flat[gather_runs(first[which], sizes)]
-    ends = np.zeros(len(sizes) + 1, dtype=np.int64)
-    np.cumsum(sizes, out=ends[1:])
-    return ids, ends[starts]
+    data, ends = joined_codes(pa.array(codes(strings_of(coded.dictionary)), pa.large_binary()), coded.indices)
+    return np.frombuffer(data, dtype="<i4", count=int(ends[-1]) // 4), ends[starts] // 4
+
+
+def joined_codes(codes: pa.Array, which: pa.Array) -> tuple[pa.Buffer, np.ndarray]:
+    """Bytes of the codes that ``which`` numbers, one after the other, and where each begins."""
+    taken = codes.take(which)
+    data = taken.buffers()[2]
+    return data if data is not None else pa.py_buffer(b""), np.frombuffer(taken.buffers()[1], dtype=np.int64, count=len(taken) + 1)

@@ -21,6 +21,7 @@ shards. A document longer than a shard has a shard to itself. Other columns are
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from array import array
@@ -35,12 +36,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import Workspace
-from .common import Distinct, free_mark, ship, sliced, text_array, unit_ids
+from .common import Distinct, free_mark, joined_codes, rare_collections, ship, sliced, strings_of, text_array
 
 MARK = b"WAVEMTX1"
 SHARD = 2_000_000
 BLOCK = 1 << 16
 END_ID = 0
+SLICE = 4 << 20
+KEEP = 1_200_000  # parts a worker remembers
 
 
 class WaveletMatrix:
@@ -132,16 +135,15 @@ class WaveletMatrix:
         return place
 
     def tokens(self) -> np.ndarray:
-        """All ids in order."""
-        values = np.zeros(self.size, dtype=np.uint32)
-        place = np.arange(self.size, dtype=np.uint32)
-        for plane in range(self.planes):
-            bits = np.concatenate([self._unpack(plane, b) for b in range(self.blocks)]) if self.blocks else np.zeros(0, np.uint8)
-            ones = np.cumsum(bits, dtype=np.uint32)
-            # where each place of this plane stands in the next one
-            following = np.where(bits, self.zeros[plane] + ones - 1, np.arange(self.size, dtype=np.uint32) - ones)
-            values = values << 1 | bits[place]
-            place = following.astype(np.uint32)[place]
+        """All ids in order: from the last plane to the first, zeros and ones go back to their places."""
+        values = np.zeros(self.size, dtype=np.uint16 if self.planes <= 16 else np.uint32)
+        for plane in reversed(range(self.planes)):
+            parts = [self._unpack(plane, b) for b in range(self.blocks)]
+            bits = np.concatenate(parts).view(bool) if parts else np.zeros(0, dtype=bool)
+            line = np.empty_like(values)
+            line[~bits] = values[: self.zeros[plane]]
+            line[bits] = values[self.zeros[plane] :] | values.dtype.type(1 << (self.planes - 1 - plane))
+            values = line
         return values
 
 
@@ -160,9 +162,9 @@ def build(ids: np.ndarray, doc_ids: np.ndarray, ends: np.ndarray, planes: int, b
         bodies.append(data)
         at += len(data)
 
-    line = ids.astype(np.uint32)
+    line = ids.astype(np.uint16 if planes <= 16 else np.uint32)
     for plane in range(planes):
-        bits = (line >> np.uint32(planes - 1 - plane) & np.uint32(1)).astype(bool)
+        bits = (line & line.dtype.type(1 << (planes - 1 - plane))).astype(bool)
         packed = np.packbits(bits, bitorder="little")
         ones = 0
         for b in range(blocks):
@@ -178,30 +180,60 @@ class ByteEncoder:
 
     Texts are cut before single blanks, where byte-level BPE's own split ends a stretch as
     well; texts with a blank between other white space, or at their end after one, are not cut.
+    Distinct stretches are cut once more behind each run of letters and digits, where the split also
+    ends a stretch, since words come with many signs behind them.
     """
 
     LOOSE = r"[\s\p{Z}\x0b\x1c-\x1f\x85] [\s\p{Z}\x0b\x1c-\x1f\x85]|[\s\p{Z}\x0b\x1c-\x1f\x85] $"
 
     def __init__(self, tokenizer: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.special = sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.known = Distinct(self._encode)
+        self.parts = Distinct(self._encode, KEEP)
 
-    def _encode(self, stretches: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(stretches, add_special_tokens=False)
+    def _encode(self, parts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def _special(self, texts: pa.Array) -> pa.Array:
+        """Whether a text holds the string of a special token, across which nothing is cut."""
+        found = pa.array(np.zeros(len(texts), dtype=bool))
+        for special in self.special:
+            found = pc.or_(found, pc.match_substring(texts, special))
+        return found
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text's begin."""
-        whole = pc.match_substring_regex(texts, self.LOOSE)
-        for special in self.special:
-            whole = pc.or_(whole, pc.match_substring(texts, special))
         mark = free_mark(texts)
-        cut = pc.if_else(whole, texts, pc.replace_substring(texts, " ", f"{mark} "))
-        lists = pc.split_pattern(cut, mark)
-        return unit_ids(lists.flatten(), lists.offsets.to_numpy().astype(np.int64), self.known)
+        whole = pc.or_(pc.match_substring_regex(texts, self.LOOSE), self._special(texts))
+        lists = pc.split_pattern(pc.if_else(whole, texts, pc.replace_substring(texts, " ", f"{mark} ")), mark)
+        stretches = lists.flatten().dictionary_encode()
+        distinct = stretches.dictionary
+        cut = pc.replace_substring_regex(distinct, r"([\pL\pN])([^\pL\pN])", rf"\1{mark}\2")
+        parts = pc.split_pattern(pc.if_else(self._special(distinct), distinct, cut), mark)
+        coded = parts.flatten().dictionary_encode()
+        ids = pa.array(self.parts(strings_of(coded.dictionary)), pa.large_binary())
+        data, ends = joined_codes(ids, coded.indices)
+        ends = ends[parts.offsets.to_numpy()].astype(np.int64)
+        ids = pa.Array.from_buffers(pa.large_binary(), len(distinct), [None, pa.py_buffer(ends), data])
+        data, ends = joined_codes(ids, stretches.indices)
+        starts = ends[lists.offsets.to_numpy()] // 4
+        return np.frombuffer(data, dtype="<i4", count=int(ends[-1]) // 4), starts
+
+
+_loaded: dict[int, ByteEncoder] = {}
+
+
+def _encoder(tokenizer: str) -> ByteEncoder:
+    """One for each worker process: the stretches it remembers serve its later tasks."""
+    key = hash(tokenizer)
+    if key not in _loaded:
+        _loaded.clear()
+        _loaded[key] = ByteEncoder(tokenizer)
+    return _loaded[key]
 
 
 LOWEST = -(1 << 63)
@@ -210,16 +242,15 @@ LOWEST = -(1 << 63)
 def shards(docs: DataFrame, tokenizer: str, planes: int, end_id: int = END_ID, size: int = SHARD) -> DataFrame:
     """(part, no, n_tokens, n_docs, payload): files of consecutive documents; (part, no) is their order."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.withColumn("last", F.col("doc_id").isNull())
-    order = ["last", "doc_id", F.md5("text").alias("digest")]
-    docs = docs.select("doc_id", "text", "last", order[2])
-    docs = docs.repartitionByRange("last", "doc_id", "digest").sortWithinPartitions("last", "doc_id", "digest")
+    place = F.coalesce("doc_id", F.lit((1 << 63) - 1))  # the sample for the ranges reads no texts
+    docs = docs.repartitionByRange(place).sortWithinPartitions(place, F.col("doc_id").isNull(), F.md5("text"))
     docs = docs.select(F.spark_partition_id().alias("part"), "doc_id", "text")
     sent = docs.sparkSession.sparkContext.broadcast(tokenizer)
     names = ["part", "no", "n_tokens", "n_docs", "payload"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = ByteEncoder(sent.value)
+        rare_collections()
+        encode = _encoder(sent.value)
         held: list[tuple[int, np.ndarray]] = []
         part, no, weight = 0, 0, 0
 
@@ -235,7 +266,7 @@ def shards(docs: DataFrame, tokenizer: str, planes: int, end_id: int = END_ID, s
             kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names)
 
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", SLICE):
             part = batch.column("part")[0].as_py()
             ids, starts = encode(text_array(batch.column("text")))
             for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
