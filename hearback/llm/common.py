@@ -50,8 +50,10 @@ def text_array(column: pa.Array) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
-def sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int = 12 << 20) -> Iterator[pa.RecordBatch]:
-    """The same rows in pieces of about ``limit`` bytes of ``column``; a longer text comes alone."""
+def sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in pieces of about ``limit`` bytes of ``column``; a longer text comes alone.
+    What a piece's work has left unused in Arrow's memory pool goes back to the system."""
+    pool = pa.default_memory_pool()
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -60,9 +62,11 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int = 12 << 20
         for i, size in enumerate(sizes):
             if held and held + size > limit:
                 yield batch.slice(start, i - start)
+                pool.release_unused()
                 start, held = i, 0
             held += int(size)
         yield batch.slice(start)
+        pool.release_unused()
 
 
 def rare_collections() -> None:
@@ -70,7 +74,7 @@ def rare_collections() -> None:
     gc.set_threshold(200_000, 50, 100)
 
 
-def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema, column: str = "text", limit: int = 12 << 20) -> DataFrame:
+def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema, column: str = "text", limit: int = 4 << 20) -> DataFrame:
     """Apply ``make()(slice)`` to bounded slices; ``make`` runs once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

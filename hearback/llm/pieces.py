@@ -41,7 +41,8 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, Str
 from .common import Distinct, free_mark, map_arrow, text_array, unit_ids
 
 MARK = "▁"
-JOINTS = 2_000_000  # remembered pairs of a worker
+KEEP = 200_000  # words a task remembers
+JOINTS = 500_000  # remembered pairs of a worker
 
 
 class Pieces:
@@ -213,7 +214,7 @@ def encode(df: DataFrame, model: bytes, kind: str = "bpe", check: bool = False)
 
     def make():
         pieces = _pieces(sent.value, kind)
-        words = Distinct(pieces.encode_words)
+        words = Distinct(pieces.encode_words, KEEP)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = text_array(batch.column("text"))

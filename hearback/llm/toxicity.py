@@ -34,13 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import ship, sliced, text_array
+from .common import ship, sliced, strings_of, text_array
 
 CELLS = 1 << 20
 FIT_ROWS = 20_000
 CANDIDATES = 100_000
-KEEP = 300_000
-HELD = 300_000  # counts a task holds before it passes them on
+KEEP = 200_000
+HELD = 100_000  # counts a task holds before it passes them on
 SLICE = 4 << 20
 PREFIXES = (3, 4, 5, 6, 7)
 TIMES = (1, 2, 3)
@@ -109,10 +109,10 @@ def learn_characters(docs: DataFrame) -> CharModel:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tri, bi = np.zeros(CELLS), np.zeros(CELLS)
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", SLICE):
             words, _ = split_words(text_array(batch.column("text")))
             counted = words.value_counts()
-            distinct, times = counted.field("values").to_pylist(), counted.field("counts").to_numpy()
+            distinct, times = strings_of(counted.field("values")), counted.field("counts").to_numpy()
             plain = [i for i, w in enumerate(distinct) if w.isalpha()]
             if plain:
                 _count_trigrams([distinct[i] for i in plain], times[plain].astype(np.float64), tri, bi)
@@ -252,7 +252,7 @@ class Reader:
         coded = words.dictionary_encode()
         runs, owners = spelled(words, starts)
         return (
-            [self._of(t) for t in coded.dictionary.to_pylist()], coded.indices.to_numpy(zero_copy_only=False),
+            [self._of(t) for t in strings_of(coded.dictionary)], coded.indices.to_numpy(zero_copy_only=False),
             starts, [self._of(r) for r in runs], owners,
         )
 
@@ -302,7 +302,7 @@ def learn(docs: DataFrame, labels: DataFrame, characters: CharModel, rows: int =
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keep = wanted.value if wanted else None
-            reader = Reader(sent.value, lambda words: [f for w in words for f in features(w) if keep is None or f in keep], KEEP // 6)
+            reader = Reader(sent.value, lambda words: [f for w in words for f in features(w) if keep is None or f in keep], KEEP // 8)
             found: Counter = Counter()
 
             def flush() -> pa.RecordBatch:
@@ -391,7 +391,7 @@ def add_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
         learned = sent.value
         known = {f for f, _ in learned.chance}
         reader = Reader(learned.characters, lambda words: tuple(f for w in words for f in features(w) if f in known))
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", SLICE):
             clean = np.full(batch.num_rows, 1.0 - learned.base)
             for i, own in enumerate(_text_features(reader, text_array(batch.column("text")))):
                 best: dict[str, float] = {}
