@@ -7,11 +7,12 @@ weak candidate are exploded and linked.
 
 Linking: a part has a role (identifier, secret, endpoint) and is strong (found for sure) or
 weak. Parts are joined with the parts of their scope: same document, no blank line between,
-starts at most ``REACH`` code points apart. A weak secret is reported where a strong
+at most ``REACH`` code points from the end of one to the start of the next, however long the
+parts are. A weak secret is reported where a strong
 identifier stands in its scope, or a weak one and an endpoint; a weak identifier where a
 strong secret does, or a weak one and an endpoint; an endpoint where an identifier and a
-secret do. The interval join asks only whether such parts exist, so it is a range frame
-over the sorted parts and lists no pairs. A weak part that overlaps a strong one is dropped.
+secret do. The interval join asks only whether such parts exist, so it takes the latest end of those
+that start before a part and the earliest start of those after it, and lists no pairs. A weak part that overlaps a strong one is dropped.
 
 Defined cases: a null text counts as empty and has no spans; rows without doc_id and
 repeated rows are scanned like others; columns named like an output are replaced.
@@ -164,10 +165,17 @@ def link(scanned: DataFrame) -> DataFrame:
     rows = rows.withColumn("left", left).withColumn("right", right)
     clear = (F.coalesce("left", F.lit(-1)) <= F.col("start")) & (F.col("right").isNull() | (F.col("right") >= F.col("end")))
     rows = rows.filter(strong | clear)
-    near = Window.partitionBy(*key, "scope").orderBy("start").rangeBetween(-REACH, REACH)
-    has = lambda role, only=None: F.coalesce(
-        F.max((F.col("role") == role) & (strong if only else F.lit(True))).over(near), F.lit(False)
-    )
+    # both frames run from the partition's first row to the current one, which takes one pass
+    scope = Window.partitionBy(*key, "scope")
+    upto = lambda order: scope.orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    before, after = upto(F.asc("start")), upto(F.desc("start"))
+
+    def has(role: str, only: bool = False) -> Column:
+        of = (F.col("role") == role) & (strong if only else F.lit(True))
+        back = F.max(F.when(of, F.col("end"))).over(before) >= F.col("start") - REACH
+        ahead = F.min(F.when(of, F.col("start"))).over(after) <= F.col("end") + REACH
+        return F.coalesce(back, F.lit(False)) | F.coalesce(ahead, F.lit(False))
+
     rows = rows.withColumns(
         {"sure_id": has("id", True), "any_id": has("id"), "sure_secret": has("secret", True), "any_secret": has("secret"), "point": has("endpoint")}
     )

@@ -62,6 +62,21 @@ def test_weak_parts_need_their_counterparts(spark):
     assert linked == {0: ["secret"], 1: [], 2: [], 3: [], 4: [], 5: ["id", "secret", "endpoint"], 6: [], 7: ["id"], 8: []}
 
 
+def test_long_parts_reach_their_neighbours(spark):
+    jwt, blob, url = "eyJhbGci." * 70, "aB3dE6gH" * 50, "https://example.com/" + "signed" * 80
+    far = " word" * 70
+    texts = []
+    for long, short in [(f"token={jwt}", "user=bob"), (blob, ACCESS), (f"pwd={blob}", f"host=db1 {ACCESS}"), (url, "user=bob token=abcdef")]:
+        texts += [f"{long} {short}", f"{short} {long}", f"{long}{far} {short}", f"{short}{far} {long}", f"{long}\n\n{short}"]
+    rows = reported(spark, texts)
+    linked = [sorted(s.split(":")[0] for s in rows[i]["spans"].split(",") if s.split(":")[0] in ("id", "secret", "endpoint")) for i in range(len(texts))]
+    none, apart = [], ["id"]  # the last two stand together wherever the long one is
+    assert linked[0:5] == [["id"], ["id"], none, none, none]
+    assert linked[5:10] == [["secret"], ["secret"], none, none, none]
+    assert linked[10:15] == [["endpoint", "secret"], ["endpoint", "secret"], none, none, none]
+    assert linked[15:20] == [["endpoint", "id"], ["endpoint", "id"], apart, apart, apart]
+
+
 def test_masking(spark, rough, nothing):
     docs = documents(spark, [(1, "é token=abcdef😀 x deadbeefdeadbeefdeadbeef.", "en", "a"), (2, "clean", "en", "a"), (None, "password=abcdef", "en", "a")])
     rows = {r["doc_id"]: r for r in secrets.mask_secrets(docs).collect()}
