@@ -4,9 +4,10 @@
    and summed by Spark. They are hashed to ``CELLS`` cells, which bounds the model's size.
 2. Channel: a disguised word is a lattice. A digit or sign stands for the letters it looks
    like, for itself as noise, or for nothing; a letter written several times for one or two;
-   a blank or mark between single letters for nothing or for a word's end. Viterbi finds
-   the reading of highest channel and trigram probability. Words without such characters
-   have one reading and need no search.
+   a blank or mark between letters for nothing or for a word's end. What is written, a letter
+   twice or two words with a mark between, is the reading of cost 0. Viterbi finds the
+   reading of highest channel and trigram probability. Words without doubled letters and
+   such characters have one reading and need no search.
 3. Classifier: words and word beginnings that occur once, twice or three times in the restored text, learned from at most
    ``FIT_ROWS`` labelled rows (half of each class where there are enough; a bounded sample
    by hash). Features that nearly only occur in toxic rows are taken one by one, each for
@@ -54,7 +55,9 @@ MARKS = "*.-_~^'`,·/\\"
 EDGE = "\"'()[]{}<>*.,;:!?#%&$@+=/|\\-_~^`·…«»„“”‚‘’¿¡§0123456789"
 START, END = "^", "|"
 ANY = "aeiou"  # what an asterisk among letters stands for
-COST = {"same": 0.0, "looks": -0.7, "any": -2.0, "gone": -7.0, "mark": -0.4, "once": -0.3, "twice": -0.6, "end": -3.0}
+COST = {"same": 0.0, "looks": -0.7, "any": -2.0, "gone": -7.0, "mark": -0.4, "once": -0.3, "twice": -0.6, "end": -3.0,
+        # against the written reading, which has a letter or a word's end more for the character model to charge
+        "doubled": -3.0, "joined": -2.0}
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -136,7 +139,8 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     for run in re.finditer(r"(.)\1*", token, re.S):
         c, n = run[1], len(run[0])
         if c.isalpha():
-            places.append([(c * n, COST["same"])] if n < 2 else [(c, COST["once"]), (c * 2, COST["twice"] if n > 2 else 0.0)])
+            several = [(c, COST["once"]), (c * 2, COST["twice"])] if n > 2 else [(c, COST["doubled"]), (c * 2, COST["same"])]
+            places.append(several if n > 1 else [(c, COST["same"])])
         elif c == " ":
             places.append([("", COST["mark"]), (END, COST["end"])])
         elif c in LOOKS:
@@ -158,6 +162,8 @@ def viterbi(places: list[list[tuple[str, float]]], model: CharModel) -> list[str
             for text, cost in readings:
                 x, y, s, p = a, b, score + cost, path
                 for c in text:
+                    if c == END and y == START:  # no word has begun
+                        continue
                     s += model.log(x, y, c)
                     x, y, p = (START, START, (c, p)) if c == END else (y, c, (c, p))
                 if (x, y) not in reached or s > reached[x, y][0]:
@@ -171,17 +177,16 @@ def viterbi(places: list[list[tuple[str, float]]], model: CharModel) -> list[str
     return [w for w in "".join(reversed(letters)).split(END) if w]
 
 
-THRICE = re.compile(r"(.)\1\1", re.S)
-INSIDE = re.compile(rf"[{re.escape(''.join(LOOKS))}]")
-PIECES = re.compile(r"[^\W\d_]+")
+TWICE = re.compile(r"(.)\1", re.S)
+APART = re.compile(r"(?:[^\w@$!|+*(€£]|_)+")
 
 
 def restore(token: str, model: CharModel) -> list[str]:
     """Plain words that a lower-cased token stands for."""
     if token.isalpha():
-        return viterbi(lattice(token), model) if THRICE.search(token) else [token]
+        return viterbi(lattice(token), model) if TWICE.search(token) else [token]
     core = token.strip(EDGE)
-    if core.isalpha() and core == token.rstrip(EDGE) and not THRICE.search(core) and not (token[-1] in LOOKS and token[-2:-1].isalpha()):
+    if core.isalpha() and core == token.rstrip(EDGE) and not TWICE.search(core) and not (token[-1] in LOOKS and token[-2:-1].isalpha()):
         return [core]
     # one sign before or after the letters may be a letter; more are decoration
     begin, end = token.find(core), token.find(core) + len(core)
@@ -192,20 +197,27 @@ def restore(token: str, model: CharModel) -> list[str]:
     if end < len(token) and token[end] in LOOKS and token[end + 1 : end + 2] != token[end]:
         end += 1
     core = token[begin:end]
-    if core.isalpha() and not THRICE.search(core):
+    if core.isalpha() and not TWICE.search(core):
         return [core]
     single = re.fullmatch(rf"(?:[^\W_]|[{re.escape(''.join(LOOKS))}])(?:[{re.escape(MARKS)}]+(?:[^\W_]|[{re.escape(''.join(LOOKS))}])){{2,}}", core)
-    if single or INSIDE.search(core) or "*" in core or THRICE.search(core):
-        if single or not re.search(r"[^\w@$!|+*(€£]", core):
-            return viterbi(lattice(core), model)
-        return [w for part in re.split(r"[^\w@$!|+*(€£]+", core) if part for w in restore_part(part, model)]
-    return PIECES.findall(core)
+    if single or not APART.search(core):
+        return viterbi(lattice(core), model)
+    return viterbi(compound(core), model) if any(c.isalpha() for c in core) else []
 
 
-def restore_part(part: str, model: CharModel) -> list[str]:
-    if part.isalpha() and not THRICE.search(part):
-        return [part]
-    return viterbi(lattice(part), model) if any(c.isalpha() for c in part) else []
+def compound(core: str) -> list[list[tuple[str, float]]]:
+    """Readings of parts with marks between: a mark stands for a word's end, as written, or for
+    nothing; a sign alone for nothing, as written, or a letter; a number for a word's end."""
+    places = []
+    for part in filter(None, APART.split(core)):
+        letters = any(c.isalpha() for c in part)
+        if len(part) > 1 and not letters:
+            places.append([(END, 0.0)])
+            continue
+        if places:
+            places.append([(END, 0.0), ("", COST["joined"])])
+        places += lattice(part) if letters else [[("", 0.0), *((x, COST["looks"]) for x in LOOKS.get(part, ""))]]
+    return places
 
 
 def spelled(words: pa.Array, starts: np.ndarray) -> tuple[list[str], np.ndarray]:

@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 
 import pyarrow as pa
 import pytest
@@ -64,6 +65,19 @@ def test_disguised_words_are_found(spark, model, disguise):
     assert score[1] > 0.5 > score[2]
 
 
+@pytest.mark.parametrize("disguise", ["morron", "idiiot", "scuum", "MORRON!!", "mor-on", "m0r.on", "id_iot", "wor-th-less", "(scuum)", "mo-0-r-on"])
+def test_doubled_letters_and_marks_inside_are_read(model, disguise):
+    words = toxicity.restore(disguise.lower(), model.characters)
+    assert words in ([bad] for bad in BAD)
+
+
+def test_what_is_written_stays(model):
+    for token in ["green", "green,", "worthless", "green-river", "stone/house", "under_water", "light-2024-from", "walks-7-home"]:
+        assert toxicity.restore(token, model.characters) == [w for w in re.split(r"[\W\d_]+", token) if w], token
+    words = toxicity.restore("ab-1" * 3000, model.characters)  # many marks take time in proportion
+    assert words and "".join(words).isalpha()
+
+
 def test_plain_text_is_left_alone(model):
     for token in ["house", "the***", "green!!", "(river),", "1234", "", "--", "$$$", "a1b2c3d4"]:
         words = toxicity.restore(token, model.characters)
