@@ -9,8 +9,8 @@
    reading of highest channel and trigram probability. Words without doubled letters and
    such characters have one reading and need no search.
 3. Classifier: words and word beginnings that occur once, twice or three times in the restored text, learned from at most
-   ``FIT_ROWS`` labelled rows (half of each class where there are enough; a bounded sample
-   by hash). Features that nearly only occur in toxic rows are taken one by one, each for
+   ``FIT_ROWS`` labelled texts (half of each class where there are enough; a bounded sample
+   by hash; copies of a text with the same label count once). Features that nearly only occur in toxic rows are taken one by one, each for
    the toxic rows that no earlier one explains, so that copies of a text do not turn its
    other words into features. A text's score is 1 minus the chance that none of its words
    is a sign of toxicity.
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import ship, sliced, strings_of, text_array
+from .common import ship, sliced, strings_of, text_array, workspace
 
 CELLS = 1 << 20
 FIT_ROWS = 20_000
@@ -297,15 +297,19 @@ class Model:
 
 
 def learn(docs: DataFrame, labels: DataFrame, characters: CharModel, rows: int = FIT_ROWS) -> Model:
-    """Fit on ``labels`` (doc_id, toxic) joined with ``docs``, at most ``rows`` of them."""
+    """Fit on ``labels`` (doc_id, toxic) joined with ``docs``, at most ``rows`` distinct (text, toxic) of them."""
     spark = docs.sparkSession
     labels = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    sizes = {r["toxic"]: r["count"] for r in labels.groupBy("toxic").count().collect()}
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("digest", F.md5("text"))
+    # copies count once, in the sizes of the classes and in the sample: one document for each text
+    pairs = texts.select("doc_id", "digest").join(labels, "doc_id").groupBy("digest", "toxic").agg(F.min("doc_id").alias("doc_id"))
+    pairs = workspace(spark).stage(pairs, "toxicity-labelled")
+    sizes = {r["toxic"]: r["count"] for r in pairs.groupBy("toxic").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         return Model(characters, {}, 0.0)
-    draw = lambda k, n: labels.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    draw = lambda k, n: pairs.filter(F.col("toxic") == k).orderBy("digest").limit(n)
     sample = F.broadcast(draw(1, rows // 2).union(draw(0, rows // 2)))  # at most ``rows`` rows
-    drawn = docs.select("doc_id", "text").join(sample, "doc_id").select("text", "toxic").distinct()
+    drawn = texts.join(sample, ["doc_id", "digest"]).select("text", "toxic").distinct()
     sent = spark.sparkContext.broadcast(characters)
     ship(spark)
 

@@ -95,6 +95,21 @@ def test_copies_make_no_features(spark, model):
     assert {f.strip("=^")[:3] for f, _ in model.chance} <= {b[:3] for b in BAD}
 
 
+def test_copies_count_once(spark, data):
+    docs, labels = data
+    copies = [(5000 + i, "this one text is copied moron", "en", "a") for i in range(1500)]
+    more = spark.createDataFrame([(c[0], 1) for c in copies], "doc_id long, toxic int")
+    characters = toxicity.learn_characters(docs)
+    once = toxicity.learn(docs.union(documents(spark, copies[:1])), labels.union(more.limit(1)), characters)
+    often = toxicity.learn(docs.union(documents(spark, copies)), labels.union(more), characters)
+    assert often.base == pytest.approx(once.base) and often.chance == pytest.approx(once.chance)
+    # a sample that does not hold all texts draws texts, not rows
+    drawn = toxicity.learn(docs.union(documents(spark, copies)), labels.union(more), characters, rows=200)
+    assert {f.strip("=^")[:3] for f, _ in drawn.chance} & {b[:3] for b in BAD}
+    only = toxicity.learn(docs.union(documents(spark, copies)), labels.filter("toxic = 0").union(more), characters)
+    assert only.chance == {} and only.base < 0.05
+
+
 def test_rough_rows(spark, rough, nothing, data, model):
     rows = toxicity.add_score(rough, model).collect()
     assert len(rows) == rough.count() and all(0 <= r["score"] <= 1 for r in rows)
