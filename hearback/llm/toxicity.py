@@ -10,7 +10,8 @@
    such characters have one reading and need no search.
 3. Classifier: words and word beginnings that occur once, twice or three times in the restored text, learned from at most
    ``FIT_ROWS`` labelled texts (half of each class where there are enough; a bounded sample
-   by hash; copies of a text with the same label count once). Features that nearly only occur in toxic rows are taken one by one, each for
+   by hash; copies of a text with the same label count once). Every feature of five toxic
+   texts is weighed against the clean ones in Spark; those of chance 0.5 and more come back. Features that nearly only occur in toxic rows are taken one by one, each for
    the toxic rows that no earlier one explains, so that copies of a text do not turn its
    other words into features. A text's score is 1 minus the chance that none of its words
    is a sign of toxicity.
@@ -22,16 +23,17 @@ toxic if one is; repeated rows score alike. Columns named like an output are rep
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -39,7 +41,6 @@ from .common import ship, sliced, strings_of, text_array, workspace
 
 CELLS = 1 << 20
 FIT_ROWS = 20_000
-CANDIDATES = 100_000
 KEEP = 200_000
 HELD = 100_000  # counts a task holds before it passes them on
 SLICE = 4 << 20
@@ -313,87 +314,81 @@ def learn(docs: DataFrame, labels: DataFrame, characters: CharModel, rows: int =
     sent = spark.sparkContext.broadcast(characters)
     ship(spark)
 
-    def counts(part: DataFrame, wanted=None) -> DataFrame:
-        """(feature, times, n): texts that hold each feature; all features, or those of a broadcast set."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(sent.value, lambda words: [f for w in words for f in features(w)], KEEP // 8)
+        found: tuple[Counter, Counter] = (Counter(), Counter())
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            keep = wanted.value if wanted else None
-            reader = Reader(sent.value, lambda words: [f for w in words for f in features(w) if keep is None or f in keep], KEEP // 8)
-            found: Counter = Counter()
-
-            def flush() -> pa.RecordBatch:
-                names = list(found)
+        def flush() -> Iterator[pa.RecordBatch]:
+            for toxic, own in enumerate(found):
+                names = list(own)
                 columns = [
                     pa.array([n for n, _ in names], pa.string()), pa.array([k for _, k in names], pa.int32()),
-                    pa.array(list(found.values()), pa.int64()),
+                    pa.array([toxic] * len(names), pa.int32()), pa.array(list(own.values()), pa.int64()),
                 ]
-                found.clear()
-                return pa.RecordBatch.from_arrays(columns, ["feature", "times", "n"])
-
-            for batch in sliced(batches, "text", SLICE):
-                for own in _text_features(reader, text_array(batch.column("text"))):
-                    found.update(own)
-                    found["", 0] += 1
-                    if len(found) > HELD:
-                        yield flush()
-            yield flush()
-
-        spread = part.repartition(spark.sparkContext.defaultParallelism)
-        made = spread.mapInArrow(run, "feature string, times int, n bigint")
-        return made.groupBy("feature", "times").agg(F.sum("n").alias("n"))
-
-    # features of enough toxic texts first; clean texts are searched for these only
+                own.clear()
+                yield pa.RecordBatch.from_arrays(columns, ["feature", "times", "toxic", "n"])
+
+        for batch in sliced(batches, "text", SLICE):
+            for toxic, own in zip(batch.column("toxic").to_pylist(), _text_features(reader, text_array(batch.column("text")))):
+                found[toxic].update(own)
+                if len(found[0]) + len(found[1]) > HELD:
+                    yield from flush()
+        yield from flush()
+
+    # both classes' texts that hold each feature, and its chance, in Spark; what comes back has a chance of 0.5 at least
     least = 5
-    toxic = counts(drawn.filter("toxic = 1").select("text")).filter((F.col("n") >= least) | (F.col("times") == 0))
-    toxic = toxic.orderBy(F.col("times") > 0, F.desc("n"), "feature", "times").limit(CANDIDATES).collect()
-    toxic = {(r["feature"], r["times"]): r["n"] for r in toxic}
-    wanted = spark.sparkContext.broadcast({name for name, _ in toxic})
-    clean = counts(drawn.filter("toxic = 0").select("text"), wanted).collect()  # at most 3 rows for each candidate
-    clean = {(r["feature"], r["times"]): r["n"] for r in clean}
-    n_toxic, n_clean = toxic.pop(("", 0), 0), clean.pop(("", 0), 0)
-    if not n_toxic or not n_clean:
-        return Model(characters, {}, 0.0)
+    n_toxic, n_clean = min(sizes[1], rows // 2), min(sizes[0], rows // 2)
     odds = sizes[1] / n_toxic / (sizes[0] / n_clean)  # undo the even draw of classes
-    chances = {f: _chance(n, clean.get(f, 0), odds) for f, n in toxic.items()}
-    candidates = {f: c for f, c in chances.items() if c >= 0.5}
-    wanted = spark.sparkContext.broadcast({name for name, _ in candidates})
+    drawn = drawn.withColumn("toxic", F.col("toxic").cast("int"))
+    spread = drawn.repartition(spark.sparkContext.defaultParallelism)
+    of = lambda k: F.sum(F.when(F.col("toxic") == k, F.col("n")).otherwise(0)).alias(f"n{k}")
+    made = spread.mapInArrow(count, "feature string, times int, toxic int, n bigint").groupBy("feature", "times").agg(of(1), of(0))
+    made = made.filter(F.col("n1") >= least).select("feature", "times", _chance(F.col("n1"), F.col("n0"), odds).alias("chance"))
+    table = made.filter("chance >= 0.5").toArrow()
+    names = list(zip(strings_of(table["feature"].combine_chunks()), table["times"].to_pylist()))
+    chance = table["chance"].to_pylist()
+    wanted = spark.sparkContext.broadcast({name: i for i, name in enumerate(names)})
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep = wanted.value
-        reader = Reader(sent.value, lambda words: [f for w in words for f in features(w) if f in keep])
+        number = wanted.value
+        keep = {name for name, _ in number}
+        reader = Reader(sent.value, lambda words: [f for w in words for f in features(w) if f in keep], KEEP // 8)
         for batch in sliced(batches, "text", SLICE):
-            found = [sorted(own) for own in _text_features(reader, text_array(batch.column("text")))]
-            columns = [
-                pa.array([[n for n, _ in names] for names in found], pa.list_(pa.string())),
-                pa.array([[k for _, k in names] for names in found], pa.list_(pa.int32())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["features", "times"])
-
-    rows_of = defaultdict(set)
-    held = drawn.filter("toxic = 1").select("text").mapInArrow(hold, "features array<string>, times array<int>").collect()  # at most rows / 2
-    for i, row in enumerate(held):
-        for name in zip(row["features"], row["times"]):
-            if name in candidates:
-                rows_of[name].add(i)
-    # take the feature that explains most of the toxic rows not yet explained
-    chosen, heap = {}, {f: set(r) for f, r in rows_of.items()}
+            found = [[number[f] for f in own if f in number] for own in _text_features(reader, text_array(batch.column("text")))]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], ["held"])
+
+    held = drawn.filter("toxic = 1").select("text").mapInArrow(hold, "held array<int>").toArrow()["held"].combine_chunks()  # at most rows / 2
+    numbers = held.flatten().to_numpy(zero_copy_only=False)
+    holders = np.repeat(np.arange(len(held)), np.diff(held.offsets.to_numpy()))[np.argsort(numbers, kind="stable")]
+    ends = np.cumsum(np.bincount(numbers, minlength=len(names)))
+    rows_of = np.split(holders, ends[:-1]) if names else []
+    # take the feature that explains most of the toxic rows not yet explained; what others
+    # explain only falls, so the first of the heap that is up to date is the best
+    order = sorted(range(len(names)), key=lambda i: (names[i][0][0] == "=", len(names[i][0]), names[i]), reverse=True)
+    heap = [(-len(rows_of[i]) * chance[i], place, len(rows_of[i])) for place, i in enumerate(order)]
+    heapq.heapify(heap)
+    chosen, explained = {}, np.zeros(len(held), dtype=bool)
     while heap:
-        best = max(heap, key=lambda f: (len(heap[f]) * candidates[f], f[0][0] == "=", len(f[0]), f))
-        covered = heap.pop(best)
-        if len(covered) < least:
-            break
-        chosen[best] = candidates[best]
-        heap = {f: left for f, r in heap.items() if len(left := r - covered) >= least}
-    explained = set().union(*(rows_of[f] for f in chosen)) if chosen else set()
-    missed = (n_toxic - len(explained) + 0.5) * odds
+        _, place, had = heap[0]
+        i = order[place]
+        left = int(np.count_nonzero(~explained[rows_of[i]]))
+        if left < least:
+            heapq.heappop(heap)
+        elif left < had:
+            heapq.heapreplace(heap, (-left * chance[i], place, left))
+        else:
+            heapq.heappop(heap)
+            chosen[names[i]] = chance[i]
+            explained[rows_of[i]] = True
+    missed = (n_toxic - int(explained.sum()) + 0.5) * odds
     return Model(characters, chosen, missed / (missed + n_clean + 1.0))
 
 
-def _chance(toxic: int, clean: int, odds: float) -> float:
+def _chance(toxic: Column, clean: Column, odds: float) -> Column:
     """Chance that a text with a feature is toxic, from the lower end of the Wilson interval (one deviation)."""
     n = toxic + clean
     share = toxic / n
-    low = (share + 0.5 / n - math.sqrt(share * (1 - share) / n + 0.25 / (n * n))) / (1 + 1 / n)
+    low = (share + 0.5 / n - F.sqrt(share * (1 - share) / n + 0.25 / (n * n))) / (1 + 1 / n)
     return odds * low / (odds * low + 1 - low)
 
 

@@ -110,6 +110,19 @@ def test_copies_count_once(spark, data):
     assert only.chance == {} and only.base < 0.05
 
 
+def test_rare_signs_on_a_rich_vocabulary(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("bcdfghklmnprstvw") + rng.choice("aeiou") for _ in range(5))
+    common = [word() for _ in range(9000)]  # each three times in ten texts of both classes
+    rows = [" ".join(w for w in common[i % 4 :: 4] for _ in range(3)) for i in range(40)]
+    texts = [(i, t + (" zyqyx" if i in (0, 5, 10, 15, 20, 25) else ""), 1) for i, t in enumerate(rows)] + [(100 + i, t, 0) for i, t in enumerate(rows)]
+    texts = [(i, t + f" n{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i % 10]}", k) for i, t, k in texts]  # no copies
+    docs = documents(spark, [(i, t, "en", "a") for i, t, _ in texts])
+    labels = spark.createDataFrame([(i, k) for i, _, k in texts], "doc_id long, toxic int")
+    learned = toxicity.learn(docs, labels, toxicity.CharModel({}, {}))
+    assert ("=zyqyx", 1) in learned.chance
+
+
 def test_rough_rows(spark, rough, nothing, data, model):
     rows = toxicity.add_score(rough, model).collect()
     assert len(rows) == rough.count() and all(0 <= r["score"] <= 1 for r in rows)
