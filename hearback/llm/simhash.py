@@ -233,20 +233,24 @@ def near_duplicates(docs: DataFrame, width: int = 4, bits: int = 4, seed: int =
 
 def keep_first(docs: DataFrame, width: int = 4, bits: int = 4, seed: int = 42) -> DataFrame:
     """One row of every component: the one whose doc_id names it; of rows that repeat that
-    doc_id, one. Rows without doc_id stay (one of each component) only where no row of
+    doc_id in the component, one. A doc_id of several rows is told apart by their fingerprints,
+    so that each component it names keeps a row. Rows without doc_id stay (one of each component) only where no row of
     their component has an id. Columns are those of ``docs``.
 
     Only the ids of the rows that go are joined with the documents.
     """
     work = workspace(docs.sparkSession)
     found = work.stage(near_duplicates(docs, width, bits, seed, work), "simhash-found")
-    gone = found.filter("doc_id <> component_id").select("doc_id")
-    again = found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    gone, again = work.settle(gone.distinct(), "simhash-gone"), work.settle(again, "simhash-again")
-    named = docs.filter(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti")
-    once = named.join(again, "doc_id", "left_anti")
-    repeated = named.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    named = once.unionByName(repeated).select(*docs.columns)
+    several = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    gone, several = work.settle(gone, "simhash-gone"), work.settle(several, "simhash-several")
+    named = docs.filter(F.col("doc_id").isNotNull())
+    once = named.join(gone, "doc_id", "left_anti").join(several, "doc_id", "left_anti")
+    names = found.filter("doc_id = component_id").join(several, "doc_id", "left_semi")
+    names = names.select("doc_id", F.col("fp").alias("__fp"), F.col("class_fp").alias("__class_fp")).distinct()
+    repeated = _with_print(named.join(several, "doc_id", "left_semi"), width, seed)
+    repeated = repeated.join(names, ["doc_id", "__fp"]).dropDuplicates(["__class_fp"])
+    named = once.select(*docs.columns).unionByName(repeated.select(*docs.columns))
     lost = found.filter("component_id is null").select("fp", "class_fp").distinct()
     if lost.isEmpty():
         return named

@@ -8,6 +8,8 @@ import xxhash
 from hearback.llm import simhash
 from hearback.llm.common import workspace
 
+from .conftest import documents
+
 
 def plain(text, width=4):
     words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
@@ -113,6 +115,13 @@ def test_one_row_of_each_group_stays(rough, nothing):
     assert simhash.keep_first(nothing).collect() == []
 
 
+def test_an_id_on_several_texts(spark):
+    a, b, c = (f"{w} text of its own that is like no other one in this table, said by {w}" for w in ("first", "second", "third"))
+    rows = [(5, a), (3, b), (5, b), (7, c), (7, c), (8, c), (7, "quite other words stand here and nothing else at all"), (9, a)]
+    kept = simhash.keep_first(documents(spark, [(i, t, "en", "a") for i, t in rows])).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept)) == sorted([(5, a), (3, b), (7, c), (7, rows[6][1])])
+
+
 def test_slices_of_a_list_are_put_together():
     values = pa.array([1, 2, 3], pa.int64())
     assert simhash._tally(np.array([0, 1 << 8], dtype=np.uint64)).tolist() == [255, 253]
