@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, language, mixing, pieces, secrets, simhash, topk, toxicity, wavelet
+from . import chat, fingerprints, language, merkle, mixing, pieces, secrets, simhash, topk, toxicity, wavelet
 from .common import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,3 +202,69 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     filters = language.learn(docs.filter(~held_out).select("text", "lang"))
     found = language.predict(docs.select("doc_id", "text"), filters)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def _sql_crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, bit by bit."""
+    step = "c"
+    for _ in range(8):
+        step = f"list_transform([{step}], lambda z: xor(z >> 1, CASE WHEN z & 1 = 1 THEN 3988292384 ELSE 0 END))[1]"
+    step = step.replace("[c]", "[xor(a, b)]", 1)
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda d: ord(d)::BIGINT)), lambda a, b: {step}), 4294967295)"
+
+
+def _sql_field(value: str) -> str:
+    return f"coalesce(octet_length(encode(({value})::VARCHAR))::VARCHAR || ':' || ({value})::VARCHAR, '-')"
+
+
+def _sql_leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_sql_field(v) for v in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+OP11_SQL = f"""
+WITH RECURSIVE rows AS MATERIALIZED (
+  SELECT doc_id, coalesce('=' || lang, '') AS grp, {_sql_leaf('n_chars')} AS leaf, {_sql_leaf('n_chars::HUGEINT + 1')} AS altered,
+    {_sql_crc32('doc_id::VARCHAR')} % 7 = 0 AS tampered FROM documents),
+placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY grp) AS n FROM rows),
+nodes AS (
+  SELECT grp, 0 AS level, idx, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT grp, level + 1, idx // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY idx)) FROM nodes WHERE n > 1 GROUP BY grp, level, idx // 2),
+low AS MATERIALIZED (SELECT * FROM nodes),
+subroots AS MATERIALIZED (
+  SELECT grp, h, row_number() OVER (ORDER BY grp) - 1 AS idx, count(*) OVER () AS n FROM low WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, idx, n, h FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY idx)) FROM tops WHERE n > 1 GROUP BY level, idx // 2),
+high AS MATERIALIZED (SELECT * FROM tops),
+ways AS (
+  SELECT p.grp, p.idx AS place, w.level, w.idx % 2 AS side, w.h FROM placed p JOIN low w ON w.grp = p.grp AND w.idx = xor(p.idx >> w.level, 1)
+  UNION ALL BY NAME
+  SELECT p.grp, p.idx AS place, 1000 + w.level AS level, w.idx % 2 AS side, w.h
+  FROM placed p JOIN subroots s ON s.grp = p.grp JOIN high w ON w.idx = xor(s.idx >> w.level, 1)),
+own AS (
+  SELECT grp, idx AS place, doc_id, leaf, CASE WHEN tampered THEN altered ELSE leaf END AS given FROM placed),
+steps AS (
+  -- a level without a sibling hashes the node alone
+  SELECT p.grp, p.idx AS place, l.level, w.side, w.h FROM placed p JOIN (SELECT DISTINCT grp, level FROM low WHERE n > 1) l ON l.grp = p.grp
+  LEFT JOIN ways w ON w.grp = p.grp AND w.place = p.idx AND w.level = l.level
+  UNION ALL
+  SELECT p.grp, p.idx AS place, 1000 + l.level, w.side, w.h FROM placed p JOIN (SELECT DISTINCT level FROM high WHERE n > 1) l ON true
+  LEFT JOIN ways w ON w.grp = p.grp AND w.place = p.idx AND w.level = 1000 + l.level),
+proofs AS (
+  SELECT grp, place, sha256(coalesce(string_agg(h, '' ORDER BY level), '')) AS proof,
+    list(CASE side WHEN 0 THEN 'L' WHEN 1 THEN 'R' ELSE '-' END || coalesce(h, '') ORDER BY level) AS way FROM steps GROUP BY grp, place)
+SELECT o.doc_id, o.grp, o.place AS idx, o.leaf, s.h AS subroot, r.h AS root, coalesce(p.proof, sha256('')) AS proof_sha256,
+  list_reduce(list_prepend(o.given, coalesce(p.way, [])), lambda x, y: sha256(CASE y[1] WHEN 'L' THEN y[2:] || x WHEN 'R' THEN x || y[2:] ELSE x END)) AS folded_root,
+  folded_root = r.h AS verified
+FROM own o JOIN subroots s USING (grp) JOIN (SELECT h FROM high WHERE n = 1) r ON true LEFT JOIN proofs p ON p.grp = o.grp AND p.place = o.place
+"""
+
+
+@query("op11_merkle_manifest", OP11_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's leaf and proof, and whether its row, some altered, still gives the root."""
+    altered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    return merkle.manifest(load(spark, folder, "documents"), altered)
