@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, language, merkle, mixing, pieces, secrets, simhash, topk, toxicity, wavelet
+from . import chat, fingerprints, language, merkle, mixing, phrases, pieces, secrets, simhash, topk, toxicity, wavelet
 from .common import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -268,3 +268,34 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's leaf and proof, and whether its row, some altered, still gives the root."""
     altered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
     return merkle.manifest(load(spark, folder, "documents"), altered)
+
+
+OP12_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang, string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') AS w FROM texts),
+spots AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+grams AS MATERIALIZED (
+  SELECT lang, w[i:i + s.size - 1] AS words, s.size, count(*) AS f
+  FROM spots JOIN (SELECT unnest([1, 2, 3, 4]) AS size) s ON i + s.size - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 30),
+totals AS (SELECT lang, count(*) AS n FROM spots GROUP BY lang),
+cuts AS (
+  SELECT g.lang, g.words, g.f AS a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * g.f // (x.f + y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM grams WHERE size > 1) g
+  JOIN grams x ON x.lang = g.lang AND x.words = g.words[1:k] JOIN grams y ON y.lang = g.lang AND y.words = g.words[k + 1:]),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, words[s.i:s.i + s.n - 1] AS words, max(f) AS longest
+  FROM grams JOIN (VALUES (3, 1, 2), (3, 2, 2), (4, 1, 2), (4, 2, 2), (4, 3, 2), (4, 1, 3), (4, 2, 3)) s(size, i, n) ON s.size = grams.size GROUP BY ALL),
+ranked AS (
+  SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, n, score,
+    row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(words, ' '))) AS rank
+  FROM best LEFT JOIN inside USING (lang, words) JOIN totals USING (lang) WHERE longest IS NULL OR 100::HUGEINT * longest < 80::HUGEINT * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+
+@query("op12_phrase_collocations", OP12_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Each language's 2000 phrases of highest score."""
+    return phrases.collocations(load(spark, folder, "documents"))
