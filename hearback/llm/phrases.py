@@ -143,30 +143,28 @@ def windows(docs: DataFrame, often: np.ndarray, width: int) -> DataFrame:
             words, follows, owner = split_pieces(text_array(batch.column("text")))
             cells = _cell(_pairs(words, follows, _lang_hashes(batch.column("lang"), owner)), bits)
             on = follows & (known[cells >> 3] >> (cells & 7).astype(np.uint8) & 1).astype(bool)
+            del cells
             codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            # lead columns: the word k places on, as long as every pair up to it is frequent
-            columns, open_ = [codes], on.copy()
-            for k in range(1, width):
-                ahead = np.full(len(codes), -1, dtype=np.int64)
-                at = np.flatnonzero(open_)
-                ahead[at] = codes[at + k]
-                columns.append(ahead)
-                reached = np.zeros(len(codes), dtype=bool)
-                reached[at] = on[np.minimum(at + k, len(codes) - 1)] & (at + k < len(codes))
-                open_ = reached
-            table = np.stack([langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[owner], *columns], axis=1)
-            high = (table[:, 0] << 52) + (table[:, 1] + 1 << 26) + (table[:, 2] + 1)
-            low = table[:, 3] + 1 if width > 2 else np.zeros(len(table), dtype=np.int64)
-            for k in range(4, width + 1):
-                low = (low << 26) + table[:, k] + 1
+            # lead columns: the word k places on, as long as every pair up to it is frequent; two go into each key
+            high = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[owner] << 26 | codes + 1
+            low = np.zeros(len(codes), dtype=np.int64)
+            open_ = np.flatnonzero(on)
+            high <<= 26
+            high[open_] |= codes[open_ + 1] + 1
+            for k in range(2, width):
+                open_ = open_[on[open_ + k - 1]]
+                low <<= 26
+                low[open_] |= codes[open_ + k] + 1
             order = np.lexsort((low, high))
             high, low = high[order], low[order]
             first = np.flatnonzero(np.r_[True, (high[1:] != high[:-1]) | (low[1:] != low[:-1])]) if len(order) else order
             n = np.diff(np.r_[first, len(order)])
-            kept = table[order[first]]
+            high, low = high[first], low[first]
+            mask = (1 << 26) - 1
+            kept = [high >> 26 & mask, high & mask, *(low >> 26 * (width - 1 - k) & mask for k in range(2, width))]
             values = pa.concat_arrays([pa.array([PAD], words.dictionary.type), words.dictionary])
-            made = [values.take(pa.array(kept[:, k + 1] + 1)).cast(pa.string()) for k in range(width)]
-            lang = langs.dictionary.take(pa.array(kept[:, 0])).cast(pa.string())
+            made = [values.take(pa.array(k)).cast(pa.string()) for k in kept]
+            lang = langs.dictionary.take(pa.array(high >> 52)).cast(pa.string())
             yield pa.RecordBatch.from_arrays([lang, *made, pa.array(n)], ["lang", *names, "n"])
 
     return docs.mapInArrow(lead, f"lang string, {', '.join(f'{n} string' for n in names)}, n bigint")
