@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, language, merkle, mixing, phrases, pieces, secrets, simhash, topk, toxicity, wavelet
+from . import chat, fingerprints, language, merkle, minhash, mixing, phrases, pieces, secrets, simhash, topk, toxicity, wavelet
 from .common import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -299,3 +299,30 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     """Each language's 2000 phrases of highest score."""
     return phrases.collocations(load(spark, folder, "documents"))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT id, doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words),
+classes AS MATERIALIZED (SELECT min(id) AS id, any_value(s) AS s FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)),
+items AS MATERIALIZED (SELECT id, len(s) AS n, unnest(s) AS item FROM classes),
+shared AS (SELECT a.id AS x, b.id AS y, any_value(a.n) AS m, any_value(b.n) AS n, count(*) AS same FROM items a JOIN items b ON a.item = b.item AND a.id < b.id GROUP BY a.id, b.id),
+links AS MATERIALIZED (SELECT x, y FROM shared WHERE 100 * same >= 85 * (m + n - same)),
+both_ways AS MATERIALIZED (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT id, id AS other FROM classes UNION SELECT r.id, b.y FROM reach r JOIN both_ways b ON b.x = r.other),
+members AS (SELECT c.id, s.doc_id FROM classes c JOIN sets s ON list_sort(s.s) = list_sort(c.s)),
+least AS (SELECT r.id, min(m.doc_id) AS component_id FROM reach r JOIN members m ON m.id = r.other GROUP BY r.id),
+named AS (SELECT list_sort(c.s) AS s, component_id FROM least JOIN classes c USING (id))
+SELECT doc_id, len(sets.s)::BIGINT AS n_shingles, CASE WHEN len(sets.s) = 0 THEN doc_id ELSE n.component_id END AS component_id,
+  coalesce(doc_id = CASE WHEN len(sets.s) = 0 THEN doc_id ELSE n.component_id END, false) AS kept
+FROM sets LEFT JOIN named n ON n.s = list_sort(sets.s)
+"""
+
+
+@query("op13_superminhash_near_duplicates", OP13_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's set size and component at a similarity of 0.85."""
+    return minhash.near_duplicates(load(spark, folder, "documents"), width=3, percent=85)
