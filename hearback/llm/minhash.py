@@ -9,9 +9,10 @@
    chance of 6e-9. Work is on distinct sets; copies come back by a join.
 3. Verification: each bucket's sets are compared with one of them, other ones in other buckets, on whole
    sets of shingle hashes. Links are reduced to forests by union-find in tasks, then joined to components.
-4. What this may have left: in buckets that still hold several components, pairs of sets of different
-   components are filtered by size and by a short signature (far below what 0.85 could show) and verified as
-   well. So every pair that meets in a bucket is either in one component or was verified.
+4. What this may have left: in buckets that still hold several components, sets are compared across these
+   inside the task, each pair in its first common bucket, by size, by signature (far below what 0.85 could
+   show) and on whole sets, which only the rows with such a partner carry. Only links leave the task. So every
+   pair that meets in a bucket is either in one component or was verified.
 
 A bucket over ``LIST`` sets is dealt into parts: its main component's sets once, others to every part.
 
@@ -41,8 +42,7 @@ from .components import components
 
 BANDS, ROWS = 40, 6
 SLOTS = BANDS * ROWS
-SHORT = 120  # slots of the short signature, a byte each
-SURELY = 0.2  # so far below the similarity asked for no short signature of a link can lie (six deviations)
+SURELY = 0.14  # so far below the similarity asked for no link's share of equal slots lies (six deviations)
 LIST = 4096
 HOT_ROWS = 20_000  # pairs of one set, each with a set beside it, that a task takes
 HELD = 1_000_000
@@ -130,7 +130,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
             for k in range(ROWS):
                 keys = _mixed(keys * GOLDEN + found[:, k::ROWS])
             bands = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * BANDS), pa.array(keys.view(np.int64).ravel()))
-            short = _mixed(found[:, :SHORT]).astype(np.uint8)
+            short = _mixed(found).astype(np.uint8)  # a byte of each slot
             return pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(set_digests(hashes, starts), pa.binary()), pa.array(np.diff(starts)), bands, pa.array([row.tobytes() for row in short], pa.binary())],
                 ["doc_id", "set_id", "n", "bands", "short"],
@@ -175,14 +175,15 @@ def stars(index: DataFrame, long: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def across(index: DataFrame, labels: DataFrame, shorts: DataFrame, long: DataFrame, percent: int, work: Workspace) -> DataFrame:
-    """(a, b) distinct, a < b: pairs of different components that meet in a bucket and may be alike."""
+def open_parts(index: DataFrame, labels: DataFrame, prints: DataFrame, long: DataFrame, work: Workspace) -> DataFrame:
+    """(bucket, part, set_id, n, tag, mine, bands, short): the sets of buckets that hold several components,
+    each component a ``tag``. A long bucket's main component is dealt to its parts, other sets go to each
+    part and are ``mine`` in one of them."""
     index = index.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
     tagged = index.withColumn("tag", F.xxhash64("label"))
     mixed = tagged.groupBy("bucket").agg(F.min("tag").alias("x"), F.max("tag").alias("y")).filter("x <> y").select("bucket")
     mixed = work.settle(mixed, "minhash-mixed")
     tagged = work.stage(tagged.join(mixed, "bucket", "left_semi").select("bucket", "set_id", "n", "tag"), "minhash-open")
-    # a long bucket's main component is dealt to its parts, other sets go to each part
     long = long.join(mixed, "bucket", "left_semi")
     tags = tagged.join(long, "bucket").groupBy("bucket", "parts", "tag").count()
     main = tags.groupBy("bucket", "parts").agg(F.max_by("tag", F.struct("count", "tag")).alias("main"))
@@ -190,23 +191,12 @@ def across(index: DataFrame, labels: DataFrame, shorts: DataFrame, long: DataFra
     own = F.coalesce(F.pmod(F.xxhash64("set_id"), F.col("parts")), F.lit(0))
     every = F.when(F.col("tag") == F.col("main"), F.array("own")).otherwise(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1).cast("long")) - 1))
     dealt = tagged.join(main, "bucket", "left").withColumn("own", own.cast("long")).withColumn("part", F.explode(every))
-    dealt = dealt.join(shorts, "set_id").select("bucket", "part", "set_id", "n", "tag", (F.col("own") == F.col("part")).alias("mine"), "short")
-    dealt = dealt.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
-    least = int(SHORT * max(0.0, percent / 100 - SURELY))
-
-    def pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        n, tag, mine = table["n"].to_numpy(), table["tag"].to_numpy(), table["mine"].to_numpy()
-        short = np.frombuffer(b"".join(table["short"].to_pylist()), dtype=np.uint8).reshape(-1, SHORT)
-        values, counts = np.unique(tag, return_counts=True)
-        strays = np.flatnonzero(tag != values[counts.argmax()])
-        a, b = [], []
-        for i in strays:
-            other = np.flatnonzero((tag != tag[i]) & (mine | mine[i]))
-            other = other[np.minimum(n[other], n[i]) * 100 >= np.maximum(n[other], n[i]) * percent]
-            other = other[(short[other] == short[i]).sum(axis=1) >= least]
-            a.append(np.full(len(other), i))
-            b.append(other)
-        return (np.concatenate(a), np.concatenate(b)) if a else (strays, strays)
+    mine = (F.col("own") == F.col("part")).alias("mine")
+    return dealt.select("bucket", "part", "set_id", "n", "tag", mine).join(prints, "set_id")
+
+
+def _by_part(dealt: DataFrame, answer, schema: str) -> DataFrame:
+    """``answer(rows of one bucket part)`` of every part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -218,24 +208,81 @@ def across(index: DataFrame, labels: DataFrame, shorts: DataFrame, long: DataFra
             bucket, part = table["bucket"].to_numpy(), table["part"].to_numpy()
             cuts = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])])
             for x, y in zip(cuts, cuts[1:]):
-                yield from answer(table.slice(x, y - x))
+                yield from answer(table.slice(x, y - x).combine_chunks())
             held = table.slice(cuts[-1])
         if held is not None:
-            yield from answer(held)
+            yield from answer(held.combine_chunks())
+
+    ship(dealt.sparkSession)
+    return dealt.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(run, schema)
+
+
+class Part:
+    """The sets of one bucket part as arrays, and which of them may be alike."""
+
+    def __init__(self, table: pa.Table, percent: int):
+        self.n, self.tag, self.mine = (table[c].to_numpy() for c in ("n", "tag", "mine"))
+        self.bucket, self.percent = table["bucket"][0].as_py(), percent
+        self.short = np.frombuffer(b"".join(table["short"].to_pylist()), dtype=np.uint8).reshape(-1, SLOTS)
+        self.bands = table["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        values, counts = np.unique(self.tag, return_counts=True)
+        self.strays = np.flatnonzero(self.tag != values[counts.argmax()])
+
+    def near(self, i: int) -> np.ndarray:
+        """Sets of other components whose size and signature are near the set's, where no earlier band has the pair."""
+        j = np.flatnonzero((self.tag != self.tag[i]) & (self.mine | self.mine[i]))
+        j = j[np.minimum(self.n[j], self.n[i]) * 100 >= np.maximum(self.n[j], self.n[i]) * self.percent]
+        j = j[(self.short[j] == self.short[i]).sum(axis=1) >= SLOTS * (self.percent / 100 - SURELY)]
+        return j[self.bands[i, (self.bands[j] == self.bands[i]).argmax(axis=1)] == self.bucket]
+
+
+def likely(parts: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``parts`` (bucket, part, set_id, n, tag, mine) that have a near one of another component in their part."""
 
     def answer(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        a, b = pairs(table)
-        if len(a):
+        part, hit = Part(table, percent), np.zeros(table.num_rows, dtype=bool)
+        for i in part.strays:
+            j = part.near(i)
+            hit[j] = True
+            hit[i] |= len(j) > 0
+        if hit.any():
+            yield from table.select(["bucket", "part", "set_id", "n", "tag", "mine"]).filter(pa.array(hit)).to_batches()
+
+    return _by_part(parts, answer, "bucket bigint, part bigint, set_id binary, n bigint, tag bigint, mine boolean")
+
+
+def across(parts: DataFrame, percent: int) -> DataFrame:
+    """(a, b): verified links that tie together what ``parts``, with ``hashes`` of whole sets, hold of different components."""
+
+    def answer(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        part = Part(table, percent)
+        lists = table["hashes"].combine_chunks()
+        starts, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy().view(np.uint64)
+        starts = starts - starts[0]
+        group = np.unique(part.tag, return_inverse=True)[1]  # components, tied as links are found
+        a, b = [], []
+        for i in part.strays:
+            j = part.near(i)
+            j = j[group[j] != group[i]]
+            if not len(j):
+                continue
+            own, sizes = flat[starts[i] : starts[i + 1]], np.diff(starts)[j]
+            there = flat[gather_runs(starts[j].astype(np.int64), sizes.astype(np.int64))]
+            same = np.add.reduceat(own[np.minimum(np.searchsorted(own, there), len(own) - 1)] == there, np.r_[0, np.cumsum(sizes)[:-1]], dtype=np.int64)
+            for k in j[same * 100 >= (len(own) + sizes - same) * percent]:
+                if group[k] != group[i]:
+                    group[group == group[k]] = group[i]
+                    a.append(i)
+                    b.append(k)
+        if a:
             sets = table["set_id"].combine_chunks()
             yield pa.RecordBatch.from_arrays([sets.take(pa.array(a)), sets.take(pa.array(b))], ["a", "b"])
 
-    found = dealt.mapInArrow(run, "a binary, b binary")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return _by_part(parts, answer, "a binary, b binary")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, percent: int, width: int, work: Workspace, name: str) -> DataFrame:
-    """The pairs (a, b) whose whole sets are alike, the texts read once more for the sets that are asked for."""
-    wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
+def whole_sets(wanted: DataFrame, docs: DataFrame, sets: DataFrame, width: int, work: Workspace, name: str) -> DataFrame:
+    """(set_id, hashes) of the sets ``wanted`` (set_id, distinct), from the texts of one document each."""
     wanted = work.stage(wanted.join(sets, "set_id").select("set_id", "least_id"), f"{name}-wanted")
     ids = work.settle(wanted.filter("least_id is not null").select(F.col("least_id").alias("doc_id")).distinct(), f"{name}-ids")
     chosen = docs.join(ids, "doc_id", "left_semi")
@@ -252,7 +299,11 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, percent: int, w
 
     asked = work.settle(wanted.select("set_id"), f"{name}-asked")
     whole = map_arrow(chosen.select("text"), make, "set_id binary, hashes array<bigint>").join(asked, "set_id", "left_semi")
-    whole = work.settle(whole.dropDuplicates(["set_id"]), f"{name}-sets")
+    return work.settle(whole.dropDuplicates(["set_id"]), f"{name}-sets")
+
+
+def verified(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose ``whole`` sets are alike."""
     second = pairs.join(whole.select(F.col("set_id").alias("b"), F.col("hashes").alias("y")), "b")
     hot = hottest(pairs.groupBy("a").agg(F.count("*").alias("_n")), ["a"], HOT_ROWS)
     both = spread_join(second, whole.select(F.col("set_id").alias("a"), F.col("hashes").alias("x")), ["a"], "inner", ["b"], HOT_ROWS, hot=hot)
@@ -310,13 +361,15 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, work: Wo
     index = work.stage(index.join(work.settle(sizes.select("bucket"), "minhash-shared"), "bucket", "left_semi"), "minhash-index")
 
     first = work.stage(stars(index, long, percent), "minhash-stars")
-    links = work.stage(verified(first, docs, sets, percent, width, work, "minhash-first"), "minhash-links-1")
+    ends = first.select(F.col("a").alias("set_id")).union(first.select("b")).distinct()
+    links = verified(first, whole_sets(ends, docs, sets, width, work, "minhash-first"), percent)
+    links = work.stage(links, "minhash-links-1")
     tied = components(forest(links), work, "minhash-tied-1")
     labels = work.settle(tied.select(F.col("node").alias("set_id"), F.col("root").alias("label")), "minhash-labels")
-    ordered = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = across(index, labels, distinct.select("set_id", "short"), long, percent, work).join(ordered, ["a", "b"], "left_anti")
-    rest = work.stage(rest, "minhash-rest")
-    more = work.stage(verified(rest, docs, sets, percent, width, work, "minhash-second"), "minhash-links-2")
+    prints = distinct.select("set_id", "bands", "short")
+    near = work.stage(likely(open_parts(index, labels, prints, long, work), percent), "minhash-likely")
+    whole = whole_sets(near.select("set_id").distinct(), docs, sets, width, work, "minhash-second")
+    more = work.stage(across(near.join(prints, "set_id").join(whole, "set_id"), percent), "minhash-links-2")
     if not more.isEmpty():
         tied = components(forest(links.union(more)), work, "minhash-tied-2")
 
