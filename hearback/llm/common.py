@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import zipfile
@@ -19,12 +20,21 @@ from ..session import Workspace
 BLANKS = r"\x20\x09-\x0D"
 WORD = rf"[^{BLANKS}]+"
 
+# Long texts: so many bytes to a batch, where the session has not set its own number.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
 _shipped: set[str] = set()
+_kept: dict = {}
+_libc = ctypes.CDLL(None)
 
 
 def ship(spark: SparkSession) -> None:
-    """Give this package to the executors' Python, as --py-files would, once per application."""
+    """Give this package to the executors' Python, as --py-files would, once per application, and bound
+    the bytes of Arrow batches, which are held on both sides."""
     context = spark.sparkContext
+    if spark.conf.get(BATCH) == "67108864b":
+        spark.conf.set(BATCH, BATCH_BYTES)
     if context.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parent.parent
@@ -45,6 +55,13 @@ def workspace(spark: SparkSession) -> Workspace:
     return Workspace(spark, tempfile.mkdtemp(prefix="hearback-work-") if alone and unset else None)
 
 
+def free_prefix(df: DataFrame, prefix: str) -> str:
+    """The prefix, with marks before it until no column's name begins with it."""
+    while any(name.lower().startswith(prefix) for name in df.columns):
+        prefix = f"_{prefix}"
+    return prefix
+
+
 def text_array(column: pa.Array) -> pa.Array:
     """Texts with nulls as empty texts, with 64-bit offsets."""
     return pc.fill_null(column.cast(pa.large_string()), "")
@@ -69,16 +86,37 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20)
         pool.release_unused()
 
 
+def kept(key, make: Callable):
+    """What a worker process keeps from task to task: one thing. Asking for another frees the one
+    before it, so that a stage's memories do not lie beside those of the next stage."""
+    if key not in _kept:
+        forget()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def forget() -> None:
+    """Free what this worker keeps and give unused memory back to the system."""
+    if _kept:
+        _kept.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
 def rare_collections() -> None:
     """Collect garbage seldom: a worker's many remembered strings would be gone through each time."""
     gc.set_threshold(200_000, 50, 100)
 
 
-def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema, column: str = "text", limit: int = 4 << 20) -> DataFrame:
-    """Apply ``make()(slice)`` to bounded slices; ``make`` runs once per task."""
+def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema, column: str = "text", limit: int = 4 << 20, keeps: bool = False) -> DataFrame:
+    """Apply ``make()(slice)`` to bounded slices; ``make`` runs once per task. Where it ``keeps`` nothing, what the worker has is freed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rare_collections()
+        if not keeps:
+            forget()
         work = make()
         for piece in sliced(batches, column, limit):
             made = work(piece)

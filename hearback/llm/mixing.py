@@ -3,18 +3,19 @@
 Every node's budget is dealt to its children by weight, none above its capacity
 (``max_epochs`` times the tokens below it). What a full child cannot take goes to its
 siblings by weight; only what no sibling can take is missing at the parent, whose own
-siblings then take it, because a parent's capacity is the sum of its children's.
+siblings then take it, because a parent's capacity is the sum of what its leaves can take: those
+of weight above 0 all the way up.
 
 A leaf's stream is its documents in a seeded order per epoch, epoch after epoch; its
 prefix of ``budget`` tokens is taken. That prefix is some whole epochs and the documents
 before one key in the last, so it is described by one row per leaf. Documents are then
 selected by a join with that table and never shuffled or sorted; only the keys of one
-bucket of about ``BUCKET`` documents per leaf are sorted to find the last document.
+bucket of about ``BUCKET`` documents per leaf, which is found in two levels, are sorted to find the last document.
 
 Defined cases: null domain, language or source are values of their own; a null text has
 no tokens; rows without a doc_id are ordered by their text; rows of one leaf with the same
 doc_id stand at one place of the stream and are taken or left together; documents without
-tokens are taken where they stand, and not at all in a leaf without tokens; a weight that
+tokens are taken where they stand, and not at all in a leaf without tokens; a text of any length is counted as a whole; a weight that
 is null or not above 0 gives nothing. Empty input gives empty output. Columns of the input
 that are named like an output column are replaced by it.
 """
@@ -27,9 +28,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import Workspace
-from .common import WORD, workspace
+from .common import WORD, free_prefix, workspace
 
-BUCKET = 50_000
+BUCKET = 2_000
+WIDE = 11  # bits of a bucket's number inside a run of buckets
 TREE = ["domain", "lang", "source"]
 ADDED = ["domain", "epoch", "n_tokens", "taken"]
 
@@ -94,7 +96,10 @@ def deal(nodes: DataFrame, parent: list[str], child: str) -> DataFrame:
 
 def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     """Leaf table (tree, supply, n_docs) with the ``budget`` of each leaf."""
-    leaves = leaves.withColumn("capacity", F.col("supply") * F.lit(mix.max_epochs))
+    takes = F.lit(True)
+    for level in TREE:
+        takes = takes & (F.coalesce(F.expr(mix.weights[level]).cast("long"), F.lit(0)) > 0)
+    leaves = leaves.withColumn("capacity", F.when(takes, F.col("supply") * F.lit(mix.max_epochs)).otherwise(F.lit(0)))
     total = F.sum("supply").over(Window.partitionBy(F.lit(0)))
     roots = leaves.groupBy("domain").agg(F.sum("capacity").alias("capacity"), F.sum("supply").alias("supply"))
     purse = total if mix.budget is None else F.lit(mix.budget).cast("long")
@@ -109,10 +114,19 @@ def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     return nodes.select(*TREE, "supply", "n_docs", "budget")
 
 
-def _with_leaf(df: DataFrame, leaf: DataFrame, how: str = "inner") -> DataFrame:
-    leaf = leaf.select(*(F.col(c).alias(f"__mix_{c}") for c in TREE), *(c for c in leaf.columns if c not in TREE))
-    on = [F.col(c).eqNullSafe(F.col(f"__mix_{c}")) for c in TREE]
-    return df.join(leaf, on, how).drop(*(f"__mix_{c}" for c in TREE))
+def _with_leaf(df: DataFrame, leaf: DataFrame, prefix: str = "__mix_") -> DataFrame:
+    """``df`` with the columns of its rows' leaf, the names of which begin with ``prefix`` or are not in ``df``."""
+    leaf = leaf.select(*(F.col(c).alias(f"{prefix}{c}") for c in TREE), *(c for c in leaf.columns if c not in TREE))
+    on = [F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in TREE]
+    return df.join(leaf, on).drop(*(f"{prefix}{c}" for c in TREE))
+
+
+def _ending(sums: DataFrame, place: str) -> DataFrame:
+    """(leaf, place, before): where each leaf's cut falls among ``sums`` (leaf, place, tokens, cut, first)."""
+    run = Window.partitionBy("leaf").orderBy(place).rowsBetween(Window.unboundedPreceding, 0)
+    sums = sums.withColumn("before", F.col("first") + F.sum("tokens").over(run) - F.col("tokens"))
+    inside = (F.col("before") < F.col("cut")) & (F.col("cut") <= F.col("before") + F.col("tokens"))
+    return sums.filter(inside).select("leaf", place, "before")
 
 
 def plan_mix(docs: DataFrame, mix: Mix, work: Workspace) -> DataFrame:
@@ -139,11 +153,12 @@ def plan_mix(docs: DataFrame, mix: Mix, work: Workspace) -> DataFrame:
     keyed = keyed.select(
         "leaf", "key", "tokens", "cut", F.shiftright((place * buckets).cast("long"), 32).alias("bucket")
     )
-    sums = keyed.groupBy("leaf", "bucket").agg(F.sum("tokens").alias("tokens"), F.max("cut").alias("cut"))
-    run = Window.partitionBy("leaf").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    sums = sums.withColumn("before", F.sum("tokens").over(run) - F.col("tokens"))
-    ends = sums.filter((F.col("before") < F.col("cut")) & (F.col("cut") <= F.col("before") + F.col("tokens")))
-    ends = work.settle(ends.select("leaf", "bucket", "before"), "mix-ends")
+    keyed = keyed.withColumn("wide", F.shiftright("bucket", WIDE))
+    wides = keyed.groupBy("leaf", "wide").agg(F.sum("tokens").alias("tokens"), F.max("cut").alias("cut"))
+    ends = work.settle(_ending(wides.withColumn("first", F.lit(0).cast("long")), "wide"), "mix-wide-ends")
+    sums = keyed.join(ends.withColumnRenamed("before", "first"), ["leaf", "wide"]).groupBy("leaf", "bucket")
+    sums = sums.agg(F.sum("tokens").alias("tokens"), F.max("cut").alias("cut"), F.max("first").alias("first"))
+    ends = work.settle(_ending(sums, "bucket"), "mix-ends")
     near = keyed.join(ends, ["leaf", "bucket"]).groupBy("leaf", "key").agg(
         F.sum("tokens").alias("tokens"), F.max("before").alias("before"), F.max("cut").alias("cut")
     )
@@ -160,18 +175,19 @@ def plan_mix(docs: DataFrame, mix: Mix, work: Workspace) -> DataFrame:
 def select_mix(docs: DataFrame, plan: DataFrame, mix: Mix) -> DataFrame:
     """Documents as often as the plan takes them, with domain, epoch, n_tokens and taken:
     the tokens that count towards the budget, fewer than n_tokens for a leaf's last document."""
+    own = free_prefix(docs, "__mix_")
     docs = docs.withColumns({"domain": F.expr(mix.domain), "n_tokens": token_count(F.col("text"))})
-    docs = _with_leaf(docs, plan.select(*TREE, *(F.col(c).alias(f"__mix_{c}") for c in ("epochs", "last_key", "last_taken"))))
-    docs = docs.withColumn("__mix_key", _key(mix.seed, F.col("__mix_epochs"), _identity()))
-    whole = F.when(F.col("__mix_epochs") > 0, F.sequence(F.lit(0).cast("long"), F.col("__mix_epochs") - 1)).otherwise(
-        F.array().cast("array<bigint>")
-    )
-    within = F.coalesce(F.col("__mix_key") <= F.col("__mix_last_key"), F.lit(False))
-    epochs = F.when(within, F.concat(whole, F.array(F.col("__mix_epochs")))).otherwise(whole)
-    docs = docs.withColumn("epoch", F.explode(epochs))
-    ending = (F.col("epoch") == F.col("__mix_epochs")) & (F.col("__mix_key") == F.col("__mix_last_key"))
-    taken = F.when(ending, F.least(F.col("n_tokens"), F.col("__mix_last_taken"))).otherwise(F.col("n_tokens"))
-    return docs.withColumn("taken", taken).drop("__mix_epochs", "__mix_last_key", "__mix_last_taken", "__mix_key")
+    asked = ["epochs", "last_key", "last_taken"]
+    docs = _with_leaf(docs, plan.select(*TREE, *(F.col(c).alias(f"{own}{c}") for c in asked)), own)
+    last, last_key, last_taken = (F.col(f"{own}{c}") for c in asked)
+    key = F.col(f"{own}key")
+    docs = docs.withColumn(f"{own}key", _key(mix.seed, last, _identity()))
+    whole = F.when(last > 0, F.sequence(F.lit(0).cast("long"), last - 1)).otherwise(F.array().cast("array<bigint>"))
+    within = F.coalesce(key <= last_key, F.lit(False))
+    docs = docs.withColumn("epoch", F.explode(F.when(within, F.concat(whole, F.array(last))).otherwise(whole)))
+    ending = (F.col("epoch") == last) & (key == last_key)
+    taken = F.when(ending, F.least(F.col("n_tokens"), last_taken)).otherwise(F.col("n_tokens"))
+    return docs.withColumn("taken", taken).drop(*(f"{own}{c}" for c in asked), f"{own}key")
 
 
 def mix_sources(docs: DataFrame, mix: Mix) -> DataFrame:

@@ -38,11 +38,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from .common import Distinct, free_mark, map_arrow, text_array, unit_ids
+from .common import Distinct, free_mark, kept, map_arrow, text_array, unit_ids
 
 MARK = "▁"
-KEEP = 200_000  # words a task remembers
-JOINTS = 500_000  # remembered pairs of a worker
+KEEP = 120_000  # words a task remembers, beside those of a slice
+JOINTS = 300_000  # remembered pairs of a worker
+SLICE = 2 << 20
 
 
 class Pieces:
@@ -227,7 +228,7 @@ def encode(df: DataFrame, model: bytes, kind: str = "bpe", check: bool = False)
 
         return work
 
-    return map_arrow(df, make, schema)
+    return map_arrow(df, make, schema, limit=SLICE, keeps=True)
 
 
 def decode(df: DataFrame, model: bytes, kind: str = "bpe") -> DataFrame:
@@ -248,13 +249,6 @@ def decode(df: DataFrame, model: bytes, kind: str = "bpe") -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-_loaded: dict[tuple[int, str], Pieces] = {}
-
-
 def _pieces(model: bytes, kind: str) -> Pieces:
     """One copy for each worker process: the stable pairs it has found serve its later tasks."""
-    key = (hash(model), kind)
-    if key not in _loaded:
-        _loaded.clear()
-        _loaded[key] = Pieces(model, kind)
-    return _loaded[key]
+    return kept(("pieces", hash(model), kind), lambda: Pieces(model, kind))

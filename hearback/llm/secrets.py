@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import Workspace
-from .common import BLANKS, workspace
+from .common import BLANKS, free_prefix, workspace
 
 REACH = 300
 BLOCK = 128
@@ -216,7 +216,7 @@ def report(found: DataFrame) -> DataFrame:
 def mask_secrets(docs: DataFrame, mark: str = MARK) -> DataFrame:
     """``docs`` with every span, strong or linked, replaced by ``mark``; n_chars, where there is
     one, counts the new text. Overlapping spans are one. Texts without spans stay as they are."""
-    work = workspace(docs.sparkSession)
+    work, own = workspace(docs.sparkSession), free_prefix(docs, "__secret_")
     found = find_secrets(docs, work).filter(F.size("spans") > 0)
     key = ["doc_id", "text_key"]
     rows = found.select(*key, F.inline("spans")).distinct()
@@ -225,21 +225,21 @@ def mask_secrets(docs: DataFrame, mark: str = MARK) -> DataFrame:
     rows = rows.withColumn("new", (F.coalesce(upto, F.lit(-1)) <= F.col("start")).cast("int"))
     rows = rows.withColumn("run", F.sum("new").over(line))
     runs = rows.groupBy(*key, "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    runs = runs.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__runs"))
+    runs = runs.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(f"{own}runs"))
     runs = work.settle(runs, "secrets-runs").select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__runs"
+        F.col("doc_id").alias(f"{own}id"), F.col("text_key").alias(f"{own}key"), f"{own}runs"
     )
     text = F.col("text")
-    on = (F.md5(F.coalesce(text, F.lit(""))) == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    on = (F.md5(F.coalesce(text, F.lit(""))) == F.col(f"{own}key")) & F.col("doc_id").eqNullSafe(F.col(f"{own}id"))
     df = docs.join(runs, on, "left")
-    before = lambda i: F.coalesce(F.get("__runs", i - 1)["end"], F.lit(0))
+    before = lambda i: F.coalesce(F.get(f"{own}runs", i - 1)["end"], F.lit(0))
     kept = F.transform(
-        "__runs", lambda r, i: F.substring(text, (before(i) + 1).cast("int"), (r["start"] - before(i)).cast("int"))
+        f"{own}runs", lambda r, i: F.substring(text, (before(i) + 1).cast("int"), (r["start"] - before(i)).cast("int"))
     )
-    tail = F.substring(text, (F.element_at("__runs", -1)["end"] + 1).cast("int"), F.lit(2147483647))
+    tail = F.substring(text, (F.element_at(f"{own}runs", -1)["end"] + 1).cast("int"), F.lit(2147483647))
     masked = F.concat(F.array_join(F.transform(kept, lambda k: F.concat(k, F.lit(mark))), ""), tail)
-    df = df.withColumn("text", F.when(F.col("__runs").isNotNull(), masked).otherwise(text))
+    df = df.withColumn("text", F.when(F.col(f"{own}runs").isNotNull(), masked).otherwise(text))
     if "n_chars" in docs.columns:
         counted = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-        df = df.withColumn("n_chars", F.when(F.col("__runs").isNotNull(), counted).otherwise(F.col("n_chars")))
+        df = df.withColumn("n_chars", F.when(F.col(f"{own}runs").isNotNull(), counted).otherwise(F.col("n_chars")))
     return df.select(*docs.columns)

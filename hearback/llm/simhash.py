@@ -17,7 +17,8 @@ Only links that join something leave a list.
 Defined cases: a null text counts as empty; a text without words has fingerprint 0 and is
 linked like any other; rows without doc_id are linked but never name a component, whose id
 is null if none of its rows has one; repeated rows come out as often as they came in.
-Only doc_id and text are read, so other columns cannot clash.
+Names of inner columns are chosen so that no column of the input has them. Texts of any length are hashed as a whole; of fingerprints
+at the same distance all are linked; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import Workspace
-from .common import map_arrow, ship, text_array, workspace
+from .common import free_prefix, map_arrow, ship, text_array, workspace
 from .components import components
 
 LIST = 4096
@@ -93,18 +94,18 @@ def fingerprints(docs: DataFrame, width: int = 4, seed: int = 42) -> DataFrame:
     return map_arrow(docs.select("doc_id", "text"), make, "doc_id bigint, fp bigint")
 
 
-def _with_print(docs: DataFrame, width: int, seed: int) -> DataFrame:
-    """All columns and the text's fingerprint as ``__fp``."""
+def _with_print(docs: DataFrame, width: int, seed: int, name: str) -> DataFrame:
+    """All columns and the text's fingerprint as ``name``."""
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = text_array(batch.column("text")).cast(pa.large_binary())
             found = pa.array([simhash(t.as_py(), width, seed) for t in texts], pa.int64())
-            return batch.append_column("__fp", found)
+            return batch.append_column(name, found)
 
         return work
 
-    return map_arrow(docs, make, StructType([*docs.schema.fields, StructField("__fp", LongType())]))
+    return map_arrow(docs, make, StructType([*docs.schema.fields, StructField(name, LongType())]))
 
 
 def _tally(x: np.ndarray) -> np.ndarray:
@@ -239,7 +240,8 @@ def keep_first(docs: DataFrame, width: int = 4, bits: int = 4, seed: int = 42) -
 
     Only the ids of the rows that go are joined with the documents.
     """
-    work = workspace(docs.sparkSession)
+    work, own = workspace(docs.sparkSession), free_prefix(docs, "__simhash_")
+    fp, class_fp = f"{own}fp", f"{own}class_fp"
     found = work.stage(near_duplicates(docs, width, bits, seed, work), "simhash-found")
     several = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
@@ -247,14 +249,14 @@ def keep_first(docs: DataFrame, width: int = 4, bits: int = 4, seed: int = 42) -
     named = docs.filter(F.col("doc_id").isNotNull())
     once = named.join(gone, "doc_id", "left_anti").join(several, "doc_id", "left_anti")
     names = found.filter("doc_id = component_id").join(several, "doc_id", "left_semi")
-    names = names.select("doc_id", F.col("fp").alias("__fp"), F.col("class_fp").alias("__class_fp")).distinct()
-    repeated = _with_print(named.join(several, "doc_id", "left_semi"), width, seed)
-    repeated = repeated.join(names, ["doc_id", "__fp"]).dropDuplicates(["__class_fp"])
+    names = names.select("doc_id", F.col("fp").alias(fp), F.col("class_fp").alias(class_fp)).distinct()
+    repeated = _with_print(named.join(several, "doc_id", "left_semi"), width, seed, fp)
+    repeated = repeated.join(names, ["doc_id", fp]).dropDuplicates([class_fp])
     named = once.select(*docs.columns).unionByName(repeated.select(*docs.columns))
     lost = found.filter("component_id is null").select("fp", "class_fp").distinct()
     if lost.isEmpty():
         return named
-    nameless = _with_print(docs.filter(F.col("doc_id").isNull()), width, seed)
-    lost = lost.select(F.col("fp").alias("__fp"), F.col("class_fp").alias("__class_fp"))
-    nameless = nameless.join(lost, "__fp").dropDuplicates(["__class_fp"])
+    nameless = _with_print(docs.filter(F.col("doc_id").isNull()), width, seed, fp)
+    lost = lost.select(F.col("fp").alias(fp), F.col("class_fp").alias(class_fp))
+    nameless = nameless.join(lost, fp).dropDuplicates([class_fp])
     return named.unionByName(nameless.select(*docs.columns))

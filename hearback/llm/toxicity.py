@@ -1,13 +1,15 @@
 """Toxicity by noisy-channel deobfuscation: restore disguised words, then score the restored text.
 
 1. Language model: character trigrams of all plain words of all documents, counted in tasks
-   and summed by Spark. They are hashed to ``CELLS`` cells, which bounds the model's size.
+   and summed by Spark. Each has its own number. A model holds the ``TRIGRAMS`` most frequent ones, which bounds its
+   size; text in some ten alphabets has fewer, and what lies behind them is read as unseen.
 2. Channel: a disguised word is a lattice. A digit or sign stands for the letters it looks
    like, for itself as noise, or for nothing; a letter written several times for one or two;
    a blank or mark between letters for nothing or for a word's end. What is written, a letter
    twice or two words with a mark between, is the reading of cost 0. Viterbi finds the
    reading of highest channel and trigram probability. Words without doubled letters and
-   such characters have one reading and need no search.
+   such characters have one reading and need no search. In a word of letters only, the paths of one
+   repeated letter meet again at the next letter, so each is decided where they meet.
 3. Classifier: words and word beginnings that occur once, twice or three times in the restored text, learned from at most
    ``FIT_ROWS`` labelled texts (half of each class where there are enough; a bounded sample
    by hash; copies of a text with the same label count once). Every feature of five toxic
@@ -26,6 +28,7 @@ from __future__ import annotations
 import heapq
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -37,13 +40,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import ship, sliced, strings_of, text_array, workspace
+from .common import forget, kept, rare_collections, ship, sliced, strings_of, text_array, workspace
 
-CELLS = 1 << 20
+TRIGRAMS = 1 << 22
 FIT_ROWS = 20_000
 KEEP = 200_000
+ASKED = 50_000  # probabilities a worker remembers
 HELD = 100_000  # counts a task holds before it passes them on
-SLICE = 4 << 20
+SLICE = 2 << 20
 PREFIXES = (3, 4, 5, 6, 7)
 TIMES = (1, 2, 3)
 
@@ -67,71 +71,78 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
 
 
-def _cells(a, b, c):
-    mixed = (a * np.uint64(0x9E3779B97F4A7C15) ^ b * np.uint64(0xC2B2AE3D27D4EB4F) ^ c * np.uint64(0x165667B19E3779F9))
-    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (mixed >> np.uint64(44)).astype(np.int64)
-
-
-def _count_trigrams(words: list[str], weights: np.ndarray, tri: np.ndarray, bi: np.ndarray) -> None:
-    """Add the trigrams of words (framed by two starts and an end) and their contexts."""
+def _trigrams(words: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct trigrams of words (framed by two starts and an end), three code points of 21 bits each, and their weights."""
     framed = [f"{START}{START}{w}{END}" for w in words]
-    flat = np.frombuffer("".join(framed).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+    flat = np.frombuffer("".join(framed).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
     lengths = np.fromiter(map(len, framed), dtype=np.int64, count=len(framed))
     ends = np.cumsum(lengths)
     keep = np.ones(len(flat), dtype=bool)
     keep[ends - 1] = keep[ends - 2] = False
     at = np.flatnonzero(keep)
-    times = np.repeat(weights, lengths - 2)
-    zero = np.zeros(len(at), dtype=np.uint64)
-    tri += np.bincount(_cells(flat[at], flat[at + 1], flat[at + 2]), times, CELLS)
-    bi += np.bincount(_cells(flat[at], flat[at + 1], zero), times, CELLS)
+    keys, which = np.unique(flat[at] << 42 | flat[at + 1] << 21 | flat[at + 2], return_inverse=True)
+    return keys, np.bincount(which, np.repeat(weights, lengths - 2), len(keys))
 
 
-@dataclass
 class CharModel:
-    """Character trigrams in hashed cells: counts by cell, and of their contexts."""
-
-    tri: dict[int, float]
-    bi: dict[int, float]
-    seen: dict[tuple[str, str, str], float] = field(default_factory=dict)
+    """Character trigrams and their contexts with their counts, in order of their numbers."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.counts = keys[order], counts[order].astype(np.float64)
+        first = np.flatnonzero(np.r_[True, self.keys[1:] >> 21 != self.keys[:-1] >> 21][: len(keys)])
+        self.contexts = self.keys[first] >> 21
+        self.sums = np.add.reduceat(self.counts, first) if len(first) else np.zeros(0)
+        self.seen: dict[str, float] = {}
+        self.once: dict[tuple[str, str, str, bool], bool] = {}
+
+    @staticmethod
+    def _at(keys: np.ndarray, values: np.ndarray, key: int) -> float:
+        i = int(np.searchsorted(keys, key))
+        return float(values[i]) if i < len(keys) and keys[i] == key else 0.0
 
     def log(self, a: str, b: str, c: str) -> float:
-        key = (a, b, c)
-        if key not in self.seen:
-            x, y, z = (np.array([ord(s)], dtype=np.uint64) for s in key)
-            n = self.tri.get(int(_cells(x, y, z)[0]), 0.0)
-            of = self.bi.get(int(_cells(x, y, np.zeros(1, dtype=np.uint64))[0]), 0.0)
-            if len(self.seen) > KEEP:
+        found = self.seen.get(a + b + c)
+        if found is None:
+            pair = ord(a) << 21 | ord(b)
+            n, of = self._at(self.keys, self.counts, pair << 21 | ord(c)), self._at(self.contexts, self.sums, pair)
+            if len(self.seen) > ASKED:
                 self.seen.clear()
-            self.seen[key] = math.log((n + 0.05) / (of + 5.0))
-        return self.seen[key]
+            found = self.seen[a + b + c] = math.log((n + 0.05) / (of + 5.0))
+        return found
+
+    def single(self, before: str, c: str, after: str, long: bool) -> bool:
+        """Whether a repeated letter between two others is read as one: both paths are in the same state after ``after``."""
+        key = (before, c, after, long)
+        found = self.once.get(key)
+        if found is None:
+            if len(self.once) > ASKED:
+                self.once.clear()
+            one, two = (COST["once"], COST["twice"]) if long else (COST["doubled"], COST["same"])
+            one += self.log(before, c, after)
+            two += self.log(before, c, c) + self.log(c, c, after)
+            found = self.once[key] = one >= two
+        return found
 
 
 def learn_characters(docs: DataFrame) -> CharModel:
     """Trigrams of every plain word of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tri, bi = np.zeros(CELLS), np.zeros(CELLS)
+        forget()
         for batch in sliced(batches, "text", SLICE):
             words, _ = split_words(text_array(batch.column("text")))
             counted = words.value_counts()
             distinct, times = strings_of(counted.field("values")), counted.field("counts").to_numpy()
             plain = [i for i, w in enumerate(distinct) if w.isalpha()]
             if plain:
-                _count_trigrams([distinct[i] for i in plain], times[plain].astype(np.float64), tri, bi)
-        for kind, counts in enumerate((tri, bi)):
-            cells = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cells * 2 + kind), pa.array(counts[cells])], ["cell", "n"]
-            )
+                keys, n = _trigrams([distinct[i] for i in plain], times[plain].astype(np.float64))
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["trigram", "n"])
 
     ship(docs.sparkSession)
-    cells = docs.select("text").mapInArrow(run, "cell bigint, n double").groupBy("cell").agg(F.sum("n").alias("n"))
-    table = cells.toPandas()  # at most 2 * CELLS rows
-    kind = table["cell"] % 2
-    tri, bi = (dict(zip((table["cell"] // 2)[kind == k], table["n"][kind == k])) for k in (0, 1))
-    return CharModel(tri, bi)
+    counted = docs.select("text").mapInArrow(run, "trigram bigint, n double").groupBy("trigram").agg(F.sum("n").alias("n"))
+    table = counted.orderBy(F.desc("n"), "trigram").limit(TRIGRAMS).toArrow()
+    return CharModel(*(table[c].combine_chunks().to_numpy() for c in ("trigram", "n")))
 
 
 def lattice(token: str) -> list[list[tuple[str, float]]]:
@@ -179,13 +190,25 @@ def viterbi(places: list[list[tuple[str, float]]], model: CharModel) -> list[str
 
 
 TWICE = re.compile(r"(.)\1", re.S)
+SEVERAL = re.compile(r"(.)\1+", re.S)
+
+
+def undouble(word: str, model: CharModel) -> str:
+    """The most likely reading of a word of letters: each repeated letter once or twice."""
+    parts, at = [], 0
+    for run in SEVERAL.finditer(word):
+        a, b = run.span()
+        before, after = word[a - 1] if a else START, word[b] if b < len(word) else END
+        parts += (word[at:a], run[1] if model.single(before, run[1], after, b - a > 2) else run[1] * 2)
+        at = b
+    return "".join(parts) + word[at:]
 APART = re.compile(r"(?:[^\w@$!|+*(€£]|_)+")
 
 
 def restore(token: str, model: CharModel) -> list[str]:
     """Plain words that a lower-cased token stands for."""
     if token.isalpha():
-        return viterbi(lattice(token), model) if TWICE.search(token) else [token]
+        return [undouble(token, model)] if TWICE.search(token) else [token]
     core = token.strip(EDGE)
     if core.isalpha() and core == token.rstrip(EDGE) and not TWICE.search(core) and not (token[-1] in LOOKS and token[-2:-1].isalpha()):
         return [core]
@@ -198,8 +221,8 @@ def restore(token: str, model: CharModel) -> list[str]:
     if end < len(token) and token[end] in LOOKS and token[end + 1 : end + 2] != token[end]:
         end += 1
     core = token[begin:end]
-    if core.isalpha() and not TWICE.search(core):
-        return [core]
+    if core.isalpha():
+        return [undouble(core, model)]
     single = re.fullmatch(rf"(?:[^\W_]|[{re.escape(''.join(LOOKS))}])(?:[{re.escape(MARKS)}]+(?:[^\W_]|[{re.escape(''.join(LOOKS))}])){{2,}}", core)
     if single or not APART.search(core):
         return viterbi(lattice(core), model)
@@ -243,19 +266,28 @@ def features(word: str) -> list[str]:
     return [f"={word}", *(f"^{word[:n]}" for n in PREFIXES if len(word) > n)]
 
 
+def known_features(known: set[str]):
+    """Those of words' features that are ``known``; most words do not begin like any of them."""
+    heads = {name[1:4] for name in known}
+    return lambda words: tuple(f for w in words if w[:3] in heads for f in features(w) if f in known)
+
+
 class Reader:
     """Restored words of texts; each distinct token is restored once and kept for a while."""
 
     def __init__(self, model: CharModel, value, keep: int = KEEP):
         self.model, self.value, self.keep, self.known = model, value, keep, {}
 
-    def _of(self, token: str):
-        found = self.known.get(token)
-        if found is None:
-            if len(self.known) > self.keep:
-                self.known.clear()
-            words = restore(token, self.model) if " " not in token else viterbi(lattice(token), self.model)
-            found = self.known[token] = self.value(words)
+    def _of(self, tokens: list[str]) -> list:
+        known = self.known
+        if len(known) > self.keep:
+            known.clear()
+        found = list(map(known.get, tokens))
+        for i, value in enumerate(found):
+            if value is None:
+                token = tokens[i]
+                words = restore(token, self.model) if " " not in token else viterbi(lattice(token), self.model)
+                found[i] = known[token] = self.value(words)
         return found
 
     def __call__(self, texts: pa.Array):
@@ -265,8 +297,8 @@ class Reader:
         coded = words.dictionary_encode()
         runs, owners = spelled(words, starts)
         return (
-            [self._of(t) for t in strings_of(coded.dictionary)], coded.indices.to_numpy(zero_copy_only=False),
-            starts, [self._of(r) for r in runs], owners,
+            self._of(strings_of(coded.dictionary)), coded.indices.to_numpy(zero_copy_only=False),
+            starts, self._of(runs), owners,
         )
 
 
@@ -295,6 +327,7 @@ class Model:
     characters: CharModel
     chance: dict[tuple[str, int], float]
     base: float
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
 def learn(docs: DataFrame, labels: DataFrame, characters: CharModel, rows: int = FIT_ROWS) -> Model:
@@ -315,6 +348,7 @@ def learn(docs: DataFrame, labels: DataFrame, characters: CharModel, rows: int =
     ship(spark)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         reader = Reader(sent.value, lambda words: [f for w in words for f in features(w)], KEEP // 8)
         found: tuple[Counter, Counter] = (Counter(), Counter())
 
@@ -351,8 +385,7 @@ def learn(docs: DataFrame, labels: DataFrame, characters: CharModel, rows: int =
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = wanted.value
-        keep = {name for name, _ in number}
-        reader = Reader(sent.value, lambda words: [f for w in words for f in features(w) if f in keep], KEEP // 8)
+        reader = Reader(sent.value, known_features({name for name, _ in number}), KEEP // 8)
         for batch in sliced(batches, "text", SLICE):
             found = [[number[f] for f in own if f in number] for own in _text_features(reader, text_array(batch.column("text")))]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32()))], ["held"])
@@ -399,9 +432,9 @@ def add_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     order = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rare_collections()
         learned = sent.value
-        known = {f for f, _ in learned.chance}
-        reader = Reader(learned.characters, lambda words: tuple(f for w in words for f in features(w) if f in known))
+        reader = kept(("toxicity", learned.name), lambda: Reader(learned.characters, known_features({f for f, _ in learned.chance})))
         for batch in sliced(batches, "text", SLICE):
             clean = np.full(batch.num_rows, 1.0 - learned.base)
             for i, own in enumerate(_text_features(reader, text_array(batch.column("text")))):

@@ -7,6 +7,8 @@ COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 EXTRA = [
     "score", "fp", "epoch", "domain", "ids", "fingerprint", "slot", "part", "component_id", "lang_pred", "taken",
     "n_tokens", "base", "spans", "parts", "leaf", "key", "tokens", "budget", "extra", "digest", "last", "round_trip",
+    "__fp", "__class_fp", "__key", "__id", "__runs", "__mix_key", "__mix_domain", "__mix_epochs", "__score", "__kept_domain",
+    "__secret_id", "__secret_runs", "__simhash_fp", "__simhash_class_fp", "grp", "idx", "label", "bucket", "place", "run",
 ]
 LONG = "The quick fox met password=hunter22 and idiot 日本語 " * 4000
 

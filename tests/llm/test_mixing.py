@@ -76,3 +76,32 @@ def test_rough_rows(rough, nothing):
 def test_rows_without_tokens_only(spark):
     docs = spark.createDataFrame([(1, None, "en", "a"), (2, "", "en", "a")], "doc_id long, text string, lang string, source string")
     assert mixing.mix_sources(docs, MIX).collect() == []
+
+
+def test_leaves_of_no_weight_lend_no_capacity(spark):
+    """What a node's leaves without weight could hold is no capacity: its siblings take the budget."""
+    leaves = spark.createDataFrame(
+        [("x", "en", "a", 100, 1), ("x", "en", "b", 100, 1), ("y", "en", "c", 200, 1), ("y", "de", "c", 500, 1), ("z", "en", "c", 70, 1)],
+        "domain string, lang string, source string, supply long, n_docs long",
+    )
+    weights = {"domain": "CASE WHEN domain = 'z' THEN null ELSE 1 END", "lang": "CASE lang WHEN 'de' THEN 0 ELSE 1 END", "source": "CASE source WHEN 'a' THEN 0 ELSE 1 END"}
+    mix = mixing.Mix("''", weights, budget=300, max_epochs=1)
+    got = {(r["domain"], r["lang"], r["source"]): r["budget"] for r in mixing.budgets(leaves, mix).collect()}
+    assert got == {("x", "en", "a"): 0, ("x", "en", "b"): 100, ("y", "en", "c"): 200, ("y", "de", "c"): 0, ("z", "en", "c"): 0}
+
+
+def test_the_cut_is_found_in_small_buckets(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET", 3)
+    monkeypatch.setattr(mixing, "WIDE", 2)
+    docs = spark.createDataFrame([(i, "w " * (i % 7), "en", "a") for i in range(200)], "doc_id long, text string, lang string, source string")
+    for budget in (1, 99, 433, 591):
+        mix = mixing.Mix("'d'", {"domain": "1", "lang": "1", "source": "1"}, budget=budget, max_epochs=1)
+        rows = mixing.mix_sources(docs, mix).collect()
+        order = sorted(range(200), key=lambda i: __import__("hashlib").md5(f"17:0:{i}".encode()).hexdigest())
+        want, left = {}, budget
+        for i in order:
+            if left <= 0:
+                break
+            want[i] = min(left, i % 7)
+            left -= want[i]
+        assert {r["doc_id"]: r["taken"] for r in rows} == want

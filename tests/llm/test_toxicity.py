@@ -2,6 +2,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -119,7 +120,7 @@ def test_rare_signs_on_a_rich_vocabulary(spark):
     texts = [(i, t + f" n{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i % 10]}", k) for i, t, k in texts]  # no copies
     docs = documents(spark, [(i, t, "en", "a") for i, t, _ in texts])
     labels = spark.createDataFrame([(i, k) for i, _, k in texts], "doc_id long, toxic int")
-    learned = toxicity.learn(docs, labels, toxicity.CharModel({}, {}))
+    learned = toxicity.learn(docs, labels, toxicity.CharModel(np.zeros(0, dtype=np.int64), np.zeros(0)))
     assert ("=zyqyx", 1) in learned.chance
 
 
@@ -140,3 +141,21 @@ def test_query(spark, small):
     found = queries.QUERIES["op9_toxicity"](spark, small)
     assert found.count() == spark.read.parquet(f"{small}/documents.parquet").count()
     assert found.filter("predicted <> cast(score >= 0.5 as int)").count() == 0
+
+
+def test_repeated_letters_are_read_as_by_the_search(model):
+    rng = random.Random(5)
+    for _ in range(400):
+        word = "".join(rng.choice("idotmrns") * rng.choice([1, 1, 2, 2, 3, 4]) for _ in range(rng.randrange(1, 7)))
+        assert [toxicity.undouble(word, model.characters)] == toxicity.viterbi(toxicity.lattice(word), model.characters), word
+
+
+def test_trigrams_are_counted_exactly(spark):
+    """Many alphabets: no two trigrams share a count."""
+    words = ["".join(chr(0x4E00 + (i * k) % 9000) for k in (1, 7, 13)) for i in range(3000)]
+    docs = documents(spark, [(0, " ".join(words), "zh", "a"), (1, " ".join(words[:100]), "zh", "a"), (2, None, None, None)])
+    found = toxicity.learn_characters(docs)
+    for i in (3, 50, 150, 2999):
+        of = sum(w.startswith(words[i][:2]) * (2 if n < 100 else 1) for n, w in enumerate(words))
+        n = sum((w == words[i]) * (2 if k < 100 else 1) for k, w in enumerate(words))
+        assert abs(found.log(*words[i]) - __import__("math").log((n + 0.05) / (of + 5.0))) < 1e-9
