@@ -1,4 +1,9 @@
-"""Corpus pipeline over ``documents``: each stage is written as Parquet and read by the next."""
+"""Corpus pipeline over ``documents``: each stage is written as Parquet and read by the next.
+
+Defined cases are those of the operators: rows with nulls, empty or very long texts go through every stage; of equal
+rows and ties the near-dedup stage keeps one; an empty table gives no rows; all columns but those a stage
+changes come out as they came in, whatever their names, up to the last stage, which has columns of its own.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearback.llm import mixing, pieces, secrets, simhash, toxicity
-from hearback.llm.common import workspace
+from hearback.llm.common import free_prefix, workspace
 from hearback.llm.queries import MIX, vocabulary
 
 
@@ -16,7 +21,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents whose restored text scores below 0.5."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.fit(docs, labels)
-    return toxicity.add_score(docs, model, "__score").filter("__score < 0.5").select(*docs.columns)
+    score = free_prefix(docs, "__score")
+    return toxicity.add_score(docs, model, score).filter(F.col(score) < 0.5).select(*docs.columns)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +37,8 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's budget takes them, columns as they came."""
-    held = {c: f"__kept_{c}" for c in mixing.ADDED if c in docs.columns}
+    own = free_prefix(docs, "__kept_")
+    held = {c: f"{own}{c}" for c in docs.columns if c.lower() in mixing.ADDED}
     mixed = mixing.mix_sources(docs.withColumnsRenamed(held), MIX)
     return mixed.select(*(F.col(held.get(c, c)).alias(c) for c in docs.columns))
 
