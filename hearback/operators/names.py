@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.masks import CAP_TOKEN, END, NOT_FIRST_NAMES, START
 from ..functions.scalars import SPACE_CLASS, strip, text_or_empty
+from .bloom import may_be_in
 from .skew import HOT_ROWS, hottest, spread_join
 
 # A lookahead finds overlapping pairs: in "Hello Jane Doe" also "Jane Doe".
@@ -64,9 +65,10 @@ def known_names(
 
     Rows without a hit do not appear, and every array is bounded by its own row's
     text. A registry counted to be small is broadcast and the texts are scanned
-    once, without a shuffle. A larger one is joined by shuffle, with pairs that many
-    rows have in common spread over salts; ``stage`` then keeps the pairs as a table
-    so that the texts are still scanned only once.
+    once, without a shuffle. A larger one is joined by shuffle: a Bloom filter of the registry
+    first drops what it does not hold, in the tasks that scan the texts, so that little more than the
+    hits is written and shuffled. Pairs that many rows have in common are spread over salts; ``stage``
+    keeps the pairs as a table so that the texts are scanned only once.
     """
     found = texts.select(*keys, F.explode(F.array_distinct(pairs)).alias("_pair"))
     first = F.regexp_extract("_pair", "^(" + CAP_TOKEN + ")", 1)
@@ -83,6 +85,7 @@ def known_names(
     if registry_rows is not None and registry_rows <= BROADCAST_NAMES:
         hits = wanted.join(F.broadcast(registry), on, "left_semi")
     else:
+        wanted = may_be_in(wanted, registry, on, registry.count() if registry_rows is None else registry_rows)
         wanted = stage(wanted) if stage else wanted
         counts = wanted.groupBy(*on).agg(F.count("*").alias("_n"))
         known = counts.filter("_n > 0").join(registry, on, "left_semi").select(*on)

@@ -332,7 +332,7 @@ SELECT doc_id, count(*) AS n_names, string_agg(value, ',' ORDER BY value) AS nam
 def known_names_found(spark: SparkSession, sf: str) -> DataFrame:
     docs = widen(load(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     registry = page_names(spark, sf)
-    hits = names.known_names(docs, ["doc_id"], names.capital_pairs(F.col("text")), registry, registry.count())
+    hits = names.known_names(docs, ["doc_id"], names.capital_pairs(F.col("text")), registry)  # by filter and shuffle
     keys = F.array_sort(F.array_distinct(F.transform("known_pairs", names.pair_key)))
     return hits.filter(F.size("known_pairs") > 0).select(
         "doc_id", F.size(keys).cast("long").alias("n_names"), F.array_join(keys, ",").alias("names")

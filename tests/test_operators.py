@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from hearback.operators import audit, identity, names, quality, records, skew
+from hearback.operators import audit, bloom, identity, names, quality, records, skew
 from hearback.plans import recipes
 
 
@@ -150,6 +150,33 @@ def test_known_names_both_ways(spark):
         ]
 
 
+def test_bloom_keeps_every_key_and_little_else(spark):
+    keys = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("k"), (F.col("id") % 3).alias("g"))
+    other = spark.range(40_000).select(F.concat(F.lit("x"), "id").alias("k"), (F.col("id") % 3).alias("g"), F.lit(1).alias("_x"))
+    mixed = keys.withColumn("_x", F.lit(0)).union(other).union(spark.sql("SELECT null, 1L, 2"))
+    got = {r["_x"]: r["count"] for r in bloom.may_be_in(mixed, keys, ["k", "g"], 20_000).groupBy("_x").count().collect()}
+    assert got[0] == 20_000 and got.get(1, 0) < 800 and 2 not in got
+    assert bloom.may_be_in(mixed, keys.limit(0), ["k", "g"], 0).count() == 0
+    # a full filter only lets more pass
+    assert bloom.may_be_in(mixed, keys, ["k", "g"], 50).filter("_x = 0").count() == 20_000
+    assert bloom.parts_for(10**12) == bloom.MOST_PARTS
+
+
+def test_names_are_filtered_before_the_shuffle(spark):
+    """What is written for the join are the hits and a few others, not every pair of capitals."""
+    registry = spark.range(3000).select(F.lit("full").alias("kind"), F.concat(F.lit("ann"), F.lit(" smith"), "id").alias("value"))
+    texts = spark.range(5000).select("id", F.concat(F.lit("Said Bob Jones and Ann Smith"), "id").alias("t"))
+    kept = []
+
+    def stage(df):
+        kept.append(df.count())
+        return df
+
+    pairs = F.array(F.lit("Said Bob"), F.lit("Bob Jones"), F.concat(F.lit("Ann Smith"), "id"), F.concat(F.lit("Eve Smith"), "id"))
+    found = names.known_names(texts, ["id"], pairs, registry, stage=stage)
+    assert found.count() == 3000 and 3000 <= kept[0] < 3400
+
+
 def test_leaks(spark):
     registry = spark.createDataFrame([("full", "jane doe"), ("full", "jo b"), ("first", "Jane")], "kind string, value string")
     table = spark.createDataFrame(
