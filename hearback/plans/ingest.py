@@ -46,7 +46,8 @@ LAYOUT_BYTES_PER_COLUMN = 400
 
 @dataclass
 class Result:
-    """Outcome of a run. ``tables`` and ``manifest`` are lazy tables over the work folder."""
+    """Outcome of a run. ``tables`` and ``manifest`` are lazy tables over the run's folder once it is
+    published, and over the work folder otherwise. The registry of names goes with the work folder."""
 
     ok: bool
     published: bool
@@ -56,7 +57,7 @@ class Result:
 
 
 def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows per table."""
+    """Rows per table, counted by reading them; a run that publishes takes them from its writes."""
     return union_all(
         [df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table_name"), "rows") for name, df in tables.items()]
     )
@@ -117,10 +118,12 @@ def ingest(
     taxonomy: Taxonomy,
     work_dir: str | None = None,
     dry_run: bool = False,
+    keep_work: bool = False,
 ) -> Result:
     """Rebuild everything from all month folders under ``root``.
 
-    Nothing is written to ``out`` when any file fails to reconcile, or on a dry run.
+    Nothing is written to ``out`` when any file fails to reconcile, or on a dry run. The work folder holds raw
+    cells: it is removed when the run has been published, unless ``keep_work`` is set.
     """
     work = Workspace(spark, work_dir)
     run, files = read_exports(spark, root, settings, work)
@@ -169,6 +172,9 @@ def ingest(
     if ok and not dry_run:
         publish(spark, result, outputs, out)
         result.published = True
+        if not keep_work:
+            result.registry = None
+            work.remove()
     return result
 
 
@@ -258,14 +264,18 @@ def publish(spark: SparkSession, result: Result, outputs: dict[str, Output], out
     """Write everything to the run's own folder, then make it the current one."""
     run = published.new_run()
     base = f"{out}/{run}"
-    for name, df in result.tables.items():
-        published.publish_table(df, base, name)
+    rows = [(name, published.publish_table(df, base, name)) for name, df in result.tables.items()]
+    counted = [(name, n) for name, n in rows if name != "reconciliation"]
+    result.manifest["tables"] = spark.createDataFrame(counted, "table_name string, rows long")
     copies = [mirror(o.shaped, s) for s, o in outputs.items() if s != "documents"]
     if "documents" in outputs:
         copies.append(reports.mirror(outputs["documents"].shaped))
     published.publish_mirror(union_all(copies), base)
     published.write_manifest(result.manifest, base)
     published.make_current(spark, out, run)
+    result.tables = {name: published.read_table(spark, out, name) for name in result.tables}
+    parts = {name: (df.schema, f"{base}/manifest/{name}") for name, df in result.manifest.items()}
+    result.manifest = {name: spark.read.schema(schema).json(path) for name, (schema, path) in parts.items()}
 
 
 def leak_check(
@@ -275,7 +285,8 @@ def leak_check(
 
     Names come from a fresh scan of the exports, as in the run itself.
     """
-    run, _ = read_exports(spark, root, settings, Workspace(spark, work_dir))
+    work = Workspace(spark, work_dir)
+    run, _ = read_exports(spark, root, settings, work)
     registry = run.registry if run.registry is not None else published.empty(spark, "kind string, value string")
     tables = {f"data/{name}": published.read_table(spark, out, name) for name in TABLES}
     copy = published.read_mirror(spark, out).select(F.transform("cells", lambda c: c["value"]).alias("cells"))

@@ -67,6 +67,26 @@ class Workspace:
         return F.broadcast(table) if size <= BROADCAST_BYTES else table
 
 
+    def remove(self) -> None:
+        """Delete the folder and all tables in it."""
+        remove_folder(self.spark, self.root)
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder in whatever store its path names; whether there was one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+def folders_in(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Names of the folders right below ``path`` and when each was last changed (milliseconds)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not files.exists(folder):
+        return []
+    return [(f.getPath().getName(), f.getModificationTime()) for f in files.listStatus(folder) if f.isDirectory()]
+
+
 class Inline(Workspace):
     """Keeps every step in the one lazy plan; for small inputs and single queries."""
 
@@ -79,6 +99,9 @@ class Inline(Workspace):
     def settle(self, df: DataFrame, name: str) -> DataFrame:
         return df
 
+    def remove(self) -> None:
+        pass
+
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -1,20 +1,22 @@
 """Published tables, mirror and run state: writing and reading back.
 
 A run writes to a folder of its own, ``runs/<id>``, and is made the current one by a last
-small file in ``published``: readers see all of a run or all of the one before it. Folders of
-earlier runs stay until someone removes them.
+small file in ``published``: readers see all of a run or all of the one before it. ``remove_old_runs``
+removes earlier runs that no reader holds, and what failed runs have left.
 """
 
 from __future__ import annotations
 
 import uuid
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import folders_in, remove_folder
+
 from ..schemas import TABLES
 
 MIRROR_SCHEMA = (
@@ -22,7 +24,10 @@ MIRROR_SCHEMA = (
     "cells array<struct<column:string,label:string,value:string>>"
 )
 
+MIRROR_BLOCK = 16 * 1024 * 1024  # bytes of a row group: what a look-up of one record reads
+
 POINTER = "run string, published_at string"
+HOLD = "reader string, run string, until string"
 
 # Parts of the run report.
 MANIFEST = {
@@ -68,17 +73,26 @@ def current(spark: SparkSession, out: str) -> str:
     return f"{out}/{last['run']}" if last else out
 
 
-def publish_table(df: DataFrame, base: str, name: str) -> None:
-    """Write a table of a run, one folder per month where it has one, in files of even size."""
-    df = conform(df, TABLES[name])
-    if "period" in TABLES[name].names:
-        df.hint("rebalance", "period").write.partitionBy("period").parquet(f"{base}/data/{name}")
-    else:
-        df.write.parquet(f"{base}/data/{name}")
+def publish_table(df: DataFrame, base: str, name: str) -> int:
+    """Write a table of a run, one folder per month where it has one, in files of even size.
+
+    The rows are counted as they are written and their number is returned. The count is taken in the
+    stage that writes, whose tasks count once, also where a lost executor has had earlier stages run again.
+    """
+    df, counted = conform(df, TABLES[name]), Observation()
+    by_period = "period" in TABLES[name].names
+    df = df.hint("rebalance", "period") if by_period else df
+    writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write
+    (writer.partitionBy("period") if by_period else writer).parquet(f"{base}/data/{name}")
+    return counted.get["rows"]
 
 
 def publish_mirror(df: DataFrame, base: str) -> None:
-    df.hint("rebalance", "period", "source").write.partitionBy("period", "source").parquet(f"{base}/mirror")
+    """Write the mirror by month and source, each file in order of file and row and with Bloom filters of
+    the file names, so that a look-up of a few records reads the row groups of their files only."""
+    rows = df.hint("rebalance", "period", "source").sortWithinPartitions("period", "source", "source_file", "row_number")
+    writer = rows.write.partitionBy("period", "source").option("parquet.bloom.filter.enabled#source_file", "true")
+    writer.option("parquet.block.size", MIRROR_BLOCK).parquet(f"{base}/mirror")
 
 
 def read_table(spark: SparkSession, out: str, name: str) -> DataFrame:
@@ -90,6 +104,62 @@ def read_mirror(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema(MIRROR_SCHEMA).parquet(f"{current(spark, out)}/mirror")
 
 
+def published_runs(spark: SparkSession, out: str) -> list[str]:
+    """Folders of all runs that became current, the latest first; their number is that of the runs kept."""
+    try:
+        rows = spark.read.schema(POINTER).json(f"{out}/published").dropna().collect()
+    except AnalysisException:
+        return []
+    return [r["run"] for r in sorted(rows, key=lambda r: r["published_at"], reverse=True)]
+
+
+def hold(spark: SparkSession, out: str, reader: str, hours: float = 24) -> str:
+    """Note that ``reader`` reads the current run for so long; it is not removed meanwhile. Returns its folder."""
+    base = current(spark, out)
+    until = (datetime.now(timezone.utc) + timedelta(hours=hours)).isoformat(timespec="microseconds")
+    held = [(reader, base.removeprefix(f"{out}/"), until)]
+    spark.createDataFrame(held, HOLD).coalesce(1).write.mode("append").json(f"{out}/holds")
+    return base
+
+
+def held_runs(spark: SparkSession, out: str) -> set[str]:
+    """Runs that a reader holds now: each reader's last note counts."""
+    try:
+        notes = spark.read.schema(HOLD).json(f"{out}/holds").dropna().collect()
+    except AnalysisException:
+        return set()
+    now = datetime.now(timezone.utc).isoformat(timespec="microseconds")
+    last = {}
+    for note in sorted(notes, key=lambda n: n["until"]):
+        last[note["reader"], note["run"]] = note["until"]
+    return {run for (_, run), until in last.items() if until > now}
+
+
+def remove_old_runs(spark: SparkSession, out: str, keep: int = 2, failed_after_hours: float = 48) -> list[str]:
+    """Remove runs behind the last ``keep`` published ones that no reader holds, and folders of runs that never
+    became current and have not been changed for ``failed_after_hours``. The current run always stays."""
+    done = published_runs(spark, out)
+    staying = set(done[: max(1, keep)]) | held_runs(spark, out)
+    limit = (datetime.now(timezone.utc) - timedelta(hours=failed_after_hours)).timestamp() * 1000
+    gone = []
+    for name, changed in folders_in(spark, f"{out}/runs"):
+        run = f"runs/{name}"
+        if run not in staying and (run in done or changed < limit) and remove_folder(spark, f"{out}/{run}"):
+            gone.append(run)
+    return sorted(gone)
+
+
+def persist_views(spark: SparkSession, out: str, database: str = "default") -> list[str]:
+    """Views in the session's catalog over the tables of the current run; with a lasting catalog they
+    outlive the session. A later run becomes visible when this is called again."""
+    base = current(spark, out)
+    for name, schema in TABLES.items():
+        columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
+        path = f"{base}/data/{name}".replace("`", "``")
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT {columns} FROM parquet.`{path}`")
+    return list(TABLES)
+
+
 def register_views(spark: SparkSession, out: str) -> list[str]:
     """Temporary views over all published tables, for Spark SQL."""
     for name in TABLES:

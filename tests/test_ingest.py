@@ -13,7 +13,7 @@ from hearback.operators import records
 from hearback.plans import cancel_flow, recipes, tickets
 from hearback.plans.family import sequence
 from hearback.plans.ingest import ingest, leak_check
-from hearback.session import Workspace
+from hearback.session import Workspace, folders_in
 from hearback.settings import Settings, load_taxonomy
 from hearback.sources import published
 
@@ -198,6 +198,78 @@ def test_no_personal_data_left(spark, place, settings, run):
     assert rows(leaks, "where", "kind", "n") == []
 
 
+def test_sizes_come_from_the_writes(spark, place, run, table):
+    got = by(run.manifest["tables"], "table_name")
+    assert got and all(r["rows"] == table(name).count() for name, r in got.items())
+
+
+def test_nothing_raw_is_left_after_a_run(spark, place, settings, taxonomy, monkeypatch):
+    used = []
+
+    class Noted(Workspace):
+        def __init__(self, *args):
+            super().__init__(*args)
+            used.append(self.root)
+
+    monkeypatch.setattr("hearback.plans.ingest.Workspace", Noted)
+    root, out, work = small(place, "raw8", [CANCEL_HEADER, ["x1"]]), str(place / "out8"), str(place / "work8")
+    result = ingest(spark, root, out, settings, taxonomy, work)
+    assert result.published and folders_in(spark, used[0]) == []
+    assert result.tables["cancellations"].count() == 4 and result.manifest["alerts"].count() >= 0
+    dry = ingest(spark, root, out, settings, taxonomy, work, dry_run=True)
+    assert dry.tables["cancellations"].count() == 4 and folders_in(spark, used[1]) != []
+
+
+def test_old_runs_are_removed_unless_a_reader_holds_them(spark, tmp_path):
+    out, runs = str(tmp_path / "out"), []
+    for i in range(4):
+        runs.append(published.new_run())
+        spark.range(i).write.parquet(f"{out}/{runs[i]}/data/studies")
+        published.make_current(spark, out, runs[i])
+        if i == 1:
+            reading = published.hold(spark, out, "report")
+    (tmp_path / "out" / "runs" / "failed").mkdir()
+    assert published.published_runs(spark, out) == runs[::-1] and reading == f"{out}/{runs[1]}"
+    assert published.remove_old_runs(spark, out, keep=1) == sorted([runs[0], runs[2]])  # the failed one is too young
+    assert spark.read.parquet(f"{reading}/data/studies").count() == 1
+    assert published.remove_old_runs(spark, out, keep=1, failed_after_hours=-1) == ["runs/failed"]
+    published.hold(spark, out, "nobody", hours=-1)
+    assert published.remove_old_runs(spark, out, keep=0) == [] and published.current(spark, out) == f"{out}/{runs[3]}"
+    assert published.remove_old_runs(spark, str(tmp_path / "nowhere")) == []
+
+
+def test_lasting_views(spark, place, run, table):
+    spark.sql("CREATE DATABASE IF NOT EXISTS lasting LOCATION '" + str(place / "lasting") + "'")
+    published.persist_views(spark, str(place / "out"), "lasting")
+    other = spark.newSession()
+    assert other.sql("SELECT count(*) FROM lasting.evidence").first()[0] == table("evidence").count()
+    assert other.table("lasting.tickets").schema == table("tickets").schema
+
+
+def test_a_look_up_reads_the_row_groups_of_its_file(spark, tmp_path, monkeypatch):
+    """Mirror rows lie by file, and the filters of file names keep other row groups from being read."""
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(published, "MIRROR_BLOCK", 16 * 1024)
+    cells = F.transform(F.sequence(F.lit(1), F.lit(6)), lambda i: F.struct(F.lit("c").alias("column"), F.lit("l").alias("label"), F.sha2(F.concat("id", i), 256).alias("value")))
+    df = spark.range(20_000).select(
+        F.lit("2026-07").alias("period"), F.lit("freshdesk").alias("source"),
+        F.concat(F.lit("2026-07/f"), F.lpad((F.col("id") % 400).cast("string"), 3, "0")).alias("source_file"), F.col("id").alias("row_number"), cells.alias("cells"),
+    )
+    published.publish_mirror(df, str(tmp_path))
+    files = [pq.ParquetFile(p).metadata for p in (tmp_path / "mirror").rglob("*.parquet")]
+    groups = [m.row_group(g) for m in files for g in range(m.num_row_groups)]
+    spans = [(g.column(0).statistics.min, g.column(0).statistics.max, g.num_rows) for g in groups]
+    asked = "2026-07/f123"
+    hit = [n for low, high, n in spans if low <= asked <= high]
+    assert len(groups) > 10 and len(hit) <= 2 and sum(hit) < 20_000 / 4
+    mirror = spark.read.schema(published.MIRROR_SCHEMA).parquet(f"{tmp_path}/mirror")
+    wanted = spark.createDataFrame([("2026-07", "freshdesk", asked, 123)], "period string, source string, source_file string, row_number long")
+    assert recipes.original_record(wanted, mirror).count() == 1
+    plan = mirror.filter(F.col("source_file") == asked)._jdf.queryExecution().toString()
+    assert f"EqualTo(source_file,{asked})" in plan
+
+
 def test_views_and_sql(spark, place, run):
     published.register_views(spark, str(place / "out"))
     got = spark.sql(
