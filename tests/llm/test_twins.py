@@ -14,6 +14,6 @@ def test_twin(spark, small, name):
 
 def test_all_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == sorted(set(range(1, 14)) & set(numbers)) and len(set(numbers)) == len(numbers)
+    assert numbers == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(queries.ORACLES) <= set(entry.oracle_sql())
