@@ -176,14 +176,14 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 
 
 OP8_SQL = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id, list_resize(list_transform(embedding, lambda x: floor(64 * x::DOUBLE)),
+    (SELECT greatest(1, max(len(embedding))) FROM embeddings), 0) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+  SELECT q.id AS query_row, q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.id <> c.id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 

@@ -12,10 +12,12 @@ score, and only pairs whose bound reaches the threshold are scored, in whole num
 Queries are taken in blocks of about ``QUERIES``, each scanned by all tasks against all candidates; a task
 returns at most k rows for each query, and the best k of those are kept.
 
-Defined cases: vectors that are null, empty or hold a null, NaN or infinite component, and
-rows without vec_id, take no part; of rows with one vec_id the greatest vector counts
-once; shorter vectors are filled up with zeros; ties go to the smaller vec_id; a query with
-fewer than k candidates returns them all. Other columns are not read.
+Defined cases: vectors that are null or hold a null, NaN or infinite component, and
+rows without vec_id, take no part; shorter vectors, empty ones too, are filled up with zeros; rows
+that share a vec_id are rows of their own, each a candidate for the others and, if it is asked, a query
+with ranks of its own; ties go to the smaller vec_id; a query with fewer than k candidates returns
+them all. Components and scores beyond 64 bits are held at the ends of their range (scores
+at ``MOST`` and -``MOST``), and rank by that. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,17 +38,17 @@ CANDIDATES = 1_024
 QUERY_STEP = 2_048
 SAFE = float(1 << 53)  # whole numbers up to here are exact in a double
 NONE = np.iinfo(np.int64).min
+MOST = np.iinfo(np.int64).max
 
 
 def whole_vectors(df: DataFrame, scale: int, vector: str = "embedding") -> DataFrame:
     """(vec_id, v, norm2): floor(scale * x) of every valid vector, and its squared length."""
     x = F.transform(vector, lambda c: c.cast("double"))
-    valid = F.col(vector).isNotNull() & (F.size(vector) > 0) & F.forall(
+    valid = F.col(vector).isNotNull() & F.forall(
         vector, lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) < float("inf"))
     )
     df = df.filter(F.col("vec_id").isNotNull() & valid)
     df = df.select("vec_id", F.transform(x, lambda c: F.floor(c * scale).cast("long")).alias("v"))
-    df = df.groupBy("vec_id").agg(F.max("v").alias("v"))
     return df.withColumn("norm2", F.aggregate("v", F.lit(0.0), lambda s, c: s + c.cast("double") * c.cast("double")))
 
 
@@ -79,14 +81,14 @@ def rotation(vectors: DataFrame, width: int) -> np.ndarray:
 
 
 class Best:
-    """The best k (query, score, id) seen, for many queries at once."""
+    """The best k (query, score, id) seen, for many queries at once; ``rows`` are the queries' own rows."""
 
-    def __init__(self, ids: np.ndarray, threshold: np.ndarray, k: int):
-        self.ids, self.threshold, self.k = ids, threshold.copy(), k
+    def __init__(self, rows: np.ndarray, threshold: np.ndarray, k: int):
+        self.rows, self.threshold, self.k = rows, threshold.copy(), k
         self.q, self.score, self.vec = (np.zeros(0, dtype=np.int64) for _ in range(3))
 
-    def add(self, q: np.ndarray, score: np.ndarray, vec: np.ndarray) -> None:
-        use = (score >= self.threshold[q]) & (vec != self.ids[q])
+    def add(self, q: np.ndarray, score: np.ndarray, row: np.ndarray, vec: np.ndarray) -> None:
+        use = (score >= self.threshold[q]) & (row != self.rows[q])
         if not use.any():
             return
         q, score, vec = (np.concatenate([a, b[use]]) for a, b in ((self.q, q), (self.score, score), (self.vec, vec)))
@@ -103,19 +105,19 @@ class Best:
 class Block:
     """A block of queries, ready to be compared with candidates."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, basis: np.ndarray, threshold: np.ndarray):
-        self.ids, self.vectors, self.basis, self.threshold = ids, vectors, basis, threshold
+    def __init__(self, rows: np.ndarray, vectors: np.ndarray, basis: np.ndarray, threshold: np.ndarray):
+        self.rows, self.vectors, self.basis, self.threshold = rows, vectors, basis, threshold
         self.lead = max(1, min(vectors.shape[1], max(8, vectors.shape[1] // 4)))
 
-    def search(self, parts: Iterator[tuple[np.ndarray, np.ndarray]], k: int) -> Best:
-        """Best k of candidates (ids, vectors) that come in descending order of length."""
-        best = Best(self.ids, self.threshold, k)
+    def search(self, parts: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> Best:
+        """Best k of candidates (rows, ids, vectors) that come in descending order of length."""
+        best = Best(self.rows, self.threshold, k)
         exact = self.vectors.astype(np.float64)
         length = np.sqrt((exact * exact).sum(1))
         turned = exact @ self.basis
         lead = np.ascontiguousarray(turned[:, : self.lead])
         rest = np.sqrt((turned[:, self.lead :] ** 2).sum(1))
-        for ids, vectors in parts:
+        for rows, ids, vectors in parts:
             c_exact = vectors.astype(np.float64)
             c_length = np.sqrt((c_exact * c_exact).sum(1))
             slack = 1e-9 * length * c_length.max() + 1e-6
@@ -137,16 +139,17 @@ class Block:
                 elif small:
                     score = np.einsum("ij,ij->i", exact[q[i]], c_exact[j]).astype(np.int64)
                 else:  # beyond doubles: whole numbers of any size
-                    score = (self.vectors[q[i]].astype(object) * vectors[j].astype(object)).sum(1).astype(np.int64)
-                best.add(q[i], score, ids[j])
+                    score = (self.vectors[q[i]].astype(object) * vectors[j].astype(object)).sum(1)
+                    score = np.clip(score, -MOST, MOST).astype(np.int64)
+                best.add(q[i], score, rows[j], ids[j])
         return best
 
 
-def _parts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _parts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     for batch in batches:
         for at in range(0, batch.num_rows, CANDIDATES):
             piece = batch.slice(at, CANDIDATES)
-            yield piece.column("vec_id").to_numpy(), _matrix(piece.column("v"), width)
+            yield piece.column("row").to_numpy(), piece.column("vec_id").to_numpy(), _matrix(piece.column("v"), width)
 
 
 def top_k(df: DataFrame, is_query: Column, k: int, scale: int, work: Workspace | None = None) -> DataFrame:
@@ -157,47 +160,48 @@ def top_k(df: DataFrame, is_query: Column, k: int, scale: int, work: Workspace |
     vectors = whole_vectors(df, scale)
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     vectors = vectors.repartitionByRange(count, F.desc("norm2"), "vec_id").sortWithinPartitions(F.desc("norm2"), "vec_id")
-    vectors = work.stage(vectors, "topk-vectors")
-    width = vectors.agg(F.max(F.size("v"))).first()[0]
+    vectors = work.stage(vectors.withColumn("row", F.monotonically_increasing_id()), "topk-vectors")
+    width = max(1, vectors.agg(F.max(F.size("v"))).first()[0] or 1)
     queries = vectors.filter(is_query)
     n_queries = queries.count()
     schema = "query_id bigint, rank int, vec_id bigint, score bigint"
-    if not width or not n_queries:
+    if not n_queries:
         return spark.createDataFrame([], schema)
     basis = rotation(vectors, width)
     longest = vectors.orderBy(F.desc("norm2"), "vec_id").limit(HEAD).toPandas()
-    head = [(longest["vec_id"].to_numpy(), _matrix(pa.array(longest["v"].tolist(), pa.list_(pa.int64())), width))]
+    longest_v = _matrix(pa.array(longest["v"].tolist(), pa.list_(pa.int64())), width)
+    head = [(longest["row"].to_numpy(), longest["vec_id"].to_numpy(), longest_v)]
     sent = spark.sparkContext.broadcast((basis, head))
     blocks = -(-n_queries // QUERIES)
-    queries = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-    queries = work.stage(queries.select("block", "vec_id", "v").repartition(count, "vec_id"), "topk-queries")
-    ordered = vectors.sortWithinPartitions(F.desc("norm2"), "vec_id").select("vec_id", "v")
+    queries = queries.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
+    queries = work.stage(queries.select("block", "row", "vec_id", "v").repartition(count, "row"), "topk-queries")
+    ordered = vectors.sortWithinPartitions(F.desc("norm2"), "vec_id").select("row", "vec_id", "v")
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         basis, head = sent.value
         for batch in batches:
-            ids, own = batch.column("vec_id").to_numpy(), _matrix(batch.column("v"), width)
-            best = Block(ids, own, basis, np.full(len(ids), NONE)).search(iter(head), k)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), batch.column("v"), pa.array(best.threshold)], ["vec_id", "v", "threshold"]
-            )
+            rows, own = batch.column("row").to_numpy(), _matrix(batch.column("v"), width)
+            best = Block(rows, own, basis, np.full(len(rows), NONE)).search(iter(head), k)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(best.threshold)], [*batch.schema.names, "threshold"])
 
     ship(spark)
-    line = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    line = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     for b in range(blocks):
-        block = queries.filter(F.col("block") == b).select("vec_id", "v")
-        block = block.mapInArrow(start, "vec_id bigint, v array<bigint>, threshold bigint").toPandas()  # about QUERIES rows
+        block = queries.filter(F.col("block") == b).select("row", "vec_id", "v")
+        block = block.mapInArrow(start, "row bigint, vec_id bigint, v array<bigint>, threshold bigint").toPandas()  # about QUERIES rows
         matrix = _matrix(pa.array(block["v"].tolist(), pa.list_(pa.int64())), width)
-        asked = spark.sparkContext.broadcast((block["vec_id"].to_numpy(), matrix, block["threshold"].to_numpy()))
+        asked = spark.sparkContext.broadcast(
+            (block["row"].to_numpy(), block["vec_id"].to_numpy(), matrix, block["threshold"].to_numpy())
+        )
 
         def scan(batches: Iterator[pa.RecordBatch], asked=asked) -> Iterator[pa.RecordBatch]:
-            ids, own, threshold = asked.value
-            best = Block(ids, own, sent.value[0], threshold).search(_parts(batches, width), k)
+            rows, ids, own, threshold = asked.value
+            best = Block(rows, own, sent.value[0], threshold).search(_parts(batches, width), k)
             if len(best.q):
-                columns = [pa.array(ids[best.q]), pa.array(best.vec), pa.array(best.score)]
-                yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
+                columns = [pa.array(rows[best.q]), pa.array(ids[best.q]), pa.array(best.vec), pa.array(best.score)]
+                yield pa.RecordBatch.from_arrays(columns, ["query_row", "query_id", "vec_id", "score"])
 
-        found = ordered.mapInArrow(scan, "query_id bigint, vec_id bigint, score bigint")
+        found = ordered.mapInArrow(scan, "query_row bigint, query_id bigint, vec_id bigint, score bigint")
         found = found.withColumn("rank", F.row_number().over(line)).filter(F.col("rank") <= k)
         found.select("query_id", "rank", "vec_id", "score").write.mode("overwrite").parquet(work.path(f"topk/block={b}"))
     return spark.read.schema(schema).parquet(*(work.path(f"topk/block={b}") for b in range(blocks)))

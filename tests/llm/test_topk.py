@@ -9,16 +9,17 @@ from hearback.llm import topk
 
 
 def by_hand(rows, k, scale, every):
-    vectors = {}
+    most = 2**63 - 1
+    vectors = []
     for i, v in rows:
-        if i is None or not v or any(x is None or not math.isfinite(x) for x in v):
+        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        whole = [math.floor(scale * float(x)) for x in v]
-        vectors[i] = max(vectors.get(i, whole), whole)
+        vectors.append((i, [max(-most - 1, min(most, math.floor(scale * float(x)))) for x in v]))
     out = []
-    for q in (i for i in vectors if i % every == 0):
-        scored = sorted((-sum(a * b for a, b in zip(vectors[q], vectors[c])), c) for c in vectors if c != q)[:k]
-        out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scored)]
+    for n, (q, v) in enumerate(vectors):
+        if q % every == 0:
+            scores = [(max(-most, min(most, sum(a * b for a, b in zip(v, w)))), c) for m, (c, w) in enumerate(vectors) if m != n]
+            out += [(q, r + 1, c, s) for r, (s, c) in enumerate(sorted(scores, key=lambda x: (-x[0], x[1]))[:k])]
     return sorted(out)
 
 
@@ -52,11 +53,25 @@ def test_rough_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0]), (5, None), (10, []), (15, [nan, 1.0]), (20, [inf, 1.0]), (25, [None, 1.0]), (None, [9.0, 9.0]),
             (30, [1.0]), (31, [-3.0, 0.25]), (32, [0.0, 0.0]), (32, [0.0, 0.0]), (33, [2.0, 2.0]), (33, [1.0, 9.0])]
-    assert search(spark, rows, k=9) == by_hand([(i, v + [0.0] * (2 - len(v)) if v else v) for i, v in rows], 9, 64, 5)
+    assert search(spark, rows, k=9) == by_hand(rows, 9, 64, 5)
     assert search(spark, []) == [] and search(spark, [(1, [1.0])]) == []
     assert search(spark, [(5, [1.0])]) == []  # no other row
+    assert search(spark, [(5, []), (6, [])]) == [(5, 1, 6, 0)]
+
+
+def test_rows_of_one_id_are_rows_of_their_own(spark):
+    rows = [(5, [1.0, 0.0]), (5, [1.0, 0.0]), (5, [0.0, 2.0]), (7, [1.0, 1.0]), (7, [1.0, 1.0]), (8, [-1.0, 0.0])]
+    assert search(spark, rows, k=4) == by_hand(rows, 4, 64, 5)
+    assert [r for r in search(spark, rows, k=4) if r[1] == 1] == [(5, 1, 5, 4096), (5, 1, 5, 4096), (5, 1, 7, 8192)]
 
 
 def test_products_beyond_doubles(spark):
     rows = [(0, [3e7, 1.0]), (1, [3e7, 2.0]), (2, [3e7, 3.0]), (3, [1.0, 1.0])]
     assert search(spark, rows, k=3, scale=64) == by_hand([(i, [float(np.float32(x)) for x in v]) for i, v in rows], 3, 64, 5)
+
+
+def test_scores_beyond_64_bits_are_held_at_the_ends(spark):
+    rows = [(0, [1e10, 1e10]), (1, [1e10, 0.0]), (2, [-1e10, -1e10]), (3, [3e30, 1.0]), (4, [1.0, 1.0]), (5, [0.0, 2e7])]
+    expected = by_hand([(i, [float(np.float32(x)) for x in v]) for i, v in rows], 4, 64, 5)
+    assert search(spark, rows, k=4) == expected
+    assert (0, 1, 1, 2**63 - 1) in expected and (0, 2, 3, 2**63 - 1) in expected
