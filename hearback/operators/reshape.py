@@ -1,7 +1,7 @@
 """Header binding and wide-to-long reshaping.
 
-What depends only on a file's header is worked out once per file ("layout", tiny)
-and joined to its rows; a row then reads its cells by position. Long rows come
+What depends only on a header is worked out once for each distinct header ("layout", tiny)
+and joined to the rows of all files that have it; a row then reads its cells by position. Long rows come
 from exploding the row itself, so reshaping needs no shuffle.
 """
 
@@ -73,10 +73,10 @@ def residual(names: Column, cells: Column, drop: list[str], repeats: Column | No
     return F.when(repeats, F.filter(filled, is_last)).otherwise(filled)
 
 
-def question_layout(headers: DataFrame) -> DataFrame:
-    """Per survey file an array of questions with the positions of their cells."""
+def question_layout(headers: DataFrame, key: str = "header_key") -> DataFrame:
+    """Per header of a survey an array of questions with the positions of their cells."""
     columns = (
-        headers.select("source_file", "labels", F.posexplode("header").alias("pos", "name"))
+        headers.select(key, "labels", F.posexplode("header").alias("pos", "name"))
         .withColumn("no", F.regexp_extract("name", r"(?s)^Q(\d+)_(.+)$", 1))
         .filter("no <> ''")
         .withColumn("kind", F.regexp_extract("name", r"(?s)^Q(\d+)_(.+)$", 2))
@@ -91,7 +91,7 @@ def question_layout(headers: DataFrame) -> DataFrame:
         cell = F.struct(F.col("pos"), F.col("label"))
         return F.array_sort(F.collect_list(F.when(F.col("kind").rlike(pattern), cell)))
 
-    question = columns.groupBy("source_file", "no").agg(
+    question = columns.groupBy(key, "no").agg(
         place("Question_Text").alias("text"),
         F.max(F.when(F.col("kind") == "Question_Text", F.struct("pos", "label")))["label"].alias("label"),
         place("Response").alias("response"),
@@ -102,7 +102,7 @@ def question_layout(headers: DataFrame) -> DataFrame:
         many(r"^Theme_\d+$").alias("themes"),
         many(r"^Choice_\d+$").alias("choices"),
     )
-    return question.groupBy("source_file").agg(
+    return question.groupBy(key).agg(
         F.array_sort(
             F.collect_list(
                 F.struct("no", "text", "label", "response", "value", "other", "nps", "theme", "themes", "choices")

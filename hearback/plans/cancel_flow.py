@@ -18,7 +18,7 @@ from ..functions.scalars import (
 from ..operators.names import name_tokens
 from ..operators.reshape import residual
 from .evidence import feedback
-from .family import SEQ, Columns, Output, Run, bind, loaded, shape, surrogate_id, unshadowed
+from .family import KEY, SEQ, Columns, Output, Run, bind, loaded, shape, surrogate_id, unshadowed
 
 SOURCE = "chargebee"
 
@@ -81,7 +81,7 @@ def actions(header: Column) -> Column:
 
 def layout(heads: DataFrame) -> DataFrame:
     return heads.select(
-        "source_file",
+        KEY,
         "header",
         "labels",
         "header_rows",
@@ -93,7 +93,7 @@ def layout(heads: DataFrame) -> DataFrame:
 
 def people(run: Run) -> DataFrame:
     """Words of every person name in the name columns."""
-    rows = bind(run, SOURCE, layout(run.heads(SOURCE)))
+    rows = bind(run, SOURCE, layout(run.layouts(SOURCE)))
     found = F.array(
         name_tokens(COLS.raw("ownerFirstName"), COLS.raw("ownerLastName")),
         name_tokens(COLS.raw("Owner First Name")),
@@ -113,7 +113,7 @@ def build(run: Run) -> Output:
     shaped = shape(
         run,
         SOURCE,
-        layout(run.heads(SOURCE)),
+        layout(run.layouts(SOURCE)),
         email=first_of(COLS.raw("email"), COLS.raw("Owner Email")),
         own_names=own,
         record_id=F.coalesce(none_if_empty(COLS.raw("exit_session_id")), surrogate_id("cb_")),

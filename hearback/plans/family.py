@@ -17,6 +17,9 @@ from ..operators.skew import HOT_ROWS, spread_join
 from ..session import Inline, Workspace
 from ..settings import Settings
 
+# Names a distinct header; rows and layouts carry it.
+KEY = "header_key"
+
 # A record's place in processing order, as one number: file (28 bits), then row (35 bits).
 SEQ = "seq"
 ROW_BITS, FILE_BITS = 35, 28
@@ -55,6 +58,10 @@ class Run:
     def heads(self, source: str) -> DataFrame:
         return self.headers.filter(F.col("source") == source).drop("source")
 
+    def layouts(self, source: str) -> DataFrame:
+        """The distinct headers of a family: as many as there are shapes of its export, not as files."""
+        return self.heads(source).select(KEY, "header", "labels", "header_rows").dropDuplicates([KEY])
+
 
 @dataclass
 class Output:
@@ -105,15 +112,15 @@ def surrogate_id(prefix: str) -> Column:
 
 
 def with_layout(run: Run, rows: DataFrame, layout: DataFrame) -> DataFrame:
-    """Rows with the layout of their file. Layouts are broadcast where they were
-    measured to be small; a file that holds many rows is spread over salts otherwise.
+    """Rows with the layout of their file's header. There is one layout for each distinct header; they are
+    broadcast where they were measured to be small; a header of many rows is spread over salts otherwise.
 
     A layout is wider than many a record, so it is joined where it is used and does
     not travel through shuffles or into the work folder.
     """
     if run.layouts_small:
-        return rows.join(F.broadcast(layout), "source_file")
-    return spread_join(rows, layout, ["source_file"], "inner", spread_by=[SEQ], hot_rows=run.hot_rows)
+        return rows.join(F.broadcast(layout), KEY)
+    return spread_join(rows, layout, [KEY], "inner", spread_by=[SEQ], hot_rows=run.hot_rows)
 
 
 def bind(run: Run, source: str, layout: DataFrame) -> DataFrame:
@@ -213,7 +220,7 @@ def shape(
     )
     for name, test in rules or []:
         bound = bound.withColumn(f"_{name}", test)
-    df = bound.drop(*[c for c in layout.columns if c not in ("source_file", *(extra or {}))])
+    df = bound.drop(*[c for c in layout.columns if c not in (KEY, *(extra or {}))])
     if keep_first:
         df = mark_repeats(
             df,
@@ -228,7 +235,7 @@ def shape(
     df = mask_cells(with_layout(run, df, layout), run, mail)
     tests = [(name, F.col(f"_{name}")) for name, _ in rules or []]
     reason = reject_reason(("empty_row", F.col("is_blank")), ("duplicate", F.col("is_repeat")), *tests)
-    dropped = [c for c in layout.columns if c != "source_file"] + [f"_{name}" for name, _ in rules or []]
+    dropped = [c for c in layout.columns if c != KEY] + [f"_{name}" for name, _ in rules or []]
     judged = df.withColumn("reason", reason).drop(*dropped, "is_blank", "is_repeat")
     return with_layout(run, run.work.stage(judged, f"shaped/{source}"), layout)
 

@@ -16,7 +16,7 @@ from ..settings import Settings
 from ..sources import exports, listing, published
 from . import cancel_flow, interviews, panel, refunds, reports, surveys, tickets
 from .evidence import build_evidence, union_all
-from .family import SEQ, Output, Run, mirror, rejects
+from .family import KEY, SEQ, Output, Run, mirror, rejects
 
 # Export families; a family module has build(run) and, when its records name
 # people, people(run). A new family is one more entry.
@@ -70,8 +70,8 @@ def read_exports(spark: SparkSession, root: str, settings: Settings, work: Works
     raw = work.stage(exports.scan_csv(csv, root), "raw", partition_by=("source",))
     headers = work.stage(exports.headers_of(raw), "headers")
     run = Run(settings, work, raw, headers)
-    # a layout is a few arrays as long as the header
-    cells = headers.agg(F.sum(F.size("header"))).first()[0] or 0
+    # a layout is a few arrays as long as the header, and files of one header share it
+    cells = headers.dropDuplicates([KEY]).agg(F.sum(F.size("header"))).first()[0] or 0
     run.layouts_small = cells * LAYOUT_BYTES_PER_COLUMN <= BROADCAST_BYTES
     present = {r["source"] for r in headers.select("source").distinct().collect()}
     found = [FAMILIES[s].people(run) for s in sorted(present) if hasattr(FAMILIES[s], "people")]

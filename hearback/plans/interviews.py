@@ -9,7 +9,7 @@ from ..functions.scalars import initiative_of, none_if_empty, parse_dt, short_ha
 from ..operators.names import name_tokens
 from ..operators.reshape import residual
 from .evidence import feedback
-from .family import SEQ, Columns, Output, Run, bind, file_name, loaded, shape, unshadowed
+from .family import KEY, SEQ, Columns, Output, Run, bind, file_name, loaded, shape, unshadowed
 
 SOURCE = "interviews"
 
@@ -24,7 +24,7 @@ COLS = Columns(
 
 def layout(heads: DataFrame) -> DataFrame:
     return heads.select(
-        "source_file",
+        KEY,
         "header",
         "labels",
         "header_rows",
@@ -38,7 +38,7 @@ def layout(heads: DataFrame) -> DataFrame:
 
 
 def people(run: Run) -> DataFrame:
-    rows = bind(run, SOURCE, layout(run.heads(SOURCE)))
+    rows = bind(run, SOURCE, layout(run.layouts(SOURCE)))
     return rows.select(name_tokens(COLS.raw("Users")).alias("tokens"))
 
 
@@ -46,7 +46,7 @@ def build(run: Run) -> Output:
     shaped = shape(
         run,
         SOURCE,
-        layout(run.heads(SOURCE)),
+        layout(run.layouts(SOURCE)),
         email=COLS.raw("Email"),
         own_names=F.concat(name_tokens(COLS.raw("Users")), F.array(COLS.raw("Users"))),
         record_id=F.concat(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import initiative_of, none_if_empty, parse_dt, short_hash, sorted_json, to_float
 from ..operators.reshape import cell_at, header_parts, residual
 from .evidence import feedback
-from .family import SEQ, Columns, Output, Run, file_stem, loaded, shape, surrogate_id, unshadowed
+from .family import KEY, SEQ, Columns, Output, Run, file_stem, loaded, shape, surrogate_id, unshadowed
 
 SOURCE = "lyssna"
 
@@ -27,12 +27,16 @@ def study_name() -> Column:
     return F.trim(F.regexp_replace(file_stem(), r"\s*-\s*results.*$|-results.*$", ""))
 
 
+def study_id() -> Column:
+    return F.concat(F.lit("lys_"), short_hash("period", study_name()))
+
+
 def layout(heads: DataFrame) -> DataFrame:
     described = F.transform(
         "header", lambda c, i: F.struct(i.alias("column_index"), c.alias("column"), header_parts(c).alias("parts"))
     )
     return heads.select(
-        "source_file",
+        KEY,
         "header",
         "labels",
         "header_rows",
@@ -40,8 +44,6 @@ def layout(heads: DataFrame) -> DataFrame:
         COLS.positions(F.col("header")).alias("pos"),
         F.transform(unshadowed(F.col("header")), lambda c: F.when(c.isin(PARTICIPANT), c)).alias("named"),
         F.filter(described, lambda d: ~d["column"].isin(PARTICIPANT)).alias("questions"),
-        study_name().alias("study_name"),
-        F.concat(F.lit("lys_"), short_hash("period", study_name())).alias("study_id"),
     )
 
 
@@ -81,11 +83,11 @@ def build(run: Run) -> Output:
     shaped = shape(
         run,
         SOURCE,
-        layout(run.heads(SOURCE)),
+        layout(run.layouts(SOURCE)),
         email=F.lit(None).cast("string"),
         own_names=F.array().cast("array<string>"),
         record_id=F.concat_ws(":", "study_id", response_id),
-        extra={"response_id": response_id},
+        extra={"study_name": study_name(), "study_id": study_id(), "response_id": response_id},
     )
     participants = loaded(shaped).select(
         "study_id",
@@ -127,19 +129,16 @@ def build(run: Run) -> Output:
         seq=F.col(SEQ),
     )
     counted = loaded(shaped).groupBy("source_file").agg(F.count("*").alias("n"))
-    catalog = layout(run.heads(SOURCE).filter(F.size("header") > 0)).select("source_file", "study_id", "study_name")
-    studies = (
-        catalog.join(counted, "source_file", "left")
-        .join(run.heads(SOURCE).select("source_file", "period"), "source_file")
-        .select(
-            "study_id",
-            F.lit("lyssna_test").alias("kind"),
-            F.col("study_name").alias("name"),
-            initiative_of("study_name", rules=run.settings.initiatives).alias("initiative"),
-            "period",
-            F.coalesce("n", F.lit(0)).alias("n"),
-            "source_file",
-        )
+    catalog = run.heads(SOURCE).filter(F.size("header") > 0)
+    catalog = catalog.select("source_file", "period", study_id().alias("study_id"), study_name().alias("study_name"))
+    studies = catalog.join(counted, "source_file", "left").select(
+        "study_id",
+        F.lit("lyssna_test").alias("kind"),
+        F.col("study_name").alias("name"),
+        initiative_of("study_name", rules=run.settings.initiatives).alias("initiative"),
+        "period",
+        F.coalesce("n", F.lit(0)).alias("n"),
+        "source_file",
     )
     kept = ["study_id", "response_id", "column_index", "column", "section", "question", "field", "answer"]
     return Output(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import none_if_empty, parse_dt, short_hash, strip, text_or_empty, to_float
 from ..operators.reshape import match_headers
 from .evidence import feedback
-from .family import SEQ, Columns, Output, Run, loaded, shape, unparsed_dates
+from .family import KEY, SEQ, Columns, Output, Run, loaded, shape, unparsed_dates
 
 SOURCE = "mbg"
 
@@ -51,7 +51,7 @@ COLS = Columns(*[f for _, f in PATTERNS])
 
 
 def layout(heads: DataFrame) -> DataFrame:
-    matched = match_headers(heads.select("source_file", "header"), PATTERNS)
+    matched = match_headers(heads.select(KEY, "header"), PATTERNS, KEY)
     fields = F.col("fields")
     free = [*TEXTS, "notes_sent_email"]
     plain = [f for _, f in PATTERNS if f not in free]  # keys, dates, numbers and codes
@@ -60,8 +60,8 @@ def layout(heads: DataFrame) -> DataFrame:
         field = F.get(F.map_keys(F.map_filter(fields, lambda k, v: v == i)), F.lit(0))
         return F.when(field == "email", "email").when(field.isin(free), "text").when(field.isin(plain), "").otherwise("contact")
 
-    return heads.join(matched, "source_file").select(
-        "source_file",
+    return heads.join(matched, KEY).select(
+        KEY,
         "header",
         "labels",
         "header_rows",
@@ -92,7 +92,7 @@ def build(run: Run) -> Output:
     shaped = shape(
         run,
         SOURCE,
-        layout(run.heads(SOURCE)),
+        layout(run.layouts(SOURCE)),
         email=COLS.raw("email"),
         own_names=F.array().cast("array<string>"),
         record_id=F.concat(

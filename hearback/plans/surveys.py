@@ -21,7 +21,7 @@ from ..functions.scalars import (
 from ..operators.names import name_tokens
 from ..operators.reshape import cell_at, chosen_labels, chosen_values, pad, question_layout, residual
 from .evidence import feedback
-from .family import SEQ, Columns, Output, Run, bind, file_name, file_stem, loaded, shape, surrogate_id, unparsed_dates
+from .family import KEY, SEQ, Columns, Output, Run, bind, file_name, file_stem, loaded, shape, surrogate_id, unparsed_dates
 
 SOURCE = "sprig"
 
@@ -68,7 +68,7 @@ def layout(heads: DataFrame) -> DataFrame:
         return F.reverse(F.array_compact(places))
 
     bound = placed.select(
-        "source_file",
+        KEY,
         "header",
         "labels",
         "header_rows",
@@ -78,7 +78,7 @@ def layout(heads: DataFrame) -> DataFrame:
         (F.size(F.array_distinct(labelled)) < F.size(labelled)).alias("labels_repeat"),
         F.array(*[attribute_positions(a) for a in ATTRIBUTES]).alias("attribute_pos"),
     )
-    return bound.join(question_layout(usable), "source_file", "left")
+    return bound.join(question_layout(usable, KEY), KEY, "left")
 
 
 def attribute(name: str, cells: str = "masked") -> Column:
@@ -94,7 +94,7 @@ def either(*cells: Column) -> Column:
 
 
 def people(run: Run) -> DataFrame:
-    rows = bind(run, SOURCE, layout(run.heads(SOURCE)))
+    rows = bind(run, SOURCE, layout(run.layouts(SOURCE)))
     return rows.select(name_tokens(attribute("firstName", "cells"), attribute("lastName", "cells")).alias("tokens"))
 
 
@@ -266,7 +266,7 @@ def shaped_records(run: Run) -> DataFrame:
     return shape(
         run,
         SOURCE,
-        layout(run.heads(SOURCE)),
+        layout(run.layouts(SOURCE)),
         email=attribute("email", "cells"),
         own_names=F.array(attribute("firstName", "cells"), attribute("lastName", "cells")),
         record_id=F.coalesce(none_if_empty(COLS.raw("responseGroupUid")), surrogate_id("sp_")),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import email_domain, local_part_tokens, none_if_empty, parse_dt, strip
 from .evidence import feedback
-from .family import SEQ, Columns, Output, Run, loaded, shape, surrogate_id, unparsed_dates
+from .family import KEY, SEQ, Columns, Output, Run, loaded, shape, surrogate_id, unparsed_dates
 
 SOURCE = "freshdesk"
 
@@ -44,7 +44,7 @@ def sender_type(
 def layout(heads: DataFrame) -> DataFrame:
     action = F.lit("contact")
     return heads.select(
-        "source_file",
+        KEY,
         "header",
         "labels",
         "header_rows",
@@ -75,7 +75,7 @@ def build(run: Run) -> Output:
     shaped = shape(
         run,
         SOURCE,
-        layout(run.heads(SOURCE)),
+        layout(run.layouts(SOURCE)),
         email=addr,
         own_names=local_part_tokens(addr),
         record_id=F.coalesce(none_if_empty(strip(COLS.raw("Ticket ID"))), surrogate_id("fd_")),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars
 from ..plans import cancel_flow, interviews, panel, refunds, reports, surveys, tickets
-from ..plans.family import Run, rejects
+from ..plans.family import KEY, Run, rejects
 from ..session import Inline, load, widen
 from ..settings import Settings
 from ..sources.listing import with_origin
@@ -56,16 +56,17 @@ def as_export(
     a real run reads them from the many files of its work folder.
     """
     name, cells = file.cast("string"), list(cells.items()) if isinstance(cells, dict) else cells
+    names = [n for n, _ in cells]
     raw = widen(rows, number).select(
         F.lit("2026-07").alias("period"),
         F.lit(source).alias("source"),
         F.concat(F.lit("2026-07/Export/"), name, F.lit(".csv")).alias("source_file"),
         F.coalesce(name.try_cast("long"), F.ascii(name)).cast("long").alias("file_no"),
+        F.xxhash64(*(F.lit(n) for n in [source, *names, *(labels or names)])).alias(KEY),
         (number + 1).cast("long").alias("row_number"),
         F.array(*[F.coalesce(c.cast("string"), F.lit("")) for c in [*(c for _, c in cells), *(surplus or [])]]).alias("cells"),
     )
-    names = [n for n, _ in cells]
-    heads = raw.select("period", "source", "source_file").distinct()
+    heads = raw.select("period", "source", "source_file", KEY).distinct()
     heads = heads.withColumns(
         {
             "header": F.array(*[F.lit(n) for n in names]),

@@ -28,13 +28,16 @@ WITH sent AS (
            WHEN 2 THEN '@mail.paypal.com' ELSE {KEY_SQL % "'quin.lee' || c_custkey || '@mail.com'"} END AS sender FROM customer
 )
 SELECT k + 1 AS row_number, 1 AS pos, 'Ticket ID' AS "column", 't' || k AS value FROM sent
+UNION ALL SELECT k + 1, 0, 'Date', '2026-07-10 09:00:00' FROM sent
+UNION ALL SELECT k + 1, 3, 'Segmentation', 'Plan' FROM sent
+UNION ALL SELECT k + 1, 4, 'Feedback', 'It stopped.' FROM sent
 UNION ALL SELECT k + 1, 2, 'User', sender FROM sent
 UNION ALL SELECT k + 1, 5, 'Agent notes', 'call [phone] for ' || k FROM sent
 UNION ALL SELECT k + 1, 6, NULL, 'surplus [email]' FROM sent
 """,
 )
 def mirror_cells(spark: SparkSession, sf: str) -> DataFrame:
-    """Senders, a column nobody curated, and a cell beyond the header."""
+    """All cells of tickets: senders, texts, a column nobody curated, and a cell beyond the header."""
     customer = load(spark, sf, "customer")
     key, nation = F.col("c_custkey"), F.col("c_nationkey") % 5
     sender = (
@@ -53,7 +56,7 @@ def mirror_cells(spark: SparkSession, sf: str) -> DataFrame:
     }
     run = as_export(spark, customer, "freshdesk", F.col("c_mktsegment"), key, cells, surplus=[F.lit("surplus a@b.com")])
     copy = mirror(tickets.build(run).shaped, "freshdesk").select("row_number", F.posexplode("cells").alias("pos", "cell"))
-    return copy.select("row_number", "pos", "cell.column", "cell.value").filter("pos IN (1, 2, 5, 6)")
+    return copy.select("row_number", "pos", "cell.column", "cell.value")
 
 
 @query(
@@ -260,7 +263,7 @@ def documents_about(spark: SparkSession, sf: str) -> DataFrame:
     """
 WITH words AS (SELECT p_partkey, p_size, upper(left(p_name, 1)) || substr(split_part(p_name, ' ', 1), 2) AS first,
                       upper(left(split_part(p_name, ' ', 2), 1)) || substr(split_part(p_name, ' ', 2), 2) AS last FROM part)
-SELECT p_partkey + 1 AS row_number, 'please ask ' || CASE WHEN first <> 'New' AND first IN ('Red', 'Blue', 'Cold') THEN '[name]'
+SELECT p_partkey + 1 AS row_number, 'please ask ' || CASE WHEN first <> 'New' AND first IN (SELECT first FROM words) THEN '[name]'
          ELSE first || ' ' || last END || ' about ' || p_size AS body
 FROM words
 """,
@@ -277,8 +280,7 @@ def known_first_names(spark: SparkSession, sf: str) -> DataFrame:
     }
     run = as_export(spark, part, "freshdesk", F.col("p_type"), F.col("p_partkey"), cells)
     first = F.initcap(F.substring_index("p_name", " ", 1))
-    known = part.select(F.lit("first").alias("kind"), first.alias("value")).distinct()
-    run.registry = known.filter(F.col("value").isin("Red", "Blue", "Cold"))
+    run.registry = part.select(F.lit("first").alias("kind"), first.alias("value")).distinct()
     run.registry_rows = run.registry.count()
     return tickets.build(run).tables["tickets"].select("row_number", "body")
 

@@ -603,7 +603,8 @@ def study_catalog(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "answers_of_studies",
     """
-SELECT s.source, count(*) AS n, min(a.text) AS first_answer, min(md5(a.text)) AS first_md5
+SELECT s.source, count(*) AS n, min(a.text) AS first_answer, min(md5(a.text)) AS first_md5,
+       CAST(sum(CAST('0x' || left(md5(a.text), 8) AS BIGINT)) AS BIGINT) AS md5_sum
 FROM conversations a JOIN documents s ON s.doc_id = a.conv_id
 WHERE s.lang = 'en' AND a.role = 'assistant' AND a.text ILIKE '%the%' GROUP BY 1
 """,
@@ -623,7 +624,11 @@ def answers_of_studies(spark: SparkSession, sf: str) -> DataFrame:
     said = recipes.panel_answers(answers, studies, "en src", "the")
     named = said.join(load(spark, sf, "documents").select(F.col("doc_id").alias("study_id"), "source"), "study_id")
     return named.groupBy("source").agg(
-        F.count("*").alias("n"), F.min("answer").alias("first_answer"), F.min(F.md5("answer")).alias("first_md5")
+        F.count("*").alias("n"),
+        F.min("answer").alias("first_answer"),
+        F.min(F.md5("answer")).alias("first_md5"),
+        # a check of every answer that adds up map-side
+        F.sum(F.conv(F.left(F.md5("answer"), F.lit(8)), 16, 10).cast("long")).alias("md5_sum"),
     )
 
 

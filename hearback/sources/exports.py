@@ -9,7 +9,9 @@ files, and does not see files whose names begin with an underscore.
 from __future__ import annotations
 
 import csv
+import hashlib
 import io
+import json
 import sys
 from collections.abc import Iterator
 
@@ -28,7 +30,7 @@ for _module in (listing, sys.modules[__name__]):
 # Header rows per family; all others have one.
 HEADER_ROWS = {"sprig": 2}
 
-RAW_SCHEMA = "period string, source string, source_file string, file_no long, row_number long, cells array<string>"
+RAW_SCHEMA = "period string, source string, source_file string, file_no long, header_key long, row_number long, cells array<string>"
 TEXT_SCHEMA = "period string, source_file string, text string, readable boolean"
 PLAIN_TEXT = (".md", ".txt")
 BATCH_CHARS = 4_000_000
@@ -49,14 +51,22 @@ def _records(root: str, source: str, source_file: str) -> Iterator[tuple[int, li
         yield from enumerate(csv.reader(text), first)
 
 
+def header_key(source: str, heads: list[list[str]]) -> int:
+    """A number that files of one family share exactly when their header rows are equal."""
+    content = json.dumps([source, heads]).encode()
+    return int.from_bytes(hashlib.sha256(content).digest()[:8], "big", signed=True)
+
+
 def scan_csv(files: DataFrame, root: str) -> DataFrame:
-    """All records of the export files in ``files`` (period, source, source_file, file_no)."""
+    """All records of the export files in ``files`` (period, source, source_file, file_no), each
+    with the key of its file's header."""
     schema = pa.schema(
         [
             ("period", pa.string()),
             ("source", pa.string()),
             ("source_file", pa.string()),
             ("file_no", pa.int64()),
+            ("header_key", pa.int64()),
             ("row_number", pa.int64()),
             ("cells", pa.list_(pa.string())),
         ]
@@ -65,23 +75,26 @@ def scan_csv(files: DataFrame, root: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file in batch.to_pylist():
-                numbers, cells, chars = [], [], 0
+                numbers, cells, chars, heads = [], [], 0, []
 
-                def flush(file=file):
+                def flush(file=file, heads=heads):
                     n = len(numbers)
                     constant = [[file[c]] * n for c in ("period", "source", "source_file")]
                     return pa.RecordBatch.from_arrays(
                         [pa.array(c, pa.string()) for c in constant]
                         + [pa.array([file["file_no"]] * n, pa.int64())]
+                        + [pa.array([header_key(file["source"], heads)] * n, pa.int64())]
                         + [pa.array(numbers, pa.int64()), pa.array(cells, pa.list_(pa.string()))],
                         schema=schema,
                     )
 
                 for number, record in _records(root, file["source"], file["source_file"]):
+                    if number <= 0:
+                        heads.append(record)
                     numbers.append(number)
                     cells.append(record)
                     chars += sum(map(len, record)) + 8
-                    if chars > BATCH_CHARS:
+                    if chars > BATCH_CHARS and number > 0:
                         yield flush()
                         numbers, cells, chars = [], [], 0
                 if numbers:
@@ -133,7 +146,7 @@ def headers_of(raw: DataFrame) -> DataFrame:
     with the data.
     """
     heads = raw.filter("row_number <= 0")
-    return heads.groupBy("period", "source", "source_file").agg(
+    return heads.groupBy("period", "source", "source_file", "header_key").agg(
         F.min_by("cells", "row_number").alias("header"),
         F.max_by("cells", "row_number").alias("labels"),
         F.count("*").alias("header_rows"),

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from hearback.operators import records
 from hearback.plans import cancel_flow, recipes, tickets
-from hearback.plans.family import sequence
+from hearback.plans.family import KEY, Run, bind, sequence
 from hearback.plans.ingest import ingest, leak_check
-from hearback.session import Workspace, folders_in
+from hearback.session import Inline, Workspace, folders_in
 from hearback.settings import Settings, load_taxonomy
-from hearback.sources import published
+from hearback.sources import exports, published
 
 
 @pytest.fixture(scope="module")
@@ -416,3 +416,30 @@ def test_repeats_through_the_shuffle_path(spark):
     plain = records.mark_repeats(df, ["id"], "seq")
     settled = records.mark_repeats(df, ["id"], "seq", settle=lambda found: found)
     assert rows(plain, "seq", "is_repeat") == rows(settled, "seq", "is_repeat")
+
+
+def test_layouts_follow_headers_and_not_files(spark, settings):
+    shapes = [tickets.REQUIRED, tickets.REQUIRED[::-1], [*tickets.REQUIRED, "Agent notes"]]
+    keys = [exports.header_key("freshdesk", [h]) for h in shapes]
+    assert len(set(keys)) == 3 and exports.header_key("sprig", [shapes[0]]) != keys[0]
+    number = F.col("id") % 10_000
+    header = F.get(F.array(*[F.array(*[F.lit(c) for c in h]) for h in shapes]), (number % 3).cast("int"))
+    raw = spark.range(40_000).select(
+        F.lit("2026-07").alias("period"),
+        F.lit("freshdesk").alias("source"),
+        F.format_string("2026-07/Freshdesk/%d.csv", number).alias("source_file"),
+        number.alias("file_no"),
+        F.get(F.array(*[F.lit(k) for k in keys]), (number % 3).cast("int")).alias(KEY),
+        F.floor(F.col("id") / 10_000).alias("row_number"),
+        F.when(F.col("id") < 10_000, header).otherwise(F.transform(header, lambda c: F.concat(c, F.lit("!")))).alias("cells"),
+    )
+    run = Run(settings, Inline(spark), raw, exports.headers_of(raw))
+    assert run.heads("freshdesk").count() == 10_000
+    found = tickets.layout(run.layouts("freshdesk"))
+    assert sorted(r["header"] for r in found.collect()) == sorted(shapes)
+    bound = bind(run, "freshdesk", found)
+    got = bound.select(tickets.COLS.raw("Ticket ID").alias("id"), tickets.COLS.raw("Date").alias("at"))
+    assert got.groupBy("id", "at").count().collect() == [("Ticket ID!", "Date!", 30_000)]
+    # the rows meet their layout where they lie: what is shuffled are header rows
+    text = bound._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
