@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from itertools import islice
+
+import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +17,7 @@ from ..settings import Settings
 DOCUMENT_EXTENSIONS = [".docx", ".pdf", ".md", ".txt"]
 
 FILE_SCHEMA = "source_file string, size long"
+ENTRIES = 10_000
 
 
 # Schemes of Spark's connectors and what Arrow calls them.
@@ -34,18 +39,43 @@ def filesystem(root: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(f"{SCHEMES[scheme]}:{rest}")
 
 
+def _entries(root: str, folder: str, recursive: bool) -> Iterator[tuple[str, int | None]]:
+    """Relative path and size of what lies in a folder below ``root``; folders have no size."""
+    files, base = filesystem(root)
+    base = base.rstrip("/")
+    for found in files.get_file_info(pafs.FileSelector(f"{base}/{folder}".rstrip("/"), recursive=recursive)):
+        if found.type != pafs.FileType.File and (recursive or found.type != pafs.FileType.Directory):
+            continue
+        yield found.path[len(base) :].lstrip("/"), found.size if found.type == pafs.FileType.File else None
+
+
+def _listing(root: str, recursive: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Replace every folder by its entries, in tasks; files stay."""
+    schema = pa.schema([("source_file", pa.string()), ("size", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, size in zip(*(c.to_pylist() for c in batch.columns)):
+                entries = [(path, size)] if size is not None else _entries(root, path, recursive)
+                while rows := list(islice(entries := iter(entries), ENTRIES)):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    return run
+
+
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """Relative path and size of every file below ``root``.
 
-    Only names are listed here, no content. Spark's own file sources would leave
+    Only names are listed here, no content. The driver lists the root alone, which holds the month folders;
+    tasks list what lies in them, and then every folder in there. Spark's own file sources would leave
     out names that begin with an underscore and read brackets as patterns. A folder that
     does not exist raises: an empty run must not replace what was published.
     """
-    files, base = filesystem(root)
-    base = base.rstrip("/")
-    found = files.get_file_info(pafs.FileSelector(base, recursive=True))
-    rows = [(f.path[len(base) :].lstrip("/"), f.size) for f in found if f.type == pafs.FileType.File]
-    return spark.createDataFrame(rows, FILE_SCHEMA)
+    top = spark.createDataFrame(list(_entries(root, "", recursive=False)), FILE_SCHEMA)
+    cores = spark.sparkContext.defaultParallelism
+    for recursive in (False, True):
+        top = top.repartition(cores, "source_file").mapInArrow(_listing(root, recursive), FILE_SCHEMA)
+    return top
 
 
 def with_origin(files: DataFrame, settings: Settings) -> DataFrame:

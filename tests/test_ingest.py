@@ -15,7 +15,7 @@ from hearback.plans.family import KEY, Run, bind, sequence
 from hearback.plans.ingest import ingest, leak_check
 from hearback.session import Inline, Workspace, folders_in
 from hearback.settings import Settings, load_taxonomy
-from hearback.sources import exports, published
+from hearback.sources import exports, listing, published
 
 
 @pytest.fixture(scope="module")
@@ -443,3 +443,19 @@ def test_layouts_follow_headers_and_not_files(spark, settings):
     # the rows meet their layout where they lie: what is shuffled are header rows
     text = bound._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_listing_finds_every_file_at_any_depth(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(listing, "ENTRIES", 2)
+    names = ["top.txt", "2026-07/a.csv", "2026-07/_Export/b [1].csv", "2026-07/Export/deep/er/c.csv", "2026-08/Export/.hidden"]
+    names += [f"2026-08/Many/{i}.csv" for i in range(7)]
+    for i, name in enumerate(names):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("x" * i)
+    (tmp_path / "2026-09" / "empty").mkdir(parents=True)
+    for root in (str(tmp_path), f"{tmp_path}/", f"file://{tmp_path}"):
+        assert rows(listing.list_files(spark, root), "source_file", "size") == sorted(zip(names, range(len(names))), key=repr)
+    bare = tmp_path / "2026-09" / "empty"
+    assert listing.list_files(spark, str(bare)).collect() == []
+    with pytest.raises(FileNotFoundError):
+        listing.list_files(spark, str(tmp_path / "none"))
