@@ -443,6 +443,9 @@ def test_layouts_follow_headers_and_not_files(spark, settings):
     # the rows meet their layout where they lie: what is shuffled are header rows
     text = bound._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    run.layouts_small, run.hot_rows = False, 5_000  # too many headers to broadcast: one of a third of all rows is spread
+    spread = bind(run, "freshdesk", found).select(tickets.COLS.raw("Ticket ID").alias("id"))
+    assert spread.groupBy("id").count().collect() == [("Ticket ID!", 30_000)]
 
 
 def test_listing_finds_every_file_at_any_depth(spark, tmp_path, monkeypatch):
