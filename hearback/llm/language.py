@@ -12,9 +12,12 @@ answers adds about f of the n-grams the language does not contain, so a count h
 (h - f n) / (1 - f). The language of the highest corrected count wins, ties go to the one
 seen more often in learning, then by name; the score is its share of all corrected counts.
 
-The table has a fixed number of cells (a power of two from the number of n-grams, at most
-``MOST_CELLS``), so what a task holds is bounded; beyond that, more answers are false, which
-the correction takes into account.
+The table's cells are a power of two from the number of n-grams and take the bytes that the number of
+languages needs, at most ``FILTER_BYTES`` in all, so that what a task holds is bounded. A language
+with more typical n-grams than such a table holds well keeps its most frequent ones: as many as fill
+half of its slice, so that no language is lost in false answers. Every text and n-gram is
+counted; which are held is found from the numbers of n-grams by their logarithmic frequency, and
+inside the last such level by their hash. Tasks make pages of the table, which the driver joins.
 
 Defined cases: texts that are null or without letters are ``und`` with score 0, as are all
 texts if nothing was learned; a text with no known n-gram gets the most frequent language and
@@ -24,6 +27,7 @@ as often as they occur. Columns of the input named like an output column are rep
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,7 +43,8 @@ N = 4
 LEAST = 3
 SHARE = 0.1
 PROBES = 3
-MOST_CELLS = 1 << 24
+FILTER_BYTES = 64 << 20
+PAGE = 1 << 16
 LIMIT = 6 << 20
 UNKNOWN = "und"
 
@@ -96,7 +101,7 @@ def probes(hashed: np.ndarray, cells: int) -> Iterator[np.ndarray]:
 
 @dataclass
 class Filters:
-    """Filters of all languages; ``words`` has a row of 64-bit masks for each cell."""
+    """Filters of all languages; ``words`` has a row of masks for each cell, narrow ones where languages are few."""
 
     languages: list[str]
     words: np.ndarray
@@ -131,41 +136,90 @@ def learn(labelled: DataFrame) -> Filters | None:
     table = spark.createDataFrame([(r["lang"], i, float(r["total"] or 1)) for i, r in enumerate(seen)], "lang string, no int, total double")
     counts = counts.join(F.broadcast(table), "lang").withColumn("share", F.col("n") / F.col("total"))
     typical = counts.withColumn("most", F.max("share").over(Window.partitionBy("gram")))
-    typical = typical.filter((F.col("n") >= LEAST) & (F.col("share") >= SHARE * F.col("most"))).select("gram", "no")
-    typical = typical.cache()
-    sizes = {r["no"]: r["count"] for r in typical.groupBy("no").count().collect()}
-    held = max(sizes.values(), default=1)
-    cells = min(MOST_CELLS, 1 << max(16, int(held * 8 - 1).bit_length()))
-    width = -(-len(languages) // 64)
+    typical = typical.filter((F.col("n") >= LEAST) & (F.col("share") >= SHARE * F.col("most")))
+    typical = typical.select("gram", "no", F.floor(F.log2("n") * 16).cast("int").alias("level")).cache()
+    levels = typical.groupBy("no", "level").count().collect()  # at most a thousand levels for each language
+    sizes: dict[int, dict[int, int]] = {}
+    for r in levels:
+        sizes.setdefault(r["no"], {})[r["level"]] = r["count"]
+    held = max((sum(of.values()) for of in sizes.values()), default=1)
+    kind, width = mask_type(len(languages))
+    room = 1 << max(0, (FILTER_BYTES // (kind.itemsize * width)).bit_length() - 1)
+    cells = min(room, 1 << max(16, int(held * 8 - 1).bit_length()))
+    bits = kind.itemsize * 8
+    limits = {no: kept_levels(of, int(cells * math.log(2) / PROBES)) for no, of in sizes.items()}
+    if any(level is not None for level, _ in limits.values()):
+        rows = [(no, level, share) for no, (level, share) in limits.items() if level is not None]
+        bound = F.broadcast(spark.createDataFrame(rows, "no int, least int, part double"))  # one row per language
+        inside = F.pmod(F.xxhash64("gram"), F.lit(1 << 20)) < F.col("part") * (1 << 20)
+        kept = F.col("least").isNull() | (F.col("level") > F.col("least")) | ((F.col("level") == F.col("least")) & inside)
+        chosen = typical.join(bound, "no", "left").filter(kept).select("gram", "no")
+    else:
+        chosen = typical.select("gram", "no")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             no = batch.column("no").to_numpy().astype(np.int64)
             hashed = batch.column("gram").to_numpy().view(np.uint64)
             for at in probes(hashed, cells):
-                mask = np.left_shift(np.uint64(1), (no % 64).astype(np.uint64)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(at * width + no // 64), pa.array(mask)], ["at", "mask"])
-
-    placed = typical.mapInArrow(place, "at bigint, mask bigint").groupBy("at").agg(F.bit_or("mask").alias("mask"))
-    rows = placed.toPandas()  # at most ``cells`` rows for every 64 languages
+                mask = np.left_shift(np.uint64(1), (no % bits).astype(np.uint64)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(at * width + no // bits), pa.array(mask)], ["at", "mask"])
+
+    page = min(PAGE, cells)
+
+    def paged(table: pa.Table) -> pa.Table:
+        at = table.column("at").to_numpy()
+        words = np.zeros(page, dtype=kind)
+        words[at % page] = table.column("mask").to_numpy().view(np.uint64).astype(kind)
+        return pa.table({"page": pa.array([int(at[0]) // page]), "words": pa.array([words.tobytes()], pa.binary())})
+
+    placed = chosen.mapInArrow(place, "at bigint, mask bigint").groupBy("at").agg(F.bit_or("mask").alias("mask"))
+    pages = placed.groupBy(F.floor(F.col("at") / page).alias("page")).applyInArrow(paged, "page bigint, words binary")
+    words = np.zeros(cells * width, dtype=kind)
+    for r in pages.toLocalIterator():  # ``FILTER_BYTES`` in all
+        words[r["page"] * page : (r["page"] + 1) * page] = np.frombuffer(r["words"], dtype=kind)
     typical.unpersist()
-    words = np.zeros(cells * width, dtype=np.uint64)
-    words[rows["at"].to_numpy()] = rows["mask"].to_numpy().view(np.uint64)
     words = words.reshape(cells, width)
-    fill = np.array([(words[:, i // 64] >> np.uint64(i % 64) & np.uint64(1)).mean() for i in range(len(languages))])
+    fill = np.array([_share_set(words[:, i // bits], i % bits) for i in range(len(languages))])
     return Filters(languages, words, fill**PROBES)
 
 
+def _share_set(column: np.ndarray, bit: int) -> float:
+    """Share of the cells that have the bit, counted in pieces."""
+    one = column.dtype.type(1 << bit)
+    return sum(int(np.count_nonzero(column[i : i + (1 << 20)] & one)) for i in range(0, len(column), 1 << 20)) / len(column)
+
+
+def mask_type(languages: int) -> tuple[np.dtype, int]:
+    """The narrowest numbers that have a bit for each language, and how many a cell needs."""
+    for kind in (np.uint8, np.uint16, np.uint32):
+        if languages <= np.dtype(kind).itemsize * 8:
+            return np.dtype(kind), 1
+    return np.dtype(np.uint64), -(-languages // 64)
+
+
+def kept_levels(sizes: dict[int, int], most: int) -> tuple[int | None, float]:
+    """The lowest level of n-grams to hold, of which a share is held, so that about ``most`` are; None to hold all."""
+    if sum(sizes.values()) <= most:
+        return None, 1.0
+    for level in sorted(sizes, reverse=True):
+        if sizes[level] >= most:
+            return level, most / sizes[level]
+        most -= sizes[level]
+    raise AssertionError("all levels fit")
+
+
 def classify(filters: Filters, texts: pa.Array, letters: np.ndarray) -> tuple[list[str], np.ndarray]:
     """Language and score of each text."""
     hashed, first = ngrams(texts, letters)
     masks = None
     for at in probes(hashed, len(filters.words)):
         masks = filters.words[at] if masks is None else masks & filters.words[at]
+    wide = filters.words.dtype.itemsize * 8
     n = np.diff(first).astype(np.float64)
     corrected = np.zeros((len(filters.languages), len(n)))
     for i, false in enumerate(filters.false_share):
-        bits = (masks[:, i // 64] >> np.uint64(i % 64)).astype(np.uint8) & np.uint8(1)
+        bits = (masks[:, i // wide] >> masks.dtype.type(i % wide)).astype(np.uint8) & np.uint8(1)
         hits = sum_runs(bits, first)
         corrected[i] = np.maximum(hits - false * n, 0.0) / max(1.0 - false, 1e-9)
     best = corrected.argmax(0)

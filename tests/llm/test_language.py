@@ -78,6 +78,40 @@ def test_held_out_texts(spark):
     assert all(r["lang_pred"] == r["lang"] and 0.5 < r["score"] <= 1 for r in found)
 
 
+def test_more_ngrams_than_the_filter_holds(spark, monkeypatch):
+    """A language of many n-grams keeps its most frequent ones and is still told, as are the others."""
+    rng = random.Random(11)
+    signs = [chr(0x4E00 + i) for i in range(60)]
+    common = ["".join(rng.choice(signs) for _ in range(6)) for _ in range(40)]
+    rare = ["".join(rng.choice(signs) for _ in range(6)) for _ in range(30_000)]
+    line = lambda: " ".join(rng.choice(common if rng.random() < 0.5 else rare) for _ in range(30))
+    rows = sample(spark)[0] + [(" ".join(rare[i : i + 50]), "zh") for i in range(0, 30_000, 50)] * 3 + [(line(), "zh") for _ in range(300)]
+    monkeypatch.setattr(language, "FILTER_BYTES", 1 << 16)
+    filters = language.learn(spark.createDataFrame(rows, "text string, lang string"))
+    assert filters.words.dtype.itemsize == 1 and len(filters.words) == 1 << 16
+    assert filters.false_share.max() < 0.2  # half full at most; all of them would fill it
+    fresh = [(line(), "zh") for _ in range(40)] + [(t, lang) for lang in WORDS for t in texts(rng, lang, 20)]
+    found = language.predict(spark.createDataFrame(fresh, "text string, lang string"), filters).collect()
+    assert all(r["lang_pred"] == r["lang"] for r in found)
+
+
+def test_many_languages(spark):
+    rng = random.Random(12)
+    rows = []
+    for i in range(70):  # more than one mask of 64 bits
+        words = ["".join(chr(0x1000 + i * 20 + rng.randrange(20)) if rng.random() < 0.9 else "a" for _ in range(5)) for _ in range(8)]
+        words = [w if any(chr(c).isalpha() for c in map(ord, w)) else "abcd" for w in words]
+        rows += [(" ".join(rng.choice(words) for _ in range(12)), f"l{i:02}") for _ in range(8)]
+    filters = language.learn(spark.createDataFrame(rows, "text string, lang string"))
+    assert filters.words.dtype.itemsize == 8 and filters.words.shape[1] == 2
+
+
+def test_kept_levels():
+    assert language.kept_levels({3: 10, 5: 4}, 14) == (None, 1.0)
+    assert language.kept_levels({3: 10, 5: 4}, 9) == (3, 0.5)
+    assert language.kept_levels({3: 10, 5: 4}, 2) == (5, 0.5)
+
+
 def test_rough_rows(spark, rough, nothing):
     filters = language.learn(rough)
     rows = language.predict(rough, filters).collect()
