@@ -14,6 +14,7 @@ from ..schemas import TABLES
 from ..session import BROADCAST_BYTES, Workspace
 from ..settings import Settings
 from ..sources import exports, listing, published
+from ..sources import people as people_by_key
 from . import cancel_flow, interviews, panel, refunds, reports, surveys, tickets
 from .evidence import build_evidence, union_all
 from .family import KEY, SEQ, Output, Run, mirror, rejects
@@ -272,6 +273,7 @@ def publish(spark: SparkSession, result: Result, outputs: dict[str, Output], out
         copies.append(reports.mirror(outputs["documents"].shaped))
     published.publish_mirror(union_all(copies), base)
     published.write_manifest(result.manifest, base)
+    people_by_key.publish_people(spark, base)
     published.make_current(spark, out, run)
     result.tables = {name: published.read_table(spark, out, name) for name in result.tables}
     parts = {name: (df.schema, f"{base}/manifest/{name}") for name, df in result.manifest.items()}

@@ -19,12 +19,18 @@ def top_reasons(df: DataFrame, by: list[str], score: str, out: str) -> DataFrame
     )
 
 
-def area_across_sources(evidence: DataFrame, area: str) -> DataFrame:
-    """Items and distinct people per source for one area, real users only."""
+def _rows(weight: str | None) -> Column:
+    """Number of rows, or of the rows that combined ones stand for."""
+    return F.sum(weight) if weight else F.count("*")
+
+
+def area_across_sources(evidence: DataFrame, area: str, weight: str | None = None) -> DataFrame:
+    """Items and distinct people per source for one area, real users only. ``weight`` holds the
+    items of a row where rows are combined."""
     return (
         evidence.filter((F.col("population") == "user") & F.array_contains("areas", area))
         .groupBy("source")
-        .agg(F.count("*").alias("n"), F.count_distinct("user_key").alias("people"))
+        .agg(_rows(weight).alias("n"), F.count_distinct("user_key").alias("people"))
         .orderBy(F.desc("n"), "source")
     )
 
@@ -130,14 +136,14 @@ def people_in_both(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return a.join(b, key, "left_semi").agg(F.count("*").alias("people"))
 
 
-def match_rate(cohort: DataFrame, behaviour: DataFrame, key: str, by: list[str]) -> DataFrame:
+def match_rate(cohort: DataFrame, behaviour: DataFrame, key: str, by: list[str], weight: str | None = None) -> DataFrame:
     """Members per group and how many of them are found in the other data.
 
     Members are counted per key before the join, so neither a frequent key nor the
     members without one pile up in a task.
     """
     found = behaviour.select(key).filter(F.col(key).isNotNull()).distinct().withColumn("_found", F.lit(True))
-    counted = cohort.groupBy(key, *by).agg(F.count("*").alias("_n"))
+    counted = cohort.groupBy(key, *by).agg(_rows(weight).alias("_n"))
     matched = F.sum(F.when(F.col("_found"), F.col("_n")).otherwise(0))
     return (
         counted.join(found, key, "left")

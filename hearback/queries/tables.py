@@ -10,7 +10,8 @@ from ..operators import identity, quality, records
 from ..operators.reshape import residual, wide_to_long
 from ..plans import recipes
 from ..plans.tickets import sender_type
-from ..session import load
+from ..session import load, scratch
+from ..sources.people import activity, read_bucketed, write_bucketed
 from .registry import query
 
 def day() -> Column:
@@ -224,6 +225,70 @@ def cohort_match_rate(spark: SparkSession, sf: str) -> DataFrame:
     return recipes.match_rate(cohort, load(spark, sf, "events").select("user_id"), "user_id", ["segment"])
 
 
+def bucketed_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Activity of the people behind the events by type and day, as a run publishes that of evidence."""
+    events = load(spark, sf, "events").select(
+        F.col("user_id").alias("user_key"), F.col("event_type").alias("source"), F.lit("user").alias("population"), "ts",
+        F.date_format("ts", "yyyy-MM-dd").alias("day"), F.array(F.date_format("ts", "yyyy-MM")).alias("areas"),
+    )
+    base = scratch(spark).path("people")
+    write_bucketed(
+        activity(events, "user_key", ["source", "population", "day", "areas"], "ts"), base, "activity", "user_key", 8
+    )
+    return read_bucketed(spark, base, "activity")
+
+
+@query(
+    "people_journey",
+    """
+SELECT e.event_type AS source, strftime(e.ts, '%Y-%m-%d') AS day, count(DISTINCT c.user_id) AS people
+FROM events c JOIN events e USING (user_id)
+WHERE c.event_type = 'purchase' AND e.event_type <> 'purchase' AND e.ts < c.ts GROUP BY ALL
+""",
+)
+def people_journey(spark: SparkSession, sf: str) -> DataFrame:
+    """Who did what before buying, from the bucketed activity."""
+    acted = bucketed_events(spark, sf)
+    bought, other = acted.filter("source = 'purchase'"), acted.filter("source <> 'purchase'")
+    return recipes.said_before(bought, other, "user_key", "last_at", "first_at", ["source", "day"])
+
+
+@query(
+    "people_overlap",
+    """
+SELECT count(DISTINCT a.user_id) AS people FROM events a JOIN events b USING (user_id)
+WHERE a.event_type = 'error' AND b.event_type = 'purchase'
+""",
+)
+def people_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    acted = bucketed_events(spark, sf)
+    return recipes.people_in_both(acted.filter("source = 'error'"), acted.filter("source = 'purchase'"), "user_key")
+
+
+@query(
+    "people_match_rate",
+    """
+SELECT event_type AS source, count(*) AS members, count(u) AS matched, round(count(u) / count(*), 4) AS match_rate
+FROM events LEFT JOIN (SELECT DISTINCT user_id AS u FROM events WHERE event_type = 'purchase') ON u = user_id GROUP BY 1
+""",
+)
+def people_match_rate(spark: SparkSession, sf: str) -> DataFrame:
+    acted = bucketed_events(spark, sf)
+    return recipes.match_rate(acted, acted.filter("source = 'purchase'"), "user_key", ["source"], "n")
+
+
+@query(
+    "people_areas",
+    """
+SELECT event_type AS source, count(*) AS n, count(DISTINCT user_id) AS people FROM events
+WHERE strftime(ts, '%Y-%m') = (SELECT strftime(min(ts), '%Y-%m') FROM events) GROUP BY 1
+""",
+)
+def people_areas(spark: SparkSession, sf: str) -> DataFrame:
+    month = load(spark, sf, "events").agg(F.date_format(F.min("ts"), "yyyy-MM")).first()[0]
+    return recipes.area_across_sources(bucketed_events(spark, sf), month, "n")
+
+
 @query(
     "link_rate",
     """

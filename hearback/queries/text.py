@@ -11,7 +11,8 @@ from ..operators.classify import classify
 from ..operators.reshape import header_parts
 from ..plans import recipes
 from ..plans.evidence import build_evidence, feedback, union_all
-from ..session import load, widen
+from ..session import load, scratch, widen
+from ..sources import search
 from . import taxonomies as tx
 from .registry import query
 
@@ -470,6 +471,34 @@ def text_search_latest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+NEEDLES = ["license", "LICENSE%version", "qu", "@mail", "no such words here", "\\\\_x"]
+
+
+@query(
+    "text_search_indexed",
+    r"""
+WITH needles AS (SELECT unnest(['license', 'LICENSE%version', 'qu', '@mail', 'no such words here', '\_x']) AS needle)
+SELECT needle, doc_id, source, lang, excerpt FROM (
+  SELECT needle, doc_id, source, lang, left(text, 240) AS excerpt,
+         row_number() OVER (PARTITION BY needle ORDER BY n_chars DESC, doc_id DESC) AS place
+  FROM needles JOIN documents ON text ILIKE '%' || needle || '%' ESCAPE '\')
+WHERE place <= 20
+""",
+)
+def text_search_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """The longest texts with each needle, found through the posting lists."""
+    base = scratch(spark).path("search")
+    docs = load(spark, sf, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    search.build_index(docs, base, "text", [F.desc("n_chars"), F.desc("doc_id")], block_rows=500)
+    found = None
+    for needle in NEEDLES:
+        near = search.rows_near(spark, base, needle)
+        hits = recipes.search_latest(near, "text", needle, [F.desc("n_chars"), F.desc("doc_id")], ["doc_id", "source", "lang"])
+        hits = hits.withColumn("needle", F.lit(needle))
+        found = hits if found is None else found.union(hits)
+    return found
+
+
 @query(
     "quotes_per_group",
     """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,6 +79,19 @@ def remove_folder(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its store's name; relative ones are taken from the working folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(folder).toString()
+
+
+def scratch(spark: SparkSession) -> Workspace:
+    """Work folder in ``spark.checkpoint.dir``; one of this machine only where that is unset and the
+    session runs on this machine alone, as in tests."""
+    alone = spark.sparkContext.master.startswith("local") and spark.conf.get("spark.checkpoint.dir", None) is None
+    return Workspace(spark, tempfile.mkdtemp(prefix="hearback-") if alone else None)
+
+
 def folders_in(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """Names of the folders right below ``path`` and when each was last changed (milliseconds)."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -15,7 +15,7 @@ from hearback.plans.family import KEY, Run, bind, sequence
 from hearback.plans.ingest import ingest, leak_check
 from hearback.session import Inline, Workspace, folders_in
 from hearback.settings import Settings, load_taxonomy
-from hearback.sources import exports, listing, published
+from hearback.sources import exports, listing, people, published, search
 
 
 @pytest.fixture(scope="module")
@@ -462,3 +462,18 @@ def test_listing_finds_every_file_at_any_depth(spark, tmp_path, monkeypatch):
     assert listing.list_files(spark, str(bare)).collect() == []
     with pytest.raises(FileNotFoundError):
         listing.list_files(spark, str(tmp_path / "none"))
+
+
+def test_people_and_index_of_a_run(spark, place, table):
+    out = str(place / "out")
+    evidence, acted = table("evidence"), people.read_people(spark, out)
+    total = acted.agg(F.sum("n")).first()[0]
+    assert total == evidence.count()
+    want = rows(recipes.area_across_sources(evidence, "price"), "source", "n", "people")
+    assert rows(recipes.area_across_sources(acted, "price", "n"), "source", "n", "people") == want and want
+    search.index_table(spark, out)
+    hit = F.col("text").ilike("%rival%")
+    near = search.table_near(spark, out, "evidence", "rival")
+    assert rows(near.filter(hit), "evidence_id") == rows(evidence.filter(hit), "evidence_id") != []
+    plain = search.table_near(spark, out, "documents", "nps")  # no index was made for it
+    assert plain.count() == table("documents").count()
