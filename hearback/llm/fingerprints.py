@@ -9,7 +9,9 @@ the k-mers as they are.
 
 Documents are compared with their successor in descending order of doc_id. Documents are
 cut into ranges of ids; a range also gets a copy of the next range's first document, so
-that each range is read in order by itself. Nothing runs over all documents in one task.
+that each range is read in order by itself. An id with the rows of several ranges, or rows without one, are
+cut further by the MD5 of the text, and copies of one text there, which are alike, are dealt
+anyhow. Nothing runs over all documents, or all rows of an id, in one task.
 
 Defined cases: null and empty texts have the fingerprint of no k-mers; equal texts have
 equal fingerprints; documents without doc_id come last, rows of one doc_id in the order of
@@ -143,32 +145,67 @@ def fingerprints(df: DataFrame, k: int = K) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+NO_ID = -(1 << 63)  # stands for a missing id, which comes last
+TIES = 1 << 20
+
+
+def _hot_cuts(docs: DataFrame, bounds: list[int], count: int) -> tuple[list[tuple[int, str]], dict[tuple[int, str], int]]:
+    """Cuts (id, md5) inside ids with more rows than a range should have, and texts of such an id
+    that alone have more, with the number of parts for each."""
+    total, missing = docs.agg(F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
+    target = max(1, -(-total // count))
+    rows = {b: bounds.count(b) * target for b in set(bounds) if bounds.count(b) > 1}
+    if missing > target:
+        rows[NO_ID] = missing
+    if not rows:
+        return [], {}
+    known = [i for i in rows if i != NO_ID]
+    hot = F.col("doc_id").isin(known) | (F.col("doc_id").isNull() if NO_ID in rows else F.lit(False))
+    texts = docs.filter(hot).groupBy("doc_id", F.md5("text").alias("text")).count().filter(F.col("count") > target)
+    copied = {(NO_ID if r["doc_id"] is None else r["doc_id"], r["text"]): -(-r["count"] // target) for r in texts.collect()}
+    cuts = []
+    for i, n in rows.items():
+        parts = -(-n // target)
+        cuts += [(i, ""), (i, "z"), *((i, f"{(k << 32) // parts:08x}") for k in range(1, parts))]
+    for i, text in copied:
+        cuts += [(i, text), (i, f"{text}z")]
+    return cuts, copied
+
+
 def _ranges(docs: DataFrame) -> DataFrame:
-    """Documents with ``slot`` (ascending along descending doc_id) and ``extra``: 1 marks the copy of
+    """Documents with ``slot`` (ascending along descending doc_id and text) and ``extra``: 1 marks the copy of
     the next slot's first document, which ends a slot."""
     spark = docs.sparkSession
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = docs.filter("doc_id is not null").approxQuantile("doc_id", [i / count for i in range(1, count)], 0.2 / count)
-    bounds = sorted({int(b) for b in bounds}, reverse=True)  # fewer than there are partitions
-    slot = F.lit(0)
-    if bounds:
-        slot = F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1))
-        cuts = F.array(*(F.lit(b).cast("long") for b in bounds))
-        slot = slot.otherwise(F.size(F.filter(cuts, lambda c: c > F.col("doc_id"))))
-    docs = docs.withColumn("slot", slot)
-    order = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.md5("text").alias("text"))
-    firsts = docs.groupBy("slot").agg(F.max(order).alias("first")).orderBy("slot").collect()  # one row per slot
+    bounds = [int(b) for b in bounds]  # fewer than there are partitions
+    hot, copied = _hot_cuts(docs, bounds, count)
+    row = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.md5("text").alias("text"))
+    if hot:  # a few cuts for each partition
+        ordered = sorted({*((b, "") for b in bounds), *hot}, reverse=True)
+        cuts = F.array(*(F.struct(F.lit(i).cast("long").alias("id"), F.lit(t).alias("text")) for i, t in ordered))
+        slot = F.size(F.filter(cuts, lambda c: c > row)).cast("long") * TIES
+        for (i, text), parts in copied.items():  # equal rows: any order is theirs
+            dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(min(parts, TIES)))
+            slot = slot + F.when((row["id"] == i) & (row["text"] == text), dealt).otherwise(F.lit(0))
+    elif bounds:
+        cuts = F.array(*(F.lit(b).cast("long") for b in sorted(set(bounds), reverse=True)))
+        slot = F.when(F.col("doc_id").isNull(), F.lit(count)).otherwise(F.size(F.filter(cuts, lambda c: c > F.col("doc_id"))))
+    else:
+        slot = F.lit(0)
+    docs = docs.withColumn("slot", slot.cast("long"))
+    firsts = docs.groupBy("slot").agg(F.max(row).alias("first")).orderBy("slot").collect()  # one row per slot
     if not firsts:
         return docs.withColumn("extra", F.lit(0))
     slots = [r["slot"] for r in firsts]
     before = {s: slots[i - 1] for i, s in enumerate(slots)}  # the first slot's head ends the last slot
     heads = spark.createDataFrame(
-        [(r["first"]["id"], r["first"]["text"], before[r["slot"]]) for r in firsts], "head_id long, head_text string, head_slot int"
+        [(r["first"]["id"], r["first"]["text"], before[r["slot"]]) for r in firsts], "head_id long, head_text string, head_slot long"
     )
-    on = (F.coalesce("doc_id", F.lit(-(1 << 63))) == F.col("head_id")) & (F.md5("text") == F.col("head_text"))
-    wanted = [r["first"]["id"] for r in firsts]
-    near = docs.filter(F.coalesce("doc_id", F.lit(-(1 << 63))).isin(wanted))
-    extra = near.join(F.broadcast(heads), on).dropDuplicates(["head_id", "head_text"])
+    known = docs.select("doc_id", "text", row["id"].alias("head_id"), row["text"].alias("head_text"))
+    near = known.filter(F.col("head_id").isin(sorted({r["first"]["id"] for r in firsts})))
+    near = near.join(F.broadcast(heads.select("head_id", "head_text").distinct()), ["head_id", "head_text"], "left_semi")
+    extra = near.dropDuplicates(["head_id", "head_text"]).join(F.broadcast(heads), ["head_id", "head_text"])
     extra = extra.select("doc_id", "text", F.col("head_slot").alias("slot"), F.lit(1).alias("extra"))
     return docs.select("doc_id", "text", "slot", F.lit(0).alias("extra")).union(extra)
 

@@ -71,3 +71,26 @@ def test_successors(spark, rough, nothing):
     one = fp.with_successors(documents(spark, [(1, "abcdef", "en", "a")])).collect()
     assert [(r["near_next"], r["edited_sha256"]) for r in one] == [(1.0, hashlib.sha256(b"abcabc").hexdigest())]
     assert [r["fingerprint"] for r in fp.fingerprints(rough).filter("doc_id = 1 or doc_id = 6").collect()].__len__() == 2
+
+
+def test_hot_ids_are_split(spark):
+    """A third of the rows without an id, a third of one id (most of them one text): whole results in even ranges."""
+    rng = random.Random(6)
+    short = lambda: "".join(rng.choice("abc") for _ in range(12))
+    rows = [(None, short()) for _ in range(400)] + [(7, short() if i % 4 == 0 else "the copied text") for i in range(400)]
+    rows += [(i * 2, short()) for i in range(400)]
+    df = documents(spark, [(i, t, "en", "a") for i, t in rows])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        sizes = [r["count"] for r in fp._ranges(df.select("doc_id", "text")).groupBy("slot").count().collect()]
+        found = fp.with_successors(df).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert max(sizes) <= 2.5 * 1200 / 16
+    line = sorted(rows, key=lambda r: (-1 if r[0] is None else r[0], hashlib.md5(r[1].encode()).hexdigest()), reverse=True)
+    want = []
+    for i, (doc_id, text) in enumerate(line):
+        edited = fp.edit(text, line[(i + 1) % len(line)][1])
+        want.append((str(doc_id), fp.written(fp.sketch(fp._utf32(text))), hashlib.sha256(edited.encode()).hexdigest()))
+    assert sorted((str(r["doc_id"]), r["fingerprint"], r["edited_sha256"]) for r in found) == sorted(want)
