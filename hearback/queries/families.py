@@ -66,14 +66,15 @@ def as_export(
         (number + 1).cast("long").alias("row_number"),
         F.array(*[F.coalesce(c.cast("string"), F.lit("")) for c in [*(c for _, c in cells), *(surplus or [])]]).alias("cells"),
     )
-    heads = raw.select("period", "source", "source_file", KEY).distinct()
-    heads = heads.withColumns(
+    # a header is a column of its file and no constant: what is worked out from it is not worked out for each record
+    files = raw.groupBy("period", "source", "source_file", KEY).agg(F.count("*").alias("rows"))
+    heads = files.withColumns(
         {
-            "header": F.array(*[F.lit(n) for n in names]),
-            "labels": F.array(*[F.lit(n) for n in labels or names]),
+            "header": F.when(F.col("rows") > 0, F.array(*[F.lit(n) for n in names])),
+            "labels": F.when(F.col("rows") > 0, F.array(*[F.lit(n) for n in labels or names])),
             "header_rows": F.lit(2 if labels else 1).cast("long"),
         }
-    )
+    ).drop("rows")
     return Run(SETTINGS, Inline(spark), raw, heads)
 
 

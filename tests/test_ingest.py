@@ -10,9 +10,10 @@ from fixtures import CANCEL_1, CANCEL_HEADER, CONFIG, PMF_CASES, SALT, write_csv
 from pyspark.sql import functions as F
 
 from hearback.operators import records
-from hearback.plans import cancel_flow, recipes, tickets
+from hearback.plans import cancel_flow, recipes, refunds, tickets
 from hearback.plans.family import KEY, Run, bind, sequence
 from hearback.plans.ingest import ingest, leak_check
+from hearback.queries import families
 from hearback.session import Inline, Workspace, folders_in
 from hearback.settings import Settings, load_taxonomy
 from hearback.sources import exports, listing, people, published, search
@@ -448,6 +449,17 @@ def test_layouts_follow_headers_and_not_files(spark, settings):
     assert spread.groupBy("id").count().collect() == [("Ticket ID!", 30_000)]
 
 
+def test_header_work_of_exports_is_not_done_for_each_record(spark):
+    """Below the aggregate that finds the files of an export, nothing of a header is worked out."""
+    rows = spark.range(20).select("id", F.when(F.col("id") % 4 > 0, F.concat(F.lit("f"), F.col("id") % 4)).alias("file"))
+    asked = families.as_export(spark, rows, "mbg", F.col("file"), F.col("id"), {"Amount": F.col("id"), "Colour": F.lit("red")})
+    found = refunds.unmapped_columns(asked.heads("mbg"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" in plan and "lambda" not in plan[plan.index("Aggregate [") :].split("\n", 1)[1]
+    got = sorted(r["alert"] for r in found.collect())
+    assert got == [f"mbg: unmapped column 'Colour' in {f} (kept in mirror only)" for f in ("f1.csv", "f2.csv", "f3.csv", "null")]
+
+
 def test_listing_finds_every_file_at_any_depth(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(listing, "ENTRIES", 2)
     names = ["top.txt", "2026-07/a.csv", "2026-07/_Export/b [1].csv", "2026-07/Export/deep/er/c.csv", "2026-08/Export/.hidden"]
