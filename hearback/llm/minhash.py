@@ -185,6 +185,7 @@ def open_parts(index: DataFrame, labels: DataFrame, prints: DataFrame, long: Dat
     mixed = work.settle(mixed, "minhash-mixed")
     tagged = work.stage(tagged.join(mixed, "bucket", "left_semi").select("bucket", "set_id", "n", "tag"), "minhash-open")
     long = long.join(mixed, "bucket", "left_semi")
+    prints = prints.join(work.settle(tagged.select("set_id").distinct(), "minhash-open-sets"), "set_id", "left_semi")
     tags = tagged.join(long, "bucket").groupBy("bucket", "parts", "tag").count()
     main = tags.groupBy("bucket", "parts").agg(F.max_by("tag", F.struct("count", "tag")).alias("main"))
     main = work.settle(main, "minhash-main")
@@ -281,25 +282,34 @@ def across(parts: DataFrame, percent: int) -> DataFrame:
     return _by_part(parts, answer, "a binary, b binary")
 
 
-def whole_sets(wanted: DataFrame, docs: DataFrame, sets: DataFrame, width: int, work: Workspace, name: str) -> DataFrame:
-    """(set_id, hashes) of the sets ``wanted`` (set_id, distinct), from the texts of one document each."""
+def whole_sets(wanted: DataFrame, docs: DataFrame, sets: DataFrame, repeated: DataFrame, width: int, work: Workspace, name: str) -> DataFrame:
+    """(set_id, hashes) of the sets ``wanted`` (set_id, distinct), from the texts of one document each.
+
+    A doc_id of one row gives one set and, being the least of its set, gives it alone: such sets are not shuffled.
+    Those of ``repeated`` ids, and of sets whose rows have no id, are told apart by their digests."""
     wanted = work.stage(wanted.join(sets, "set_id").select("set_id", "least_id"), f"{name}-wanted")
     ids = work.settle(wanted.filter("least_id is not null").select(F.col("least_id").alias("doc_id")).distinct(), f"{name}-ids")
     chosen = docs.join(ids, "doc_id", "left_semi")
+    shared = chosen.join(repeated, "doc_id", "left_semi")
     if not wanted.filter("least_id is null").isEmpty():
-        chosen = chosen.union(docs.filter("doc_id is null"))
+        shared = shared.union(docs.filter("doc_id is null"))
 
     def make():
         def work_(batch: pa.RecordBatch) -> pa.RecordBatch:
             hashes, starts = shingle_sets(text_array(batch.column("text")), width)
             lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(hashes.view(np.int64)))
-            return pa.RecordBatch.from_arrays([pa.array(set_digests(hashes, starts), pa.binary()), lists], ["set_id", "hashes"])
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(set_digests(hashes, starts), pa.binary()), lists], ["doc_id", "set_id", "hashes"])
 
         return work_
 
-    asked = work.settle(wanted.select("set_id"), f"{name}-asked")
-    whole = map_arrow(chosen.select("text"), make, "set_id binary, hashes array<bigint>").join(asked, "set_id", "left_semi")
-    return work.settle(whole.dropDuplicates(["set_id"]), f"{name}-sets")
+    def whole(rows: DataFrame) -> DataFrame:
+        return map_arrow(rows.select("doc_id", "text"), make, "doc_id bigint, set_id binary, hashes array<bigint>")
+
+    asked = work.settle(wanted.select("set_id", F.col("least_id")), f"{name}-asked")
+    many = whole(shared).alias("w").join(asked.alias("q"), F.expr("w.set_id = q.set_id and w.doc_id <=> q.least_id"), "left_semi")
+    alone = whole(chosen.join(repeated, "doc_id", "left_anti"))
+    found = alone.select("set_id", "hashes").union(many.select("set_id", "hashes").dropDuplicates(["set_id"]))
+    return work.settle(found, f"{name}-sets")
 
 
 def verified(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
@@ -352,6 +362,8 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, work: Wo
     rows = work.stage(sketches(docs, width), "minhash-rows")
     filled = rows.filter("set_id is not null")
     sets = work.stage(filled.groupBy("set_id").agg(F.min("doc_id").alias("least_id")), "minhash-sets")
+    repeated = rows.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    repeated = work.settle(repeated, "minhash-repeated")
     distinct = filled.select("set_id", "n", "bands", "short").dropDuplicates(["set_id"])
     distinct = work.stage(distinct, "minhash-distinct")
     index = distinct.select(F.explode("bands").alias("bucket"), "set_id", "n")
@@ -362,13 +374,13 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, work: Wo
 
     first = work.stage(stars(index, long, percent), "minhash-stars")
     ends = first.select(F.col("a").alias("set_id")).union(first.select("b")).distinct()
-    links = verified(first, whole_sets(ends, docs, sets, width, work, "minhash-first"), percent)
+    links = verified(first, whole_sets(ends, docs, sets, repeated, width, work, "minhash-first"), percent)
     links = work.stage(links, "minhash-links-1")
     tied = components(forest(links), work, "minhash-tied-1")
     labels = work.settle(tied.select(F.col("node").alias("set_id"), F.col("root").alias("label")), "minhash-labels")
     prints = distinct.select("set_id", "bands", "short")
     near = work.stage(likely(open_parts(index, labels, prints, long, work), percent), "minhash-likely")
-    whole = whole_sets(near.select("set_id").distinct(), docs, sets, width, work, "minhash-second")
+    whole = whole_sets(near.select("set_id").distinct(), docs, sets, repeated, width, work, "minhash-second")
     more = work.stage(across(near.join(prints, "set_id").join(whole, "set_id"), percent), "minhash-links-2")
     if not more.isEmpty():
         tied = components(forest(links.union(more)), work, "minhash-tied-2")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hearback.llm import minhash
 from hearback.llm.common import workspace
+from hearback.session import Inline
 
 from .conftest import documents
 
@@ -138,6 +139,21 @@ def test_sets_without_any_id(spark):
     assert found(docs) == plain(rows)
 
 
+def test_sets_of_single_ids_are_not_shuffled(spark):
+    """Whole sets are told apart only where an id has several rows, or a set no id."""
+    texts = families(random.Random(11), 8, 6, 60, 4)
+    rows = list(enumerate(texts)) + [(3, texts[0]), (3, texts[9]), (3, texts[9]), (50, texts[9]), (None, texts[20]), (None, "a b c d"), (None, "a b c d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert found(docs) == plain(rows)
+    sketched = minhash.sketches(docs, 3)
+    sets = sketched.groupBy("set_id").agg(F.min("doc_id").alias("least_id"))
+    repeated = sketched.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id")
+    whole = minhash.whole_sets(sets.select("set_id"), docs, sets, repeated, 3, Inline(spark), "all")
+    assert whole._jdf.queryExecution().optimizedPlan().toString().startswith("Union")
+    got = [r["set_id"] for r in whole.select("set_id").collect()]
+    assert len(got) == len(set(got)) == len({frozenset(shingles(t)) for _, t in rows})
+
+
 def test_one_text_holds_a_third_of_all_rows(spark):
     docs = spark.range(3000).select(
         F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("the same words in each of these rows")).otherwise(F.concat(F.lit("row of its own with number "), "id")).alias("text")
