@@ -110,7 +110,7 @@ def name_list(*names: Column) -> Column:
 
 def longest_first(names: Column) -> Column:
     ranked = F.transform(names, lambda n: F.struct((-F.char_length(n)).alias("k"), n.alias("n")))
-    return F.transform(F.array_sort(ranked), lambda s: s["n"])
+    return F.transform(F.sort_array(ranked), lambda s: s["n"])
 
 
 # Letters outside ASCII that match an ASCII letter when case is ignored.

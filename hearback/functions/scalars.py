@@ -142,7 +142,9 @@ def _year_first(v: Column) -> Column:
 
 
 def _stamp(v: Column) -> Column:
-    second = F.regexp_extract(v, r":[0-9]+:([0-9]+(?:\.[0-9]+)?)", 1).try_cast("decimal(16,6)")
+    # a cast that fails costs an exception for each row, so times without seconds are not cast
+    second = F.regexp_extract(v, r":[0-9]+:([0-9]+(?:\.[0-9]+)?)", 1)
+    second = F.when(second != "", second.try_cast("decimal(16,6)"))
     zone = F.regexp_extract(v, r"([+-][0-9]{2}:?[0-9]{2})$", 1)
     shift = F.when(
         F.contains(v, F.lit("T")) & (zone != ""),
@@ -167,7 +169,7 @@ def _stamp(v: Column) -> Column:
 
 def sorted_json(entries: Column | str) -> Column:
     """JSON object of (key, value) entries without repeated keys, keys in order."""
-    return F.to_json(F.map_from_entries(F.array_sort(col(entries))))
+    return F.to_json(F.map_from_entries(F.sort_array(col(entries))))
 
 
 def json_field(c: Column | str, key: str) -> Column:

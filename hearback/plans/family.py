@@ -163,7 +163,7 @@ def mask_cells(df: DataFrame, run: Run, mail: bool) -> DataFrame:
     def first_step(c: Column, i: Column) -> Column:
         a = F.coalesce(F.get(action, i), F.lit("contact"))  # a cell beyond the header
         return (
-            F.when(c == "", c)
+            F.when((c == "") | (a == ""), c)
             .when(a.isin(FREE_TEXT), masks.scrub(c, F.col("own_names"), F.col("known_pairs"), stop))
             .when(a == "email", F.coalesce(F.col("user_key"), F.lit("[email]")))
             .when(a == "name", F.lit(masks.MASK))

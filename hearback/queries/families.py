@@ -36,6 +36,8 @@ CONFIG = {
     },
 }
 SETTINGS = Settings.from_config(CONFIG, SALT)
+# What every number is like; a cast that fails costs an exception for each row.
+NUMBER = r"^[^0-9A-Za-z]*[0-9]+[^0-9A-Za-z]*$"
 
 
 def as_export(
@@ -61,7 +63,7 @@ def as_export(
         F.lit("2026-07").alias("period"),
         F.lit(source).alias("source"),
         F.concat(F.lit("2026-07/Export/"), name, F.lit(".csv")).alias("source_file"),
-        F.coalesce(name.try_cast("long"), F.ascii(name)).cast("long").alias("file_no"),
+        F.coalesce(F.when(name.rlike(NUMBER), name.try_cast("long")), F.ascii(name)).cast("long").alias("file_no"),
         F.xxhash64(*(F.lit(n) for n in [source, *names, *(labels or names)])).alias(KEY),
         (number + 1).cast("long").alias("row_number"),
         F.array(*[F.coalesce(c.cast("string"), F.lit("")) for c in [*(c for _, c in cells), *(surplus or [])]]).alias("cells"),

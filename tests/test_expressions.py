@@ -49,6 +49,15 @@ def test_dates(spark):
     assert values(spark, list(DATES), scalars.parse_dt) == list(DATES.values())
 
 
+def test_times_without_seconds_are_not_cast(spark):
+    """A cast that fails costs an exception for each row."""
+    dates = spark.createDataFrame([("7/20/2026 14:05",), ("2026-07-20",), ("2026-07-20 14:05:09",)], "c string")
+    parsed = dates.select(scalars.parse_dt("c").alias("d"))
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert "THEN try_cast(regexp_extract(" in plan and "(try_cast(regexp_extract(" not in plan
+    assert [str(r["d"]) for r in parsed.collect()] == ["2026-07-20 14:05:00", "2026-07-20 00:00:00", "2026-07-20 14:05:09"]
+
+
 def test_numbers(spark):
     cells = {"1,234.5": 1234.5, " 7\t": 7.0, "-3e2": -300.0, ".5": 0.5, "5.": 5.0}
     cells |= dict.fromkeys(["1d", "nan", "inf", "1_0", "0x1", "", "x", None])

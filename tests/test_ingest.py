@@ -460,6 +460,16 @@ def test_header_work_of_exports_is_not_done_for_each_record(spark):
     assert got == [f"mbg: unmapped column 'Colour' in {f} (kept in mirror only)" for f in ("f1.csv", "f2.csv", "f3.csv", "null")]
 
 
+def test_names_of_exports_that_are_no_numbers_are_not_cast(spark):
+    """A cast that fails costs an exception for each row; file numbers stay what they were."""
+    want = {"12": 12, " 7 ": 7, "+5": 5, "-3": -3, "A": 65, "x1": 120, "1 2": 49, "9" * 20: 57, "\t8\n": 8, "": 0, None: None}
+    rows = spark.createDataFrame(list(enumerate(want)), "id long, file string")
+    raw = families.as_export(spark, rows, "mbg", F.col("file"), F.col("id"), {"Amount": F.col("id")}).raw
+    assert {list(want)[r["row_number"] - 1]: r["file_no"] for r in raw.collect()} == want
+    plan = raw._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast(") == plan.count("THEN try_cast(") == 1
+
+
 def test_listing_finds_every_file_at_any_depth(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(listing, "ENTRIES", 2)
     names = ["top.txt", "2026-07/a.csv", "2026-07/_Export/b [1].csv", "2026-07/Export/deep/er/c.csv", "2026-08/Export/.hidden"]
