@@ -6,15 +6,19 @@
    which all its slots hold less than the next one: two or three steps for texts of many shingles.
    All texts of a slice take each step together, as array work.
 2. Banding: ``BANDS`` bands of ``ROWS`` slots; a pair of similarity 0.85 misses all of them with a
-   chance of 6e-9. Work is on distinct sets; copies come back by a join.
-3. Verification: each bucket's sets are compared with one of them, other ones in other buckets, on whole
-   sets of shingle hashes. Links are reduced to forests by union-find in tasks, then joined to components.
+   chance of 6e-9. Of each slot a byte is kept; a bucket is a band and its six bytes, so that it is found
+   from them and never stored. Work is on distinct sets; copies come back by a join.
+3. Verification: each bucket's sets have one of them as head, the least by one order of all sets. A set is
+   compared with the ``HEADS`` it shares most buckets with, on whole sets of shingle hashes, which go to the
+   head's task: a set travels ``HEADS`` times at most as one that is compared, and once for each place it heads.
+   Links are reduced to forests by union-find in tasks, then joined to components.
 4. What this may have left: in buckets that still hold several components, sets are compared across these
    inside the task, each pair in its first common bucket, by size, by signature (far below what 0.85 could
    show) and on whole sets, which only the rows with such a partner carry. Only links leave the task. So every
    pair that meets in a bucket is either in one component or was verified.
 
-A bucket over ``LIST`` sets is dealt into parts: its main component's sets once, others to every part.
+A bucket over ``LIST`` sets is dealt into parts, for the heads by a hash that differs by bucket; in step 4 its
+main component's sets go to one part, others to every part.
 
 Sets are told apart by 128-bit digests, shingles by 64-bit hashes.
 
@@ -32,9 +36,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.bloom import may_be_in
 from ..operators.skew import hottest, spread_join
 from ..session import Workspace
 from .common import gather_runs, map_arrow, ship, strings_of, text_array, workspace
@@ -44,7 +49,10 @@ BANDS, ROWS = 40, 6
 SLOTS = BANDS * ROWS
 SURELY = 0.14  # so far below the similarity asked for no link's share of equal slots lies (six deviations)
 LIST = 4096
-HOT_ROWS = 20_000  # pairs of one set, each with a set beside it, that a task takes
+HEADS = 2
+BAND_BITS = 6  # the low bits of a bucket name its band
+HOT_ROWS = 20_000  # sets compared with one head that a task takes
+KEYS = 500_000  # keys that are sent to every task as they are; more go as a Bloom filter before the join
 HELD = 1_000_000
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -118,38 +126,47 @@ def set_digests(hashes: np.ndarray, starts: np.ndarray) -> list[bytes | None]:
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, set_id, n, bands, short): every row's set digest (null: empty set), size, bucket keys and short signature."""
+    """(doc_id, set_id, n, short): every row's set digest (null: empty set), size and short signature."""
 
     def make():
-        salt = np.arange(BANDS, dtype=np.uint64) * GOLDEN
-
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             hashes, starts = shingle_sets(text_array(batch.column("text")), width)
-            found = signatures(hashes, starts)
-            keys = np.tile(salt, (len(found), 1))
-            for k in range(ROWS):
-                keys = _mixed(keys * GOLDEN + found[:, k::ROWS])
-            bands = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * BANDS), pa.array(keys.view(np.int64).ravel()))
-            short = _mixed(found).astype(np.uint8)  # a byte of each slot
+            short = _mixed(signatures(hashes, starts)).astype(np.uint8)  # a byte of each slot
             return pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(set_digests(hashes, starts), pa.binary()), pa.array(np.diff(starts)), bands, pa.array([row.tobytes() for row in short], pa.binary())],
-                ["doc_id", "set_id", "n", "bands", "short"],
+                [batch.column("doc_id"), pa.array(set_digests(hashes, starts), pa.binary()), pa.array(np.diff(starts)), pa.array([row.tobytes() for row in short], pa.binary())],
+                ["doc_id", "set_id", "n", "short"],
             )
 
         return work
 
-    schema = "doc_id bigint, set_id binary, n bigint, bands array<bigint>, short binary"
+    schema = "doc_id bigint, set_id binary, n bigint, short binary"
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), make, schema)
 
 
+def buckets(short: str) -> Column:
+    """The buckets of a short signature: for each band a hash of its bytes, with the band in the low bits."""
+    keys = (F.xxhash64(F.substring(short, ROWS * k + 1, ROWS)) for k in range(BANDS))
+    return F.array(*(F.shiftleft(key, BAND_BITS).bitwiseOR(F.lit(k).cast("long")) for k, key in enumerate(keys)))
+
+
+def among(df: DataFrame, keys: DataFrame, on: str, work: Workspace, name: str) -> DataFrame:
+    """Rows of ``df`` whose ``on`` is one of ``keys`` (distinct, without null). However many keys there are, of ``df``
+    only rows that have one, and few others, are ever shuffled."""
+    keys = work.stage(keys, name)
+    n = keys.count()
+    if n <= KEYS:
+        return df.join(F.broadcast(keys), on, "left_semi")
+    return may_be_in(df, keys, [on], n).join(keys, on).select(*df.columns)  # a semi join would be moved before the filter
+
 
 def stars(index: DataFrame, long: DataFrame, percent: int) -> DataFrame:
-    """(a, b) distinct: of each bucket part of ``index`` (bucket, set_id, n) one set with every other one.
+    """(a, b) distinct: sets b of ``index`` (bucket, set_id, n), each with the ``HEADS`` heads a of its bucket parts that
+    it shares most of them with.
 
-    A part's set is the least by a hash of bucket and set, so buckets differ in it. Rows stream by.
+    A part's head is the least by a hash of the set. Rows stream by.
     """
-    part = F.coalesce(F.pmod(F.xxhash64("set_id"), F.col("parts")), F.lit(0)).alias("part")
-    dealt = index.join(long, "bucket", "left").select("bucket", part, F.xxhash64("bucket", "set_id").alias("order"), "set_id", "n")
+    part = F.coalesce(F.pmod(F.xxhash64("bucket", "set_id"), F.col("parts")), F.lit(0)).alias("part")
+    dealt = index.join(long, "bucket", "left").select("bucket", part, F.xxhash64("set_id").alias("order"), "set_id", "n")
     dealt = dealt.repartition("bucket", "part").sortWithinPartitions("bucket", "part", "order")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,11 +189,13 @@ def stars(index: DataFrame, long: DataFrame, percent: int) -> DataFrame:
             if len(at):
                 yield pa.RecordBatch.from_arrays([head_sets.take(pa.array(which[at])), sets.take(pa.array(at))], ["a", "b"])
 
-    return dealt.mapInArrow(run, "a binary, b binary").distinct()
+    met = dealt.mapInArrow(run, "a binary, b binary").groupBy("b", "a").agg(F.count("*").alias("n"))
+    most = F.sort_array(F.collect_list(F.struct(-F.col("n"), F.xxhash64("a"), "a")))  # one from each band at most
+    return met.groupBy("b").agg(F.slice(most, 1, HEADS)["a"].alias("a")).select(F.explode("a").alias("a"), "b")
 
 
 def open_parts(index: DataFrame, labels: DataFrame, prints: DataFrame, long: DataFrame, work: Workspace) -> DataFrame:
-    """(bucket, part, set_id, n, tag, mine, bands, short): the sets of buckets that hold several components,
+    """(bucket, part, set_id, n, tag, mine, short): the sets of buckets that hold several components,
     each component a ``tag``. A long bucket's main component is dealt to its parts, other sets go to each
     part and are ``mine`` in one of them."""
     index = index.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
@@ -185,7 +204,7 @@ def open_parts(index: DataFrame, labels: DataFrame, prints: DataFrame, long: Dat
     mixed = work.settle(mixed, "minhash-mixed")
     tagged = work.stage(tagged.join(mixed, "bucket", "left_semi").select("bucket", "set_id", "n", "tag"), "minhash-open")
     long = long.join(mixed, "bucket", "left_semi")
-    prints = prints.join(work.settle(tagged.select("set_id").distinct(), "minhash-open-sets"), "set_id", "left_semi")
+    prints = among(prints, tagged.select("set_id").distinct(), "set_id", work, "minhash-open-sets")
     tags = tagged.join(long, "bucket").groupBy("bucket", "parts", "tag").count()
     main = tags.groupBy("bucket", "parts").agg(F.max_by("tag", F.struct("count", "tag")).alias("main"))
     main = work.settle(main, "minhash-main")
@@ -223,9 +242,8 @@ class Part:
 
     def __init__(self, table: pa.Table, percent: int):
         self.n, self.tag, self.mine = (table[c].to_numpy() for c in ("n", "tag", "mine"))
-        self.bucket, self.percent = table["bucket"][0].as_py(), percent
+        self.band, self.percent = table["bucket"][0].as_py() % (1 << BAND_BITS), percent
         self.short = np.frombuffer(b"".join(table["short"].to_pylist()), dtype=np.uint8).reshape(-1, SLOTS)
-        self.bands = table["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
         values, counts = np.unique(self.tag, return_counts=True)
         self.strays = np.flatnonzero(self.tag != values[counts.argmax()])
 
@@ -233,8 +251,10 @@ class Part:
         """Sets of other components whose size and signature are near the set's, where no earlier band has the pair."""
         j = np.flatnonzero((self.tag != self.tag[i]) & (self.mine | self.mine[i]))
         j = j[np.minimum(self.n[j], self.n[i]) * 100 >= np.maximum(self.n[j], self.n[i]) * self.percent]
-        j = j[(self.short[j] == self.short[i]).sum(axis=1) >= SLOTS * (self.percent / 100 - SURELY)]
-        return j[self.bands[i, (self.bands[j] == self.bands[i]).argmax(axis=1)] == self.bucket]
+        equal = self.short[j] == self.short[i]
+        alike = equal.sum(axis=1) >= SLOTS * (self.percent / 100 - SURELY)
+        j, equal = j[alike], equal[alike]
+        return j[equal.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == self.band]
 
 
 def likely(parts: DataFrame, percent: int) -> DataFrame:
@@ -252,6 +272,13 @@ def likely(parts: DataFrame, percent: int) -> DataFrame:
     return _by_part(parts, answer, "bucket bigint, part bigint, set_id binary, n bigint, tag bigint, mine boolean")
 
 
+def linked(own: np.ndarray, others: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the sets ``others``, one after the other and of such ``sizes``, are alike with the set ``own``; all are sorted."""
+    there = own[np.minimum(np.searchsorted(own, others), len(own) - 1)] == others
+    same = np.add.reduceat(there, np.r_[0, np.cumsum(sizes)[:-1]], dtype=np.int64)
+    return same * 100 >= (len(own) + sizes - same) * percent
+
+
 def across(parts: DataFrame, percent: int) -> DataFrame:
     """(a, b): verified links that tie together what ``parts``, with ``hashes`` of whole sets, hold of different components."""
 
@@ -267,10 +294,8 @@ def across(parts: DataFrame, percent: int) -> DataFrame:
             j = j[group[j] != group[i]]
             if not len(j):
                 continue
-            own, sizes = flat[starts[i] : starts[i + 1]], np.diff(starts)[j]
-            there = flat[gather_runs(starts[j].astype(np.int64), sizes.astype(np.int64))]
-            same = np.add.reduceat(own[np.minimum(np.searchsorted(own, there), len(own) - 1)] == there, np.r_[0, np.cumsum(sizes)[:-1]], dtype=np.int64)
-            for k in j[same * 100 >= (len(own) + sizes - same) * percent]:
+            sizes = np.diff(starts)[j].astype(np.int64)
+            for k in j[linked(flat[starts[i] : starts[i + 1]], flat[gather_runs(starts[j].astype(np.int64), sizes)], sizes, percent)]:
                 if group[k] != group[i]:
                     group[group == group[k]] = group[i]
                     a.append(i)
@@ -288,8 +313,8 @@ def whole_sets(wanted: DataFrame, docs: DataFrame, sets: DataFrame, repeated: Da
     A doc_id of one row gives one set and, being the least of its set, gives it alone: such sets are not shuffled.
     Those of ``repeated`` ids, and of sets whose rows have no id, are told apart by their digests."""
     wanted = work.stage(wanted.join(sets, "set_id").select("set_id", "least_id"), f"{name}-wanted")
-    ids = work.settle(wanted.filter("least_id is not null").select(F.col("least_id").alias("doc_id")).distinct(), f"{name}-ids")
-    chosen = docs.join(ids, "doc_id", "left_semi")
+    ids = wanted.filter("least_id is not null").select(F.col("least_id").alias("doc_id")).distinct()
+    chosen = among(docs, ids, "doc_id", work, f"{name}-ids")
     shared = chosen.join(repeated, "doc_id", "left_semi")
     if not wanted.filter("least_id is null").isEmpty():
         shared = shared.union(docs.filter("doc_id is null"))
@@ -308,17 +333,39 @@ def whole_sets(wanted: DataFrame, docs: DataFrame, sets: DataFrame, repeated: Da
     asked = work.settle(wanted.select("set_id", F.col("least_id")), f"{name}-asked")
     many = whole(shared).alias("w").join(asked.alias("q"), F.expr("w.set_id = q.set_id and w.doc_id <=> q.least_id"), "left_semi")
     alone = whole(chosen.join(repeated, "doc_id", "left_anti"))
-    found = alone.select("set_id", "hashes").union(many.select("set_id", "hashes").dropDuplicates(["set_id"]))
-    return work.settle(found, f"{name}-sets")
+    return alone.select("set_id", "hashes").union(many.select("set_id", "hashes").dropDuplicates(["set_id"]))
 
 
 def verified(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose ``whole`` sets are alike."""
-    second = pairs.join(whole.select(F.col("set_id").alias("b"), F.col("hashes").alias("y")), "b")
+    """The pairs (a, b) whose ``whole`` sets are alike. Sets go to the place of their head, which stands first there;
+    a head of many sets has several places."""
     hot = hottest(pairs.groupBy("a").agg(F.count("*").alias("_n")), ["a"], HOT_ROWS)
-    both = spread_join(second, whole.select(F.col("set_id").alias("a"), F.col("hashes").alias("x")), ["a"], "inner", ["b"], HOT_ROWS, hot=hot)
-    same = F.size(F.array_intersect("x", "y")).cast("long")
-    return both.filter(same * 100 >= (F.size("x") + F.size("y") - same) * percent).select("a", "b")
+    place = F.coalesce(F.pmod(F.xxhash64("b"), F.ceil(F.col("_n") / HOT_ROWS)), F.lit(0)).alias("place")
+    dealt = pairs.join(F.broadcast(hot), "a", "left").select("a", place, "b")
+    places = dealt.union(dealt.select("a", "place", F.col("a").alias("b")).distinct())
+    sent = places.join(whole.withColumnRenamed("set_id", "b"), "b").select("a", "place", (F.col("a") != F.col("b")).alias("other"), "b", "hashes")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, own = None, None  # the set whose place is going on
+        for batch in batches:
+            lists, sets, other = batch.column("hashes"), batch.column("b"), batch.column("other").to_numpy(zero_copy_only=False)
+            starts, flat = lists.offsets.to_numpy().astype(np.int64), lists.flatten().to_numpy().view(np.uint64)
+            starts = starts - starts[0]
+            a, b = [], []
+            cuts = [0, *np.flatnonzero(~other), len(other)]
+            for x, y in zip(cuts, cuts[1:]):
+                if x < y and not other[x]:
+                    head, own = sets[x].as_py(), flat[starts[x] : starts[x + 1]].copy()
+                    x += 1
+                if x < y:
+                    found = x + np.flatnonzero(linked(own, flat[starts[x] : starts[y]], np.diff(starts[x : y + 1]), percent))
+                    a += [head] * len(found)
+                    b += found.tolist()
+            if b:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), sets.take(pa.array(b))], ["a", "b"])
+
+    ship(pairs.sparkSession)
+    return sent.repartition("a", "place").sortWithinPartitions("a", "place", "other").mapInArrow(run, "a binary, b binary")
 
 
 def forest(links: DataFrame) -> DataFrame:
@@ -364,13 +411,13 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, work: Wo
     sets = work.stage(filled.groupBy("set_id").agg(F.min("doc_id").alias("least_id")), "minhash-sets")
     repeated = rows.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     repeated = work.settle(repeated, "minhash-repeated")
-    distinct = filled.select("set_id", "n", "bands", "short").dropDuplicates(["set_id"])
+    distinct = filled.select("set_id", "n", "short").dropDuplicates(["set_id"])
     distinct = work.stage(distinct, "minhash-distinct")
-    index = distinct.select(F.explode("bands").alias("bucket"), "set_id", "n")
+    index = distinct.select(F.explode(buckets("short")).alias("bucket"), "set_id", "n")
     sizes = index.groupBy("bucket").count().filter("count > 1")
     sizes = work.stage(sizes, "minhash-sizes")
     long = work.settle(sizes.filter(F.col("count") > LIST).select("bucket", F.ceil(F.col("count") / LIST).alias("parts")), "minhash-long")
-    index = work.stage(index.join(work.settle(sizes.select("bucket"), "minhash-shared"), "bucket", "left_semi"), "minhash-index")
+    index = work.stage(among(index, sizes.select("bucket"), "bucket", work, "minhash-shared"), "minhash-index")
 
     first = work.stage(stars(index, long, percent), "minhash-stars")
     ends = first.select(F.col("a").alias("set_id")).union(first.select("b")).distinct()
@@ -378,9 +425,11 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85, work: Wo
     links = work.stage(links, "minhash-links-1")
     tied = components(forest(links), work, "minhash-tied-1")
     labels = work.settle(tied.select(F.col("node").alias("set_id"), F.col("root").alias("label")), "minhash-labels")
-    prints = distinct.select("set_id", "bands", "short")
+    prints = distinct.select("set_id", "short")
     near = work.stage(likely(open_parts(index, labels, prints, long, work), percent), "minhash-likely")
-    whole = whole_sets(near.select("set_id").distinct(), docs, sets, repeated, width, work, "minhash-second")
+    ends = near.select("set_id").distinct()
+    whole = whole_sets(ends, docs, sets, repeated, width, work, "minhash-second")
+    prints = among(prints, ends, "set_id", work, "minhash-near-sets")
     more = work.stage(across(near.join(prints, "set_id").join(whole, "set_id"), percent), "minhash-links-2")
     if not more.isEmpty():
         tied = components(forest(links.union(more)), work, "minhash-tied-2")

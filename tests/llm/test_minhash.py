@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hearback.llm import minhash
 from hearback.llm.common import workspace
-from hearback.session import Inline
+from hearback.session import Inline, Workspace
 
 from .conftest import documents
 
@@ -160,3 +160,57 @@ def test_one_text_holds_a_third_of_all_rows(spark):
     )
     got = minhash.near_duplicates(docs, work=workspace(spark)).groupBy("component_id").count().collect()
     assert sorted(r["count"] for r in got)[-2:] == [1, 1000]
+
+
+def test_what_is_written_and_sent_grows_with_the_rows(spark, tmp_path):
+    """No table holds bucket keys or hashes of a row's shingles, and no set meets more than two heads, however large its family."""
+
+    class Seen(Workspace):
+        tables = {}
+
+        def stage(self, df, name, partition_by=()):
+            self.tables[name] = table = super().stage(df, name, partition_by)
+            return table
+
+    rows = list(enumerate(families(random.Random(8), 2, 60, 120, 4)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    work = Seen(spark, str(tmp_path))
+    assert found(docs, work=work) == plain(rows)
+    assert not [(n, c) for n, t in work.tables.items() for c, kind in t.dtypes if kind.startswith("array")]
+    heads = work.tables["minhash-stars"].groupBy("b").count().collect()
+    assert len(heads) > 80 and max(r["count"] for r in heads) <= 2
+
+
+@pytest.mark.parametrize("keys", [0, 10**6])
+def test_keys_too_many_to_broadcast(spark, monkeypatch, keys):
+    monkeypatch.setattr(minhash, "KEYS", keys)
+    texts = families(random.Random(21), 6, 8, 60, 6)
+    rows = list(enumerate(texts)) + [(3, texts[0]), (3, texts[9]), (None, texts[20]), (None, "a b c d"), (70, None), (71, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert found(docs) == plain(rows)
+
+
+@pytest.mark.parametrize("hot", [2, 20_000])
+def test_heads_of_many_sets_have_several_places(spark, monkeypatch, hot):
+    monkeypatch.setattr(minhash, "HOT_ROWS", hot)
+    rng = random.Random(4)
+    sets = {bytes([i]) * 16: sorted(rng.sample(range(40), 34)) for i in range(60)}
+    ids = sorted(sets)
+    pairs = [(ids[0], x) for x in ids[1:]] + [(ids[1], x) for x in ids[2:9]]
+    whole = spark.createDataFrame(list(sets.items()), "set_id binary, hashes array<bigint>")
+    got = minhash.verified(spark.createDataFrame(pairs, "a binary, b binary"), whole, 75)
+    alike = lambda a, b: 100 * len(set(a) & set(b)) >= 75 * len(set(a) | set(b))
+    want = sorted((a, b) for a, b in pairs if alike(sets[a], sets[b]))
+    assert 0 < len(want) < len(pairs)
+    assert sorted((bytes(r["a"]), bytes(r["b"])) for r in got.collect()) == want
+
+
+def test_buckets_name_their_band_and_bytes(spark):
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 256, minhash.SLOTS).astype(np.uint8)
+    y = x.copy()
+    y[[0, 7, 239]] += 1
+    rows = [(bytes(x.tobytes()),), (bytes(y.tobytes()),)]
+    got = [r["b"] for r in spark.createDataFrame(rows, "short binary").select(minhash.buckets("short").alias("b")).collect()]
+    assert all([k % (1 << minhash.BAND_BITS) for k in b] == list(range(minhash.BANDS)) for b in got)
+    assert [i for i, (p, q) in enumerate(zip(*got)) if p != q] == [0, 1, 39]
