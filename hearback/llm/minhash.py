@@ -52,7 +52,7 @@ LIST = 4096
 HEADS = 2
 BAND_BITS = 6  # the low bits of a bucket name its band
 HOT_ROWS = 20_000  # sets compared with one head that a task takes
-KEYS = 500_000  # keys that are sent to every task as they are; more go as a Bloom filter before the join
+KEYS = 100_000  # keys that are sent to every task as they are; more go as a Bloom filter before the join
 HELD = 1_000_000
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
